@@ -1,0 +1,43 @@
+"""Replay a table as a stream, one arrival batch at a time (tests and the registry).
+
+Rows of ``batch_col = b`` are written as new files into the source folder, then
+the streaming query is run with ``availableNow`` from its checkpoint: each run
+sees exactly the files that arrived since the last one, i.e. one micro-batch per
+arrival batch, in order.  Files are written by executors; only the short list of
+batch numbers is read on the driver.
+"""
+
+from __future__ import annotations
+
+from typing import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+
+def replay(
+    spark: SparkSession,
+    rows: DataFrame,
+    batch_col: str,
+    source_dir: str,
+    start: Callable[[DataFrame], StreamingQuery],
+    timeout_s: int = 600,
+) -> None:
+    """Stage ``rows`` batch by batch under ``source_dir`` and drive ``start`` over them.
+
+    ``start(stream_df)`` must start the query with ``trigger=None`` (availableNow)
+    and a fixed checkpoint location.
+    """
+    schema = rows.schema
+    batches = [r[0] for r in rows.select(batch_col).distinct().orderBy(batch_col).collect()]
+    for i, b in enumerate(batches):
+        rows.filter(F.col(batch_col) == F.lit(b)).write.mode("overwrite").parquet(f"{source_dir}/b{i:06d}")
+        stream = spark.readStream.schema(schema).parquet(source_dir)
+        q = start(stream)
+        finished = q.awaitTermination(timeout_s)
+        if not finished:
+            q.stop()
+            raise TimeoutError(f"stream batch {b} did not finish in {timeout_s}s")
+        if q.exception() is not None:
+            raise RuntimeError(f"stream failed on batch {b}: {q.exception()}")
