@@ -33,7 +33,8 @@ def replay(
     batches = [r[0] for r in rows.select(batch_col).distinct().orderBy(batch_col).collect()]
     for i, b in enumerate(batches):
         rows.filter(F.col(batch_col) == F.lit(b)).write.mode("overwrite").parquet(f"{source_dir}/b{i:06d}")
-        stream = spark.readStream.schema(schema).parquet(source_dir)
+        # one sub-folder per arrival batch; the glob is re-listed on every run
+        stream = spark.readStream.schema(schema).parquet(f"{source_dir}/*")
         q = start(stream)
         finished = q.awaitTermination(timeout_s)
         if not finished:
