@@ -13,6 +13,7 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickflow.operators.joins import broadcast_if_small
 from clickflow.functions.udfs import concat_long_string, group_concat_distinct, json_field
 from clickflow.params import AreaParams
 from clickflow.sources.readers import scan_click_actions
@@ -21,11 +22,12 @@ from clickflow.sources.readers import scan_click_actions
 def click_product_basic(actions: DataFrame, cities: DataFrame, params: AreaParams = AreaParams()) -> DataFrame:
     """(city_id, city_name, area, product_id) per click in the date range (J-7, P2).
 
-    The city table is a dimension; Catalyst broadcasts it when its size estimate is
-    under the threshold and AQE re-checks the real size at run time.
+    The city table is a dimension: broadcast after a bounded row count, so the
+    click facts are never the broadcast side.
     """
     clicks = scan_click_actions(actions, params.start_date, params.end_date)
-    return clicks.join(cities.select("city_id", "city_name", "area"), "city_id", "inner").select(
+    dim = broadcast_if_small(cities.select("city_id", "city_name", "area"))
+    return clicks.join(dim, "city_id", "inner").select(
         "city_id", "city_name", "area", "product_id"
     )
 
@@ -48,7 +50,7 @@ def product_status(extend_info: Column) -> Column:
 def area_full_product_click_count(counts: DataFrame, products: DataFrame) -> DataFrame:
     """J-8: add product name and status; products missing from the catalogue drop out."""
     p = products.select("product_id", "product_name", product_status(F.col("extend_info")).alias("product_status"))
-    return counts.join(p, "product_id", "inner").select(
+    return counts.join(broadcast_if_small(p), "product_id", "inner").select(
         "area", "product_id", "click_count", "city_infos", "product_name", "product_status"
     )
 

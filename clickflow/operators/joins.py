@@ -1,0 +1,26 @@
+"""Join helpers: broadcast a dimension only behind a checked size bound.
+
+``broadcast_if_small`` counts at most ``max_rows + 1`` rows of the dimension (the
+limit is pushed into the scan, so a big table is never read whole for this) and
+marks it for broadcast only when it fits; otherwise the join is left to the
+optimizer (sort-merge / shuffle-hash, AQE may still broadcast on real sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Narrow dimension rows (ids + a few short strings): 200k rows is a few MB.
+DIM_BROADCAST_MAX_ROWS = 200_000
+
+
+_CHECKED: dict[tuple[int, int], bool] = {}
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    key = (dim.semanticHash(), max_rows)
+    small = _CHECKED.get(key)
+    if small is None:
+        small = _CHECKED[key] = dim.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(dim) if small else dim

@@ -61,26 +61,50 @@ def out(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ shared inputs
+#
+# Shared intermediate plans are built once per (session, data folder) and reused:
+# a DataFrame is an immutable lazy plan, and using the same one in several
+# branches lets Spark reuse its exchanges instead of recomputing them.
 
+_SHARED: dict[tuple, DataFrame] = {}
 
+
+def shared(fn):
+    def wrapper(spark, sf, *args):
+        key = (fn.__name__, spark.sparkContext.applicationId, id(spark), sf, repr(args))
+        df = _SHARED.get(key)
+        if df is None:
+            df = _SHARED[key] = fn(spark, sf, *args)
+        return df
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
+@shared
 def actions(spark, sf, params: SessionParams | FunnelParams | AreaParams = SESSION_PARAMS) -> DataFrame:
     """The action table restricted to the parameter date range."""
     a = fx.user_visit_action(spark, sf, params.start_date, params.end_date)
     return scan_actions_by_date(a, params.start_date, params.end_date)
 
 
+@shared
 def sessions_info(spark, sf) -> DataFrame:
     return session.session_aggr_info(session.session_aggr(actions(spark, sf)), fx.user_info(spark, sf))
 
 
+@shared
 def filtered_sessions(spark, sf) -> DataFrame:
     return session.session_filter(sessions_info(spark, sf), SESSION_PARAMS)
 
 
+@shared
 def detail(spark, sf) -> DataFrame:
     return session.session_detail(actions(spark, sf), filtered_sessions(spark, sf))
 
 
+@shared
 def ad_log(spark, sf) -> DataFrame:
     """The ad log text lines parsed once (keeps the arrival batch number)."""
     return parse_ad_log(fx.ad_log_lines(spark, sf), keep=("event_id", "batch_no"))
@@ -221,6 +245,7 @@ def q_category_counts(spark, sf):
     return out(category.category_counts(detail(spark, sf)))
 
 
+@shared
 def _top10(spark, sf) -> DataFrame:
     return category.top_categories(category.category_counts(detail(spark, sf)), TOP_N_CATEGORIES)
 
@@ -235,6 +260,7 @@ def q_category_session_counts(spark, sf):
     return out(category.category_session_counts(detail(spark, sf)))
 
 
+@shared
 def _top_sessions(spark, sf) -> DataFrame:
     return category.top_sessions(detail(spark, sf), _top10(spark, sf), TOP_N_SESSIONS)
 
@@ -259,6 +285,7 @@ def q_session_sample_quota(spark, sf):
     return out(sampling.sample_quota(filtered_sessions(spark, sf), SAMPLE_TOTAL))
 
 
+@shared
 def _sample(spark, sf) -> DataFrame:
     return sampling.sample(filtered_sessions(spark, sf), SAMPLE_TOTAL, SAMPLE_SEED)
 
@@ -422,6 +449,7 @@ def q_ad_user_click_count(spark, sf):
     return out(ads.user_click_counts(ad_log(spark, sf)))
 
 
+@shared
 def _blacklist(spark, sf) -> DataFrame:
     log = ad_log(spark, sf)
     accumulated = ads.user_click_counts(log.filter(F.col("batch_no") < 2))

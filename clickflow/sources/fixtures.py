@@ -16,8 +16,17 @@ from clickflow.config import configure_session
 EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One DataFrame per (session, table): the file listing and footer read happen once,
+    and repeated use inside one plan lets Spark reuse the scan's exchanges."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df
 
 
 def _k() -> Column:
