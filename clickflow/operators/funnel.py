@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickflow.functions.scalars import ratio
 from clickflow.params import FunnelParams
@@ -75,50 +74,55 @@ def start_page_pv(actions: DataFrame, flow) -> DataFrame:
     )
 
 
-def _flow_table(spark, flow) -> DataFrame:
+def flow_positions(flow) -> list[tuple[int, str, str]]:
+    """(position, split, denominator key) per flow step, a repeated split keeping
+    only its last position (D7).  Derived from the parameter alone."""
     pairs = flow_pairs(flow)
-    rows = [(i + 1, s, START_KEY if i == 0 else pairs[i - 1]) for i, s in enumerate(pairs)]
-    schema = T.StructType(
-        [
-            T.StructField("position", T.IntegerType(), False),
-            T.StructField("page_split", T.StringType(), False),
-            T.StructField("denominator_key", T.StringType(), False),
-        ]
-    )
-    return spark.createDataFrame(rows, schema)
+    rows = [(i + 1, sp, START_KEY if i == 0 else pairs[i - 1]) for i, sp in enumerate(pairs)]
+    last = {sp: pos for pos, sp, _ in rows}
+    return [r for r in rows if last[r[1]] == r[0]]
 
 
 def page_convert_rate(actions: DataFrame, params: FunnelParams, chunk: str | None = "hour") -> DataFrame:
     """W5 (D7): per flow split: PV, previous PV and the rate ``pv / previous``.
 
-    The first split divides by the start-page PV.  A missing PV is 0; the rate is
-    NULL when the denominator is 0.  A split repeated in the flow keeps its last
-    position.  Everything after the two aggregates is a table of flow length.
+    The first split divides by the start-page PV, split ``i`` by the PV of split
+    ``i - 1``.  A missing PV is 0; the rate is NULL when the denominator is 0.
+
+    One pass: every action is tagged with its matched split and whether it is on
+    the start page, and a single partial aggregate counts all of them (one row per
+    task reaches the final merge).  The per-step rows are then laid out from that
+    one row with ``inline``, sized by the flow parameter, not by the data.
     """
     flow = params.flow
-    spark = actions.sparkSession
-    pv = page_split_pv(page_splits(actions, flow, chunk)).select(
-        F.col("page_split").alias("key"), F.col("split_pv").alias("pv")
+    pairs = flow_pairs(flow)
+    keys = list(dict.fromkeys(pairs))
+    p = previous_page(actions, chunk)
+    split = F.concat_ws("_", F.col("prev_page_id").cast("string"), F.col("page_id").cast("string"))
+    counts = p.agg(
+        F.count(F.when(F.col("page_id") == F.lit(int(flow[0])), F.lit(1))).alias("c0"),
+        *[F.count(F.when(F.col("prev_page_id").isNotNull() & (split == F.lit(k)), F.lit(1))).alias(f"c{i + 1}")
+          for i, k in enumerate(keys)],
     )
-    start = start_page_pv(actions, flow).select(F.lit(START_KEY).alias("key"), F.col("start_page_pv").alias("pv"))
-    pv_all = pv.unionByName(start)
-    ft = _flow_table(spark, flow)
-    num = pv_all.select(F.col("key").alias("page_split"), F.col("pv").alias("split_pv"))
-    den = pv_all.select(F.col("key").alias("denominator_key"), F.col("pv").alias("prev_pv"))
-    rates = (
-        F.broadcast(ft)
-        .join(num, "page_split", "left")
-        .join(den, "denominator_key", "left")
-        .select(
-            "position",
-            "page_split",
-            F.coalesce("split_pv", F.lit(0)).cast("bigint").alias("split_pv"),
-            F.coalesce("prev_pv", F.lit(0)).cast("bigint").alias("prev_pv"),
-        )
-        .withColumn("convert_rate", ratio(F.col("split_pv"), F.col("prev_pv")))
+    col_of = {START_KEY: "c0", **{k: f"c{i + 1}" for i, k in enumerate(keys)}}
+    positions = flow_positions(flow)
+    if not positions:  # a one-page flow has no step
+        empty = F.struct(F.lit(0).alias("position"), F.lit("").alias("page_split"),
+                         F.col("c0").alias("split_pv"), F.col("c0").alias("prev_pv"))
+        rates = counts.select(F.inline(F.array(empty))).filter(F.lit(False))
+        return rates.withColumn("convert_rate", ratio(F.col("split_pv"), F.col("prev_pv")))
+    steps = F.array(
+        *[
+            F.struct(
+                F.lit(pos).alias("position"),
+                F.lit(sp).alias("page_split"),
+                F.col(col_of[sp]).alias("split_pv"),
+                F.col(col_of[den]).alias("prev_pv"),
+            )
+            for pos, sp, den in positions
+        ]
     )
-    last = Window.partitionBy("page_split").orderBy(F.col("position").desc())
-    return rates.withColumn("rn", F.row_number().over(last)).filter(F.col("rn") == 1).drop("rn")
+    return counts.select(F.inline(steps)).withColumn("convert_rate", ratio(F.col("split_pv"), F.col("prev_pv")))
 
 
 def encode_convert_rate(rates: DataFrame) -> DataFrame:

@@ -48,24 +48,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
-def query(name: str):
-    def deco(fn):
-        REGISTRY[name] = fn
-        return fn
-
-    return deco
-
-
-def out(df: DataFrame) -> DataFrame:
-    return to_output(df)
-
-
-# ------------------------------------------------------------------ shared inputs
-#
-# Shared intermediate plans are built once per (session, data folder) and reused:
-# a DataFrame is an immutable lazy plan, and using the same one in several
-# branches lets Spark reuse its exchanges instead of recomputing them.
-
 _SHARED: dict[tuple, DataFrame] = {}
 
 
@@ -82,6 +64,28 @@ def shared(fn):
     return wrapper
 
 
+def query(name: str, memo: bool = True):
+    """Register ``fn`` under ``name``.  With ``memo`` (queries without side effects)
+    the built plan is kept per (session, folder): calling again re-executes the
+    same lazy plan instead of rebuilding it column by column over py4j."""
+
+    def deco(fn):
+        REGISTRY[name] = shared(fn) if memo else fn
+        return fn
+
+    return deco
+
+
+def out(df: DataFrame) -> DataFrame:
+    return to_output(df)
+
+
+# ------------------------------------------------------------------ shared inputs
+#
+# Shared intermediate plans are built once per (session, data folder) and reused:
+# a DataFrame is an immutable lazy plan, and using the same one in several
+# branches lets Spark reuse its exchanges instead of recomputing them.
+
 @shared
 def actions(spark, sf, params: SessionParams | FunnelParams | AreaParams = SESSION_PARAMS) -> DataFrame:
     """The action table restricted to the parameter date range."""
@@ -537,7 +541,7 @@ def q_replace_groups(spark, sf):
     return out(tables.replace_groups(target, updates, ("date", "province")))
 
 
-@query("append_results")
+@query("append_results", memo=False)
 def q_append_results(spark, sf):
     path = work_dir(spark, "append_results")
     tables.append(_top10(spark, sf), path, task_id=1)

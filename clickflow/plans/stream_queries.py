@@ -32,7 +32,7 @@ def _run(spark: SparkSession, sf: str, name: str, starter) -> None:
     return base
 
 
-@query("stream_ad_log_parse")
+@query("stream_ad_log_parse", memo=False)
 def q_stream_ad_log_parse(spark, sf):
     def starter(log, base):
         return st.start_log_sink(log, f"{base}/out", f"{base}/ckpt", trigger=None)
@@ -41,7 +41,7 @@ def q_stream_ad_log_parse(spark, sf):
     return to_output(spark.read.parquet(f"{base}/out").select("event_id", "batch_no", *LOG_COLS))
 
 
-@query("stream_ad_user_click_count")
+@query("stream_ad_user_click_count", memo=False)
 def q_stream_ad_user_click_count(spark, sf):
     holder = {}
 
@@ -53,7 +53,7 @@ def q_stream_ad_user_click_count(spark, sf):
     return to_output(holder["t"].read())
 
 
-@query("stream_ad_blacklist")
+@query("stream_ad_blacklist", memo=False)
 def q_stream_ad_blacklist(spark, sf):
     def starter(log, base):
         counts = VersionedTable(spark, f"{base}/counts", st.USER_COUNT_SCHEMA)
@@ -78,22 +78,22 @@ def _table_query(spark, sf, name, schema, start_fn, **kw):
     return holder["t"].read()
 
 
-@query("stream_ad_stat")
+@query("stream_ad_stat", memo=False)
 def q_stream_ad_stat(spark, sf):
     return to_output(_table_query(spark, sf, "stream_ad_stat", st.STAT_SCHEMA, st.start_ad_stat))
 
 
-@query("stream_ad_province_top3")
+@query("stream_ad_province_top3", memo=False)
 def q_stream_ad_province_top3(spark, sf):
     return to_output(_table_query(spark, sf, "stream_ad_province_top3", st.TOP_SCHEMA, st.start_province_top))
 
 
-@query("stream_ad_click_trend")
+@query("stream_ad_click_trend", memo=False)
 def q_stream_ad_click_trend(spark, sf):
     return to_output(_table_query(spark, sf, "stream_ad_click_trend", st.TREND_SCHEMA, st.start_click_trend))
 
 
-@query("stream_ad_sliding_count")
+@query("stream_ad_sliding_count", memo=False)
 def q_stream_ad_sliding_count(spark, sf):
     return to_output(
         _table_query(
