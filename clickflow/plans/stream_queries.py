@@ -13,7 +13,7 @@ from clickflow.config import work_dir
 from clickflow.operators import ads
 from clickflow.operators.tables import VersionedTable
 from clickflow.plans.output import to_output
-from clickflow.plans.queries import BLACKLIST_THRESHOLD, LOG_COLS, query
+from clickflow.plans.registry import BLACKLIST_THRESHOLD, LOG_COLS, query
 from clickflow.sources import fixtures as fx
 from clickflow.sources.readers import parse_ad_log
 from clickflow.streaming import ads_stream as st
@@ -63,7 +63,7 @@ def q_stream_ad_blacklist(spark, sf):
         )
 
     base = _run(spark, sf, "stream_ad_blacklist", starter)
-    kept = spark.read.parquet(f"{base}/kept")
+    kept = spark.read.parquet(f"{base}/kept/*")
     return to_output(kept.select("event_id", "batch_no", *LOG_COLS))
 
 

@@ -109,15 +109,16 @@ def start_blacklist(
     """Z2 + Z3: filter by the current blacklist, then count → upsert-add → lookup →
     threshold → new blacklist version, effective from the next micro-batch.
 
-    The kept clicks of batch ``b`` are written to ``kept_path/batch=b`` (overwrite:
+    The kept clicks of batch ``b`` are written to ``kept_path/b<b>`` (overwrite:
     idempotent on replay) and counted from that written copy, so the source is read
-    once per batch.
+    once per batch.  ``kept_path/*`` is itself a file-stream source for the
+    downstream jobs (:func:`start_ad_pipeline`).
     """
     spark = log.sparkSession
 
     def batch(df: DataFrame, batch_id: int) -> None:
         current = blacklist.read(batch_id - 1)
-        kept_dir = f"{kept_path}/batch={batch_id}"
+        kept_dir = f"{kept_path}/b{batch_id:012d}"
         ads.blacklist_filter(df, current).write.mode("overwrite").parquet(kept_dir)
         batch_counts = ads.user_click_counts(spark.read.parquet(kept_dir))
         counts.write(upsert_add(counts.read(batch_id - 1), batch_counts, ads.USER_AD_KEYS), batch_id)
@@ -195,3 +196,57 @@ def start_sliding_count(
 
 def versioned(spark: SparkSession, path: str, schema: T.StructType) -> VersionedTable:
     return VersionedTable(spark, path, schema)
+
+
+def start_ad_pipeline(
+    log: DataFrame,
+    base: str,
+    threshold: int = 100,
+    top_n: int = 3,
+    trigger: str | None = "5 seconds",
+    trend_watermark: str | None = None,
+) -> dict[str, StreamingQuery]:
+    """The whole J4 job.  Stage 1 filters the parsed log by the self-updating
+    blacklist and writes the kept clicks; stage 2 reads those kept clicks as a
+    file stream into the running totals, the per-province top-n and the minute
+    trend (the reference feeds all three from the filtered stream).
+
+    All state lives under ``base`` (shared storage): ``kept/``, versioned tables
+    ``counts/``, ``blacklist/``, ``ad_stat/``, ``province_top/``, ``click_trend/``
+    and one checkpoint folder per query.
+    """
+    spark = log.sparkSession
+    counts = VersionedTable(spark, f"{base}/counts", USER_COUNT_SCHEMA)
+    blacklist = VersionedTable(spark, f"{base}/blacklist", BLACKLIST_SCHEMA)
+    queries = {
+        "blacklist": start_blacklist(
+            log, f"{base}/kept", counts, blacklist, f"{base}/ckpt/blacklist", threshold, trigger
+        )
+    }
+    queries.update(start_kept_consumers(spark, log.schema, base, top_n, trigger, trend_watermark))
+    return queries
+
+
+def start_kept_consumers(
+    spark: SparkSession,
+    schema: T.StructType,
+    base: str,
+    top_n: int = 3,
+    trigger: str | None = "5 seconds",
+    trend_watermark: str | None = None,
+) -> dict[str, StreamingQuery]:
+    """Stage 2 of :func:`start_ad_pipeline`: stateful jobs over the kept clicks."""
+    kept = spark.readStream.schema(schema).parquet(f"{base}/kept/*")
+    return {
+        "ad_stat": start_ad_stat(
+            kept, VersionedTable(spark, f"{base}/ad_stat", STAT_SCHEMA), f"{base}/ckpt/ad_stat", trigger
+        ),
+        "province_top": start_province_top(
+            kept, VersionedTable(spark, f"{base}/province_top", TOP_SCHEMA), f"{base}/ckpt/province_top", top_n,
+            trigger,
+        ),
+        "click_trend": start_click_trend(
+            kept, VersionedTable(spark, f"{base}/click_trend", TREND_SCHEMA), f"{base}/ckpt/click_trend", trigger,
+            trend_watermark,
+        ),
+    }
