@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickflow.config import work_dir
 from clickflow.operators import ads
-from clickflow.operators.tables import VersionedTable
 from clickflow.plans.output import to_output
 from clickflow.plans.registry import BLACKLIST_THRESHOLD, LOG_COLS, query
 from clickflow.sources import fixtures as fx
@@ -46,7 +45,7 @@ def q_stream_ad_user_click_count(spark, sf):
     holder = {}
 
     def starter(log, base):
-        holder["t"] = t = VersionedTable(spark, f"{base}/table", st.USER_COUNT_SCHEMA)
+        holder["t"] = t = st.changelog(spark, f"{base}/table", "counts")
         return st.start_user_click_count(log, t, f"{base}/ckpt", trigger=None)
 
     _run(spark, sf, "stream_ad_user_click_count", starter)
@@ -56,8 +55,8 @@ def q_stream_ad_user_click_count(spark, sf):
 @query("stream_ad_blacklist", memo=False)
 def q_stream_ad_blacklist(spark, sf):
     def starter(log, base):
-        counts = VersionedTable(spark, f"{base}/counts", st.USER_COUNT_SCHEMA)
-        bl = VersionedTable(spark, f"{base}/blacklist", st.BLACKLIST_SCHEMA)
+        counts = st.changelog(spark, f"{base}/counts", "counts")
+        bl = st.changelog(spark, f"{base}/blacklist", "blacklist")
         return st.start_blacklist(
             log, f"{base}/kept", counts, bl, f"{base}/ckpt", threshold=BLACKLIST_THRESHOLD, trigger=None
         )
@@ -67,11 +66,11 @@ def q_stream_ad_blacklist(spark, sf):
     return to_output(kept.select("event_id", "batch_no", *LOG_COLS))
 
 
-def _table_query(spark, sf, name, schema, start_fn, **kw):
+def _table_query(spark, sf, name, kind, start_fn, **kw):
     holder = {}
 
     def starter(log, base):
-        holder["t"] = t = VersionedTable(spark, f"{base}/table", schema)
+        holder["t"] = t = st.changelog(spark, f"{base}/table", kind)
         return start_fn(log, t, f"{base}/ckpt", trigger=None, **kw)
 
     _run(spark, sf, name, starter)
@@ -80,24 +79,24 @@ def _table_query(spark, sf, name, schema, start_fn, **kw):
 
 @query("stream_ad_stat", memo=False)
 def q_stream_ad_stat(spark, sf):
-    return to_output(_table_query(spark, sf, "stream_ad_stat", st.STAT_SCHEMA, st.start_ad_stat))
+    return to_output(_table_query(spark, sf, "stream_ad_stat", "ad_stat", st.start_ad_stat))
 
 
 @query("stream_ad_province_top3", memo=False)
 def q_stream_ad_province_top3(spark, sf):
-    return to_output(_table_query(spark, sf, "stream_ad_province_top3", st.TOP_SCHEMA, st.start_province_top))
+    return to_output(_table_query(spark, sf, "stream_ad_province_top3", "province_top", st.start_province_top))
 
 
 @query("stream_ad_click_trend", memo=False)
 def q_stream_ad_click_trend(spark, sf):
-    return to_output(_table_query(spark, sf, "stream_ad_click_trend", st.TREND_SCHEMA, st.start_click_trend))
+    return to_output(_table_query(spark, sf, "stream_ad_click_trend", "click_trend", st.start_click_trend))
 
 
 @query("stream_ad_sliding_count", memo=False)
 def q_stream_ad_sliding_count(spark, sf):
     return to_output(
         _table_query(
-            spark, sf, "stream_ad_sliding_count", st.SLIDING_SCHEMA, st.start_sliding_count,
+            spark, sf, "stream_ad_sliding_count", "sliding", st.start_sliding_count,
             window="60 minutes", slide="10 minutes",
         )
     )

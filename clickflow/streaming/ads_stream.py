@@ -2,9 +2,9 @@
 
 Source: Kafka text lines (:func:`clickflow.sources.readers.kafka_stream`) or, in
 tests, a file stream with the same ``value`` column.  Each job parses once (P3)
-and writes through ``foreachBatch`` into a :class:`VersionedTable`, whose version
-``b`` is computed from version ``b - 1``: a micro-batch replayed after a failure
-rewrites its own version, so totals are never added twice (D14).  Stream state
+and writes through ``foreachBatch`` into a :class:`ChangelogTable`: micro-batch
+``b`` writes only its changes, into a folder named by ``b``, so a batch replayed
+after a failure overwrites itself and totals are never added twice (D14).  Stream state
 (running totals, window counts) lives in Spark's checkpointed state store.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickflow.operators import ads
-from clickflow.operators.tables import VersionedTable, replace_groups, upsert_add, upsert_replace
+from clickflow.operators.tables import ChangelogTable
 
 DATE_T = T.DateType()
 USER_COUNT_SCHEMA = T.StructType(
@@ -85,14 +85,29 @@ def start_log_sink(log: DataFrame, path: str, checkpoint: str, trigger: str | No
     return _trigger(w.outputMode("append"), trigger).start()
 
 
+def changelog(spark: SparkSession, path: str, kind: str, compact_every: int = 20) -> ChangelogTable:
+    """The sink table of one ad result: ``counts`` (add), ``blacklist`` (set),
+    ``ad_stat`` / ``click_trend`` / ``sliding`` (replace), ``province_top``
+    (replace per (date, province) group)."""
+    spec = {
+        "counts": (USER_COUNT_SCHEMA, ads.USER_AD_KEYS, "add", ("date",)),
+        "blacklist": (BLACKLIST_SCHEMA, ("user_id",), "set", ()),
+        "ad_stat": (STAT_SCHEMA, ads.STAT_KEYS, "replace", ("date",)),
+        "province_top": (TOP_SCHEMA, ("date", "province"), "replace_groups", ("date",)),
+        "click_trend": (TREND_SCHEMA, ads.TREND_KEYS, "replace", ("date",)),
+        "sliding": (SLIDING_SCHEMA, ("window_start", "window_end", "ad_id"), "replace", ()),
+    }[kind]
+    schema, keys, mode, part = spec
+    return ChangelogTable(spark, path, schema, keys, mode, partition_by=part, compact_every=compact_every)
+
+
 def start_user_click_count(
-    log: DataFrame, table: VersionedTable, checkpoint: str, trigger: str | None = "5 seconds"
+    log: DataFrame, table: ChangelogTable, checkpoint: str, trigger: str | None = "5 seconds"
 ) -> StreamingQuery:
     """A15 + K4: per-batch (date, user, ad) counts added into the accumulated table."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        counts = ads.user_click_counts(df)
-        table.write(upsert_add(table.read(batch_id - 1), counts, ads.USER_AD_KEYS), batch_id)
+        table.write_batch(ads.user_click_counts(df), batch_id)
 
     return _foreach(log, batch, checkpoint, trigger)
 
@@ -100,19 +115,20 @@ def start_user_click_count(
 def start_blacklist(
     log: DataFrame,
     kept_path: str,
-    counts: VersionedTable,
-    blacklist: VersionedTable,
+    counts: ChangelogTable,
+    blacklist: ChangelogTable,
     checkpoint: str,
     threshold: int = 100,
     trigger: str | None = "5 seconds",
 ) -> StreamingQuery:
     """Z2 + Z3: filter by the current blacklist, then count → upsert-add → lookup →
-    threshold → new blacklist version, effective from the next micro-batch.
+    threshold → new blacklisted users, effective from the next micro-batch.
 
     The kept clicks of batch ``b`` are written to ``kept_path/b<b>`` (overwrite:
     idempotent on replay) and counted from that written copy, so the source is read
-    once per batch.  ``kept_path/*`` is itself a file-stream source for the
-    downstream jobs (:func:`start_ad_pipeline`).
+    once per batch.  The lookup reads accumulated counts only for the batch's keys
+    (semi join; partitions of other dates are pruned).  ``kept_path/*`` is itself a
+    file-stream source for the downstream jobs (:func:`start_ad_pipeline`).
     """
     spark = log.sparkSession
 
@@ -121,15 +137,15 @@ def start_blacklist(
         kept_dir = f"{kept_path}/b{batch_id:012d}"
         ads.blacklist_filter(df, current).write.mode("overwrite").parquet(kept_dir)
         batch_counts = ads.user_click_counts(spark.read.parquet(kept_dir))
-        counts.write(upsert_add(counts.read(batch_id - 1), batch_counts, ads.USER_AD_KEYS), batch_id)
-        users = ads.blacklist_lookup(batch_counts, counts.read(batch_id), threshold)
-        blacklist.write(current.unionByName(users).distinct(), batch_id)
+        counts.write_batch(batch_counts, batch_id)
+        totals = counts.read(batch_id, keys=batch_counts.select(*ads.USER_AD_KEYS))
+        blacklist.write_batch(ads.blacklist_lookup(batch_counts, totals, threshold), batch_id)
 
     return _foreach(log, batch, checkpoint, trigger)
 
 
 def start_ad_stat(
-    log: DataFrame, table: VersionedTable, checkpoint: str, trigger: str | None = "5 seconds",
+    log: DataFrame, table: ChangelogTable, checkpoint: str, trigger: str | None = "5 seconds",
     date_watermark: str | None = None,
 ) -> StreamingQuery:
     """Z4 + K5: running totals per (date, province, city, ad) in the state store; each
@@ -138,31 +154,37 @@ def start_ad_stat(
     Z9: state never expires unless ``date_watermark`` is given.
     """
     src = log.withWatermark("ts", date_watermark) if date_watermark else log
-    totals = ads.ad_stat(src)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        table.write(upsert_replace(table.read(batch_id - 1), df, ads.STAT_KEYS), batch_id)
+        table.write_batch(df, batch_id)
 
-    return _foreach(totals, batch, checkpoint, trigger, mode="update")
+    return _foreach(ads.ad_stat(src), batch, checkpoint, trigger, mode="update")
 
 
 def start_province_top(
-    log: DataFrame, table: VersionedTable, checkpoint: str, n: int = 3, trigger: str | None = "5 seconds"
+    log: DataFrame, table: ChangelogTable, checkpoint: str, n: int = 3, trigger: str | None = "5 seconds"
 ) -> StreamingQuery:
-    """Z5 + W2 + K7: complete-mode running totals → per-batch top-n per (date, province)
-    → replace those groups in the table.  ``row_number`` is not allowed on a stream,
-    so the ranking runs on the micro-batch result inside ``foreachBatch``."""
-    totals = ads.ad_stat(log)
+    """Z5 + W2 + K7: top-n ads per (date, province), refreshed each micro-batch.
+
+    The running totals come out in update mode (only changed keys) and are kept in
+    a ``totals`` changelog next to the table; each micro-batch re-ranks only the
+    (date, province) groups it touched, reading just those groups' totals, and
+    replaces those groups.  ``row_number`` is not allowed on a stream, so ranking
+    runs inside ``foreachBatch``.
+    """
+    spark = log.sparkSession
+    totals = changelog(spark, f"{table.path}/totals", "ad_stat", table.compact_every)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        top = ads.province_top(df, n)
-        table.write(replace_groups(table.read(batch_id - 1), top, ("date", "province")), batch_id)
+        totals.write_batch(df, batch_id)
+        groups = df.select("date", "province")
+        table.write_batch(ads.province_top(totals.read(batch_id, keys=groups), n), batch_id)
 
-    return _foreach(totals, batch, checkpoint, trigger, mode="complete")
+    return _foreach(ads.ad_stat(log), batch, checkpoint, trigger, mode="update")
 
 
 def start_click_trend(
-    log: DataFrame, table: VersionedTable, checkpoint: str, trigger: str | None = "5 seconds",
+    log: DataFrame, table: ChangelogTable, checkpoint: str, trigger: str | None = "5 seconds",
     watermark: str | None = None,
 ) -> StreamingQuery:
     """Z6 + Z8 (D8): full per-minute counts by event time, upserted per micro-batch.
@@ -174,28 +196,22 @@ def start_click_trend(
     counts = src.groupBy(F.window("ts", "1 minute").alias("w"), "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        rows = df.select(*ads.minute_key_columns(F.col("w.start")), "ad_id", "click_count")
-        table.write(upsert_replace(table.read(batch_id - 1), rows, ads.TREND_KEYS), batch_id)
+        table.write_batch(df.select(*ads.minute_key_columns(F.col("w.start")), "ad_id", "click_count"), batch_id)
 
     return _foreach(counts, batch, checkpoint, trigger, mode="update")
 
 
 def start_sliding_count(
-    log: DataFrame, table: VersionedTable, checkpoint: str, window: str = "60 minutes", slide: str = "10 seconds",
+    log: DataFrame, table: ChangelogTable, checkpoint: str, window: str = "60 minutes", slide: str = "10 seconds",
     trigger: str | None = "5 seconds", watermark: str | None = None,
 ) -> StreamingQuery:
     """Counts per ad in sliding windows (state per window), upserted per batch."""
     src = log.withWatermark("ts", watermark) if watermark else log
-    counts = ads.sliding_count(src, window, slide)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        table.write(upsert_replace(table.read(batch_id - 1), df, ("window_start", "window_end", "ad_id")), batch_id)
-
-    return _foreach(counts, batch, checkpoint, trigger, mode="update")
-
+        table.write_batch(df, batch_id)
 
-def versioned(spark: SparkSession, path: str, schema: T.StructType) -> VersionedTable:
-    return VersionedTable(spark, path, schema)
+    return _foreach(ads.sliding_count(src, window, slide), batch, checkpoint, trigger, mode="update")
 
 
 def start_ad_pipeline(
@@ -216,8 +232,8 @@ def start_ad_pipeline(
     and one checkpoint folder per query.
     """
     spark = log.sparkSession
-    counts = VersionedTable(spark, f"{base}/counts", USER_COUNT_SCHEMA)
-    blacklist = VersionedTable(spark, f"{base}/blacklist", BLACKLIST_SCHEMA)
+    counts = changelog(spark, f"{base}/counts", "counts")
+    blacklist = changelog(spark, f"{base}/blacklist", "blacklist")
     queries = {
         "blacklist": start_blacklist(
             log, f"{base}/kept", counts, blacklist, f"{base}/ckpt/blacklist", threshold, trigger
@@ -239,14 +255,14 @@ def start_kept_consumers(
     kept = spark.readStream.schema(schema).parquet(f"{base}/kept/*")
     return {
         "ad_stat": start_ad_stat(
-            kept, VersionedTable(spark, f"{base}/ad_stat", STAT_SCHEMA), f"{base}/ckpt/ad_stat", trigger
+            kept, changelog(spark, f"{base}/ad_stat", "ad_stat"), f"{base}/ckpt/ad_stat", trigger
         ),
         "province_top": start_province_top(
-            kept, VersionedTable(spark, f"{base}/province_top", TOP_SCHEMA), f"{base}/ckpt/province_top", top_n,
+            kept, changelog(spark, f"{base}/province_top", "province_top"), f"{base}/ckpt/province_top", top_n,
             trigger,
         ),
         "click_trend": start_click_trend(
-            kept, VersionedTable(spark, f"{base}/click_trend", TREND_SCHEMA), f"{base}/ckpt/click_trend", trigger,
+            kept, changelog(spark, f"{base}/click_trend", "click_trend"), f"{base}/ckpt/click_trend", trigger,
             trend_watermark,
         ),
     }

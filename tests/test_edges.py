@@ -324,16 +324,34 @@ def test_upsert_add_of_split_batches_equals_one_batch(spark):
     assert sorted(map(tuple, two.collect())) == sorted(map(tuple, one.collect()))
 
 
-def test_versioned_table_replay_is_idempotent(spark, tmp_path):
+def test_changelog_table_replay_is_idempotent(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("click_count", T.LongType())])
-    t = tables.VersionedTable(spark, str(tmp_path / "vt"), schema)
+    t = tables.ChangelogTable(spark, str(tmp_path / "cl"), schema, keys=["k"], mode="add", compact_every=3)
     batch = spark.createDataFrame([("a", 2)], schema)
     for _ in range(2):  # batch 0 applied twice (a replay)
-        t.write(tables.upsert_add(t.read(-1), batch, ["k"]), 0)
+        t.write_batch(batch, 0)
     assert [tuple(r) for r in t.read().collect()] == [("a", 2)]
-    t.write(tables.upsert_add(t.read(0), batch, ["k"]), 1)
-    assert [tuple(r) for r in t.read().collect()] == [("a", 4)]
-    assert t.versions() == [0, 1]
+    t.write_batch(spark.createDataFrame([("a", 1), ("b", 5)], schema), 1)
+    t.write_batch(batch, 2)  # compaction after batch 2
+    t.write_batch(batch, 3)
+    assert sorted(tuple(r) for r in t.read().collect()) == [("a", 7), ("b", 5)]
+    assert sorted(tuple(r) for r in t.read(1).collect()) == [("a", 3), ("b", 5)]
+    assert sorted(tuple(r) for r in t.read(3, keys=spark.createDataFrame([("b",)], "k string")).collect()) == [("b", 5)]
+    assert t.batches() == [0, 1, 2, 3]
+
+
+def test_changelog_replace_and_groups(spark, tmp_path):
+    schema = T.StructType([T.StructField("g", T.StringType()), T.StructField("k", T.StringType()),
+                           T.StructField("click_count", T.LongType())])
+    rep = tables.ChangelogTable(spark, str(tmp_path / "rep"), schema, keys=["g", "k"], mode="replace")
+    grp = tables.ChangelogTable(spark, str(tmp_path / "grp"), schema, keys=["g"], mode="replace_groups")
+    b0 = spark.createDataFrame([("x", "a", 1), ("x", "b", 2), ("y", "a", 3)], schema)
+    b1 = spark.createDataFrame([("x", "a", 9)], schema)
+    for t in (rep, grp):
+        t.write_batch(b0, 0)
+        t.write_batch(b1, 1)
+    assert sorted(tuple(r) for r in rep.read().collect()) == [("x", "a", 9), ("x", "b", 2), ("y", "a", 3)]
+    assert sorted(tuple(r) for r in grp.read().collect()) == [("x", "a", 9), ("y", "a", 3)]
 
 
 def test_append_adds_task_id(spark, tmp_path):

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from clickflow.config import work_dir
 from clickflow.operators import ads
-from clickflow.operators.tables import VersionedTable
 from clickflow.plans import jobs
 from clickflow.plans import registry as Q
 from clickflow.sources import fixtures as fx
@@ -43,8 +42,8 @@ def test_page_and_area_jobs(spark):
 def test_two_stage_ad_pipeline_equals_batch(spark):
     base = work_dir(spark, "test-pipeline")
     lines = fx.ad_log_lines(spark, SF001)
-    counts = VersionedTable(spark, f"{base}/counts", st.USER_COUNT_SCHEMA)
-    bl = VersionedTable(spark, f"{base}/blacklist", st.BLACKLIST_SCHEMA)
+    counts = st.changelog(spark, f"{base}/counts", "counts")
+    bl = st.changelog(spark, f"{base}/blacklist", "blacklist")
 
     def start(stream):
         log = parse_ad_log(stream, keep=("event_id", "batch_no"))
@@ -59,11 +58,11 @@ def test_two_stage_ad_pipeline_equals_batch(spark):
 
     log = parse_ad_log(lines, keep=("event_id", "batch_no"))
     kept = ads.blacklist_feedback(log, 2)
-    assert _rows(VersionedTable(spark, f"{base}/ad_stat", st.STAT_SCHEMA).read()) == _rows(ads.ad_stat(kept))
-    assert _rows(VersionedTable(spark, f"{base}/province_top", st.TOP_SCHEMA).read()) == _rows(
+    assert _rows(st.changelog(spark, f"{base}/ad_stat", "ad_stat").read()) == _rows(ads.ad_stat(kept))
+    assert _rows(st.changelog(spark, f"{base}/province_top", "province_top").read()) == _rows(
         ads.province_top(ads.ad_stat(kept), 3)
     )
-    assert _rows(VersionedTable(spark, f"{base}/click_trend", st.TREND_SCHEMA).read()) == _rows(ads.click_trend(kept))
+    assert _rows(st.changelog(spark, f"{base}/click_trend", "click_trend").read()) == _rows(ads.click_trend(kept))
     # no click of a blacklisted user survives past the batch in which it was blacklisted
     final_bl = {r[0] for r in bl.read().collect()}
     assert final_bl
