@@ -1,8 +1,8 @@
 """Registered stream queries: the ad log replayed in its four arrival batches.
 
 Each query runs the real Structured Streaming job (file-stream source standing in
-for Kafka, ``availableNow`` trigger per arrival batch) and returns the final state
-of its sink as a batch DataFrame; the oracle is the same SQL as the batch form.
+for Kafka, one micro-batch per arrival batch) and returns the final state of its
+sink as a batch DataFrame; the oracle is the same SQL as the batch form.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ def _run(spark: SparkSession, sf: str, name: str, starter) -> None:
     base = work_dir(spark, name)
     lines = fx.ad_log_lines(spark, sf)
 
-    def start(stream: DataFrame):
+    def start(stream: DataFrame, trigger: str):
         log = parse_ad_log(stream, keep=("event_id", "batch_no"))
-        return starter(log, base)
+        return starter(log, base, trigger)
 
     replay(spark, lines, "batch_no", f"{base}/source", start)
     return base
@@ -33,8 +33,8 @@ def _run(spark: SparkSession, sf: str, name: str, starter) -> None:
 
 @query("stream_ad_log_parse", memo=False)
 def q_stream_ad_log_parse(spark, sf):
-    def starter(log, base):
-        return st.start_log_sink(log, f"{base}/out", f"{base}/ckpt", trigger=None)
+    def starter(log, base, trigger):
+        return st.start_log_sink(log, f"{base}/out", f"{base}/ckpt", trigger=trigger)
 
     base = _run(spark, sf, "stream_ad_log_parse", starter)
     return to_output(spark.read.parquet(f"{base}/out").select("event_id", "batch_no", *LOG_COLS))
@@ -44,9 +44,9 @@ def q_stream_ad_log_parse(spark, sf):
 def q_stream_ad_user_click_count(spark, sf):
     holder = {}
 
-    def starter(log, base):
+    def starter(log, base, trigger):
         holder["t"] = t = st.changelog(spark, f"{base}/table", "counts")
-        return st.start_user_click_count(log, t, f"{base}/ckpt", trigger=None)
+        return st.start_user_click_count(log, t, f"{base}/ckpt", trigger=trigger)
 
     _run(spark, sf, "stream_ad_user_click_count", starter)
     return to_output(holder["t"].read())
@@ -54,11 +54,11 @@ def q_stream_ad_user_click_count(spark, sf):
 
 @query("stream_ad_blacklist", memo=False)
 def q_stream_ad_blacklist(spark, sf):
-    def starter(log, base):
+    def starter(log, base, trigger):
         counts = st.changelog(spark, f"{base}/counts", "counts")
         bl = st.changelog(spark, f"{base}/blacklist", "blacklist")
         return st.start_blacklist(
-            log, f"{base}/kept", counts, bl, f"{base}/ckpt", threshold=BLACKLIST_THRESHOLD, trigger=None
+            log, f"{base}/kept", counts, bl, f"{base}/ckpt", threshold=BLACKLIST_THRESHOLD, trigger=trigger
         )
 
     base = _run(spark, sf, "stream_ad_blacklist", starter)
@@ -69,9 +69,9 @@ def q_stream_ad_blacklist(spark, sf):
 def _table_query(spark, sf, name, kind, start_fn, **kw):
     holder = {}
 
-    def starter(log, base):
+    def starter(log, base, trigger):
         holder["t"] = t = st.changelog(spark, f"{base}/table", kind)
-        return start_fn(log, t, f"{base}/ckpt", trigger=None, **kw)
+        return start_fn(log, t, f"{base}/ckpt", trigger=trigger, **kw)
 
     _run(spark, sf, name, starter)
     return holder["t"].read()

@@ -1,10 +1,8 @@
 """Replay a table as a stream, one arrival batch at a time (tests and the registry).
 
-Rows of ``batch_col = b`` are written as new files into the source folder, then
-the streaming query is run with ``availableNow`` from its checkpoint: each run
-sees exactly the files that arrived since the last one, i.e. one micro-batch per
-arrival batch, in order.  Files are written by executors; only the short list of
-batch numbers is read on the driver.
+Rows of ``batch_col = b`` are written by executors into a staging folder and then
+published into the source folder with one directory rename (atomic on HDFS and
+local file systems).  Only the short list of batch numbers is read on the driver.
 """
 
 from __future__ import annotations
@@ -15,29 +13,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+# start(stream_df, trigger) -> StreamingQuery; trigger None means availableNow
+Starter = Callable[[DataFrame, str], StreamingQuery]
+
+
+def _rename(spark: SparkSession, src: str, dst: str) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = d.getFileSystem(conf)
+    fs.mkdirs(d.getParent())
+    if not fs.rename(s, d):
+        raise OSError(f"could not publish {src} as {dst}")
+
 
 def replay(
     spark: SparkSession,
     rows: DataFrame,
     batch_col: str,
     source_dir: str,
-    start: Callable[[DataFrame], StreamingQuery],
-    timeout_s: int = 600,
+    start: Starter,
+    timeout_s: int = 900,
 ) -> None:
     """Stage ``rows`` batch by batch under ``source_dir`` and drive ``start`` over them.
 
-    ``start(stream_df)`` must start the query with ``trigger=None`` (availableNow)
-    and a fixed checkpoint location.
+    Each arrival batch is published (staged write + one rename), then the query is
+    run with ``availableNow`` from its checkpoint (``start(stream, None)``), so it
+    processes exactly the files that arrived since its last run: one micro-batch
+    per arrival batch, in order.  Restarting from the checkpoint per batch also
+    exercises recovery on every step.
     """
     schema = rows.schema
     batches = [r[0] for r in rows.select(batch_col).distinct().orderBy(batch_col).collect()]
+    staging = source_dir.rstrip("/") + "_staging"
     for i, b in enumerate(batches):
-        rows.filter(F.col(batch_col) == F.lit(b)).write.mode("overwrite").parquet(f"{source_dir}/b{i:06d}")
+        tmp = f"{staging}/b{i:06d}"
+        rows.filter(F.col(batch_col) == F.lit(b)).write.mode("overwrite").parquet(tmp)
+        _rename(spark, tmp, f"{source_dir}/b{i:06d}")
         # one sub-folder per arrival batch; the glob is re-listed on every run
-        stream = spark.readStream.schema(schema).parquet(f"{source_dir}/*")
-        q = start(stream)
-        finished = q.awaitTermination(timeout_s)
-        if not finished:
+        q = start(spark.readStream.schema(schema).parquet(f"{source_dir}/*"), None)
+        if not q.awaitTermination(timeout_s):
             q.stop()
             raise TimeoutError(f"stream batch {b} did not finish in {timeout_s}s")
         if q.exception() is not None:

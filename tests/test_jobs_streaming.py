@@ -45,9 +45,10 @@ def test_two_stage_ad_pipeline_equals_batch(spark):
     counts = st.changelog(spark, f"{base}/counts", "counts")
     bl = st.changelog(spark, f"{base}/blacklist", "blacklist")
 
-    def start(stream):
+    def start(stream, trigger):
         log = parse_ad_log(stream, keep=("event_id", "batch_no"))
-        return st.start_blacklist(log, f"{base}/kept", counts, bl, f"{base}/ckpt/blacklist", threshold=2, trigger=None)
+        return st.start_blacklist(log, f"{base}/kept", counts, bl, f"{base}/ckpt/blacklist", threshold=2,
+                                  trigger=trigger)
 
     replay(spark, lines, "batch_no", f"{base}/source", start)
     schema = spark.read.parquet(f"{base}/kept/*").schema
