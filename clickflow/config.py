@@ -28,9 +28,30 @@ SQL_DEFAULTS = {
 }
 
 
-def configure_session(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SQL_DEFAULTS` to ``spark`` (idempotent) and return it."""
-    for key, value in SQL_DEFAULTS.items():
+# Settings for a large cluster (hundreds of executors, ~100 TB inputs).  Applied by
+# ``configure_session(spark, large=True)``; sizes are per task, so they do not
+# change with the data volume — the number of tasks does.
+LARGE_SCALE = {
+    # ~256 MB scan splits and post-shuffle partitions keep tasks short and in memory
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # enough initial shuffle partitions for AQE to coalesce down from
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    # a partition is skewed when > 5x the median and > 256 MB: split it
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    # large streaming state (per-key totals, minute windows) off the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def configure_session(spark: SparkSession, large: bool = False) -> SparkSession:
+    """Apply :data:`SQL_DEFAULTS` (and :data:`LARGE_SCALE` with ``large=True``)
+    to ``spark`` (idempotent) and return it."""
+    settings = dict(SQL_DEFAULTS, **(LARGE_SCALE if large else {}))
+    for key, value in settings.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

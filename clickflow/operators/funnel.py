@@ -4,7 +4,7 @@ Consecutive page pairs per session come from ``lag`` over time order (ties broke
 by page_id, D16).  A plain per-session window would put one hot session in one
 task, so the window is split into (session, time chunk) groups: inside a chunk
 ``lag`` runs as usual, and the first row of a chunk takes the last page of the
-session's previous non-empty chunk, computed by a partial aggregate and a small
+session's previous non-empty chunk, from a partial aggregate per chunk and a small
 window over chunks.  The result is exact; only the chunk size bounds a task.
 """
 
@@ -28,8 +28,13 @@ def previous_page(actions: DataFrame, chunk: str | None = "hour") -> DataFrame:
     """Each action with the page viewed just before it in the same session.
 
     ``chunk`` is a ``date_trunc`` unit ('day', 'hour', 'minute', ...) that splits a
-    session's ordering work into independent groups; ``None`` uses one window per
-    session.
+    session's ordering work into independent (session, chunk) groups; ``None`` uses
+    one window per session.  With chunks the result is the union of
+    * every row but the first of its chunk, with ``lag`` inside the chunk, and
+    * the first row of each chunk (``min`` of (time, page) per chunk, a partial
+      aggregate), whose predecessor is the previous chunk's last page (``max``),
+      found by ``lag`` over the session's chunks — one small row per chunk.
+    No join and no per-session sort of all rows.
     """
     a = actions.select("session_id", "action_time", "page_id")
     if chunk is None:
@@ -37,21 +42,25 @@ def previous_page(actions: DataFrame, chunk: str | None = "hour") -> DataFrame:
         return a.withColumn("prev_page_id", F.lag("page_id").over(w))
 
     a = a.withColumn("chunk", F.date_trunc(chunk, F.col("action_time")))
-    last = a.groupBy("session_id", "chunk").agg(F.max(F.struct("action_time", "page_id")).alias("last"))
-    cw = Window.partitionBy("session_id").orderBy("chunk")
-    edges = last.select(
-        "session_id", "chunk", F.lag(F.col("last.page_id")).over(cw).alias("prev_chunk_page")
-    )
     w = Window.partitionBy("session_id", "chunk").orderBy("action_time", "page_id")
-    joined = a.join(edges, ["session_id", "chunk"], "left")
-    return joined.select(
+    inner = (
+        a.withColumn("rn", F.row_number().over(w))
+        .withColumn("prev_page_id", F.lag("page_id").over(w))
+        .filter(F.col("rn") > 1)
+        .select("session_id", "action_time", "page_id", "prev_page_id")
+    )
+    ends = a.groupBy("session_id", "chunk").agg(
+        F.min(F.struct("action_time", "page_id")).alias("first"),
+        F.max(F.struct("action_time", "page_id")).alias("last"),
+    )
+    cw = Window.partitionBy("session_id").orderBy("chunk")
+    firsts = ends.select(
         "session_id",
-        "action_time",
-        "page_id",
-        F.when(F.row_number().over(w) == 1, F.col("prev_chunk_page"))
-        .otherwise(F.lag("page_id").over(w))
-        .alias("prev_page_id"),
+        F.col("first.action_time").alias("action_time"),
+        F.col("first.page_id").alias("page_id"),
+        F.lag(F.col("last.page_id")).over(cw).alias("prev_page_id"),
     )
+    return inner.unionByName(firsts)
 
 
 def page_splits(actions: DataFrame, flow, chunk: str | None = "hour") -> DataFrame:
