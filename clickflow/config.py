@@ -25,6 +25,12 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from static size estimates (they can undercount compressed
+    # files): a join side is broadcast only after AQE has measured its shuffle
+    # output, or through an explicit hint on a literal-bounded or row-count-checked
+    # side (operators/joins.py).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 

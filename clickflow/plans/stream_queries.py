@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clickflow.config import work_dir
-from clickflow.operators import ads
 from clickflow.plans.output import to_output
 from clickflow.plans.registry import BLACKLIST_THRESHOLD, LOG_COLS, query
 from clickflow.sources import fixtures as fx
@@ -101,5 +100,3 @@ def q_stream_ad_sliding_count(spark, sf):
         )
     )
 
-
-__all__ = ["ads"]
