@@ -370,6 +370,14 @@ FROM uva"""
 SELECT user_id, count(click_category_id) AS clicks, count(*) AS actions,
        {RATIO('count(click_category_id)', 'count(*)')} AS click_ratio
 FROM uva GROUP BY user_id"""
+    q["task_params"] = """
+SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS task_id, strftime(d, '%Y-%m-%d') AS startDate,
+       strftime(d + INTERVAL 6 DAY, '%Y-%m-%d') AS endDate,
+       CAST(NULL AS VARCHAR) AS startAge, CAST(NULL AS VARCHAR) AS endAge,
+       CAST(NULL AS VARCHAR) AS professionals, CAST(NULL AS VARCHAR) AS cities,
+       CASE WHEN day(d) % 2 = 0 THEN 'male' ELSE 'female' END AS sex,
+       CAST(NULL AS VARCHAR) AS keywords, CAST(NULL AS VARCHAR) AS categoryIds, '1,2,3,4' AS targetPageFlow
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)"""
     # ---------------- J4 batch
     q["ad_log_parse"] = f"WITH {ADLOG} SELECT event_id, batch_no, {LOG_OUT} FROM adlog"
     q["ad_user_click_count"] = (

@@ -16,7 +16,7 @@ from clickflow.config import configure_session, work_dir
 from clickflow.functions import scalars as S
 from clickflow.functions.udfs import concat_long_string, group_concat_distinct, json_field
 from clickflow.operators import ads, area, category, funnel, sampling, session, tables
-from clickflow.params import AreaParams, FunnelParams, SessionParams
+from clickflow.params import AreaParams, FunnelParams, SessionParams, task_param_columns
 from clickflow.plans.output import to_output
 from clickflow.sources import fixtures as fx
 from clickflow.sources.readers import parse_ad_log, scan_actions_by_date, scan_click_actions
@@ -434,6 +434,24 @@ def q_scalar_round(spark, sf):
     return out(g.select("user_id", "clicks", "actions", S.ratio("clicks", "actions").alias("click_ratio")))
 
 
+@query("task_params")
+def q_task_params(spark, sf):
+    """One task per event date, its parameters written as the reference's
+    JSON object of arrays, then parsed back (element 1 of each array)."""
+    days = fx.table(spark, sf, "events").select(F.to_date("ts").alias("d")).distinct()
+    d = F.date_format("d", "yyyy-MM-dd")
+    param = F.to_json(
+        F.create_map(
+            F.lit("startDate"), F.array(d),
+            F.lit("endDate"), F.array(F.date_format(F.date_add("d", 6), "yyyy-MM-dd")),
+            F.lit("targetPageFlow"), F.array(F.lit("1,2,3,4")),
+            F.lit("sex"), F.array(F.when(F.dayofmonth("d") % 2 == 0, F.lit("male")).otherwise(F.lit("female"))),
+        )
+    )
+    tasks = days.select(F.date_format("d", "yyyyMMdd").cast("bigint").alias("task_id"), param.alias("task_param"))
+    return out(tasks.select("task_id", *task_param_columns(F.col("task_param"))))
+
+
 @query("scalar_today")
 def q_scalar_today(spark, sf):
     a = fx.table(spark, sf, "events").select("event_id")
