@@ -70,3 +70,17 @@ def test_two_stage_ad_pipeline_equals_batch(spark):
     later = spark.read.parquet(f"{base}/kept/*").filter(F.col("user_id").isin(list(final_bl)))
     breach = ads.blacklist_feedback(log, 2).groupBy("user_id").agg(F.max("batch_no").alias("last"))
     assert later.join(breach, "user_id").filter(F.col("batch_no") > F.col("last")).count() == 0
+
+
+def test_ad_stat_with_date_watermark_matches_batch(spark):
+    base = work_dir(spark, "test-ad-stat-wm")
+    lines = fx.ad_log_lines(spark, SF001)
+    table = st.changelog(spark, f"{base}/table", "ad_stat")
+
+    def start(stream, trigger):
+        log = parse_ad_log(stream, keep=("event_id", "batch_no"))
+        return st.start_ad_stat(log, table, f"{base}/ckpt", trigger=trigger, date_watermark="400 days")
+
+    replay(spark, lines, "batch_no", f"{base}/source", start)
+    log = parse_ad_log(lines, keep=("event_id", "batch_no"))
+    assert _rows(table.read()) == _rows(ads.ad_stat(log))
