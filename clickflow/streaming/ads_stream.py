@@ -19,6 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickflow.operators import ads
 from clickflow.operators.tables import ChangelogTable
+from clickflow.params import AdParams
 
 DATE_T = T.DateType()
 USER_COUNT_SCHEMA = T.StructType(
@@ -224,14 +225,7 @@ def start_sliding_count(
     return _foreach(ads.sliding_count(src, window, slide), batch, checkpoint, trigger, mode="update")
 
 
-def start_ad_pipeline(
-    log: DataFrame,
-    base: str,
-    threshold: int = 100,
-    top_n: int = 3,
-    trigger: str | None = "5 seconds",
-    trend_watermark: str | None = None,
-) -> dict[str, StreamingQuery]:
+def start_ad_pipeline(log: DataFrame, base: str, params: AdParams = AdParams()) -> dict[str, StreamingQuery]:
     """The whole J4 job.  Stage 1 filters the parsed log by the self-updating
     blacklist and writes the kept clicks; stage 2 reads those kept clicks as a
     file stream into the running totals, the per-province top-n and the minute
@@ -246,10 +240,11 @@ def start_ad_pipeline(
     blacklist = changelog(spark, f"{base}/blacklist", "blacklist")
     queries = {
         "blacklist": start_blacklist(
-            log, f"{base}/kept", counts, blacklist, f"{base}/ckpt/blacklist", threshold, trigger
+            log, f"{base}/kept", counts, blacklist, f"{base}/ckpt/blacklist", params.blacklist_threshold,
+            params.trigger,
         )
     }
-    queries.update(start_kept_consumers(spark, log.schema, base, top_n, trigger, trend_watermark))
+    queries.update(start_kept_consumers(spark, log.schema, base, params.top_n, params.trigger, params.watermark))
     return queries
 
 

@@ -1,8 +1,8 @@
 """Replay a table as a stream, one arrival batch at a time (tests and the registry).
 
-Rows of ``batch_col = b`` are written by executors into a staging folder and then
-published into the source folder with one directory rename (atomic on HDFS and
-local file systems).  Only the short list of batch numbers is read on the driver.
+Rows are written by executors into a staging folder partitioned by arrival batch,
+and each batch is then published into the source folder with one directory rename
+(atomic on HDFS and local file systems).  The driver only lists folder names.
 """
 
 from __future__ import annotations
@@ -27,6 +27,19 @@ def _rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"could not publish {src} as {dst}")
 
 
+def _staged_batches(spark: SparkSession, staging: str, part: str) -> list[tuple[str, str]]:
+    """(value, folder) of each ``part=value`` folder written under ``staging``."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(staging)
+    out = []
+    for st in p.getFileSystem(conf).listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(part + "="):
+            out.append((name[len(part) + 1:], st.getPath().toString()))
+    return out
+
+
 def replay(
     spark: SparkSession,
     rows: DataFrame,
@@ -37,19 +50,24 @@ def replay(
 ) -> None:
     """Stage ``rows`` batch by batch under ``source_dir`` and drive ``start`` over them.
 
-    Each arrival batch is published (staged write + one rename), then the query is
-    run with ``availableNow`` from its checkpoint (``start(stream, None)``), so it
-    processes exactly the files that arrived since its last run: one micro-batch
-    per arrival batch, in order.  Restarting from the checkpoint per batch also
-    exercises recovery on every step.
+    All arrival batches are staged by one partitioned write (the rows keep their
+    own ``batch_col``; a copy is the partition column).  Then, in batch order, each
+    staged folder is published into the source folder by one rename and the query
+    is run with ``availableNow`` from its checkpoint (``start(stream, None)``): it
+    processes exactly the files that arrived since its last run, one micro-batch
+    per arrival batch.  Restarting from the checkpoint per batch also exercises
+    recovery on every step.
     """
     schema = rows.schema
-    batches = [r[0] for r in rows.select(batch_col).distinct().orderBy(batch_col).collect()]
     staging = source_dir.rstrip("/") + "_staging"
-    for i, b in enumerate(batches):
-        tmp = f"{staging}/b{i:06d}"
-        rows.filter(F.col(batch_col) == F.lit(b)).write.mode("overwrite").parquet(tmp)
-        _rename(spark, tmp, f"{source_dir}/b{i:06d}")
+    part = "_arrival"
+    rows.withColumn(part, F.col(batch_col)).write.mode("overwrite").partitionBy(part).parquet(staging)
+    staged = _staged_batches(spark, staging, part)
+    dtype = schema[batch_col].dataType.simpleString()
+    numeric = dtype in ("tinyint", "smallint", "int", "bigint")
+    staged.sort(key=lambda x: int(x[0]) if numeric else x[0])
+    for i, (b, folder) in enumerate(staged):
+        _rename(spark, folder, f"{source_dir}/b{i:06d}")
         # one sub-folder per arrival batch; the glob is re-listed on every run
         q = start(spark.readStream.schema(schema).parquet(f"{source_dir}/*"), None)
         if not q.awaitTermination(timeout_s):
