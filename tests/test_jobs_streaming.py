@@ -84,3 +84,34 @@ def test_ad_stat_with_date_watermark_matches_batch(spark):
     replay(spark, lines, "batch_no", f"{base}/source", start)
     log = parse_ad_log(lines, keep=("event_id", "batch_no"))
     assert _rows(table.read()) == _rows(ads.ad_stat(log))
+
+
+def test_start_ad_pipeline_end_to_end(spark):
+    """The live pipeline (processing-time triggers, both stages running at once)."""
+    from clickflow.params import AdParams
+    from clickflow.streaming.harness import _rename, _staged_batches
+
+    base = work_dir(spark, "test-live-pipeline")
+    lines = fx.ad_log_lines(spark, SF001)
+    lines.withColumn("_a", F.col("batch_no")).write.partitionBy("_a").parquet(f"{base}/staging")
+    staged = sorted(_staged_batches(spark, f"{base}/staging", "_a"), key=lambda x: int(x[0]))
+    _rename(spark, staged[0][1], f"{base}/source/b0")
+    stream = spark.readStream.schema(lines.schema).parquet(f"{base}/source/*")
+    log = parse_ad_log(stream, keep=("event_id", "batch_no"))
+    qs = st.start_ad_pipeline(log, f"{base}/out", AdParams(blacklist_threshold=2, trigger="0 seconds"))
+    try:
+        qs["blacklist"].processAllAvailable()
+        for i, (_, folder) in enumerate(staged[1:], start=1):
+            _rename(spark, folder, f"{base}/source/b{i}")
+            qs["blacklist"].processAllAvailable()
+        for name in ("ad_stat", "province_top", "click_trend"):
+            qs[name].processAllAvailable()
+    finally:
+        for q in qs.values():
+            q.stop()
+    kept = ads.blacklist_feedback(parse_ad_log(lines, keep=("event_id", "batch_no")), 2)
+    assert _rows(st.changelog(spark, f"{base}/out/ad_stat", "ad_stat").read()) == _rows(ads.ad_stat(kept))
+    assert _rows(st.changelog(spark, f"{base}/out/click_trend", "click_trend").read()) == _rows(ads.click_trend(kept))
+    assert _rows(st.changelog(spark, f"{base}/out/province_top", "province_top").read()) == _rows(
+        ads.province_top(ads.ad_stat(kept), 3)
+    )
