@@ -7,7 +7,7 @@ so broadcasting them is safe at any data size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.functions.scalars import split_longs
@@ -40,16 +40,23 @@ def category_pay_counts(detail: DataFrame) -> DataFrame:
     return _list_ids(detail, "pay_category_ids").groupBy("category_id").agg(F.count(F.lit(1)).alias("pay_count"))
 
 
-def category_ids(detail: DataFrame) -> DataFrame:
-    """Distinct ids over click ∪ order ∪ pay."""
-    return (
-        _click_ids(detail)
-        .unionByName(_list_ids(detail, "order_category_ids"))
-        .unionByName(_list_ids(detail, "pay_category_ids"))
-        .distinct()
+def _all_ids(detail: DataFrame) -> Column:
+    """Every category id an action mentions: click ∪ order list ∪ pay list."""
+    empty = F.array().cast("array<bigint>")
+    click = F.when(F.col("click_category_id").isNotNull(), F.array(F.col("click_category_id").cast("bigint")))
+    return F.concat(
+        F.coalesce(click, empty),
+        F.coalesce(split_longs("order_category_ids"), empty),
+        F.coalesce(split_longs("pay_category_ids"), empty),
     )
 
 
+def category_ids(detail: DataFrame) -> DataFrame:
+    """Distinct ids over click ∪ order ∪ pay, in one pass over the detail
+    (one explode and one distinct instead of three scans and a union)."""
+    return detail.select(F.explode(_all_ids(detail)).alias("category_id")).distinct()
+
+
 def category_counts(detail: DataFrame) -> DataFrame:
     """J-4: every category with its click/order/pay counts, missing → 0.
 

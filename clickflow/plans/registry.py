@@ -12,7 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.config import configure_session, work_dir
+from clickflow.config import checkpoint_root, configure_session, work_dir
 from clickflow.functions import scalars as S
 from clickflow.functions.udfs import concat_long_string, group_concat_distinct, json_field
 from clickflow.operators import ads, area, category, funnel, sampling, session, tables
@@ -249,14 +249,26 @@ def q_category_counts(spark, sf):
     return out(category.category_counts(detail(spark, sf)))
 
 
-@shared
-def _top10(spark, sf) -> DataFrame:
-    return category.top_categories(category.category_counts(detail(spark, sf)), TOP_N_CATEGORIES)
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage for an intermediate that one query reads several times.
+
+    Column pruning gives every branch its own projection, so Spark cannot reuse one
+    exchange across them and would recompute the whole session pipeline per
+    branch.  A reliable ``checkpoint()`` into ``spark.checkpoint.dir`` (shared
+    storage) runs it once and survives executor loss.  Queries using this are not
+    memoized: every call pays for its own checkpoint.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _top10(d: DataFrame) -> DataFrame:
+    return category.top_categories(category.category_counts(d), TOP_N_CATEGORIES)
 
 
 @query("top10_category")
 def q_top10_category(spark, sf):
-    return out(_top10(spark, sf))
+    return out(_top10(detail(spark, sf)))
 
 
 @query("category_session_counts")
@@ -264,19 +276,16 @@ def q_category_session_counts(spark, sf):
     return out(category.category_session_counts(detail(spark, sf)))
 
 
-@shared
-def _top_sessions(spark, sf) -> DataFrame:
-    return category.top_sessions(detail(spark, sf), _top10(spark, sf), TOP_N_SESSIONS)
-
-
-@query("top10_category_session")
+@query("top10_category_session", memo=False)
 def q_top10_category_session(spark, sf):
-    return out(_top_sessions(spark, sf))
+    d = materialize(detail(spark, sf))
+    return out(category.top_sessions(d, _top10(d), TOP_N_SESSIONS))
 
 
-@query("top10_session_detail")
+@query("top10_session_detail", memo=False)
 def q_top10_session_detail(spark, sf):
-    return out(category.top_session_detail(detail(spark, sf), _top_sessions(spark, sf)))
+    d = materialize(detail(spark, sf))
+    return out(category.top_session_detail(d, category.top_sessions(d, _top10(d), TOP_N_SESSIONS)))
 
 
 @query("session_hour_counts")
@@ -284,28 +293,22 @@ def q_session_hour_counts(spark, sf):
     return out(sampling.session_hour_counts(filtered_sessions(spark, sf)))
 
 
-@query("session_sample_quota")
+@query("session_sample_quota", memo=False)
 def q_session_sample_quota(spark, sf):
-    return out(sampling.sample_quota(filtered_sessions(spark, sf), SAMPLE_TOTAL))
+    return out(sampling.sample_quota(materialize(filtered_sessions(spark, sf)), SAMPLE_TOTAL))
 
 
-@shared
-def _sample(spark, sf) -> DataFrame:
-    return sampling.sample(filtered_sessions(spark, sf), SAMPLE_TOTAL, SAMPLE_SEED)
-
-
-@query("session_sample")
+@query("session_sample", memo=False)
 def q_session_sample(spark, sf):
-    return out(
-        _sample(spark, sf).select(
-            "session_id", "date", "hour", "start_time", "search_keywords", "click_category_ids"
-        )
-    )
+    sampled = sampling.sample(materialize(filtered_sessions(spark, sf)), SAMPLE_TOTAL, SAMPLE_SEED)
+    return out(sampled.select("session_id", "date", "hour", "start_time", "search_keywords", "click_category_ids"))
 
 
-@query("session_sample_detail")
+@query("session_sample_detail", memo=False)
 def q_session_sample_detail(spark, sf):
-    return out(sampling.sample_detail(detail(spark, sf), _sample(spark, sf)))
+    kept = materialize(filtered_sessions(spark, sf))
+    sampled = sampling.sample(kept, SAMPLE_TOTAL, SAMPLE_SEED)
+    return out(sampling.sample_detail(session.session_detail(actions(spark, sf), kept), sampled))
 
 
 # ------------------------------------------------------------------ J2 funnel
@@ -562,8 +565,8 @@ def q_replace_groups(spark, sf):
 @query("append_results", memo=False)
 def q_append_results(spark, sf):
     path = work_dir(spark, "append_results")
-    tables.append(_top10(spark, sf), path, task_id=1)
-    tables.append(_top10(spark, sf), path, task_id=2)
+    tables.append(_top10(detail(spark, sf)), path, task_id=1)
+    tables.append(_top10(detail(spark, sf)), path, task_id=2)
     return out(spark.read.parquet(path))
 
 
