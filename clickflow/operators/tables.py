@@ -97,8 +97,8 @@ class ChangelogTable:
     ``mode`` decides the merge: ``'add'`` sums ``value`` per key (K4),
     ``'replace'`` keeps the newest row per key (K5), ``'replace_groups'`` keeps
     the newest batch's rows of each group (K7), ``'set'`` keeps distinct rows.
-    With ``partition_by`` (e.g. ``date``) a read restricted to some keys prunes
-    partitions (dynamic partition pruning on the semi join).
+    With ``partition_by`` (e.g. ``date``) a read restricted to some keys reads only
+    the partition folders of those keys.
     """
 
     MODES = ("add", "replace", "replace_groups", "set")
@@ -180,9 +180,24 @@ class ChangelogTable:
         for p in parts[1:]:
             rows = rows.unionByName(p)
         if keys is not None:  # any subset of the columns, e.g. the groups a batch touched
-            rows = rows.join(keys.distinct(), keys.columns, "left_semi")
+            rows = self._prune(rows, keys).join(keys.distinct(), keys.columns, "left_semi")
         return self._merge(rows).select(*[f.name for f in self.schema.fields])
 
+    MAX_PRUNE_VALUES = 1000
+
+    def _prune(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
+        """Partition pruning for a key-restricted read: the keys' distinct partition
+        values (a micro-batch spans a few days) are read on the driver behind a
+        checked bound and become an ``isin`` filter that the scan applies to its
+        partition folders.  Beyond the bound the semi join alone filters."""
+        if len(self.partition_by) != 1 or self.partition_by[0] not in keys.columns:
+            return rows
+        col = self.partition_by[0]
+        vals = [r[0] for r in keys.select(col).distinct().limit(self.MAX_PRUNE_VALUES + 1).collect()]
+        if len(vals) > self.MAX_PRUNE_VALUES:
+            return rows
+        return rows.filter(F.col(col).isin(vals))
+
     def _merge(self, rows: DataFrame) -> DataFrame:
         cols = [f.name for f in self.schema.fields]
         if self.mode == "add":

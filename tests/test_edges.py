@@ -360,3 +360,22 @@ def test_append_adds_task_id(spark, tmp_path):
     tables.append(df, p, task_id=7)
     tables.append(df, p, task_id=8)
     assert sorted(tuple(r) for r in spark.read.parquet(p).collect()) == [(7, 1), (8, 1)]
+
+
+def test_changelog_key_read_prunes_partitions(spark, tmp_path):
+    import re
+
+    schema = T.StructType([T.StructField("date", T.DateType()), T.StructField("k", T.StringType()),
+                           T.StructField("click_count", T.LongType())])
+    t = tables.ChangelogTable(spark, str(tmp_path / "p"), schema, keys=["date", "k"], mode="add",
+                              partition_by=["date"])
+    rows = [(dt.date(2024, 1, d), f"u{d % 3}", 1) for d in range(1, 29)]
+    t.write_batch(spark.createDataFrame(rows, schema), 0)
+    (tmp_path / "keys").mkdir()
+    spark.createDataFrame([(dt.date(2024, 1, 5), "u2")], "date date, k string").write.parquet(str(tmp_path / "keys/k"))
+    keys = spark.read.parquet(str(tmp_path / "keys/k"))  # no constant the optimizer could infer from
+    got = t.read(0, keys=keys)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # a one-value IN is simplified to `=`
+    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ (IN \(|= )2024-01-05", plan), plan
+    assert [tuple(r) for r in got.collect()] == [(dt.date(2024, 1, 5), "u2", 1)]
