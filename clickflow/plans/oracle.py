@@ -249,6 +249,7 @@ SELECT area,
        product_id, click_count, city_infos, product_name, product_status
 FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id ASC) AS rn FROM afull)
 WHERE rn <= 3"""
+    q["area_top3_product_sql"] = q["area_top3_product"]
     q["udf_concat_long_string"] = f"""{J3}
 SELECT product_id, coalesce(CAST(city_id AS VARCHAR), 'null') || ':' || coalesce(city_name, 'null') AS city_info
 FROM basic"""

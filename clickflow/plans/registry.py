@@ -151,6 +151,18 @@ def q_area_top3_product(spark, sf):
     )
 
 
+@query("area_top3_product_sql")
+def q_area_top3_product_sql(spark, sf):
+    """The same job through Spark SQL text (temp views + registered SQL functions)."""
+    from clickflow.plans.sql import area_top_products_sql
+
+    return out(
+        area_top_products_sql(
+            spark, actions(spark, sf, AREA_PARAMS), fx.city_info(spark, sf), fx.product_info(spark, sf), AREA_PARAMS
+        )
+    )
+
+
 @query("udf_concat_long_string")
 def q_udf_concat_long_string(spark, sf):
     basic = area.click_product_basic(actions(spark, sf, AREA_PARAMS), fx.city_info(spark, sf), AREA_PARAMS)
