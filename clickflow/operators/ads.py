@@ -114,10 +114,49 @@ def click_trend(log: DataFrame, last: str | None = None) -> DataFrame:
     return counts.select(*minute_key_columns(F.col("minute_ts")), "ad_id", "click_count")
 
 
-def sliding_count(log: DataFrame, window: str = "60 minutes", slide: str = "10 seconds") -> DataFrame:
-    """Clicks per ad in every sliding window (each event falls in window/slide windows)."""
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _seconds(interval: str) -> int | None:
+    """``'60 minutes'`` → 3600; None for anything but ``<n> <unit>``."""
+    parts = interval.split()
+    if len(parts) != 2 or not parts[0].isdigit():
+        return None
+    unit = parts[1].lower().rstrip("s")
+    return int(parts[0]) * _UNIT_SECONDS[unit] if unit in _UNIT_SECONDS else None
+
+
+def sliding_count(
+    log: DataFrame, window: str = "60 minutes", slide: str = "10 seconds", preaggregate: bool = True
+) -> DataFrame:
+    """Clicks per ad in every sliding window.
+
+    ``window()`` copies each event into window/slide windows (360 for 60 min / 10 s)
+    before aggregating.  With ``preaggregate`` (batch) events are first counted per
+    slide-sized tumbling bucket (a partial aggregate), and only those bucket
+    counts are spread over the windows containing them and summed — exact when
+    the window is a whole number of slides, since every event of a bucket lies in
+    the same windows.  Streaming uses ``window()`` directly (its state store keeps
+    one count per window; chained aggregations are not allowed in update mode).
+    """
+    w_s, s_s = _seconds(window), _seconds(slide)
+    if not preaggregate or not w_s or not s_s or w_s % s_s:
+        return (
+            log.groupBy(F.window("ts", window, slide).alias("w"), "ad_id")
+            .agg(F.count(F.lit(1)).alias("click_count"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "ad_id", "click_count")
+        )
+    buckets = log.groupBy(F.window("ts", slide).alias("b"), "ad_id").agg(F.count(F.lit(1)).alias("n"))
+    k = F.explode(F.sequence(F.lit(0), F.lit(w_s // s_s - 1))).alias("k")
+    spread = buckets.select("ad_id", "n", F.unix_seconds(F.col("b.start")).alias("bs"), k)
+    start = F.col("bs") - F.col("k") * F.lit(s_s)
     return (
-        log.groupBy(F.window("ts", window, slide).alias("w"), "ad_id")
-        .agg(F.count(F.lit(1)).alias("click_count"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "ad_id", "click_count")
+        spread.groupBy(start.alias("s"), "ad_id")
+        .agg(F.sum("n").cast("bigint").alias("click_count"))
+        .select(
+            F.timestamp_seconds("s").alias("window_start"),
+            F.timestamp_seconds(F.col("s") + F.lit(w_s)).alias("window_end"),
+            "ad_id",
+            "click_count",
+        )
     )

@@ -222,7 +222,8 @@ def start_sliding_count(
     def batch(df: DataFrame, batch_id: int) -> None:
         table.write_batch(df, batch_id)
 
-    return _foreach(ads.sliding_count(src, window, slide), batch, checkpoint, trigger, mode="update")
+    counts = ads.sliding_count(src, window, slide, preaggregate=False)
+    return _foreach(counts, batch, checkpoint, trigger, mode="update")
 
 
 def start_ad_pipeline(log: DataFrame, base: str, params: AdParams = AdParams()) -> dict[str, StreamingQuery]:

@@ -379,3 +379,15 @@ def test_changelog_key_read_prunes_partitions(spark, tmp_path):
     # a one-value IN is simplified to `=`
     assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ (IN \(|= )2024-01-05", plan), plan
     assert [tuple(r) for r in got.collect()] == [(dt.date(2024, 1, 5), "u2", 1)]
+
+
+def test_preaggregated_sliding_count_equals_window(spark):
+    from clickflow.operators import ads
+
+    base = dt.datetime(2024, 1, 1, 10, 0, 0)
+    rows = [(base + dt.timedelta(seconds=7 * i + (i % 3) * 0.25), i % 3) for i in range(400)]
+    log = spark.createDataFrame(rows, "ts timestamp, ad_id bigint")
+    for window, slide in (("60 minutes", "10 seconds"), ("10 minutes", "1 minute"), ("30 seconds", "10 seconds")):
+        a = sorted(map(tuple, ads.sliding_count(log, window, slide).collect()))
+        b = sorted(map(tuple, ads.sliding_count(log, window, slide, preaggregate=False).collect()))
+        assert a == b and a, (window, slide)
