@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# start(stream_df, trigger) -> StreamingQuery; trigger None means availableNow
+# start(stream_df, trigger) -> StreamingQuery, started with that processing-time trigger
 Starter = Callable[[DataFrame, str], StreamingQuery]
 
 
@@ -46,17 +46,16 @@ def replay(
     batch_col: str,
     source_dir: str,
     start: Starter,
-    timeout_s: int = 900,
+    trigger: str = "200 milliseconds",
 ) -> None:
-    """Stage ``rows`` batch by batch under ``source_dir`` and drive ``start`` over them.
+    """Stage ``rows`` batch by batch under ``source_dir`` and drive one running query.
 
     All arrival batches are staged by one partitioned write (the rows keep their
-    own ``batch_col``; a copy is the partition column).  Then, in batch order, each
-    staged folder is published into the source folder by one rename and the query
-    is run with ``availableNow`` from its checkpoint (``start(stream, None)``): it
-    processes exactly the files that arrived since its last run, one micro-batch
-    per arrival batch.  Restarting from the checkpoint per batch also exercises
-    recovery on every step.
+    own ``batch_col``; a copy is the partition column).  The query is started once
+    (``start(stream, trigger)``); then, in batch order, each staged folder is
+    published into the source folder by one rename and ``processAllAvailable``
+    waits until the query has committed it.  A rename is atomic, so each arrival
+    batch becomes exactly one micro-batch, in order.
     """
     schema = rows.schema
     staging = source_dir.rstrip("/") + "_staging"
@@ -66,12 +65,16 @@ def replay(
     dtype = schema[batch_col].dataType.simpleString()
     numeric = dtype in ("tinyint", "smallint", "int", "bigint")
     staged.sort(key=lambda x: int(x[0]) if numeric else x[0])
-    for i, (b, folder) in enumerate(staged):
-        _rename(spark, folder, f"{source_dir}/b{i:06d}")
-        # one sub-folder per arrival batch; the glob is re-listed on every run
-        q = start(spark.readStream.schema(schema).parquet(f"{source_dir}/*"), None)
-        if not q.awaitTermination(timeout_s):
+    q = None
+    try:
+        for i, (b, folder) in enumerate(staged):
+            _rename(spark, folder, f"{source_dir}/b{i:06d}")
+            if q is None:
+                # one sub-folder per arrival batch; the glob is re-listed on every trigger
+                q = start(spark.readStream.schema(schema).parquet(f"{source_dir}/*"), trigger)
+            q.processAllAvailable()
+            if q.exception() is not None:
+                raise RuntimeError(f"stream failed on batch {b}: {q.exception()}")
+    finally:
+        if q is not None:
             q.stop()
-            raise TimeoutError(f"stream batch {b} did not finish in {timeout_s}s")
-        if q.exception() is not None:
-            raise RuntimeError(f"stream failed on batch {b}: {q.exception()}")
