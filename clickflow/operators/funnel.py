@@ -25,7 +25,14 @@ def flow_pairs(flow) -> list[str]:
 
 
 def previous_page(actions: DataFrame, chunk: str | None = "hour") -> DataFrame:
-    """Each action with the page viewed just before it in the same session.
+    """The session's actions in time order, each with the page viewed just
+    before it.
+
+    Identical actions (same session, time and page) sit next to each other in
+    that order, so they are first collapsed by a partial aggregate into one row
+    with their count ``n`` — a burst of copies never reaches a window as a group.
+    ``prev_page_id`` is the page before the first copy; the other ``n - 1`` copies
+    each follow a copy of the same page.
 
     ``chunk`` is a ``date_trunc`` unit ('day', 'hour', 'minute', ...) that splits a
     session's ordering work into independent (session, chunk) groups; ``None`` uses
@@ -36,21 +43,21 @@ def previous_page(actions: DataFrame, chunk: str | None = "hour") -> DataFrame:
       found by ``lag`` over the session's chunks — one small row per chunk.
     No join and no per-session sort of all rows.
     """
-    a = actions.select("session_id", "action_time", "page_id")
+    d = actions.groupBy("session_id", "action_time", "page_id").agg(F.count(F.lit(1)).alias("n"))
     if chunk is None:
         w = Window.partitionBy("session_id").orderBy("action_time", "page_id")
-        return a.withColumn("prev_page_id", F.lag("page_id").over(w))
+        return d.withColumn("prev_page_id", F.lag("page_id").over(w))
 
-    a = a.withColumn("chunk", F.date_trunc(chunk, F.col("action_time")))
+    d = d.withColumn("chunk", F.date_trunc(chunk, F.col("action_time")))
     w = Window.partitionBy("session_id", "chunk").orderBy("action_time", "page_id")
     inner = (
-        a.withColumn("rn", F.row_number().over(w))
+        d.withColumn("rn", F.row_number().over(w))
         .withColumn("prev_page_id", F.lag("page_id").over(w))
         .filter(F.col("rn") > 1)
-        .select("session_id", "action_time", "page_id", "prev_page_id")
+        .select("session_id", "action_time", "page_id", "n", "prev_page_id")
     )
-    ends = a.groupBy("session_id", "chunk").agg(
-        F.min(F.struct("action_time", "page_id")).alias("first"),
+    ends = d.groupBy("session_id", "chunk").agg(
+        F.min(F.struct("action_time", "page_id", "n")).alias("first"),
         F.max(F.struct("action_time", "page_id")).alias("last"),
     )
     cw = Window.partitionBy("session_id").orderBy("chunk")
@@ -58,17 +65,40 @@ def previous_page(actions: DataFrame, chunk: str | None = "hour") -> DataFrame:
         "session_id",
         F.col("first.action_time").alias("action_time"),
         F.col("first.page_id").alias("page_id"),
+        F.col("first.n").alias("n"),
         F.lag(F.col("last.page_id")).over(cw).alias("prev_page_id"),
     )
     return inner.unionByName(firsts)
 
 
+def _split(a: str, b: str):
+    return F.concat_ws("_", F.col(a).cast("string"), F.col(b).cast("string"))
+
+
 def page_splits(actions: DataFrame, flow, chunk: str | None = "hour") -> DataFrame:
-    """The page splits ``prev_cur`` that are consecutive pairs of the flow."""
+    """One row per action whose (previous page, page) split is a consecutive
+    pair of the flow.  Copies of an action contribute ``n - 1`` self-splits
+    (``p_p``), re-expanded only when ``p_p`` is itself a flow pair."""
     pairs = flow_pairs(flow)
-    p = previous_page(actions, chunk).filter(F.col("prev_page_id").isNotNull())
-    split = F.concat_ws("_", F.col("prev_page_id").cast("string"), F.col("page_id").cast("string"))
-    return p.select("session_id", "action_time", split.alias("page_split")).filter(F.col("page_split").isin(pairs))
+    p = previous_page(actions, chunk)
+    first = p.filter(F.col("prev_page_id").isNotNull()).select(
+        "session_id", "action_time", _split("prev_page_id", "page_id").alias("page_split")
+    )
+    out = first.filter(F.col("page_split").isin(pairs))
+    self_pairs = [sp for sp in dict.fromkeys(pairs) if sp.split("_")[0] == sp.split("_")[1]]
+    if self_pairs:
+        rep = (
+            p.filter((F.col("n") > 1) & _split("page_id", "page_id").isin(self_pairs))
+            .select(
+                "session_id",
+                "action_time",
+                F.explode(F.array_repeat(_split("page_id", "page_id"), (F.col("n") - 1).cast("int"))).alias(
+                    "page_split"
+                ),
+            )
+        )
+        out = out.unionByName(rep)
+    return out
 
 
 def page_split_pv(splits: DataFrame) -> DataFrame:
@@ -98,20 +128,28 @@ def page_convert_rate(actions: DataFrame, params: FunnelParams, chunk: str | Non
     The first split divides by the start-page PV, split ``i`` by the PV of split
     ``i - 1``.  A missing PV is 0; the rate is NULL when the denominator is 0.
 
-    One pass: every action is tagged with its matched split and whether it is on
-    the start page, and a single partial aggregate counts all of them (one row per
-    task reaches the final merge).  The per-step rows are then laid out from that
+    One pass: every (collapsed) action is tagged with its matched split and whether
+    it is on the start page, and a single partial aggregate counts all of them,
+    weighted by the copy count (one row per task reaches the final merge).  The per-step rows are then laid out from that
     one row with ``inline``, sized by the flow parameter, not by the data.
     """
     flow = params.flow
     pairs = flow_pairs(flow)
     keys = list(dict.fromkeys(pairs))
     p = previous_page(actions, chunk)
-    split = F.concat_ws("_", F.col("prev_page_id").cast("string"), F.col("page_id").cast("string"))
+    split, self_split = _split("prev_page_id", "page_id"), _split("page_id", "page_id")
+
+    def pv(k: str):
+        # the first copy follows prev_page_id, the other n - 1 copies follow the same page
+        first = F.when(F.col("prev_page_id").isNotNull() & (split == F.lit(k)), F.lit(1)).otherwise(F.lit(0))
+        rest = F.when(self_split == F.lit(k), F.col("n") - 1).otherwise(F.lit(0))
+        return F.coalesce(F.sum(first + rest), F.lit(0)).cast("bigint")
+
     counts = p.agg(
-        F.count(F.when(F.col("page_id") == F.lit(int(flow[0])), F.lit(1))).alias("c0"),
-        *[F.count(F.when(F.col("prev_page_id").isNotNull() & (split == F.lit(k)), F.lit(1))).alias(f"c{i + 1}")
-          for i, k in enumerate(keys)],
+        F.coalesce(F.sum(F.when(F.col("page_id") == F.lit(int(flow[0])), F.col("n"))), F.lit(0))
+        .cast("bigint")
+        .alias("c0"),
+        *[pv(k).alias(f"c{i + 1}") for i, k in enumerate(keys)],
     )
     col_of = {START_KEY: "c0", **{k: f"c{i + 1}" for i, k in enumerate(keys)}}
     positions = flow_positions(flow)

@@ -391,3 +391,50 @@ def test_preaggregated_sliding_count_equals_window(spark):
         a = sorted(map(tuple, ads.sliding_count(log, window, slide).collect()))
         b = sorted(map(tuple, ads.sliding_count(log, window, slide, preaggregate=False).collect()))
         assert a == b and a, (window, slide)
+
+
+def _model_splits(rows, flow):
+    """Brute force: sort each session by (time, page), pair neighbours."""
+    from collections import Counter, defaultdict
+
+    pairs = {f"{flow[i - 1]}_{flow[i]}" for i in range(1, len(flow))}
+    by = defaultdict(list)
+    for r in rows:
+        by[r[2]].append((r[4], r[3]))
+    c = Counter()
+    for acts in by.values():
+        acts.sort()
+        for (_, a), (_, b) in zip(acts, acts[1:]):
+            if f"{a}_{b}" in pairs:
+                c[f"{a}_{b}"] += 1
+    start = sum(1 for r in rows if r[3] == flow[0])
+    return c, start
+
+
+@pytest.mark.parametrize("flow", [(1, 2, 3), (1, 1, 2), (2, 2, 2, 1)])
+def test_funnel_with_bursts_of_copies_matches_brute_force(spark, flow):
+    import random
+
+    rnd = random.Random(11)
+    rows = []
+    for s in range(5):
+        for _ in range(rnd.randint(1, 30)):
+            t = f"2024-01-01 {rnd.randint(9, 12):02d}:{rnd.randint(0, 59):02d}:{rnd.randint(0, 3):02d}"
+            for _ in range(rnd.choice([1, 1, 1, 4, 25])):  # bursts of identical actions
+                rows.append(act(f"s{s}", t, page=rnd.randint(1, 3)))
+    a = actions_df(spark, rows)
+    want, start = _model_splits(rows, flow)
+    for chunk in ("hour", None):
+        got = funnel.page_split_pv(funnel.page_splits(a, flow, chunk)).collect()
+        assert {r["page_split"]: r["split_pv"] for r in got} == dict(want), (flow, chunk)
+        rates = {r["page_split"]: r for r in funnel.page_convert_rate(a, FunnelParams(flow=flow), chunk).collect()}
+        for sp, r in rates.items():
+            assert r["split_pv"] == want.get(sp, 0)
+        first = [r for r in rates.values() if r["position"] == 1]
+        assert not first or first[0]["prev_pv"] == start
+
+
+def test_funnel_on_empty_input(spark):
+    a = actions_df(spark, [act("s1", "2024-01-01 10:00:00", page=1)]).filter(F.lit(False))
+    r = funnel.page_convert_rate(a, FunnelParams(flow=(1, 2))).collect()
+    assert [(x["split_pv"], x["prev_pv"], x["convert_rate"]) for x in r] == [(0, 0, None)]
