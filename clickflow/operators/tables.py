@@ -92,7 +92,8 @@ class ChangelogTable:
     ``compact_every`` batches ``snapshot/s<batch>`` holds the merged state.
     ``read(as_of)`` = newest snapshot ``<= as_of`` merged with the later deltas.
     Nothing rewrites the whole state per micro-batch; compaction does it every
-    ``compact_every`` batches.
+    ``compact_every`` batches, and then :meth:`vacuum` drops folders no read or
+    replay can need any more.
 
     ``mode`` decides the merge: ``'add'`` sums ``value`` per key (K4),
     ``'replace'`` keeps the newest row per key (K5), ``'replace_groups'`` keeps
@@ -163,10 +164,13 @@ class ChangelogTable:
     def batches(self) -> list[int]:
         return self._listed("delta", "b")
 
-    def read(self, as_of: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+    def read(self, as_of: int | None = None, keys: DataFrame | None = None, _base_below: int | None = None) -> DataFrame:
         """State after micro-batch ``as_of`` (all batches when None).  ``keys``
         restricts the read to those key rows before merging."""
-        snaps = [s for s in self._listed("snapshot", "s") if as_of is None or s <= as_of]
+        snaps = [
+            s for s in self._listed("snapshot", "s")
+            if (as_of is None or s <= as_of) and (_base_below is None or s < _base_below)
+        ]
         base = snaps[-1] if snaps else -1
         parts = [self._load(self._snapshot_path(base), base)] if snaps else []
         parts += [
@@ -216,4 +220,21 @@ class ChangelogTable:
         ``compact_every`` batches."""
         self._write(changes, self._delta_path(batch_id))
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            self._write(self.read(batch_id), self._snapshot_path(batch_id))
+            # built from older snapshots only: a replayed batch never reads the folder it overwrites
+            self._write(self.read(batch_id, _base_below=batch_id), self._snapshot_path(batch_id))
+            self.vacuum()
+
+    def vacuum(self) -> None:
+        """Retention: keep the newest two snapshots and the deltas after the older
+        of them; delete the rest.  A replay of the batch that wrote the newest
+        snapshot still finds the previous snapshot and every delta after it."""
+        snaps = self._listed("snapshot", "s")
+        if len(snaps) < 2:
+            return
+        keep_from = snaps[-2]
+        jvm, fs = self._fs()
+        for s in snaps[:-2]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._snapshot_path(s)), True)
+        for b in self.batches():
+            if b <= keep_from:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(self._delta_path(b)), True)

@@ -438,3 +438,18 @@ def test_funnel_on_empty_input(spark):
     a = actions_df(spark, [act("s1", "2024-01-01 10:00:00", page=1)]).filter(F.lit(False))
     r = funnel.page_convert_rate(a, FunnelParams(flow=(1, 2))).collect()
     assert [(x["split_pv"], x["prev_pv"], x["convert_rate"]) for x in r] == [(0, 0, None)]
+
+
+def test_changelog_compaction_and_retention(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("click_count", T.LongType())])
+    t = tables.ChangelogTable(spark, str(tmp_path / "r"), schema, keys=["k"], mode="add", compact_every=2)
+    one = spark.createDataFrame([("a", 1)], schema)
+    for b in range(7):
+        t.write_batch(one, b)
+        assert [tuple(r) for r in t.read().collect()] == [("a", b + 1)]
+    # snapshots at 1, 3, 5: keep 3 and 5, and only the deltas after 3
+    assert t._listed("snapshot", "s") == [3, 5]
+    assert t.batches() == [4, 5, 6]
+    assert [tuple(r) for r in t.read(4).collect()] == [("a", 5)]  # a replay of batch 5 reads this
+    t.write_batch(one, 5)  # the replay itself is idempotent
+    assert [tuple(r) for r in t.read().collect()] == [("a", 7)]
