@@ -19,6 +19,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
+    """Write an intermediate once as a parquet table in the cluster's shared work
+    folder (``spark.checkpoint.dir``) and read it back.
+
+    This cuts the lineage (a lost executor re-reads the table instead of
+    recomputing the pipeline).  Unlike an RDD checkpoint the table is columnar,
+    so each later branch scans only the columns it needs.
+    """
+    from clickflow.config import work_dir
+
+    path = work_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def with_task_id(df: DataFrame, task_id: int) -> DataFrame:
     """K1: results are stored with the task id as the first column."""
     return df.select(F.lit(task_id).cast("bigint").alias("task_id"), *df.columns)

@@ -2,9 +2,10 @@
 and appends it, tagged with the task id, to the result tables (K1-K3, K9).
 
 Intermediate results read by several outputs (the kept sessions, their detail
-rows) are materialised once with ``checkpoint()`` into the cluster's shared
-checkpoint folder: that cuts their lineage, so a lost executor recomputes from
-the checkpoint instead of from the raw actions.
+rows) are written once as parquet tables into the cluster's shared work folder
+(``spark.checkpoint.dir``): that cuts their lineage, so a lost executor re-reads
+the table instead of recomputing from the raw actions, and each output scans only
+the columns it needs.
 """
 
 from __future__ import annotations
@@ -14,16 +15,12 @@ from typing import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.config import checkpoint_root, configure_session
+from clickflow.config import configure_session
 from clickflow.operators import area, category, funnel, sampling, session, tables
 from clickflow.params import AreaParams, FunnelParams, SessionParams
 from clickflow.sources.readers import scan_actions_by_date
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    checkpoint_root(spark)
-
-
 def session_job_results(
     actions: DataFrame,
     users: DataFrame,
@@ -36,10 +33,11 @@ def session_job_results(
     """Every result of the session-analysis job, keyed by result table name."""
     spark = actions.sparkSession
     configure_session(spark)
-    _ensure_checkpoint_dir(spark)
     acts = scan_actions_by_date(actions, params.start_date, params.end_date)
-    kept = session.session_filter(session.session_aggr_info(session.session_aggr(acts), users), params).checkpoint()
-    detail = session.session_detail(acts, kept).checkpoint()
+    kept = tables.materialize(
+        session.session_filter(session.session_aggr_info(session.session_aggr(acts), users), params), "kept-sessions"
+    )
+    detail = tables.materialize(session.session_detail(acts, kept), "session-detail")
     sampled = sampling.sample(kept, sample_total, seed)
     top = category.top_categories(category.category_counts(detail), top_categories)
     top_sess = category.top_sessions(detail, top, top_sessions)

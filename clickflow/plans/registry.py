@@ -12,7 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.config import checkpoint_root, configure_session, work_dir
+from clickflow.config import configure_session, work_dir
 from clickflow.functions import scalars as S
 from clickflow.functions.udfs import concat_long_string, group_concat_distinct, json_field
 from clickflow.operators import ads, area, category, funnel, sampling, session, tables
@@ -262,16 +262,15 @@ def q_category_counts(spark, sf):
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage for an intermediate that one query reads several times.
+    """Run an intermediate that one query reads several times once.
 
     Column pruning gives every branch its own projection, so Spark cannot reuse one
     exchange across them and would recompute the whole session pipeline per
-    branch.  A reliable ``checkpoint()`` into ``spark.checkpoint.dir`` (shared
-    storage) runs it once and survives executor loss.  Queries using this are not
-    memoized: every call pays for its own checkpoint.
+    branch.  The intermediate is written once as a parquet table in the shared work
+    folder (:func:`clickflow.operators.tables.materialize`).  Queries using this
+    are not memoized: every call pays for its own write.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return tables.materialize(df, "query-intermediate")
 
 
 def _top10(d: DataFrame) -> DataFrame:
