@@ -94,7 +94,8 @@ def changelog(spark: SparkSession, path: str, kind: str, compact_every: int = 20
         "counts": (USER_COUNT_SCHEMA, ads.USER_AD_KEYS, "add", ("date",)),
         "blacklist": (BLACKLIST_SCHEMA, ("user_id",), "set", ()),
         "ad_stat": (STAT_SCHEMA, ads.STAT_KEYS, "replace", ("date",)),
-        "province_top": (TOP_SCHEMA, ("date", "province"), "replace_groups", ("date",)),
+        # at most n rows per (date, province) and only read whole: not partitioned
+        "province_top": (TOP_SCHEMA, ("date", "province"), "replace_groups", ()),
         "click_trend": (TREND_SCHEMA, ads.TREND_KEYS, "replace", ("date",)),
         "sliding": (SLIDING_SCHEMA, ("window_start", "window_end", "ad_id"), "replace", ()),
     }[kind]
