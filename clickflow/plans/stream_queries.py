@@ -18,7 +18,7 @@ from clickflow.streaming import ads_stream as st
 from clickflow.streaming.harness import replay
 
 
-def _run(spark: SparkSession, sf: str, name: str, starter) -> None:
+def _run(spark: SparkSession, sf: str, name: str, starter) -> str:
     base = work_dir(spark, name)
     lines = fx.ad_log_lines(spark, sf)
 

@@ -453,3 +453,20 @@ def test_changelog_compaction_and_retention(spark, tmp_path):
     assert [tuple(r) for r in t.read(4).collect()] == [("a", 5)]  # a replay of batch 5 reads this
     t.write_batch(one, 5)  # the replay itself is idempotent
     assert [tuple(r) for r in t.read().collect()] == [("a", 7)]
+
+
+def test_large_cluster_profile_and_defaults(spark):
+    from clickflow.config import LARGE_SCALE, SQL_DEFAULTS, configure_session
+
+    before = {k: spark.conf.get(k, None) for k in LARGE_SCALE}
+    try:
+        configure_session(spark, large=True)
+        for k, v in {**SQL_DEFAULTS, **LARGE_SCALE}.items():
+            assert spark.conf.get(k) == v, k
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
