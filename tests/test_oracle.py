@@ -18,6 +18,7 @@ def con():
 def test_every_query_has_an_oracle_or_is_rows_only():
     missing = set(QUERIES) - set(ORACLE) - set(E.ROWS_ONLY)
     assert not missing, missing
+    assert set(ORACLE) <= set(QUERIES), set(ORACLE) - set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
