@@ -26,6 +26,10 @@ def test_session_job_writes_every_result(spark):
     }
     base = work_dir(spark, "test-jobs")
     paths = jobs.write_results(res, base, task_id=3)
+    for name, path in paths.items():
+        written = spark.read.parquet(path)
+        assert written.columns[0] == "task_id", name
+        assert written.count() == res[name].count(), name
     top = spark.read.parquet(paths["top10_category"])
     assert top.columns[0] == "task_id" and top.filter(F.col("task_id") == 3).count() == top.count()
     assert _rows(top.drop("task_id")) == _rows(Q.REGISTRY["top10_category"](spark, SF001))
