@@ -65,3 +65,15 @@ def test_top10_categories_take_ordered(spark):
 def test_aggregates_are_partial(spark):
     plan = _plan(spark, "session_aggr")
     assert "partial_min" in plan and "partial_collect_set" in plan
+
+
+def test_funnel_window_is_chunked_and_copies_collapse_first(spark):
+    import re
+
+    plan = _plan(spark, "page_convert_rate")
+    windows = re.findall(r"Window \[[^\n]*", plan)
+    # the row-level window is partitioned by (session, chunk); the only window over
+    # session_id alone runs on one row per chunk
+    assert any(re.search(r"\[session_id#\d+, chunk#\d+\]", w) for w in windows), windows
+    # identical actions are collapsed by a partial aggregate before any window
+    assert re.search(r"HashAggregate\(keys=\[session_id#\d+, action_time#\d+, page_id#\d+L?\], functions=\[partial_count", plan)
