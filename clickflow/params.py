@@ -92,6 +92,11 @@ class SessionParams:
             category_ids=many("categoryIds", int),
         )
 
+    @staticmethod
+    def from_task(tasks: DataFrame, task_id: int) -> "SessionParams":
+        """Parameters of one row of the ``task`` table."""
+        return SessionParams.from_dict(load_task(tasks, task_id))
+
 
 @dataclass(frozen=True)
 class FunnelParams:
@@ -113,6 +118,10 @@ class FunnelParams:
         s = SessionParams.from_dict(d)
         return FunnelParams(flow=tuple(int(p) for p in flow), start_date=s.start_date, end_date=s.end_date)
 
+    @staticmethod
+    def from_task(tasks: DataFrame, task_id: int) -> "FunnelParams":
+        return FunnelParams.from_dict(load_task(tasks, task_id))
+
 
 @dataclass(frozen=True)
 class AreaParams:
@@ -124,6 +133,12 @@ class AreaParams:
     level_else: str = DEFAULT_AREA_LEVEL_ELSE
     top_n: int = 3
 
+    @staticmethod
+    def from_task(tasks: DataFrame, task_id: int) -> "AreaParams":
+        """Date range of one task row; levels keep their default mapping."""
+        s = SessionParams.from_dict(load_task(tasks, task_id))
+        return AreaParams(start_date=s.start_date, end_date=s.end_date)
+
 
 @dataclass(frozen=True)
 class AdParams:

@@ -136,6 +136,10 @@ def test_params_from_task_table(spark):
     p = SessionParams.from_dict(d)
     assert p.start_date == "2024-01-05" and p.start_age == 10 and p.end_age == 50 and p.cities == ("a", "b")
     assert FunnelParams.from_dict(d).flow == (1, 2, 3)
+    assert SessionParams.from_task(tasks, 1) == p and FunnelParams.from_task(tasks, 1).flow == (1, 2, 3)
+    from clickflow.params import AreaParams
+
+    assert AreaParams.from_task(tasks, 1).start_date == "2024-01-05"
     with pytest.raises(ValueError):
         load_task(tasks, 2)
     row = tasks.select(*task_param_columns(F.col("task_param"))).collect()[0]
