@@ -7,7 +7,15 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import balanced_shards, best_fit_packing, exact_dedup, line_dedup, token_counts
+from clickflow.llm import (
+    balanced_shards,
+    best_fit_packing,
+    exact_dedup,
+    line_dedup,
+    quality_rules,
+    secret_scan,
+    token_counts,
+)
 from clickflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +40,29 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(documents(spark, sf_dir))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_scan(documents(spark, sf_dir))
+    sha = F.sha2(F.col("base_spans").cast("binary"), 256)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", sha.alias("base_sha256"), "spans", "n_unread")
+
+
 def op6_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards.balanced_shards(documents(spark, sf_dir))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_best_fit_packing, op3_token_counts, op4_line_dedup, op6_balanced_shards)
+    for f in (
+        op1_exact_dedup,
+        op2_best_fit_packing,
+        op3_token_counts,
+        op4_line_dedup,
+        op5_secret_scan,
+        op6_balanced_shards,
+        op9_quality_rules,
+    )
 }
