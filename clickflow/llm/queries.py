@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clickflow.llm import (
     balanced_shards,
     best_fit_packing,
+    domain_mixing,
     exact_dedup,
     line_dedup,
     quality_rules,
@@ -54,6 +55,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(documents(spark, sf_dir))
 
 
+def op10_domain_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = domain_mixing.mix_domains(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return mixed.drop("version")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -64,5 +70,6 @@ QUERIES: dict[str, Query] = {
         op5_secret_scan,
         op6_balanced_shards,
         op9_quality_rules,
+        op10_domain_mixing,
     )
 }
