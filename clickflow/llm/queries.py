@@ -13,8 +13,10 @@ from clickflow.llm import (
     domain_mixing,
     exact_dedup,
     line_dedup,
+    ngram_join,
     quality_rules,
     secret_scan,
+    substring_dedup,
     token_counts,
 )
 from clickflow.llm.common import documents
@@ -51,6 +53,15 @@ def op6_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards.balanced_shards(documents(spark, sf_dir))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.substring_dedup(documents(spark, sf_dir), with_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.lower(F.hex("kept")).alias("kept_sha256"))
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(documents(spark, sf_dir))
 
@@ -69,6 +80,8 @@ QUERIES: dict[str, Query] = {
         op4_line_dedup,
         op5_secret_scan,
         op6_balanced_shards,
+        op7_substring_dedup,
+        op8_ngram_join,
         op9_quality_rules,
         op10_domain_mixing,
     )
