@@ -51,6 +51,7 @@ from clickflow.llm.textbytes import U64, mix
 SHINGLE = 5
 NUM, DEN = 80, 100
 NO_ID = -(1 << 63)
+LAST = (1 << 63) - 1
 BUCKETS_PER_PARTITION = 4
 BATCH_BYTES = 16 << 20
 #: What a chance hit costs, in signatures sent.
@@ -184,15 +185,18 @@ def _from_six(raw: bytes) -> np.ndarray:
 
 
 POSTED = pa.schema(
-    [("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64())]
+    [("bucket", pa.int32()), ("doc_id", pa.int64()), ("version", pa.int64()), ("n", pa.int64()), ("key", pa.int64())]
     + [(x, pa.binary()) for x in ("keys", "sizes", "schemes", "sigs", "entries")]
 )
-POSTED_SQL = "bucket int, doc_id long, n long, key long, keys binary, sizes binary, schemes binary, sigs binary, entries binary"
+POSTED_SQL = (
+    "bucket int, doc_id long, version long, n long, key long,"
+    " keys binary, sizes binary, schemes binary, sigs binary, entries binary"
+)
 FOUND = pa.schema(
-    [("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64())]
+    [("kind", pa.int32()), ("doc_id", pa.int64()), ("version", pa.int64()), ("n", pa.int64()), ("key", pa.int64())]
     + [("scheme", pa.int32()), ("sig", pa.int64()), ("held", pa.int64())]
 )
-FOUND_SQL = "kind int, doc_id long, n long, key long, scheme int, sig long, held long"
+FOUND_SQL = "kind int, doc_id long, version long, n long, key long, scheme int, sig long, held long"
 
 
 def _post(buckets: int):
@@ -205,7 +209,8 @@ def _post(buckets: int):
                 sizes, keys = np.diff(at), set_keys(hashes, at)
                 none = pa.nulls(batch.num_rows, pa.binary())
                 spread = (keys.view(U64) % U64(buckets)).astype(np.int32)
-                doc_rows = [pa.array(spread), batch.column("doc_id"), pa.array(sizes), pa.array(keys, mask=sizes == 0)]
+                own = pa.array(sizes), pa.array(keys, mask=sizes == 0)
+                doc_rows = [pa.array(spread), batch.column("doc_id"), batch.column("version"), *own]
                 yield pa.RecordBatch.from_arrays([*doc_rows, none, none, none, none, none], schema=POSTED)
                 _, once = np.unique(keys, return_index=True)
                 once = once[sizes[once] > 0]
@@ -234,7 +239,7 @@ def _post(buckets: int):
                         col.append(value)
                 empty = pa.nulls(len(rows[0]), pa.int64())
                 blob_cols = [pa.array(x, pa.binary()) for x in rows[1:]]
-                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), empty, empty, empty, *blob_cols], schema=POSTED)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), empty, empty, empty, empty, *blob_cols], schema=POSTED)
 
     return run
 
@@ -247,7 +252,7 @@ def _shared(buckets: int):
         n = docs.num_rows
         zero = pa.array(np.zeros(n, np.int32))
         doc_part = pa.Table.from_arrays(
-            [zero, docs["doc_id"], docs["n"], docs["key"], zero, pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, np.int64))],
+            [zero, docs["doc_id"], docs["version"], docs["n"], docs["key"], zero, pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, np.int64))],
             schema=FOUND,
         )
         blobs = table.filter(pa.compute.is_valid(table["sigs"]))
@@ -288,6 +293,7 @@ def _shared(buckets: int):
             [
                 pa.array(np.ones(len(sig), np.int32)),
                 pa.nulls(len(sig), pa.int64()),
+                pa.nulls(len(sig), pa.int64()),
                 pa.array(sizes[owner]),
                 pa.array(key),
                 pa.array(schemes[owner]),
@@ -302,10 +308,11 @@ def _shared(buckets: int):
 
 
 def postings(docs: DataFrame) -> DataFrame:
-    """kind 0: doc_id, n, key of every document.  kind 1: n, key, scheme, sig and held, the number of
+    """kind 0: doc_id, version (a hash of the text), n, key of every document.  kind 1: n, key, scheme, sig and held, the number of
     different sets that hold it, of every signature that more than one holds.  Written once."""
     buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    posted = id_text(docs).mapInArrow(_post(buckets), POSTED_SQL)
+    texts = id_text(docs).withColumn("version", F.xxhash64("text"))
+    posted = texts.mapInArrow(_post(buckets), POSTED_SQL)
     return saved(posted.groupBy("bucket").applyInArrow(_shared(buckets), FOUND_SQL), "shingle-postings")
 
 
@@ -366,9 +373,9 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def ngram_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Classes (key, doc_id: smallest of its documents, n_docs) and the component of each linked class (node, root)."""
+    """Documents (doc_id, version, n, key of their class) and the component of each linked class (node, root)."""
     found = postings(docs)
-    rows = found.filter("kind = 0").select("doc_id", "n", "key")
+    rows = found.filter("kind = 0").select("doc_id", "version", "n", "key")
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     kept = saved(kept_postings(found), "kept-postings")
     leaders = kept.groupBy("sig").agg(F.min("key").alias("leader"), F.max("key").alias("other"))
@@ -395,13 +402,35 @@ def ngram_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, components(links.unionByName(more), "components")
 
 
-def ngram_components(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def _labelled(docs: DataFrame) -> DataFrame:
     rows, roots = ngram_links(docs)
-    labelled = rows.join(roots, rows["key"] == roots["node"], "left").select(
-        "doc_id", "n", "key", F.coalesce("root", "key").alias("label")
+    return rows.join(roots, rows["key"] == roots["node"], "left").select(
+        "doc_id", "version", "n", "key", F.coalesce("root", "key").alias("label")
     )
+
+
+def ngram_components(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    labelled = _labelled(docs)
     names = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     out = labelled.join(names, "label", "left")
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def one_per_component(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, whole: of each component the one with the smallest doc_id
+    (of equal ids one text, of repeated rows one); every text without words."""
+    here = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("id"), F.col("version"))
+    labelled = _labelled(docs).select("label", here.alias("here"))
+    first = labelled.filter("label is not null").groupBy("label").agg(F.min("here").alias("here")).select("here.*")
+    wordless = labelled.filter("label is null").select("here.*").distinct()
+    keep = first.union(wordless).withColumn("keep", F.lit(True))
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.coalesce(docs["doc_id"].cast("bigint"), F.lit(LAST)).alias("id"),
+        F.xxhash64(text).alias("version"),
+    )
+    nth = F.row_number().over(Window.partitionBy("id", "version").orderBy(F.lit(0)))
+    return rows.join(keep, ["id", "version"]).withColumn("nth", nth).filter("nth = 1").select("row.*")

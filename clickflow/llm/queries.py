@@ -7,6 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from clickflow.llm import (
     balanced_shards,
     best_fit_packing,
@@ -71,6 +72,10 @@ def op10_domain_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.drop("version")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -84,5 +89,6 @@ QUERIES: dict[str, Query] = {
         op8_ngram_join,
         op9_quality_rules,
         op10_domain_mixing,
+        pipeline,
     )
 }
