@@ -73,7 +73,8 @@ def learn_lexicons(docs: DataFrame, domains: DataFrame, n_docs: int = LEXICON_DO
     words = {}
     for i, d in enumerate(names):
         own = F.col(f"n{i}") / sizes[d]
-        other = (everywhere - F.col(f"n{i}")) / (total - sizes[d])
+        # as if one more document had it: a small rest proves little
+        other = (everywhere - F.col(f"n{i}") + 1) / (total - sizes[d] + 2)
         best = counts.filter((F.col(f"n{i}") >= LEXICON_LEAST) & (own >= LEXICON_SHARE) & (own > 4 * other))
         words[d] = [r["word"] for r in best.orderBy((own - other).desc(), "word").limit(LEXICON_WORDS).collect()]
     return words
