@@ -1,9 +1,9 @@
 """clickflow: clickstream and ad-click analytics expressed as Spark DataFrame plans.
 
-Every public function takes DataFrames (and typed parameters) and returns a lazy
-DataFrame; nothing is collected to the driver.  Catalyst plans the work, so filters
-reach the parquet scan, aggregates combine map-side and top-k windows are limited
-before their shuffle.
+The operators take DataFrames (and typed parameters) and return lazy DataFrames; the jobs and
+streams built on them write tables.  Only parameters and folder listings reach the driver.
+Catalyst plans the work, so filters reach the parquet scan, aggregates combine map-side and
+top-k windows are limited before their shuffle.
 """
 
 from clickflow.config import configure_session, work_dir  # noqa: F401

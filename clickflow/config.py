@@ -2,8 +2,8 @@
 
 Intermediate tables (stream staging, versioned upsert tables, stream checkpoints)
 live under the folder the cluster names in ``spark.checkpoint.dir``, which is
-shared storage on a real cluster.  Only when that setting is missing (unit tests)
-do we create a local one.
+shared storage on a real cluster.  Only a local session without that setting (unit
+tests) gets a local one; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime SQL settings the library relies on.  They are session-level and safe to
-# apply to an existing session; none of them changes a result.
+# Runtime SQL settings the library relies on, applied to an existing session.  The time
+# zone decides how instants are written as text; the others don't change a result.
 SQL_DEFAULTS = {
     # Wall-clock semantics: all formatting of ad-log instants uses UTC, like the
     # reference formats in one fixed JVM zone.
@@ -25,12 +25,8 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # No broadcast from static size estimates (they can undercount compressed
-    # files): a join side is broadcast only after AQE has measured its shuffle
-    # output, or through an explicit hint on a literal-bounded or row-count-checked
-    # side (operators/joins.py).
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    # Broadcasts are Spark's own choice by bytes (spark.sql.autoBroadcastJoinThreshold of the
+    # session); hints stand only on lists bounded by a literal top-n.
 }
 
 
@@ -47,6 +43,8 @@ LARGE_SCALE = {
     # a partition is skewed when > 5x the median and > 256 MB: split it
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    # split a skewed join also where that costs a further shuffle for the aggregate above it
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # large streaming state (per-key totals, minute windows) off the JVM heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -64,11 +62,13 @@ def configure_session(spark: SparkSession, large: bool = False) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; set a local one only if unset."""
+    """The shared checkpoint folder of the cluster; a local session may do without."""
     root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="clickflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -76,9 +76,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the checkpoint root for one job's tables."""
+    """A fresh, unique folder under the checkpoint root for one job's tables.
+
+    It is removed when the driver's JVM ends; :func:`remove_dir` removes it earlier."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/clickflow/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/clickflow/{name}-{uuid.uuid4().hex[:12]}"
+    fs, p = _hadoop(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder of :func:`work_dir` with all it holds."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+    fs.cancelDeleteOnExit(p)
 
 
 def local_path(path: str) -> str:

@@ -65,7 +65,7 @@ def is_not_empty(s: ColumnOrName) -> Column:
 
 def trim_comma(s: ColumnOrName) -> Column:
     """drop one leading and one trailing comma."""
-    return F.regexp_replace(_c(s), r"^,|,$", "")
+    return F.regexp_replace(_c(s), r"\A,|,\z", "")
 
 
 def zero_pad2(s: ColumnOrName) -> Column:
@@ -77,7 +77,7 @@ def zero_pad2(s: ColumnOrName) -> Column:
 def _segments(s: Column, delim: str) -> Column:
     # Java String.split drops trailing empty strings: strip trailing delimiters.
     esc = "\\" + delim if delim in "|.^$*+?()[]{}\\" else delim
-    return F.split(F.regexp_replace(s, f"(?:{esc})+$", ""), esc)
+    return F.split(F.regexp_replace(s, f"(?:{esc})+\\z", ""), esc)
 
 
 def kv_get(s: ColumnOrName, field: str, delim: str = "|") -> Column:
@@ -87,7 +87,7 @@ def kv_get(s: ColumnOrName, field: str, delim: str = "|") -> Column:
     Java's trailing-empty rule), so ``field=`` (empty value) never matches.
     """
     segs = _segments(_c(s), delim)
-    parts = F.transform(segs, lambda x: F.split(F.regexp_replace(x, "=+$", ""), "="))
+    parts = F.transform(segs, lambda x: F.split(F.regexp_replace(x, r"=+\z", ""), "="))
     hits = F.filter(parts, lambda p: (F.size(p) == 2) & (p[0] == F.lit(field)))
     return F.try_element_at(F.try_element_at(hits, F.lit(1)), F.lit(2))
 

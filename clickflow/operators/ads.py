@@ -114,41 +114,30 @@ def click_trend(log: DataFrame, last: str | None = None) -> DataFrame:
     return counts.select(*minute_key_columns(F.col("minute_ts")), "ad_id", "click_count")
 
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+def last_of_trend(trend: DataFrame, last: str = "60 minutes") -> DataFrame:
+    """The rows of a trend table (batch result or stream sink) whose minute lies in the last
+    ``last`` before its newest minute."""
+    minute = F.to_timestamp(F.concat_ws(" ", "date", F.concat_ws(":", "hour", "minute")), "yyyy-MM-dd HH:mm")
+    newest = trend.agg(F.max(minute)).scalar()
+    return trend.filter(minute > newest - F.expr(f"INTERVAL {last}"))
 
 
-def _seconds(interval: str) -> int | None:
-    """``'60 minutes'`` → 3600; None for anything but ``<n> <unit>``."""
-    parts = interval.split()
-    if len(parts) != 2 or not parts[0].isdigit():
-        return None
-    unit = parts[1].lower().rstrip("s")
-    return int(parts[0]) * _UNIT_SECONDS[unit] if unit in _UNIT_SECONDS else None
+def bucket_counts(log: DataFrame, slide: str = "10 seconds") -> DataFrame:
+    """Z7, first step: clicks per ad in tumbling buckets of one slide."""
+    counts = log.groupBy(F.window("ts", slide).alias("b"), "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
+    return counts.select(F.col("b.start").alias("bucket"), "ad_id", "click_count")
 
 
-def sliding_count(
-    log: DataFrame, window: str = "60 minutes", slide: str = "10 seconds", preaggregate: bool = True
-) -> DataFrame:
-    """Clicks per ad in every sliding window.
+def spread_buckets(buckets: DataFrame, window: str = "60 minutes", slide: str = "10 seconds") -> DataFrame:
+    """Z7, second step: bucket counts summed over every window that holds the bucket.
 
-    ``window()`` copies each event into window/slide windows (360 for 60 min / 10 s)
-    before aggregating.  With ``preaggregate`` (batch) events are first counted per
-    slide-sized tumbling bucket (a partial aggregate), and only those bucket
-    counts are spread over the windows containing them and summed — exact when
-    the window is a whole number of slides, since every event of a bucket lies in
-    the same windows.  Streaming uses ``window()`` directly (its state store keeps
-    one count per window; chained aggregations are not allowed in update mode).
-    """
+    Exact when the window is a whole number of slides, since all events of a bucket lie in
+    the same windows."""
     w_s, s_s = _seconds(window), _seconds(slide)
-    if not preaggregate or not w_s or not s_s or w_s % s_s:
-        return (
-            log.groupBy(F.window("ts", window, slide).alias("w"), "ad_id")
-            .agg(F.count(F.lit(1)).alias("click_count"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "ad_id", "click_count")
-        )
-    buckets = log.groupBy(F.window("ts", slide).alias("b"), "ad_id").agg(F.count(F.lit(1)).alias("n"))
+    if not w_s or not s_s or w_s % s_s:
+        raise ValueError(f"{window} is not a whole number of {slide}")
     k = F.explode(F.sequence(F.lit(0), F.lit(w_s // s_s - 1))).alias("k")
-    spread = buckets.select("ad_id", "n", F.unix_seconds(F.col("b.start")).alias("bs"), k)
+    spread = buckets.select("ad_id", F.col("click_count").alias("n"), F.unix_seconds("bucket").alias("bs"), k)
     start = F.col("bs") - F.col("k") * F.lit(s_s)
     return (
         spread.groupBy(start.alias("s"), "ad_id")
@@ -160,3 +149,33 @@ def sliding_count(
             "click_count",
         )
     )
+
+
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _seconds(interval: str) -> int | None:
+    """``'60 minutes'`` → 3600; None for anything but ``<n> <unit>``."""
+    parts = interval.split()
+    if len(parts) != 2 or not parts[0].isdigit():
+        return None
+    unit = parts[1].lower().rstrip("s")
+    return int(parts[0]) * _UNIT_SECONDS[unit] if unit in _UNIT_SECONDS else None
+
+
+def sliding_count(log: DataFrame, window: str = "60 minutes", slide: str = "10 seconds") -> DataFrame:
+    """Clicks per ad in every sliding window.
+
+    ``window()`` would copy each click into window/slide windows (360 for 60 min / 10 s)
+    before aggregating.  Clicks are counted per bucket of one slide first, and only
+    those counts are spread over the windows.  A window that is no whole number of
+    slides falls back to ``window()``.
+    """
+    w_s, s_s = _seconds(window), _seconds(slide)
+    if w_s and s_s and w_s % s_s == 0:
+        return spread_buckets(bucket_counts(log, slide), window, slide)
+    return (
+        log.groupBy(F.window("ts", window, slide).alias("w"), "ad_id")
+        .agg(F.count(F.lit(1)).alias("click_count"))
+        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "ad_id", "click_count")
+    )

@@ -57,13 +57,8 @@ def category_ids(detail: DataFrame) -> DataFrame:
     return detail.select(F.explode(_all_ids(detail)).alias("category_id")).distinct()
 
 
-def category_counts(detail: DataFrame) -> DataFrame:
-    """J-4: every category with its click/order/pay counts, missing → 0.
-
-    Instead of three aggregates and three outer joins this is one pass: each action
-    emits (category, kind) pairs and one aggregate counts per kind.  Same rows as
-    ``ids ⟕ click ⟕ order ⟕ pay`` with ``coalesce(.., 0)``, one shuffle instead of six.
-    """
+def category_pairs(detail: DataFrame, *keep: str) -> DataFrame:
+    """Each category an action clicks, orders or pays, with its kind: one row per pair."""
     def tagged(ids, kind):
         return F.transform(ids, lambda x: F.struct(x.alias("category_id"), F.lit(kind).alias("kind")))
 
@@ -73,10 +68,32 @@ def category_counts(detail: DataFrame) -> DataFrame:
     order = F.coalesce(split_longs("order_category_ids"), F.array().cast("array<bigint>"))
     pay = F.coalesce(split_longs("pay_category_ids"), F.array().cast("array<bigint>"))
     pairs = F.concat(tagged(click, "click"), tagged(order, "order"), tagged(pay, "pay"))
-    e = detail.select(F.explode(pairs).alias("p")).select("p.category_id", "p.kind")
-    return e.groupBy("category_id").agg(
-        *[F.count(F.when(F.col("kind") == F.lit(k), F.lit(1))).alias(f"{k}_count") for k in KINDS]
-    )
+    return detail.select(*keep, F.explode(pairs).alias("p")).select(*keep, "p.category_id", "p.kind")
+
+
+def _by_kind() -> list:
+    return [F.count(F.when(F.col("kind") == F.lit(k), F.lit(1))).alias(f"{k}_count") for k in KINDS]
+
+
+def category_session_totals(detail: DataFrame) -> DataFrame:
+    """The three counts per (category, session): all that the top categories and their top
+    sessions need of the detail, in five narrow columns."""
+    return category_pairs(detail, "session_id").groupBy("category_id", "session_id").agg(*_by_kind())
+
+
+def sum_categories(totals: DataFrame) -> DataFrame:
+    """:func:`category_counts` from :func:`category_session_totals`."""
+    return totals.groupBy("category_id").agg(*[F.sum(f"{k}_count").cast("bigint").alias(f"{k}_count") for k in KINDS])
+
+
+def category_counts(detail: DataFrame) -> DataFrame:
+    """J-4: every category with its click/order/pay counts, missing → 0.
+
+    Instead of three aggregates and three outer joins this is one pass: each action
+    emits (category, kind) pairs and one aggregate counts per kind.  Same rows as
+    ``ids ⟕ click ⟕ order ⟕ pay`` with ``coalesce(.., 0)``, one shuffle instead of six.
+    """
+    return category_pairs(detail).groupBy("category_id").agg(*_by_kind())
 
 
 def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
@@ -102,13 +119,14 @@ def category_session_counts(detail: DataFrame) -> DataFrame:
     )
 
 
-def top_sessions(detail: DataFrame, top_cats: DataFrame, n: int = 10) -> DataFrame:
-    """J-5 + W3: the n sessions with most clicks in each top category.
+def top_sessions(counts: DataFrame, top_cats: DataFrame, n: int = 10) -> DataFrame:
+    """J-5 + W3: the n sessions with most clicks in each top category, from counts per
+    (category, session) (:func:`category_session_counts` or :func:`category_session_totals`).
 
     ``top_cats`` has at most 10 rows (a literal bound), so it is broadcast.  The
     ``row_number <= n`` filter becomes a ``WindowGroupLimit`` before the shuffle.
     """
-    counts = category_session_counts(detail).join(
+    counts = counts.filter(F.col("click_count") > 0).join(
         F.broadcast(top_cats.select("category_id")), "category_id", "left_semi"
     )
     w = Window.partitionBy("category_id").orderBy(F.col("click_count").desc(), F.col("session_id").asc())

@@ -76,34 +76,28 @@ def _split(a: str, b: str):
 
 
 def page_splits(actions: DataFrame, flow, chunk: str | None = "hour") -> DataFrame:
-    """One row per action whose (previous page, page) split is a consecutive
-    pair of the flow.  Copies of an action contribute ``n - 1`` self-splits
-    (``p_p``), re-expanded only when ``p_p`` is itself a flow pair."""
+    """The (previous page, page) splits that are a consecutive pair of the flow, one row
+    per distinct action with ``n``, how many actions it stands for.  Copies of an action
+    contribute ``n - 1`` self-splits (``p_p``) when ``p_p`` is itself a flow pair."""
     pairs = flow_pairs(flow)
     p = previous_page(actions, chunk)
     first = p.filter(F.col("prev_page_id").isNotNull()).select(
-        "session_id", "action_time", _split("prev_page_id", "page_id").alias("page_split")
+        "session_id", "action_time", _split("prev_page_id", "page_id").alias("page_split"), F.lit(1).cast("bigint").alias("n")
     )
     out = first.filter(F.col("page_split").isin(pairs))
     self_pairs = [sp for sp in dict.fromkeys(pairs) if sp.split("_")[0] == sp.split("_")[1]]
     if self_pairs:
-        rep = (
-            p.filter((F.col("n") > 1) & _split("page_id", "page_id").isin(self_pairs))
-            .select(
-                "session_id",
-                "action_time",
-                F.explode(F.array_repeat(_split("page_id", "page_id"), (F.col("n") - 1).cast("int"))).alias(
-                    "page_split"
-                ),
-            )
+        rep = p.filter((F.col("n") > 1) & _split("page_id", "page_id").isin(self_pairs)).select(
+            "session_id", "action_time", _split("page_id", "page_id").alias("page_split"), (F.col("n") - 1).alias("n")
         )
-        out = out.unionByName(rep)
+        both = out.unionByName(rep)
+        out = both.groupBy("session_id", "action_time", "page_split").agg(F.sum("n").cast("bigint").alias("n"))
     return out
 
 
 def page_split_pv(splits: DataFrame) -> DataFrame:
     """Matched splits per key."""
-    return splits.groupBy("page_split").agg(F.count(F.lit(1)).alias("split_pv"))
+    return splits.groupBy("page_split").agg(F.sum("n").cast("bigint").alias("split_pv"))
 
 
 def start_page_pv(actions: DataFrame, flow) -> DataFrame:

@@ -12,24 +12,27 @@ replayed batch overwrites itself and is never applied twice.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
+def materialize(df: DataFrame, name: str = "intermediate", made: list[str] | None = None) -> DataFrame:
     """Write an intermediate once as a parquet table in the cluster's shared work
     folder (``spark.checkpoint.dir``) and read it back.
 
     This cuts the lineage (a lost executor re-reads the table instead of
     recomputing the pipeline).  Unlike an RDD checkpoint the table is columnar,
-    so each later branch scans only the columns it needs.
+    so each later branch scans only the columns it needs.  The folder goes when the
+    driver ends; ``made`` collects it for callers that remove it earlier.
     """
     from clickflow.config import work_dir
 
     path = work_dir(df.sparkSession, name)
+    if made is not None:
+        made.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -39,18 +42,27 @@ def with_task_id(df: DataFrame, task_id: int) -> DataFrame:
     return df.select(F.lit(task_id).cast("bigint").alias("task_id"), *df.columns)
 
 
-def append(df: DataFrame, path: str, task_id: int | None = None, fmt: str = "parquet", **options: str) -> str:
-    """K1/K2/K3/K9: append rows to a table (parquet by default, ``jdbc`` with options).
+def jdbc_options(table: str, url: str, properties: Mapping[str, str] | None = None) -> dict[str, str]:
+    """The writer options for one result table of a database."""
+    return {**(properties or {}), "url": url, "dbtable": table}
+
+
+def append(
+    df: DataFrame, target: str, task_id: int | None = None, fmt: str = "parquet", mode: str = "append", **options: str
+) -> str:
+    """K1/K2/K3/K9: append rows to a table: a path, or with ``fmt="jdbc"`` a table name (``url`` in
+    the options).  ``mode="overwrite"`` stores a new state in place of the old one (K4-K7).
 
     Executors write their own partitions; nothing is collected to the driver.
     """
     out = with_task_id(df, task_id) if task_id is not None else df
-    w = out.write.mode("append").format(fmt).options(**options)
+    w = out.write.mode(mode).format(fmt)
     if fmt == "jdbc":
-        w.save()
+        options = dict(options)
+        w.options(**jdbc_options(target, options.pop("url"), options)).save()
     else:
-        w.save(path)
-    return path
+        w.options(**options).save(target)
+    return target
 
 
 def upsert_add(target: DataFrame, updates: DataFrame, keys: Sequence[str], value: str = "click_count") -> DataFrame:
@@ -68,11 +80,23 @@ def upsert_add(target: DataFrame, updates: DataFrame, keys: Sequence[str], value
     )
 
 
+def by_key(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on ``keys`` in which a NULL key part equals NULL, as in a group by."""
+    named = right.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return left.join(named, on, how)
+
+
 def upsert_replace(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """K5: existing key → row replaced by the update, new key → inserted."""
+    """K5: existing key → row replaced by the update, new key → inserted.
+
+    One aggregate over both sides, in which a NULL key part is a value like any other;
+    an update wins over a target row."""
     cols = target.columns
-    kept = target.join(updates.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.select(*cols).unionByName(updates.select(*cols))
+    others = [c for c in cols if c not in keys]
+    rows = target.select(*cols, F.lit(0).alias("_side")).unionByName(updates.select(*cols, F.lit(1).alias("_side")))
+    best = F.max_by(F.struct(*others), F.col("_side")).alias("_row")
+    return rows.groupBy(*keys).agg(best).select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in cols])
 
 
 def upsert(
@@ -88,15 +112,13 @@ def upsert(
 
 def upsert_split(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """K6: (rows to insert, rows to update) by key existence in ``target``."""
-    tk = target.select(*keys).distinct()
-    return updates.join(tk, list(keys), "left_anti"), updates.join(tk, list(keys), "left_semi")
+    return by_key(updates, target, keys, "left_anti"), by_key(updates, target, keys, "left_semi")
 
 
 def replace_groups(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """K7 (+A18): drop every target group whose key occurs in ``updates``, then add all updates."""
     cols = target.columns
-    groups = updates.select(*keys).distinct()
-    return target.join(groups, list(keys), "left_anti").select(*cols).unionByName(updates.select(*cols))
+    return by_key(target, updates, keys, "left_anti").select(*cols).unionByName(updates.select(*cols))
 
 
 class ChangelogTable:
@@ -179,6 +201,10 @@ class ChangelogTable:
     def batches(self) -> list[int]:
         return self._listed("delta", "b")
 
+    def changes(self, batch_id: int) -> DataFrame:
+        """The rows that micro-batch ``batch_id`` wrote."""
+        return self.spark.read.schema(self.schema).parquet(self._delta_path(batch_id))
+
     def read(self, as_of: int | None = None, keys: DataFrame | None = None, _base_below: int | None = None) -> DataFrame:
         """State after micro-batch ``as_of`` (all batches when None).  ``keys``
         restricts the read to those key rows before merging."""
@@ -199,23 +225,18 @@ class ChangelogTable:
         for p in parts[1:]:
             rows = rows.unionByName(p)
         if keys is not None:  # any subset of the columns, e.g. the groups a batch touched
-            rows = self._prune(rows, keys).join(keys.distinct(), keys.columns, "left_semi")
+            rows = by_key(self._prune(rows, keys), keys, keys.columns, "left_semi")
         return self._merge(rows).select(*[f.name for f in self.schema.fields])
 
-    MAX_PRUNE_VALUES = 1000
-
     def _prune(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
-        """Partition pruning for a key-restricted read: the keys' distinct partition
-        values (a micro-batch spans a few days) are read on the driver behind a
-        checked bound and become an ``isin`` filter that the scan applies to its
-        partition folders.  Beyond the bound the semi join alone filters."""
+        """Partition pruning for a key-restricted read: the smallest and largest partition
+        value of the keys, as scalar subqueries, are a filter that the scan applies to its
+        partition folders (the folder of NULL stays)."""
         if len(self.partition_by) != 1 or self.partition_by[0] not in keys.columns:
             return rows
         col = self.partition_by[0]
-        vals = [r[0] for r in keys.select(col).distinct().limit(self.MAX_PRUNE_VALUES + 1).collect()]
-        if len(vals) > self.MAX_PRUNE_VALUES:
-            return rows
-        return rows.filter(F.col(col).isin(vals))
+        low, high = keys.agg(F.min(col)).scalar(), keys.agg(F.max(col)).scalar()
+        return rows.filter(((F.col(col) >= low) & (F.col(col) <= high)) | F.col(col).isNull())
 
     def _merge(self, rows: DataFrame) -> DataFrame:
         cols = [f.name for f in self.schema.fields]

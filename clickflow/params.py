@@ -144,7 +144,7 @@ class AreaParams:
 class AdParams:
     """Ad-stream parameters: blacklist threshold (D15), top-n per province,
     micro-batch interval (Z1), sliding window/slide (Z7) and the optional
-    event-time watermark of the minute trend (Z8)."""
+    event-time watermark of the single-table minute trend (Z8)."""
 
     blacklist_threshold: int = 100
     top_n: int = 3

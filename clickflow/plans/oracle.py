@@ -87,6 +87,9 @@ SAI_OUT = SA_OUT + ", age, professional, city, sex"
 
 J1 = f"WITH {UVA_ALL}, {UVA}, {UI}, {SA}, {SAI}, {SF}, {DT}"
 
+SA_ALL = SA.replace("sa AS (", "sa_all AS (", 1).replace("FROM uva GROUP", "FROM uva_all GROUP")
+J1_ALL = f"WITH {UVA_ALL}, {SA_ALL}"
+
 # category ids exploded from the detail rows: one row per (category, kind)
 CAT_LONG = """cat_long AS (
   SELECT click_category_id AS category_id, 'click' AS kind FROM dt WHERE click_category_id IS NOT NULL
@@ -179,6 +182,7 @@ AFULL = """afull AS (SELECT a.area, a.product_id, a.click_count, a.city_infos, p
                                  THEN 'self' ELSE 'third party' END AS product_status
                      FROM apcc a JOIN pi ON a.product_id = pi.product_id)"""
 J3 = f"WITH {UVA_ALL}, {UVA}, {CI}, {PI}, {BASIC}, {APCC}, {AFULL}"
+J3_ALL = f"WITH {UVA_ALL}, {CI}, " + BASIC.replace("FROM uva\n", "FROM uva_all\n")
 
 # ---------------------------------------------------------------- ads
 ADLOG = f"""{CI},
@@ -228,8 +232,8 @@ FROM (SELECT date_trunc('minute', ts) AS m, ad_id FROM adlog {{where}}) GROUP BY
 
 SLIDING = f"""SELECT {T('make_timestamp(s)')} AS window_start, {T('make_timestamp(s + 3600000000)')} AS window_end,
        ad_id, count(*) AS click_count
-FROM (SELECT (epoch_us(ts) // 600000000) * 600000000 - i * 600000000 AS s, ad_id
-      FROM adlog, range(0, 6) r(i))
+FROM (SELECT (epoch_us(ts) // 10000000) * 10000000 - i * 10000000 AS s, ad_id
+      FROM adlog, range(0, 360) r(i))
 GROUP BY s, ad_id"""
 
 
@@ -250,13 +254,13 @@ SELECT area,
 FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id ASC) AS rn FROM afull)
 WHERE rn <= 3"""
     q["area_top3_product_sql"] = q["area_top3_product"]
-    q["udf_concat_long_string"] = f"""{J3}
+    q["udf_concat_long_string"] = f"""{J3_ALL}
 SELECT product_id, coalesce(CAST(city_id AS VARCHAR), 'null') || ':' || coalesce(city_name, 'null') AS city_info
 FROM basic"""
     q["udf_json_field"] = f"""WITH {PI}
 SELECT product_id, json_extract_string(extend_info, '$.product_status') AS product_status,
        json_extract_string(extend_info, '$.missing_field') AS missing_field FROM pi"""
-    q["udaf_group_concat_distinct"] = f"""{J3}
+    q["udaf_group_concat_distinct"] = f"""{J3_ALL}
 SELECT product_id, array_to_string(list_sort(list_distinct(list(city_name))), ',') AS city_names
 FROM basic GROUP BY product_id"""
     # ---------------- J1
@@ -315,7 +319,7 @@ WHERE age BETWEEN 10 AND 50 AND professional IN ('BUILDING', 'MACHINERY', 'HOUSE
         f"{J1S} SELECT {UVA_OUT} FROM dt WHERE session_id IN (SELECT session_id FROM smp)"
     )
     # ---------------- J2
-    q["page_splits"] = f"{J2} SELECT session_id, {T('action_time')} AS action_time, page_split FROM splits"
+    q["page_splits"] = f"{J2} SELECT session_id, {T('action_time')} AS action_time, page_split, count(*) AS n FROM splits GROUP BY ALL"
     q["page_split_pv"] = f"{J2} SELECT * FROM spv"
     q["start_page_pv"] = f"{J2} SELECT * FROM start_pv"
     q["page_convert_rate"] = f"{J2} SELECT CAST(position AS BIGINT) AS position, page_split, split_pv, prev_pv, convert_rate FROM rates"
@@ -323,14 +327,14 @@ WHERE age BETWEEN 10 AND 50 AND professional IN ('BUILDING', 'MACHINERY', 'HOUSE
 SELECT coalesce(string_agg(page_split || '=' || coalesce(CAST(convert_rate AS VARCHAR), 'null'), '|' ORDER BY position), '')
        AS convert_rate FROM rates"""
     # ---------------- scalars
-    KV = f"""{J1}, kv AS (
+    KV = f"""{J1_ALL}, kv AS (
   SELECT session_id, step_length,
          'sessionid=' || session_id || '|searchKeywords=' || array_to_string(search_keywords, ',')
          || '|clickCategoryIds=' || array_to_string(click_category_ids, ',')
          || '|visitLength=' || CAST(visit_length AS VARCHAR) || '|stepLength=' || CAST(step_length AS VARCHAR)
          || '|startTime=' || {T('start_time')} AS aggr_info,
          search_keywords, click_category_ids, visit_length, start_time
-  FROM sa)"""
+  FROM sa_all)"""
     q["kv_get"] = f"""{KV}
 SELECT session_id,
        CASE WHEN len(search_keywords) = 0 THEN NULL ELSE array_to_string(search_keywords, ',') END AS search_keywords,
@@ -347,7 +351,7 @@ SELECT session_id,
          || '|startTime=' || {T('start_time')} AS aggr_info,
        aggr_info AS unchanged
 FROM kv"""
-    q["scalar_strings"] = f"""{J1}
+    q["scalar_strings"] = f"""{J1_ALL}
 SELECT session_id,
        array_to_string(search_keywords, ',') AS trimmed,
        CASE WHEN length(CAST(hour(start_time) AS VARCHAR)) = 2 THEN CAST(hour(start_time) AS VARCHAR)
@@ -356,8 +360,8 @@ SELECT session_id,
             ELSE '0' || CAST(hour(start_time) AS VARCHAR) || '0' END AS padded_3,
        len(search_keywords) = 0 AS kw_empty,
        len(search_keywords) > 0 AS kw_not_empty
-FROM sa"""
-    q["scalar_dates"] = f"""WITH {UVA_ALL}, {UVA}
+FROM sa_all"""
+    q["scalar_dates"] = f"""WITH {UVA_ALL}
 SELECT session_id, {T('action_time')} AS action_time, strftime(action_time, '%Y-%m-%d_%H') AS date_hour,
        {D('action_time')} AS date, strftime(action_time, '%Y%m%d') AS date_key,
        strftime(action_time, '%Y%m%d%H%M') AS minute_key, {T('action_time')} AS parsed_time,
@@ -366,11 +370,16 @@ SELECT session_id, {T('action_time')} AS action_time, strftime(action_time, '%Y-
        action_time > TIMESTAMP '2024-01-12 12:00:00' AS after_noon_12,
        CAST(epoch(action_time) - epoch(TIMESTAMP '2024-01-01 00:00:00') AS BIGINT) AS seconds_since_jan1,
        CAST(0 AS BIGINT) AS minus_bad
-FROM uva"""
-    q["scalar_round"] = f"""WITH {UVA_ALL}, {UVA}
+FROM uva_all"""
+    q["scalar_today"] = f"""
+SELECT event_id, {D('current_date')} AS today, {D('current_date - 1')} AS yesterday,
+       CAST(date_diff('day', CAST(ts AS DATE), current_date) AS BIGINT) AS days_ago,
+       CAST(ts AS DATE) <= current_date - 1 AS by_yesterday
+FROM events"""
+    q["scalar_round"] = f"""WITH {UVA_ALL}
 SELECT user_id, count(click_category_id) AS clicks, count(*) AS actions,
        {RATIO('count(click_category_id)', 'count(*)')} AS click_ratio
-FROM uva GROUP BY user_id"""
+FROM uva_all GROUP BY user_id"""
     q["task_params"] = """
 SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS task_id, strftime(d, '%Y-%m-%d') AS startDate,
        strftime(d + INTERVAL 6 DAY, '%Y-%m-%d') AS endDate,
@@ -413,6 +422,7 @@ FROM stat_late l"""
 SELECT {D('date')} AS date, province, ad_id, click_count FROM (
   SELECT * FROM pe WHERE NOT EXISTS (SELECT 1 FROM pl WHERE pl.date = pe.date AND pl.province = pe.province)
   UNION ALL SELECT * FROM pl)"""
+    q["append_results"] = f"{J1C} SELECT CAST(t.id AS BIGINT) AS task_id, top10.* FROM top10, (VALUES (1), (2)) t(id)"
     # ---------------- streams: same oracle as their batch form
     q["stream_ad_log_parse"] = q["ad_log_parse"]
     q["stream_ad_user_click_count"] = q["ad_user_click_count"]
@@ -421,6 +431,25 @@ SELECT {D('date')} AS date, province, ad_id, click_count FROM (
     q["stream_ad_province_top3"] = q["ad_province_top3"]
     q["stream_ad_click_trend"] = q["ad_click_trend"]
     q["stream_ad_sliding_count"] = q["ad_sliding_count"]
+    q["stream_ad_click_trend_last_hour"] = q["ad_click_trend_last_hour"]
+    # a batch's watermark: the newest click of the batches before it, less ten days
+    q["stream_ad_click_trend_watermark"] = f"""WITH {ADLOG},
+newest AS (SELECT batch_no, max(ts_ms) AS ms FROM adlog GROUP BY 1),
+late AS (SELECT b.batch_no, max(n.ms) - 10 * 86400000 AS watermark
+         FROM newest b LEFT JOIN newest n ON n.batch_no < b.batch_no GROUP BY 1),
+kept AS (SELECT a.* FROM adlog a JOIN late USING (batch_no)
+         WHERE watermark IS NULL OR (ts_ms // 60000 + 1) * 60000 > watermark)
+{TREND.format(where="").replace("FROM adlog", "FROM kept")}"""
+    q["stream_ad_pipeline"] = f"""WITH {ADLOG}, {FEEDBACK},
+kstat AS (SELECT date, province, city, ad_id, count(*) AS click_count FROM kept GROUP BY 1,2,3,4),
+{PROV_TOP('kstat', 'ktop')},
+ktrend AS ({TREND.format(where="").replace("FROM adlog", "FROM kept")})
+SELECT 'user_click_count' AS result, {D('date')} AS date, concat_ws('|', user_id, ad_id) AS key, count(*) AS n
+FROM kept GROUP BY ALL
+UNION ALL SELECT 'blacklist', '', CAST(user_id AS VARCHAR), 1 FROM breach
+UNION ALL SELECT 'ad_stat', {D('date')}, concat_ws('|', province, city, ad_id), click_count FROM kstat
+UNION ALL SELECT 'province_top', {D('date')}, concat_ws('|', province, ad_id), click_count FROM ktop
+UNION ALL SELECT 'click_trend', date, concat_ws('|', hour, minute, ad_id), click_count FROM ktrend"""
     return q
 
 

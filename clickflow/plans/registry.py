@@ -1,8 +1,10 @@
 """The registered queries: each ``(spark, sf_dir) -> DataFrame`` over the TESTDATA tables.
 
-Parameters are the fixed test parameters of FIXTURES.md §3.  Every query reads
-the whole given tables (through the fixture mapping) and returns a lazy
-DataFrame; the matching DuckDB SQL lives in :mod:`clickflow.plans.oracle`.
+Parameters are the fixed test parameters of FIXTURES.md §3.  The job queries read the
+actions of their date range (S1, the feature); all others read the whole given tables
+(through the fixture mapping).  A call builds its plan anew and returns a lazy DataFrame;
+the queries that write an intermediate, append results or replay a stream run jobs when
+called.  The matching DuckDB SQL lives in :mod:`clickflow.plans.oracle`.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from clickflow.config import configure_session, work_dir
 from clickflow.functions import scalars as S
 from clickflow.functions.udfs import concat_long_string, group_concat_distinct, json_field
 from clickflow.operators import ads, area, category, funnel, sampling, session, tables
-from clickflow.params import AreaParams, FunnelParams, SessionParams, task_param_columns
+from clickflow.params import AdParams, AreaParams, FunnelParams, SessionParams, task_param_columns
 from clickflow.plans.output import to_output
 from clickflow.sources import fixtures as fx
 from clickflow.sources.readers import parse_ad_log, scan_actions_by_date, scan_click_actions
@@ -39,6 +41,7 @@ SESSION_PARAMS_ALL = SessionParams(
 FUNNEL_PARAMS = FunnelParams(flow=(1, 2, 3, 4), start_date=START_DATE, end_date=END_DATE)
 AREA_PARAMS = AreaParams(start_date=START_DATE, end_date=END_DATE, levels=fx.TEST_AREA_LEVELS, level_else="D level")
 BLACKLIST_THRESHOLD = 2
+AD_PARAMS = AdParams(blacklist_threshold=BLACKLIST_THRESHOLD)
 SAMPLE_TOTAL = 100
 SAMPLE_SEED = "42"
 TOP_N_CATEGORIES = 10
@@ -48,29 +51,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
-_SHARED: dict[tuple, DataFrame] = {}
-
-
-def shared(fn):
-    def wrapper(spark, sf, *args):
-        key = (fn.__name__, spark.sparkContext.applicationId, id(spark), sf, repr(args))
-        df = _SHARED.get(key)
-        if df is None:
-            df = _SHARED[key] = fn(spark, sf, *args)
-        return df
-
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
-def query(name: str, memo: bool = True):
-    """Register ``fn`` under ``name``.  With ``memo`` (queries without side effects)
-    the built plan is kept per (session, folder): calling again re-executes the
-    same lazy plan instead of rebuilding it column by column over py4j."""
+def query(name: str):
+    """Register ``fn`` under ``name``."""
 
     def deco(fn):
-        REGISTRY[name] = shared(fn) if memo else fn
+        REGISTRY[name] = fn
         return fn
 
     return deco
@@ -80,35 +65,30 @@ def out(df: DataFrame) -> DataFrame:
     return to_output(df)
 
 
-# ------------------------------------------------------------------ shared inputs
-#
-# Shared intermediate plans are built once per (session, data folder) and reused:
-# a DataFrame is an immutable lazy plan, and using the same one in several
-# branches lets Spark reuse its exchanges instead of recomputing them.
+# ------------------------------------------------------------------ inputs
 
-@shared
 def actions(spark, sf, params: SessionParams | FunnelParams | AreaParams = SESSION_PARAMS) -> DataFrame:
     """The action table restricted to the parameter date range."""
     a = fx.user_visit_action(spark, sf, params.start_date, params.end_date)
     return scan_actions_by_date(a, params.start_date, params.end_date)
 
 
-@shared
+def all_actions(spark, sf) -> DataFrame:
+    return fx.user_visit_action(spark, sf)
+
+
 def sessions_info(spark, sf) -> DataFrame:
     return session.session_aggr_info(session.session_aggr(actions(spark, sf)), fx.user_info(spark, sf))
 
 
-@shared
 def filtered_sessions(spark, sf) -> DataFrame:
     return session.session_filter(sessions_info(spark, sf), SESSION_PARAMS)
 
 
-@shared
 def detail(spark, sf) -> DataFrame:
     return session.session_detail(actions(spark, sf), filtered_sessions(spark, sf))
 
 
-@shared
 def ad_log(spark, sf) -> DataFrame:
     """The ad log text lines parsed once (keeps the arrival batch number)."""
     return parse_ad_log(fx.ad_log_lines(spark, sf), keep=("event_id", "batch_no"))
@@ -132,14 +112,13 @@ def q_click_product_basic(spark, sf):
 
 @query("area_product_click_count")
 def q_area_product_click_count(spark, sf):
-    basic = area.click_product_basic(actions(spark, sf, AREA_PARAMS), fx.city_info(spark, sf), AREA_PARAMS)
-    return out(area.area_product_click_count(basic))
+    return out(area.area_product_click_count(actions(spark, sf, AREA_PARAMS), fx.city_info(spark, sf), AREA_PARAMS))
 
 
 @query("area_full_product_click_count")
 def q_area_full_product_click_count(spark, sf):
-    basic = area.click_product_basic(actions(spark, sf, AREA_PARAMS), fx.city_info(spark, sf), AREA_PARAMS)
-    return out(area.area_full_product_click_count(area.area_product_click_count(basic), fx.product_info(spark, sf)))
+    counts = area.area_product_click_count(actions(spark, sf, AREA_PARAMS), fx.city_info(spark, sf), AREA_PARAMS)
+    return out(area.area_full_product_click_count(counts, fx.product_info(spark, sf)))
 
 
 @query("area_top3_product")
@@ -153,7 +132,7 @@ def q_area_top3_product(spark, sf):
 
 @query("area_top3_product_sql")
 def q_area_top3_product_sql(spark, sf):
-    """The same job through Spark SQL text (temp views + registered SQL functions)."""
+    """The same job through Spark SQL text (frames as arguments, registered SQL functions)."""
     from clickflow.plans.sql import area_top_products_sql
 
     return out(
@@ -165,7 +144,7 @@ def q_area_top3_product_sql(spark, sf):
 
 @query("udf_concat_long_string")
 def q_udf_concat_long_string(spark, sf):
-    basic = area.click_product_basic(actions(spark, sf, AREA_PARAMS), fx.city_info(spark, sf), AREA_PARAMS)
+    basic = area.click_product_basic(all_actions(spark, sf), fx.city_info(spark, sf))
     return out(basic.select("product_id", concat_long_string("city_id", "city_name", ":").alias("city_info")))
 
 
@@ -183,7 +162,7 @@ def q_udf_json_field(spark, sf):
 
 @query("udaf_group_concat_distinct")
 def q_udaf_group_concat_distinct(spark, sf):
-    basic = area.click_product_basic(actions(spark, sf, AREA_PARAMS), fx.city_info(spark, sf), AREA_PARAMS)
+    basic = area.click_product_basic(all_actions(spark, sf), fx.city_info(spark, sf))
     return out(basic.groupBy("product_id").agg(group_concat_distinct("city_name").alias("city_names")))
 
 
@@ -262,17 +241,18 @@ def q_category_counts(spark, sf):
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Run an intermediate that one query reads several times once.
-
-    Column pruning gives every branch its own projection, so Spark cannot reuse one
-    exchange across them and would recompute the whole session pipeline per
-    branch.  The intermediate is written once as a parquet table in the shared work
-    folder (:func:`clickflow.operators.tables.materialize`).  Queries using this
-    are not memoized: every call pays for its own write.
-    """
+    """Run an intermediate that one query reads several times once: column pruning gives every
+    branch its own projection, so Spark can't reuse one exchange across them.  It holds
+    only the columns that are read, and is removed when the driver ends."""
     return tables.materialize(df, "query-intermediate")
 
 
+def kept_for_sampling(spark, sf) -> DataFrame:
+    return materialize(
+        filtered_sessions(spark, sf).select("session_id", "start_time", "search_keywords", "click_category_ids")
+    )
+
+
 def _top10(d: DataFrame) -> DataFrame:
     return category.top_categories(category.category_counts(d), TOP_N_CATEGORIES)
 
@@ -287,16 +267,21 @@ def q_category_session_counts(spark, sf):
     return out(category.category_session_counts(detail(spark, sf)))
 
 
-@query("top10_category_session", memo=False)
+def _top_sessions(spark, sf) -> DataFrame:
+    """The top sessions of the top categories, from one narrow aggregate."""
+    totals = materialize(category.category_session_totals(detail(spark, sf)))
+    top = category.top_categories(category.sum_categories(totals), TOP_N_CATEGORIES)
+    return category.top_sessions(totals, top, TOP_N_SESSIONS)
+
+
+@query("top10_category_session")
 def q_top10_category_session(spark, sf):
-    d = materialize(detail(spark, sf))
-    return out(category.top_sessions(d, _top10(d), TOP_N_SESSIONS))
+    return out(_top_sessions(spark, sf))
 
 
-@query("top10_session_detail", memo=False)
+@query("top10_session_detail")
 def q_top10_session_detail(spark, sf):
-    d = materialize(detail(spark, sf))
-    return out(category.top_session_detail(d, category.top_sessions(d, _top10(d), TOP_N_SESSIONS)))
+    return out(category.top_session_detail(detail(spark, sf), _top_sessions(spark, sf)))
 
 
 @query("session_hour_counts")
@@ -304,22 +289,22 @@ def q_session_hour_counts(spark, sf):
     return out(sampling.session_hour_counts(filtered_sessions(spark, sf)))
 
 
-@query("session_sample_quota", memo=False)
+@query("session_sample_quota")
 def q_session_sample_quota(spark, sf):
-    return out(sampling.sample_quota(materialize(filtered_sessions(spark, sf)), SAMPLE_TOTAL))
+    return out(sampling.sample_quota(kept_for_sampling(spark, sf), SAMPLE_TOTAL))
 
 
-@query("session_sample", memo=False)
+@query("session_sample")
 def q_session_sample(spark, sf):
-    sampled = sampling.sample(materialize(filtered_sessions(spark, sf)), SAMPLE_TOTAL, SAMPLE_SEED)
+    sampled = sampling.sample(kept_for_sampling(spark, sf), SAMPLE_TOTAL, SAMPLE_SEED)
     return out(sampled.select("session_id", "date", "hour", "start_time", "search_keywords", "click_category_ids"))
 
 
-@query("session_sample_detail", memo=False)
+@query("session_sample_detail")
 def q_session_sample_detail(spark, sf):
-    kept = materialize(filtered_sessions(spark, sf))
-    sampled = sampling.sample(kept, SAMPLE_TOTAL, SAMPLE_SEED)
-    return out(sampling.sample_detail(session.session_detail(actions(spark, sf), kept), sampled))
+    # a sampled session is a kept one, so its actions are its detail
+    sampled = sampling.sample(kept_for_sampling(spark, sf), SAMPLE_TOTAL, SAMPLE_SEED)
+    return out(sampling.sample_detail(actions(spark, sf), sampled))
 
 
 # ------------------------------------------------------------------ J2 funnel
@@ -358,7 +343,7 @@ def q_page_convert_rate_encoded(spark, sf):
 
 
 def _session_kv(spark, sf) -> DataFrame:
-    s = session.session_aggr(actions(spark, sf))
+    s = session.session_aggr(all_actions(spark, sf))
     enc = S.kv_encode(
         [
             ("sessionid", F.col("session_id")),
@@ -401,7 +386,7 @@ def q_kv_set(spark, sf):
 
 @query("scalar_strings")
 def q_scalar_strings(spark, sf):
-    s = session.session_aggr(actions(spark, sf))
+    s = session.session_aggr(all_actions(spark, sf))
     kw = F.array_join("search_keywords", ",")
     hour = F.hour("start_time").cast("string")
     return out(
@@ -418,7 +403,7 @@ def q_scalar_strings(spark, sf):
 
 @query("scalar_dates")
 def q_scalar_dates(spark, sf):
-    a = actions(spark, sf)
+    a = all_actions(spark, sf)
     text = S.format_time("action_time")
     return out(
         a.select(
@@ -441,7 +426,7 @@ def q_scalar_dates(spark, sf):
 
 @query("scalar_round")
 def q_scalar_round(spark, sf):
-    a = actions(spark, sf)
+    a = all_actions(spark, sf)
     g = a.groupBy("user_id").agg(
         F.count(F.col("click_category_id")).alias("clicks"), F.count(F.lit(1)).alias("actions")
     )
@@ -468,8 +453,16 @@ def q_task_params(spark, sf):
 
 @query("scalar_today")
 def q_scalar_today(spark, sf):
-    a = fx.table(spark, sf, "events").select("event_id")
-    return out(a.select("event_id", S.today().alias("today"), S.yesterday().alias("yesterday")))
+    day = F.to_date("ts")
+    return out(
+        fx.table(spark, sf, "events").select(
+            "event_id",
+            S.today().alias("today"),
+            S.yesterday().alias("yesterday"),
+            F.date_diff(S.today(), day).alias("days_ago"),
+            (day <= S.yesterday()).alias("by_yesterday"),
+        )
+    )
 
 
 # ------------------------------------------------------------------ J4 ads (batch form)
@@ -485,18 +478,23 @@ def q_ad_user_click_count(spark, sf):
     return out(ads.user_click_counts(ad_log(spark, sf)))
 
 
-@shared
 def _blacklist(spark, sf) -> DataFrame:
-    log = ad_log(spark, sf)
-    accumulated = ads.user_click_counts(log.filter(F.col("batch_no") < 2))
-    batch = ads.user_click_counts(log.filter(F.col("batch_no") >= 2))
-    _, users = ads.generate_blacklist(batch, accumulated, BLACKLIST_THRESHOLD)
-    return users
+    """Users of the late batches whose accumulated count reaches the threshold: early and late
+    counts come from one aggregate, so the log is read once."""
+    late = F.col("batch_no") >= 2
+    counts = ad_log(spark, sf).groupBy(*ads.USER_AD_KEYS).agg(
+        F.count(F.when(~late, F.lit(1))).alias("early"), F.count(F.when(late, F.lit(1))).alias("late")
+    )
+    keys = list(ads.USER_AD_KEYS)
+    batch = counts.filter("late > 0").select(*keys, (F.col("early") + F.col("late")).alias("click_count"))
+    return batch.filter(F.col("click_count") >= BLACKLIST_THRESHOLD).select("user_id").distinct()
 
 
 @query("ad_blacklist_generate")
 def q_ad_blacklist_generate(spark, sf):
-    return out(_blacklist(spark, sf))
+    accumulated, batch = _early_late(spark, sf, ads.user_click_counts)
+    _, users = ads.generate_blacklist(batch, accumulated, BLACKLIST_THRESHOLD)
+    return out(users)
 
 
 @query("ad_blacklist_filter")
@@ -537,7 +535,7 @@ def q_ad_click_trend_last_hour(spark, sf):
 
 @query("ad_sliding_count")
 def q_ad_sliding_count(spark, sf):
-    return out(ads.sliding_count(ad_log(spark, sf), "60 minutes", "10 minutes"))
+    return out(ads.sliding_count(ad_log(spark, sf), AD_PARAMS.window, AD_PARAMS.slide))
 
 
 # ------------------------------------------------------------------ result-table semantics
@@ -573,7 +571,7 @@ def q_replace_groups(spark, sf):
     return out(tables.replace_groups(target, updates, ("date", "province")))
 
 
-@query("append_results", memo=False)
+@query("append_results")
 def q_append_results(spark, sf):
     path = work_dir(spark, "append_results")
     tables.append(_top10(detail(spark, sf)), path, task_id=1)

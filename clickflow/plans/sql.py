@@ -19,7 +19,7 @@ AREA_TOP_SQL = """
 WITH basic AS (
   SELECT c.area, a.click_product_id AS product_id,
          concat_long_string(a.city_id, c.city_name, ':') AS city_info
-  FROM user_visit_action a JOIN city_info c ON a.city_id = c.city_id
+  FROM {{user_visit_action}} a JOIN {{city_info}} c ON a.city_id = c.city_id
   WHERE a.click_product_id IS NOT NULL{date_range}
 ),
 area_product AS (
@@ -31,7 +31,7 @@ area_product AS (
 area_full_product AS (
   SELECT t.area, t.product_id, t.click_count, t.city_infos, p.product_name,
          IF(json_field(p.extend_info, 'product_status') = '0', 'self', 'third party') AS product_status
-  FROM area_product t JOIN product_info p ON t.product_id = p.product_id
+  FROM area_product t JOIN {{product_info}} p ON t.product_id = p.product_id
 )
 SELECT area,
        coalesce(element_at(:levels, area), :level_else) AS area_level,
@@ -51,11 +51,9 @@ def area_top_products_sql(
     products: DataFrame,
     params: AreaParams = AreaParams(),
 ) -> DataFrame:
-    """Register the three inputs as temp views and run :data:`AREA_TOP_SQL`."""
+    """Run :data:`AREA_TOP_SQL` on the three inputs, which are passed to it as arguments: no
+    view of the session is made or replaced."""
     register_sql_functions(spark)
-    actions.createOrReplaceTempView("user_visit_action")
-    cities.createOrReplaceTempView("city_info")
-    products.createOrReplaceTempView("product_info")
     args = {
         "levels": F.create_map(*[F.lit(x) for kv in params.levels.items() for x in kv]),
         "level_else": params.level_else,
@@ -68,4 +66,5 @@ def area_top_products_sql(
     if params.end_date is not None:
         date_range += "\n    AND a.date <= CAST(:end_date AS DATE)"
         args["end_date"] = params.end_date
-    return spark.sql(AREA_TOP_SQL.format(date_range=date_range), args=args)
+    text = AREA_TOP_SQL.format(date_range=date_range)
+    return spark.sql(text, args=args, user_visit_action=actions, city_info=cities, product_info=products)

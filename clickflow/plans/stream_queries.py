@@ -7,11 +7,16 @@ sink as a batch DataFrame; the oracle is the same SQL as the batch form.
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickflow.config import work_dir
+from clickflow.operators import ads
 from clickflow.plans.output import to_output
-from clickflow.plans.registry import BLACKLIST_THRESHOLD, LOG_COLS, query
+from clickflow.plans.registry import AD_PARAMS, BLACKLIST_THRESHOLD, LOG_COLS, query
 from clickflow.sources import fixtures as fx
 from clickflow.sources.readers import parse_ad_log
 from clickflow.streaming import ads_stream as st
@@ -30,7 +35,7 @@ def _run(spark: SparkSession, sf: str, name: str, starter) -> str:
     return base
 
 
-@query("stream_ad_log_parse", memo=False)
+@query("stream_ad_log_parse")
 def q_stream_ad_log_parse(spark, sf):
     def starter(log, base, trigger):
         return st.start_log_sink(log, f"{base}/out", f"{base}/ckpt", trigger=trigger)
@@ -39,7 +44,7 @@ def q_stream_ad_log_parse(spark, sf):
     return to_output(spark.read.parquet(f"{base}/out").select("event_id", "batch_no", *LOG_COLS))
 
 
-@query("stream_ad_user_click_count", memo=False)
+@query("stream_ad_user_click_count")
 def q_stream_ad_user_click_count(spark, sf):
     holder = {}
 
@@ -51,7 +56,7 @@ def q_stream_ad_user_click_count(spark, sf):
     return to_output(holder["t"].read())
 
 
-@query("stream_ad_blacklist", memo=False)
+@query("stream_ad_blacklist")
 def q_stream_ad_blacklist(spark, sf):
     def starter(log, base, trigger):
         counts = st.changelog(spark, f"{base}/counts", "counts")
@@ -76,27 +81,70 @@ def _table_query(spark, sf, name, kind, start_fn, **kw):
     return holder["t"].read()
 
 
-@query("stream_ad_stat", memo=False)
+@query("stream_ad_stat")
 def q_stream_ad_stat(spark, sf):
     return to_output(_table_query(spark, sf, "stream_ad_stat", "ad_stat", st.start_ad_stat))
 
 
-@query("stream_ad_province_top3", memo=False)
+@query("stream_ad_province_top3")
 def q_stream_ad_province_top3(spark, sf):
     return to_output(_table_query(spark, sf, "stream_ad_province_top3", "province_top", st.start_province_top))
 
 
-@query("stream_ad_click_trend", memo=False)
+@query("stream_ad_click_trend")
 def q_stream_ad_click_trend(spark, sf):
     return to_output(_table_query(spark, sf, "stream_ad_click_trend", "click_trend", st.start_click_trend))
 
 
-@query("stream_ad_sliding_count", memo=False)
-def q_stream_ad_sliding_count(spark, sf):
+@query("stream_ad_click_trend_last_hour")
+def q_stream_ad_click_trend_last_hour(spark, sf):
+    """The last hour, read back from the trend table of the stream."""
+    trend = _table_query(spark, sf, "stream_ad_click_trend_last_hour", "click_trend", st.start_click_trend)
+    return to_output(ads.last_of_trend(trend, "60 minutes"))
+
+
+@query("stream_ad_click_trend_watermark")
+def q_stream_ad_click_trend_watermark(spark, sf):
+    """A click whose minute has ended before the watermark (ten days behind the newest
+    click of the batches before) is dropped and its state is gone."""
     return to_output(
         _table_query(
-            spark, sf, "stream_ad_sliding_count", "sliding", st.start_sliding_count,
-            window="60 minutes", slide="10 minutes",
+            spark, sf, "stream_ad_click_trend_watermark", "click_trend", st.start_click_trend, watermark="10 days"
         )
     )
 
+
+@query("stream_ad_sliding_count")
+def q_stream_ad_sliding_count(spark, sf):
+    buckets = _table_query(
+        spark, sf, "stream_ad_sliding_count", "buckets", st.start_sliding_count, slide=AD_PARAMS.slide
+    )
+    return to_output(ads.spread_buckets(buckets, AD_PARAMS.window, AD_PARAMS.slide))
+
+
+@query("stream_ad_pipeline")
+def q_stream_ad_pipeline(spark, sf):
+    """The whole job in one stream; every result table as rows of (result, date, key, n)."""
+    holder = {}
+
+    def starter(log, base, trigger):
+        params = replace(AD_PARAMS, trigger=trigger)
+        q, holder["p"] = st.start_ad_pipeline(log, f"{base}/out", params)
+        return q
+
+    _run(spark, sf, "stream_ad_pipeline", starter)
+    r = holder["p"].results()
+    day = F.date_format("date", "yyyy-MM-dd")
+    parts = [
+        ("user_click_count", r["user_click_count"], day, ("user_id", "ad_id"), F.col("click_count")),
+        ("blacklist", r["blacklist"], F.lit(""), ("user_id",), F.lit(1)),
+        ("ad_stat", r["ad_stat"], day, ("province", "city", "ad_id"), F.col("click_count")),
+        ("province_top", r["province_top"], day, ("province", "ad_id"), F.col("click_count")),
+        ("click_trend", r["click_trend"], F.col("date"), ("hour", "minute", "ad_id"), F.col("click_count")),
+        ("rejects", r["rejects"], F.lit(""), ("missing",), F.col("n_lines")),
+    ]
+    rows = [
+        df.select(F.lit(name).alias("result"), d.alias("date"), F.concat_ws("|", *keys).alias("key"), n.cast("bigint").alias("n"))
+        for name, df, d, keys, n in parts
+    ]
+    return reduce(DataFrame.unionByName, rows)

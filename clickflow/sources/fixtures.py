@@ -16,17 +16,8 @@ from clickflow.config import configure_session
 EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One DataFrame per (session, table): the file listing and footer read happen once,
-    and repeated use inside one plan lets Spark reuse the scan's exchanges."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), name)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _k() -> Column:
@@ -76,7 +67,7 @@ def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer ⋈ nation (nation is the fixed 25-row dimension)."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "inner").select(
+    return c.join(n, c.c_nationkey == n.n_nationkey, "inner").select(
         F.col("c_custkey").alias("user_id"),
         F.concat(F.lit("user"), F.col("c_custkey").cast("string")).alias("username"),
         F.col("c_name").alias("name"),
@@ -102,7 +93,7 @@ def city_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation ⋈ region: 25 cities in 5 areas (both fixed-size dimensions)."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "inner").select(
+    return n.join(r, n.n_regionkey == r.r_regionkey, "inner").select(
         F.col("n_nationkey").cast("bigint").alias("city_id"),
         F.col("n_name").alias("city_name"),
         F.col("r_name").alias("area"),
@@ -123,7 +114,7 @@ def ad_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "click").withColumn("k", _k())
     ev = ev.withColumn("city_id", (F.col("user_id") + F.col("event_id")) % 25)
     cities = city_info(spark, sf_dir)
-    j = ev.join(F.broadcast(cities), "city_id", "inner")
+    j = ev.join(cities, "city_id", "inner")
     micros = F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), F.col("ts"))
     ms = F.floor(micros / F.lit(1000)).cast("bigint")
     value = F.concat_ws(

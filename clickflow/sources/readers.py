@@ -6,6 +6,7 @@ prunes partitions when the action table is partitioned by ``date``).
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,21 +88,42 @@ def scan_click_actions(actions: DataFrame, start_date: str | None = None, end_da
     )
 
 
+# Epoch milliseconds of the years 1 to 9999: beyond them a time has no text form.
+FIRST_MS, LAST_MS = -62135596800000, 253402300799999
+
+
 def parse_ad_log(lines: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """``"<epoch ms> <province> <city> <user_id> <ad_id>"`` → typed columns, once.
 
-    Adds ``ts`` (timestamp instant) and ``date``.  Malformed numbers become NULL
-    (``try_cast``) rather than failing the batch.
+    Adds ``ts`` (timestamp instant) and ``date``.  No line fails the batch: a missing
+    field, a malformed number and a time out of range become NULL.  :func:`good_ad_lines`
+    and :func:`rejected_ad_lines` split such rows off.
     """
     parts = F.split(F.col(value_col), " ")
-    ms = parts[0].try_cast("bigint")
+    raw = F.get(parts, 0).try_cast("bigint")
+    ms = F.when(raw.between(FIRST_MS, LAST_MS), raw)
     return lines.select(
         *keep,
         ms.alias("ts_ms"),
         millis_to_time(ms).alias("ts"),
         F.to_date(millis_to_time(ms)).alias("date"),
-        parts[1].alias("province"),
-        parts[2].alias("city"),
-        parts[3].try_cast("bigint").alias("user_id"),
-        parts[4].try_cast("bigint").alias("ad_id"),
+        F.get(parts, 1).alias("province"),
+        F.get(parts, 2).alias("city"),
+        F.get(parts, 3).try_cast("bigint").alias("user_id"),
+        F.get(parts, 4).try_cast("bigint").alias("ad_id"),
     )
+
+
+def good_ad_lines(log: DataFrame) -> DataFrame:
+    """Parsed rows with every field."""
+    return log.filter(~_missing_field())
+
+
+def rejected_ad_lines(log: DataFrame) -> DataFrame:
+    """Parsed rows that lack a field, with ``missing``: the first field that is NULL."""
+    first = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in AD_LOG_COLUMNS])
+    return log.filter(_missing_field()).withColumn("missing", first)
+
+
+def _missing_field():
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in AD_LOG_COLUMNS])

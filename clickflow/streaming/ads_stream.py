@@ -4,8 +4,12 @@ Source: Kafka text lines (:func:`clickflow.sources.readers.kafka_stream`) or, in
 tests, a file stream with the same ``value`` column.  Each job parses once (P3)
 and writes through ``foreachBatch`` into a :class:`ChangelogTable`: micro-batch
 ``b`` writes only its changes, into a folder named by ``b``, so a batch replayed
-after a failure overwrites itself and totals are never added twice (D14).  Stream state
-(running totals, window counts) lives in Spark's checkpointed state store.
+after a failure overwrites itself and totals are never added twice (D14).
+
+:class:`AdPipeline` is the whole job in one query: all its tables are written from the
+same micro-batch under the same batch id, so a batch that fails between two writes and
+is replayed leaves every table as if it had run once.  The single-table jobs keep
+running totals and minute counts in Spark's checkpointed state store.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from clickflow.operators import ads
 from clickflow.operators.tables import ChangelogTable
 from clickflow.params import AdParams
+from clickflow.sources.readers import good_ad_lines, rejected_ad_lines
 
 DATE_T = T.DateType()
 USER_COUNT_SCHEMA = T.StructType(
@@ -48,6 +53,7 @@ TOP_SCHEMA = T.StructType(
         T.StructField("click_count", T.LongType()),
     ]
 )
+REJECT_SCHEMA = T.StructType([T.StructField("missing", T.StringType()), T.StructField("n_lines", T.LongType())])
 TREND_SCHEMA = T.StructType(
     [
         T.StructField("date", T.StringType()),
@@ -57,10 +63,9 @@ TREND_SCHEMA = T.StructType(
         T.StructField("click_count", T.LongType()),
     ]
 )
-SLIDING_SCHEMA = T.StructType(
+BUCKET_SCHEMA = T.StructType(
     [
-        T.StructField("window_start", T.TimestampType()),
-        T.StructField("window_end", T.TimestampType()),
+        T.StructField("bucket", T.TimestampType()),
         T.StructField("ad_id", T.LongType()),
         T.StructField("click_count", T.LongType()),
     ]
@@ -87,9 +92,10 @@ def start_log_sink(log: DataFrame, path: str, checkpoint: str, trigger: str | No
 
 
 def changelog(spark: SparkSession, path: str, kind: str, compact_every: int = 20) -> ChangelogTable:
-    """The sink table of one ad result: ``counts`` (add), ``blacklist`` (set),
-    ``ad_stat`` / ``click_trend`` / ``sliding`` (replace), ``province_top``
-    (replace per (date, province) group)."""
+    """The sink table of one ad result.  ``counts`` adds; ``blacklist`` is a set; ``ad_stat``,
+    ``click_trend`` and ``buckets`` take running totals and replace, their ``_delta``
+    forms take a batch's own counts and add; ``province_top`` replaces (date, province)
+    groups; ``rejects`` adds lines per first missing field."""
     spec = {
         "counts": (USER_COUNT_SCHEMA, ads.USER_AD_KEYS, "add", ("date",)),
         "blacklist": (BLACKLIST_SCHEMA, ("user_id",), "set", ()),
@@ -97,10 +103,15 @@ def changelog(spark: SparkSession, path: str, kind: str, compact_every: int = 20
         # at most n rows per (date, province) and only read whole: not partitioned
         "province_top": (TOP_SCHEMA, ("date", "province"), "replace_groups", ()),
         "click_trend": (TREND_SCHEMA, ads.TREND_KEYS, "replace", ("date",)),
-        "sliding": (SLIDING_SCHEMA, ("window_start", "window_end", "ad_id"), "replace", ()),
+        "buckets": (BUCKET_SCHEMA, ("bucket", "ad_id"), "replace", ()),
+        "ad_stat_delta": (STAT_SCHEMA, ads.STAT_KEYS, "add", ("date",)),
+        "click_trend_delta": (TREND_SCHEMA, ads.TREND_KEYS, "add", ("date",)),
+        "buckets_delta": (BUCKET_SCHEMA, ("bucket", "ad_id"), "add", ()),
+        "rejects": (REJECT_SCHEMA, ("missing",), "add", ()),
     }[kind]
     schema, keys, mode, part = spec
-    return ChangelogTable(spark, path, schema, keys, mode, partition_by=part, compact_every=compact_every)
+    value = schema.fields[-1].name if mode == "add" else "click_count"
+    return ChangelogTable(spark, path, schema, keys, mode, value, partition_by=part, compact_every=compact_every)
 
 
 def start_user_click_count(
@@ -129,8 +140,8 @@ def start_blacklist(
     The kept clicks of batch ``b`` are written to ``kept_path/b<b>`` (overwrite:
     idempotent on replay) and counted from that written copy, so the source is read
     once per batch.  The lookup reads accumulated counts only for the batch's keys
-    (semi join; partitions of other dates are pruned).  ``kept_path/*`` is itself a
-    file-stream source for the downstream jobs (:func:`start_ad_pipeline`).
+    (semi join; partitions of other dates are pruned).  Both later steps read the
+    written counts of the batch, so each is computed once.
     """
     spark = log.sparkSession
 
@@ -138,8 +149,8 @@ def start_blacklist(
         current = blacklist.read(batch_id - 1)
         kept_dir = f"{kept_path}/b{batch_id:012d}"
         ads.blacklist_filter(df, current).write.mode("overwrite").parquet(kept_dir)
-        batch_counts = ads.user_click_counts(spark.read.parquet(kept_dir))
-        counts.write_batch(batch_counts, batch_id)
+        counts.write_batch(ads.user_click_counts(spark.read.parquet(kept_dir)), batch_id)
+        batch_counts = counts.changes(batch_id)
         totals = counts.read(batch_id, keys=batch_counts.select(*ads.USER_AD_KEYS))
         blacklist.write_batch(ads.blacklist_lookup(batch_counts, totals, threshold), batch_id)
 
@@ -189,7 +200,7 @@ def start_province_top(
 
     def batch(df: DataFrame, batch_id: int) -> None:
         totals.write_batch(df, batch_id)
-        groups = df.select("date", "province")
+        groups = totals.changes(batch_id).select("date", "province")  # the state stage runs once
         table.write_batch(ads.province_top(totals.read(batch_id, keys=groups), n), batch_id)
 
     return _foreach(ads.ad_stat(log), batch, checkpoint, trigger, mode="update")
@@ -214,62 +225,77 @@ def start_click_trend(
 
 
 def start_sliding_count(
-    log: DataFrame, table: ChangelogTable, checkpoint: str, window: str = "60 minutes", slide: str = "10 seconds",
+    log: DataFrame, table: ChangelogTable, checkpoint: str, slide: str = "10 seconds",
     trigger: str | None = "5 seconds", watermark: str | None = None,
 ) -> StreamingQuery:
-    """Counts per ad in sliding windows (state per window), upserted per batch."""
+    """One count per (bucket of a slide, ad) in the state store, upserted per batch into a
+    ``buckets`` table; :func:`clickflow.operators.ads.spread_buckets` makes the sliding
+    windows when it is read."""
     src = log.withWatermark("ts", watermark) if watermark else log
 
     def batch(df: DataFrame, batch_id: int) -> None:
         table.write_batch(df, batch_id)
 
-    counts = ads.sliding_count(src, window, slide, preaggregate=False)
-    return _foreach(counts, batch, checkpoint, trigger, mode="update")
+    return _foreach(ads.bucket_counts(src, slide), batch, checkpoint, trigger, mode="update")
 
 
-def start_ad_pipeline(log: DataFrame, base: str, params: AdParams = AdParams()) -> dict[str, StreamingQuery]:
-    """The whole J4 job.  Stage 1 filters the parsed log by the self-updating
-    blacklist and writes the kept clicks; stage 2 reads those kept clicks as a
-    file stream into the running totals, the per-province top-n and the minute
-    trend (the reference feeds all three from the filtered stream).
+class AdPipeline:
+    """The whole J4 job as one micro-batch function over tables under ``base`` (shared storage).
 
-    All state lives under ``base`` (shared storage): ``kept/``, versioned tables
-    ``counts/``, ``blacklist/``, ``ad_stat/``, ``province_top/``, ``click_trend/``
-    and one checkpoint folder per query.
+    Each micro-batch filters the good lines by the current blacklist, writes the kept
+    clicks, and feeds every result from that written copy: user counts, new blacklisted
+    users (effective from the next batch), running totals, the top-n of the touched
+    (date, province) groups, the minute trend, the buckets of the sliding windows, and the
+    number of rejected lines.  Totals, trend and buckets are changelogs of the batch's own
+    counts, added up when read; reads go up to a batch id.  So a batch may fail between any
+    two writes and be replayed, and nothing is counted twice.
     """
-    spark = log.sparkSession
-    counts = changelog(spark, f"{base}/counts", "counts")
-    blacklist = changelog(spark, f"{base}/blacklist", "blacklist")
-    queries = {
-        "blacklist": start_blacklist(
-            log, f"{base}/kept", counts, blacklist, f"{base}/ckpt/blacklist", params.blacklist_threshold,
-            params.trigger,
-        )
-    }
-    queries.update(start_kept_consumers(spark, log.schema, base, params.top_n, params.trigger, params.watermark))
-    return queries
-
 
-def start_kept_consumers(
-    spark: SparkSession,
-    schema: T.StructType,
-    base: str,
-    top_n: int = 3,
-    trigger: str | None = "5 seconds",
-    trend_watermark: str | None = None,
-) -> dict[str, StreamingQuery]:
-    """Stage 2 of :func:`start_ad_pipeline`: stateful jobs over the kept clicks."""
-    kept = spark.readStream.schema(schema).parquet(f"{base}/kept/*")
-    return {
-        "ad_stat": start_ad_stat(
-            kept, changelog(spark, f"{base}/ad_stat", "ad_stat"), f"{base}/ckpt/ad_stat", trigger
-        ),
-        "province_top": start_province_top(
-            kept, changelog(spark, f"{base}/province_top", "province_top"), f"{base}/ckpt/province_top", top_n,
-            trigger,
-        ),
-        "click_trend": start_click_trend(
-            kept, changelog(spark, f"{base}/click_trend", "click_trend"), f"{base}/ckpt/click_trend", trigger,
-            trend_watermark,
-        ),
+    TABLES = {
+        "counts": "counts", "blacklist": "blacklist", "ad_stat": "ad_stat_delta", "province_top": "province_top",
+        "click_trend": "click_trend_delta", "buckets": "buckets_delta", "rejects": "rejects",
     }
+
+    def __init__(self, spark: SparkSession, base: str, params: AdParams = AdParams(), compact_every: int = 20):
+        self.spark, self.base, self.params = spark, base.rstrip("/"), params
+        for name, kind in self.TABLES.items():
+            setattr(self, name, changelog(spark, f"{self.base}/{name}", kind, compact_every))
+
+    def process(self, df: DataFrame, batch_id: int) -> None:
+        kept_dir = f"{self.base}/kept/b{batch_id % 2}"  # a batch's scratch; the last one is kept
+        current = self.blacklist.read(batch_id - 1)
+        ads.blacklist_filter(good_ad_lines(df), current).write.mode("overwrite").parquet(kept_dir)
+        kept = self.spark.read.schema(df.schema).parquet(kept_dir)
+        rejected = rejected_ad_lines(df).groupBy("missing").agg(F.count(F.lit(1)).alias("n_lines"))
+        self.rejects.write_batch(rejected, batch_id)
+        self.counts.write_batch(ads.user_click_counts(kept), batch_id)
+        batch_counts = self.counts.changes(batch_id)
+        totals = self.counts.read(batch_id, keys=batch_counts.select(*ads.USER_AD_KEYS))
+        self.blacklist.write_batch(ads.blacklist_lookup(batch_counts, totals, self.params.blacklist_threshold), batch_id)
+        self.ad_stat.write_batch(ads.ad_stat(kept), batch_id)
+        groups = self.ad_stat.changes(batch_id).select("date", "province")
+        top = ads.province_top(self.ad_stat.read(batch_id, keys=groups), self.params.top_n)
+        self.province_top.write_batch(top, batch_id)
+        self.click_trend.write_batch(ads.click_trend(kept), batch_id)
+        self.buckets.write_batch(ads.bucket_counts(kept, self.params.slide), batch_id)
+
+    def results(self) -> dict[str, DataFrame]:
+        """The current state of every result table."""
+        trend, buckets = self.click_trend.read(), self.buckets.read()
+        return {
+            "user_click_count": self.counts.read(),
+            "blacklist": self.blacklist.read(),
+            "ad_stat": self.ad_stat.read(),
+            "province_top": self.province_top.read(),
+            "click_trend": trend,
+            "click_trend_last_hour": ads.last_of_trend(trend),
+            "sliding_count": ads.spread_buckets(buckets, self.params.window, self.params.slide),
+            "rejects": self.rejects.read(),
+        }
+
+
+def start_ad_pipeline(log: DataFrame, base: str, params: AdParams = AdParams()) -> tuple[StreamingQuery, AdPipeline]:
+    """Start :class:`AdPipeline` on a parsed log."""
+    pipeline = AdPipeline(log.sparkSession, base, params)
+    query = _foreach(log, pipeline.process, f"{pipeline.base}/ckpt", params.trigger, name=None)
+    return query, pipeline

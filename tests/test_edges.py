@@ -146,6 +146,27 @@ def test_params_from_task_table(spark):
     assert row["startDate"] == "2024-01-05" and row["sex"] is None
 
 
+def _set(df):
+    return {tuple(r) for r in df.collect()}
+
+
+def test_every_bucket_edge(spark):
+    """Each visit and step length at and next to a bucket's bounds falls where the bounds say."""
+    visits = [0, 1, 3, 4, 6, 7, 9, 10, 29, 30, 59, 60, 179, 180, 599, 600, 1799, 1800, 5000]
+    steps = [1, 3, 4, 6, 7, 9, 10, 29, 30, 59, 60, 500]
+    rows = [(f"v{v}", v, 0) for v in visits] + [(f"s{s}", 0, s) for s in steps]
+    df = spark.createDataFrame(rows, "session_id string, visit_length bigint, step_length bigint")
+    got = session.length_stats(df).collect()[0].asDict()
+    want_v = {"1s_3s": 2, "4s_6s": 2, "7s_9s": 2, "10s_30s": 2, "30s_60s": 2, "1m_3m": 2, "3m_10m": 2, "10m_30m": 2, "30m": 2}
+    want_s = {"1_3": 2, "4_6": 2, "7_9": 2, "10_30": 2, "30_60": 2, "60": 2}
+    assert {k: got[f"visit_{k}"] for k in want_v} == want_v
+    assert {k: got[f"step_{k}"] for k in want_s} == want_s
+    for v in visits[1:]:
+        one = session.length_stats(df.filter(F.col("session_id") == f"v{v}")).collect()[0].asDict()
+        hit = [n for n, lo, hi in session.VISIT_BUCKETS if lo <= v and (hi is None or v <= hi)]
+        assert [n for n, _, _ in session.VISIT_BUCKETS if one[f"visit_{n}"]] == hit
+
+
 # ---------------------------------------------------------------- ratios, strings, dates
 
 
@@ -257,7 +278,10 @@ def test_top_session_repeated_per_category(spark):
         1: (1, 1, 0), 2: (1, 1, 0), 3: (0, 0, 1)
     }
     top = category.top_categories(counts)
-    ts_ = category.top_sessions(a, top)
+    totals = category.category_session_totals(a)
+    assert _set(category.sum_categories(totals)) == _set(counts)
+    ts_ = category.top_sessions(totals, top)
+    assert _set(ts_) == _set(category.top_sessions(category.category_session_counts(a), top))
     d = category.top_session_detail(a, ts_)
     assert d.filter(F.col("session_id") == "s1").count() == 4  # 2 actions × 2 categories (D11)
     assert category.top_session_detail(a, ts_, distinct=True).count() == 2
@@ -319,6 +343,24 @@ def test_upsert_add_replace_split_groups(spark):
     assert grp == {("b", 1, 3), ("c", 2, 1)}
 
 
+def test_null_keys_merge_once(spark):
+    schema = "k string, g bigint, click_count bigint"
+    target = spark.createDataFrame([(None, 1, 1), ("b", None, 2), ("c", 3, 3)], schema)
+    upd = spark.createDataFrame([(None, 1, 5), ("b", None, 6), ("d", None, 7)], schema)
+    assert _set(tables.upsert_replace(target, upd, ["k", "g"])) == {
+        (None, 1, 5), ("b", None, 6), ("c", 3, 3), ("d", None, 7)
+    }
+    assert _set(tables.upsert_add(target, upd, ["k", "g"])) == {(None, 1, 6), ("b", None, 8), ("c", 3, 3), ("d", None, 7)}
+    ins, up = tables.upsert_split(target, upd, ["k", "g"])
+    assert _set(ins) == {("d", None, 7)} and _set(up) == {(None, 1, 5), ("b", None, 6)}
+    assert _set(tables.replace_groups(target, upd, ["g"])) == {(None, 1, 5), ("b", None, 6), ("d", None, 7), ("c", 3, 3)}
+
+
+def test_string_ends_are_ends_of_text(spark):
+    df = spark.createDataFrame([("a,\n",), (",a,",)], "s string")
+    assert [r[0] for r in df.select(S.trim_comma("s")).collect()] == ["a,\n", "a"]
+
+
 def test_upsert_add_of_split_batches_equals_one_batch(spark):
     b1 = spark.createDataFrame([("a", 1), ("b", 2)], "k string, click_count bigint")
     b2 = spark.createDataFrame([("a", 3), ("c", 1)], "k string, click_count bigint")

@@ -1,13 +1,19 @@
-"""Whole-job entry points and the two-stage ad streaming pipeline."""
+"""Whole-job entry points and the ad streaming pipeline."""
 
+import datetime as dt
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from clickflow.config import work_dir
-from clickflow.operators import ads
+from clickflow.operators import ads, tables
+from clickflow.operators.tables import ChangelogTable
+from clickflow.params import AdParams
 from clickflow.plans import jobs
 from clickflow.plans import registry as Q
 from clickflow.sources import fixtures as fx
-from clickflow.sources.readers import parse_ad_log
+from clickflow.sources.readers import good_ad_lines, parse_ad_log, rejected_ad_lines
 from clickflow.streaming import ads_stream as st
 from clickflow.streaming.harness import replay
 from tests.conftest import SF001
@@ -43,39 +49,6 @@ def test_page_and_area_jobs(spark):
     assert top["area_top3_product"].count() == Q.REGISTRY["area_top3_product"](spark, SF001).count()
 
 
-def test_two_stage_ad_pipeline_equals_batch(spark):
-    base = work_dir(spark, "test-pipeline")
-    lines = fx.ad_log_lines(spark, SF001)
-    counts = st.changelog(spark, f"{base}/counts", "counts")
-    bl = st.changelog(spark, f"{base}/blacklist", "blacklist")
-
-    def start(stream, trigger):
-        log = parse_ad_log(stream, keep=("event_id", "batch_no"))
-        return st.start_blacklist(log, f"{base}/kept", counts, bl, f"{base}/ckpt/blacklist", threshold=2,
-                                  trigger=trigger)
-
-    replay(spark, lines, "batch_no", f"{base}/source", start)
-    schema = spark.read.parquet(f"{base}/kept/*").schema
-    qs = st.start_kept_consumers(spark, schema, base, trigger=None)
-    for q in qs.values():
-        q.awaitTermination(300)
-        assert q.exception() is None
-
-    log = parse_ad_log(lines, keep=("event_id", "batch_no"))
-    kept = ads.blacklist_feedback(log, 2)
-    assert _rows(st.changelog(spark, f"{base}/ad_stat", "ad_stat").read()) == _rows(ads.ad_stat(kept))
-    assert _rows(st.changelog(spark, f"{base}/province_top", "province_top").read()) == _rows(
-        ads.province_top(ads.ad_stat(kept), 3)
-    )
-    assert _rows(st.changelog(spark, f"{base}/click_trend", "click_trend").read()) == _rows(ads.click_trend(kept))
-    # no click of a blacklisted user survives past the batch in which it was blacklisted
-    final_bl = {r[0] for r in bl.read().collect()}
-    assert final_bl
-    later = spark.read.parquet(f"{base}/kept/*").filter(F.col("user_id").isin(list(final_bl)))
-    breach = ads.blacklist_feedback(log, 2).groupBy("user_id").agg(F.max("batch_no").alias("last"))
-    assert later.join(breach, "user_id").filter(F.col("batch_no") > F.col("last")).count() == 0
-
-
 def test_ad_stat_with_date_watermark_matches_batch(spark):
     base = work_dir(spark, "test-ad-stat-wm")
     lines = fx.ad_log_lines(spark, SF001)
@@ -90,32 +63,163 @@ def test_ad_stat_with_date_watermark_matches_batch(spark):
     assert _rows(table.read()) == _rows(ads.ad_stat(log))
 
 
-def test_start_ad_pipeline_end_to_end(spark):
-    """The live pipeline (processing-time triggers, both stages running at once)."""
-    from clickflow.params import AdParams
-    from clickflow.streaming.harness import _rename, _staged_batches
+def _check_pipeline(p, kept, n_rejected=0):
+    """Every table of the pipeline equals its batch result over the kept clicks."""
+    r = p.results()
+    assert _rows(r["user_click_count"]) == _rows(ads.user_click_counts(kept))
+    assert _rows(r["ad_stat"]) == _rows(ads.ad_stat(kept))
+    assert _rows(r["province_top"]) == _rows(ads.province_top(ads.ad_stat(kept), 3))
+    assert _rows(r["click_trend"]) == _rows(ads.click_trend(kept))
+    assert _rows(r["click_trend_last_hour"]) == _rows(ads.click_trend(kept, last="60 minutes"))
+    assert _rows(p.buckets.read()) == _rows(ads.bucket_counts(kept, p.params.slide))
+    assert sum(x["n_lines"] for x in r["rejects"].collect()) == n_rejected
+
 
+def test_start_ad_pipeline_end_to_end(spark):
+    """The live pipeline with processing-time triggers, one query for all tables."""
     base = work_dir(spark, "test-live-pipeline")
     lines = fx.ad_log_lines(spark, SF001)
-    lines.withColumn("_a", F.col("batch_no")).write.partitionBy("_a").parquet(f"{base}/staging")
-    staged = sorted(_staged_batches(spark, f"{base}/staging", "_a"), key=lambda x: int(x[0]))
-    _rename(spark, staged[0][1], f"{base}/source/b0")
-    stream = spark.readStream.schema(lines.schema).parquet(f"{base}/source/*")
-    log = parse_ad_log(stream, keep=("event_id", "batch_no"))
-    qs = st.start_ad_pipeline(log, f"{base}/out", AdParams(blacklist_threshold=2, trigger="0 seconds"))
-    try:
-        qs["blacklist"].processAllAvailable()
-        for i, (_, folder) in enumerate(staged[1:], start=1):
-            _rename(spark, folder, f"{base}/source/b{i}")
-            qs["blacklist"].processAllAvailable()
-        for name in ("ad_stat", "province_top", "click_trend"):
-            qs[name].processAllAvailable()
-    finally:
-        for q in qs.values():
-            q.stop()
+    holder = {}
+
+    def start(stream, trigger):
+        log = parse_ad_log(stream, keep=("event_id", "batch_no"))
+        q, holder["p"] = st.start_ad_pipeline(log, f"{base}/out", AdParams(blacklist_threshold=2, trigger="0 seconds"))
+        return q
+
+    replay(spark, lines, "batch_no", f"{base}/source", start)
     kept = ads.blacklist_feedback(parse_ad_log(lines, keep=("event_id", "batch_no")), 2)
-    assert _rows(st.changelog(spark, f"{base}/out/ad_stat", "ad_stat").read()) == _rows(ads.ad_stat(kept))
-    assert _rows(st.changelog(spark, f"{base}/out/click_trend", "click_trend").read()) == _rows(ads.click_trend(kept))
-    assert _rows(st.changelog(spark, f"{base}/out/province_top", "province_top").read()) == _rows(
-        ads.province_top(ads.ad_stat(kept), 3)
-    )
+    _check_pipeline(holder["p"], kept)
+    assert holder["p"].blacklist.read().count() > 0
+
+
+@pytest.mark.parametrize("fail_at", range(8))
+def test_a_batch_that_fails_between_writes_is_replayed_exactly_once(spark, monkeypatch, fail_at):
+    """Fail every batch after its n-th table write, replay it twice, and compare."""
+    rows = [(f"{1704067200000 + 1000 * i} p{i % 2} c {i % 5} {i % 3}", i // 10) for i in range(40)]
+    rows += [("", 1), ("short line", 2), ("99999999999999999999 p c 1 1", 2), (None, 3)]
+    log = parse_ad_log(spark.createDataFrame(rows, "value string, batch_no int"), keep=("batch_no",))
+    p = st.AdPipeline(spark, work_dir(spark, "test-replay"), AdParams(blacklist_threshold=3), compact_every=2)
+    real, left = ChangelogTable._write, [0]
+
+    def write(self, df, path):
+        real(self, df, path)
+        left[0] -= 1
+        if left[0] == 0:
+            raise OSError("lost")
+
+    monkeypatch.setattr(ChangelogTable, "_write", write)
+    for b in range(4):
+        batch = log.filter(F.col("batch_no") == b)
+        left[0] = fail_at
+        if fail_at:
+            with pytest.raises(OSError):
+                p.process(batch, b)
+        left[0] = 0
+        p.process(batch, b)
+        if fail_at % 2:
+            p.process(batch, b)  # replayed although it had ended well
+    _check_pipeline(p, ads.blacklist_feedback(good_ad_lines(log), 3), n_rejected=4)
+
+
+def test_bad_lines_and_null_keys_agree_in_batch_and_stream(spark):
+    lines = ["1704067200000 p c 1 1", "", "x", "1704067200000 p c", "1704067200000 p c u 1", "-99999999999999999 p c 1 1",
+             "1704067200000  c 1 1", "9223372036854775807 p c 1 1", "253402300799999 p c 1 1"]
+    log = parse_ad_log(spark.createDataFrame([(x, i % 2) for i, x in enumerate(lines)], "value string, b int"), keep=("b",))
+    assert log.count() == len(lines)
+    assert [r.ts_ms for r in good_ad_lines(log).collect()] == [1704067200000, 1704067200000, 253402300799999]
+    missing = {r.missing: r.n for r in rejected_ad_lines(log).groupBy("missing").agg(F.count("*").alias("n")).collect()}
+    assert missing == {"ts_ms": 4, "user_id": 2}
+    # rows with NULL keys, taken through the tables as they are
+    target, updates = ads.ad_stat(log.filter("b = 0")), ads.ad_stat(log.filter("b = 1"))
+    add = tables.upsert_add(target, updates, ads.STAT_KEYS)
+    assert _rows_n(add) == _rows_n(ads.ad_stat(log))
+    t = st.changelog(spark, work_dir(spark, "test-null-keys"), "ad_stat_delta")
+    t.write_batch(target, 0)
+    t.write_batch(updates, 1)
+    assert _rows_n(t.read()) == _rows_n(add)
+    keys = updates.select(*ads.STAT_KEYS)
+    assert _rows_n(t.read(keys=keys)) == _rows_n(tables.by_key(add, keys, ads.STAT_KEYS, "left_semi"))
+
+
+def _rows_n(df):
+    return sorted((tuple(str(x) for x in r) for r in df.collect()))
+
+
+def test_stream_trend_drops_late_clicks_behind_the_watermark(spark):
+    base = work_dir(spark, "test-trend-wm")
+    at = lambda s: int(dt.datetime.fromisoformat(s).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    rows = [(f"{at('2024-01-01T10:00:05')} p c 1 1", 0), (f"{at('2024-01-01T12:00:00')} p c 1 1", 0),
+            (f"{at('2024-01-01T10:00:30')} p c 1 1", 1), (f"{at('2024-01-01T11:30:00')} p c 1 1", 1)]
+    table = st.changelog(spark, f"{base}/table", "click_trend")
+
+    def start(stream, trigger):
+        return st.start_click_trend(parse_ad_log(stream), table, f"{base}/ckpt", trigger, watermark="1 hour")
+
+    replay(spark, spark.createDataFrame(rows, "value string, batch_no int"), "batch_no", f"{base}/source", start)
+    got = {(r.hour, r.minute): r.click_count for r in table.read().collect()}
+    assert got == {("10", "00"): 1, ("11", "30"): 1, ("12", "00"): 1}
+
+
+def _tasks(spark):
+    param = ('{"startDate": ["2024-01-05"], "endDate": ["2024-01-20"], "startAge": ["10"], "endAge": ["50"],'
+             ' "sex": ["male"], "targetPageFlow": ["1,2,3,4"]}')
+    return spark.createDataFrame([(7, param)], "task_id bigint, task_param string")
+
+
+def test_jobs_from_task_row_to_tables(spark):
+    base, tasks, a = work_dir(spark, "test-task-jobs"), _tasks(spark), fx.user_visit_action(spark, SF001)
+    before = _work_folders(spark)
+    paths = jobs.run_session_job(tasks, 7, a, fx.user_info(spark, SF001), base, seed=Q.SAMPLE_SEED)
+    assert _work_folders(spark) == before  # intermediates are gone
+    paths |= jobs.run_page_job(tasks, 7, a, base)
+    paths |= jobs.run_area_job(tasks, 7, a, fx.city_info(spark, SF001), fx.product_info(spark, SF001), base)
+    assert set(paths) == {
+        "session_aggr_stat", "session_random_extract", "session_detail", "top10_category", "top10_category_session",
+        "top10_session_detail", "page_split_convert_rate", "page_split_rates", "area_top3_product",
+    }
+    for name, path in paths.items():
+        rows = spark.read.parquet(path)
+        assert rows.columns[0] == "task_id" and {r[0] for r in rows.select("task_id").collect()} == {7}, name
+    got = spark.read.parquet(paths["top10_category_session"]).drop("task_id")
+    assert _rows(got) == _rows(Q.REGISTRY["top10_category_session"](spark, SF001))
+    detail = spark.read.parquet(paths["session_detail"])
+    assert detail.count() == Q.REGISTRY["session_sample_detail"](spark, SF001).count()
+
+
+def _work_folders(spark):
+    from clickflow.config import checkpoint_root, local_path
+
+    folder = os.path.join(local_path(checkpoint_root(spark)), "clickflow")
+    return {x for x in os.listdir(folder) if x.startswith(("kept-sessions", "category-sessions"))} if os.path.isdir(folder) else set()
+
+
+def test_every_result_has_a_database_table_of_its_own(spark, monkeypatch):
+    """No database runs here: only what the JDBC writer would be told is checked."""
+    told = []
+
+    class Writer:
+        def __init__(self, **o):
+            self.o = o
+
+        def mode(self, m):
+            return Writer(**self.o, mode=m)
+
+        def format(self, f):
+            return Writer(**self.o, format=f)
+
+        def options(self, **o):
+            return Writer(**self.o, **o)
+
+        def save(self, *path):
+            told.append((self.o, path))
+
+    df = spark.range(1).toDF("x")
+    monkeypatch.setattr(type(df), "write", property(lambda self: Writer()))
+    jobs.write_results({"a": df, "b": df}, "shop.", 1, fmt="jdbc", url="jdbc:x", user="u")
+    tables.append(df, "ad_stat", fmt="jdbc", mode="overwrite", url="jdbc:x")
+    common = {"format": "jdbc", "url": "jdbc:x"}
+    assert told == [
+        ({**common, "mode": "append", "user": "u", "dbtable": "shop.a"}, ()),
+        ({**common, "mode": "append", "user": "u", "dbtable": "shop.b"}, ()),
+        ({**common, "mode": "overwrite", "dbtable": "ad_stat"}, ()),
+    ]

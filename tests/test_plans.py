@@ -3,16 +3,22 @@
 import pytest
 
 import __spark_entry__ as E
+from clickflow import plans
 from tests.conftest import SF01
 
-BATCH = sorted(n for n in E.queries() if not n.startswith("stream_") and n != "append_results")
+BATCH = sorted(n for n in plans.queries() if not n.startswith("stream_") and n != "append_results")
 
 
 def _plan(spark, name) -> str:
-    """The plan as compiled before running (a fresh projection, so a memoized
-    DataFrame that already ran does not show AQE's runtime re-plan)."""
-    df = E.queries()[name](spark, SF01).select("*")
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The plan as compiled before running, without Spark's own choice of broadcasts by size: the
+    test tables are small enough for any, so what is left is what a hint forces."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    own = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        return E.queries()[name](spark, SF01)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, own)
 
 
 def _subtrees(plan: str, marker: str) -> list[str]:
@@ -77,3 +83,59 @@ def test_funnel_window_is_chunked_and_copies_collapse_first(spark):
     assert any(re.search(r"\[session_id#\d+, chunk#\d+\]", w) for w in windows), windows
     # identical actions are collapsed by a partial aggregate before any window
     assert re.search(r"HashAggregate\(keys=\[session_id#\d+, action_time#\d+, page_id#\d+L?\], functions=\[partial_count", plan)
+
+
+def test_a_dimension_that_grows_is_not_broadcast_by_force(spark, tmp_path):
+    """The same dimension path, first tiny and then large: no hint stays behind from the first look."""
+    from clickflow.operators import area
+
+    clicks = spark.read.schema("date date, city_id bigint, click_product_id bigint").parquet(_empty_clicks(spark, tmp_path))
+    path = str(tmp_path / "cities")
+    for rows in (10, 500_000):
+        ids = spark.range(rows)
+        ids.selectExpr("id AS city_id", "concat('c', id) AS city_name", "'a' AS area").write.mode("overwrite").parquet(path)
+        plan = area.area_product_click_count(clicks, spark.read.parquet(path))._jdf.queryExecution()
+        assert "broadcast" not in plan.optimizedPlan().toString().lower()
+
+
+def _empty_clicks(spark, tmp_path):
+    path = str(tmp_path / "clicks")
+    rows = spark.range(20).selectExpr("DATE'2024-01-06' AS date", "id AS city_id", "id % 3 AS click_product_id")
+    rows.write.parquet(path)
+    return path
+
+
+def test_key_reads_prune_partitions_by_range(spark):
+    from clickflow.config import work_dir
+    from clickflow.streaming import ads_stream as st
+
+    t = st.changelog(spark, work_dir(spark, "test-prune"), "counts")
+    rows = [(d, 1, 1, 1) for d in range(1, 20)]
+    df = spark.createDataFrame(rows, "d int, user_id bigint, ad_id bigint, click_count bigint")
+    t.write_batch(df.selectExpr("date_add(DATE'2024-01-01', d) AS date", "user_id", "ad_id", "click_count"), 0)
+    keys = spark.createDataFrame([("2024-01-05",), ("2024-01-06",)], "d string").selectExpr("CAST(d AS DATE) AS date")
+    got = t.read(keys=keys)
+    assert got.count() == 2
+    scans = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+    assert scans and all("ubquery" in x.partition("PartitionFilters: ")[2].partition("PushedFilters")[0] for x in scans), scans
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error(spark, monkeypatch):
+    from clickflow import config
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        config.checkpoint_root(Session())
