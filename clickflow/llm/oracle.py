@@ -1,13 +1,20 @@
-"""DuckDB SQL for the corpus queries that SQL can express."""
+"""DuckDB SQL for the corpus queries that SQL can express.
+
+The others are held against brute force in ``tests/llm``: token ids (op2, op3), spans of decoded
+layers (op5), differencing (op6), byte windows (op7) and fitted rates (op10).
+"""
 
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["op1_exact_dedup"] = r"""
+SPACE = r"[\x20\x09-\x0D]"
+WORD = r"[^\x20\x09-\x0D]+"
+
+ORACLE["op1_exact_dedup"] = rf"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
-         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+         sha256(regexp_replace(coalesce(text, ''), '{SPACE}', '', 'g')) AS text_sha256
   FROM documents),
 w AS (
   SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id
@@ -16,3 +23,67 @@ w AS (
   FROM d)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w
 """
+
+ORACLE["op4_line_dedup"] = r"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos, len(lines) AS n FROM s),
+o AS (
+  SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) - length(line) - 1 AS a,
+         trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm
+  FROM l),
+r AS (
+  SELECT *, length(norm) >= 16 AS counts,
+         length(norm) >= 16 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone
+  FROM o)
+SELECT doc_id, count(*) FILTER (WHERE counts) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
+       CAST(coalesce(sum(length(line)) FILTER (WHERE gone), 0) AS BIGINT) AS removed_chars,
+       coalesce(string_agg(CAST(a AS BIGINT) || ':' || CAST(a + length(line) AS BIGINT), ',' ORDER BY pos)
+                FILTER (WHERE gone), '') AS removed,
+       coalesce(string_agg(line || CASE WHEN pos + 1 < n THEN chr(10) ELSE '' END, '' ORDER BY pos)
+                FILTER (WHERE NOT gone), '') AS kept_text
+FROM r GROUP BY doc_id
+"""
+
+ORACLE["op8_ngram_join"] = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS words
+  FROM documents),
+p AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, CASE WHEN len(words) > 0 THEN 1 ELSE 0 END) + 1)) AS i
+      FROM w),
+sh AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+         FROM sh a JOIN sh b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 80 * (a.n + b.n - k)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents
+          UNION SELECT reach.doc_id, edges.y FROM reach JOIN edges ON edges.x = reach.other)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.other) AS component_id
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+"""
+
+ORACLE["op9_quality_rules"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(DISTINCT line) AS n_different
+          FROM l WHERE regexp_matches(line, '{WORD}') GROUP BY 1),
+g AS (SELECT doc_id, unnest(range(1, len(words) - 1)) AS i, words FROM d WHERE len(words) > 2),
+win AS (SELECT doc_id, i, array_to_string(words[i:i + 2], ' ') AS gram FROM g),
+rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS k FROM win) WHERE k > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM rep, range(3) t(j) GROUP BY 1),
+m AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         length(regexp_replace(text, '{SPACE}', '', 'g')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_capitals,
+         coalesce(n_lines, 0) AS n_lines, coalesce(n_lines - n_different, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN cov USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (100 * n_symbols > 30 * n_words) AND NOT (100 * n_dup_lines > 40 * n_lines)
+       AND NOT (100 * n_capitals > 40 * word_chars) AND word_chars BETWEEN 2 * n_words AND 15 * n_words AS kept
+FROM b
+"""
