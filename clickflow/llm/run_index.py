@@ -1,9 +1,10 @@
 """A run-length Burrows-Wheeler index over many short strings, held inside one task.
 
-The index keeps the runs of the transform (character, first position, how many of that character
-stand before), the suffix positions at the two ends of every run, and the borders of the
-intervals of suffixes that share 49 and 50 bytes.  Queries are streamed through it by backward
-search, all of them in step, one byte of each at a time.
+The index keeps the runs of the transform (character, where it begins, how many of that
+character stand before), the suffix positions at the two ends of every run, and the borders
+of the intervals of suffixes that share ``depth`` bytes.  Strings are streamed through it from
+their ends, all of them in step: each step is one LF mapping through the run a position lies
+in, and lengthens every match by a byte.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ U64 = np.uint64
 
 
 def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The stable order of the keys, and each one's dense rank."""
-    order = np.argsort(keys, kind="stable")
+    """An order of the keys, and each one's dense rank."""
+    order = np.argsort(keys)
     new = np.ones(len(keys), bool)
     new[1:] = keys[order[1:]] != keys[order[:-1]]
     rank = np.empty(len(keys), np.int64)
@@ -24,19 +25,20 @@ def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class RunIndex:
-    """Index over the strings ``buf[at[i]:at[i + 1]]``; ``owner[i]`` is a number the strings are sorted by, ascending."""
+    """Index over the strings ``buf[at[i]:at[i + 1]]``; ``owner[i]`` is a number of string i."""
 
     def __init__(self, buf: np.ndarray, at: np.ndarray, owner: np.ndarray, depth: int = 50):
         lengths = np.diff(at)
         n = len(buf) + len(lengths)
-        self.depth = depth
+        self.n, self.depth = n, depth
         # symbols 1..256 for bytes, 0 ends a string
+        ends = np.cumsum(lengths + 1) - 1
         text = np.zeros(n, np.int64)
-        string = np.repeat(np.arange(len(lengths)), lengths + 1)
         inside = np.ones(n, bool)
-        inside[np.cumsum(lengths + 1) - 1] = False
+        inside[ends] = False
         text[inside] = buf.astype(np.int64) + 1
-        left = (np.cumsum(lengths + 1)[string] - 1 - np.arange(n)).astype(np.int64)  # bytes up to the string's end
+        string = np.repeat(np.arange(len(lengths)), lengths + 1)
+        left = ends[string] - np.arange(n)  # bytes up to the string's end
         # prefix doubling from 7 symbols; what lies beyond a string's end counts as 0
         key = np.zeros(n, U64)
         for i in range(7):
@@ -44,91 +46,82 @@ class RunIndex:
             symbol[: n - i] = text[i:].astype(U64)
             symbol[left < i] = 0
             key = (key << U64(9)) | symbol
-        order, rank = _ranked(key)
-        ranks, width, longest = {7: rank}, 7, int(lengths.max()) + 1
+        rank, width, longest = _ranked(key)[1], 7, int(lengths.max()) + 1
+        shared = {7: rank}
         while width < longest:
             second = np.zeros(n, np.int64)
             second[: n - width] = rank[width:] + 1
             second[left < width] = 0
-            order, rank = _ranked(rank * (n + 2) + second)
+            rank = _ranked(rank * (n + 2) + second)[1]
             width *= 2
-            ranks[width] = rank
-        self.suffix = order  # equal suffixes stand in the order of their strings
-        sym = np.zeros(n, np.int64)
+            if width <= depth:
+                shared[width] = rank
+        suffix = np.argsort(rank * n + np.arange(n))  # equal suffixes in the order of their strings
         before = np.zeros(n, np.int64)
         before[1:] = text[:-1]
-        sym[:] = before[order]
-        starts = np.flatnonzero(np.append(True, sym[1:] != sym[:-1]))
-        chars, sizes = sym[starts], np.diff(np.append(starts, n))
-        by_char = np.lexsort((starts, chars))
-        self.n, self.run_char, self.run_start, self.run_size = n, chars[by_char], starts[by_char], sizes[by_char]
-        total = np.cumsum(self.run_size) - self.run_size
-        first = np.searchsorted(self.run_char, np.arange(258))
-        counts = np.bincount(text, minlength=257)
-        self.first = np.concatenate([[0], np.cumsum(counts)])  # where the suffixes of each symbol begin
-        padded = np.append(total, self.run_size.sum())
-        self.run_before = total - padded[first[self.run_char]]
-        self.run_key = self.run_char * (n + 1) + self.run_start
-        self.run_ends = order[starts], order[starts + sizes - 1]  # sampled at both ends of each run
-        self.borders = {d: self._borders(ranks, left, d) for d in (depth - 1, depth)}
-        self.low_owner = np.minimum.reduceat(owner[string[order]], self.borders[depth])
+        self._runs(before[suffix], text, suffix)
+        borders = self._borders(shared, left, suffix)
+        self.block = np.cumsum(borders) - 1
+        self.least = np.minimum.reduceat(owner[string[suffix]], np.flatnonzero(borders))
+
+    def _runs(self, transform: np.ndarray, text: np.ndarray, suffix: np.ndarray) -> None:
+        start = np.flatnonzero(np.append(True, transform[1:] != transform[:-1]))
+        self.run_char, self.run_start = transform[start], start
+        size = np.diff(np.append(start, self.n))
+        order = np.argsort(self.run_char, kind="stable")
+        total = np.cumsum(size[order]) - size[order]
+        first_run = np.searchsorted(self.run_char[order], self.run_char[order])
+        self.run_before = np.empty(len(start), np.int64)
+        self.run_before[order] = total - total[first_run]
+        begin = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=257))])  # the first suffix of each symbol
+        self.run_shift = begin[self.run_char] + self.run_before - start
+        self.run_of = np.repeat(np.arange(len(start)), size)
+        self.run_ends = suffix[start], suffix[start + size - 1]  # samples at both ends of each run
+        self.heads = np.flatnonzero(transform == 0)  # whole strings: there is no byte before them
+        self.head_at = suffix[self.heads]
 
-    def _borders(self, ranks: dict[int, np.ndarray], left: np.ndarray, depth: int) -> np.ndarray:
-        """Where the intervals of suffixes that share ``depth`` bytes begin."""
-        width = max(w for w in ranks if w <= depth)
-        rank, a, b = ranks[width], self.suffix[:-1], self.suffix[1:]
-        same = (rank[a] == rank[b]) & (left[a] >= depth) & (left[b] >= depth)
-        at = np.flatnonzero(same)
-        step = depth - width
+    def _borders(self, shared: dict[int, np.ndarray], left: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+        """Where a suffix doesn't share ``depth`` bytes with the one before it."""
+        width = max(shared)
+        rank, a, b = shared[width], suffix[:-1], suffix[1:]
+        at = np.flatnonzero((rank[a] == rank[b]) & (left[a] >= self.depth) & (left[b] >= self.depth))
         covered = width
-        while covered < depth:  # the rest of the depth in overlapping pieces
-            shift = min(covered, step)
-            x, y = a[at] + shift, b[at] + shift
-            at = at[rank[x] == rank[y]]
+        while covered < self.depth:  # the rest of the depth in overlapping pieces
+            shift = min(covered, self.depth - width)
+            at = at[rank[a[at] + shift] == rank[b[at] + shift]]
             covered = shift + width
         border = np.ones(self.n, bool)
         border[1 + at] = False
-        return np.flatnonzero(border)
+        return border
 
-    def _rank(self, symbol: np.ndarray, position: np.ndarray) -> np.ndarray:
-        """How many of a symbol stand before a position of the transform."""
-        i = np.searchsorted(self.run_key, symbol * (self.n + 1) + position, side="left") - 1
-        there = (i >= 0) & (self.run_char[i] == symbol)
-        inside = np.minimum(position - self.run_start[i], self.run_size[i])
-        return np.where(there, self.run_before[i] + inside, 0)
+    def step(self, position: np.ndarray) -> np.ndarray:
+        """LF: the suffixes one byte longer than those at ``position``."""
+        return position + self.run_shift[self.run_of[position]]
 
-    def extend(self, low: np.ndarray, high: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The intervals after writing a symbol before what they match."""
-        start = self.first[symbol]
-        return start + self._rank(symbol, low), start + self._rank(symbol, high)
+    def locate(self, position: int) -> int:
+        """Where the suffix at a position begins (strings with their ends joined), from the nearest sample."""
+        steps = 0
+        while True:
+            run = self.run_of[position]
+            last = (self.run_start[run + 1] if run + 1 < len(self.run_start) else self.n) - 1
+            for at, sample in ((self.run_start[run], self.run_ends[0][run]), (last, self.run_ends[1][run])):
+                if position == at:
+                    return int(sample) + steps
+            if self.run_char[run] == 0:
+                return int(self.head_at[np.searchsorted(self.heads, position)]) + steps
+            position, steps = int(self.step(np.array([position]))[0]), steps + 1
 
-    def widen(self, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The interval of all suffixes that share depth - 1 bytes with the one at ``low``."""
-        borders = self.borders[self.depth - 1]
-        i = np.searchsorted(borders, low, side="right") - 1
-        return borders[i], np.append(borders, self.n)[i + 1]
+    def least_owners(self, lengths: np.ndarray, most: int) -> np.ndarray:
+        """For each window of ``depth`` bytes of each string, the least owner of a string that holds it.
 
-    def lowest_owners(self, buf: np.ndarray, at: np.ndarray, most: int) -> np.ndarray:
-        """For each window of ``depth`` bytes of each query, the least owner of a string that holds it.
-
-        The queries are strings of the index, so every window has a match.  Matching statistics
-        are kept at the depth a window needs: a match longer than depth - 1 bytes is widened to
-        that before the next byte is written in front.  Returns (queries, most windows)."""
-        lengths = np.diff(at)
-        m = len(lengths)
-        none = np.iinfo(np.int64).max
-        out = np.full((m, most), none, np.int64)
-        low, high = np.zeros(m, np.int64), np.full(m, self.n, np.int64)
-        for step in range(int(lengths.max()) if m else 0):
-            live = np.flatnonzero(lengths > step)
-            if step >= self.depth:
-                low[live], high[live] = self.widen(low[live])
-            where = lengths[live] - 1 - step
-            symbol = buf[at[live] + where].astype(np.int64) + 1
-            low[live], high[live] = self.extend(low[live], high[live], symbol)
+        A string starts at its end mark, which stands at its own number in the index.  After
+        ``step`` steps its match is that long; from ``depth`` on, the interval of the suffix says
+        who else has the window.  Returns (strings, most windows)."""
+        out = np.full((len(lengths), most), np.iinfo(np.int64).max, np.int64)
+        live, position = np.arange(len(lengths)), np.arange(len(lengths))
+        for step in range(int(lengths.max()) if len(lengths) else 0):
+            going = lengths[live] > step
+            live, position = live[going], self.step(position[going])
             if step >= self.depth - 1:
-                found = high[live] > low[live]
-                got = live[found]
-                block = np.searchsorted(self.borders[self.depth], low[got], side="right") - 1
-                out[got, lengths[got] - 1 - step] = self.low_owner[block]
+                out[live, lengths[live] - 1 - step] = self.least[self.block[position]]
         return out

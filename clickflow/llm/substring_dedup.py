@@ -10,9 +10,10 @@ A byte goes if it lies in a 50-byte string that also starts in a document with a
   hash space and learn which of them another document has too.  An anchor in a third of all
   documents costs each batch one entry.
 * Round 2: batches send their distinct stretches around such anchors, with the smallest
-  document that has it.  An anchor with a single stretch is settled by equality.  Over all other
-  stretches a bucket builds a run-length index (:mod:`run_index`) and streams the stretches
-  through it: for each of their windows it gives the smallest document that has it.
+  document that has it.  An anchor with a single stretch is settled by equality, and a stretch
+  without a window whose hash comes again can't match.  Over the others a bucket builds a
+  run-length index (:mod:`run_index`) and streams the stretches through it: for each of
+  their windows it gives the smallest document that has it.
 * Answers return to the batches, one bit a window; the batch marks and cuts its documents.
 
 Strings are judged on the input, so nothing depends on the order of the work.  Stretches of a
@@ -263,8 +264,8 @@ def _stretch_rows(name: int, s: Stretches, ids, mine, distinct, inverse, buckets
         keys = distinct[anchor[one[part]]] // U64(buckets)
         add(
             int(b), name, 0, part.stop - part.start,
-            size[one[part]].astype(np.uint8).tobytes(), low[part].tobytes(), _six(keys), mark[one[part]].tobytes(),
-            bodies[ends[part.start] : ends[part.stop]].tobytes(),
+            size[one[part]].astype(np.uint8).tobytes(), low[part].tobytes(), _six(keys), None,
+            pa.compress(bodies[ends[part.start] : ends[part.stop]], "zstd", asbytes=True),
         )
     # the batch's own list: where each stretch lies, for when the answers come
     by_start = np.argsort(start)
@@ -276,6 +277,27 @@ def _stretch_rows(name: int, s: Stretches, ids, mine, distinct, inverse, buckets
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, ASK)], schema=ASK)
 
 
+def _joined(buf: np.ndarray, at: np.ndarray, size: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Some of the strings, one after another, and where each begins."""
+    total = np.cumsum(size[rows])
+    take = np.arange(total[-1]) + np.repeat(at[rows] - (total - size[rows]), size[rows])
+    return buf[take], np.concatenate([[0], total])
+
+
+def _may_match(strings: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which strings have a window whose hash another window has too."""
+    windows = np.diff(ends) - MATCH + 1
+    total = np.cumsum(windows)
+    start = np.arange(total[-1]) + np.repeat(ends[:-1] - (total - windows), windows)
+    key = tb.range_hash(tb.prefix(strings, tb.BYTE_VALUES), start, start + MATCH)
+    order = np.argsort(key)
+    same = key[order[1:]] == key[order[:-1]]
+    twice = np.zeros(len(key), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    return np.logical_or.reduceat(twice, total - windows)
+
+
 def _answer_stretches(table: pa.Table) -> pa.Table:
     """One bucket: a mask for every stretch sent, with a bit for each window an earlier document has."""
     lists = table.filter(pc.equal(table["kind"], 1))
@@ -286,10 +308,10 @@ def _answer_stretches(table: pa.Table) -> pa.Table:
     size = np.concatenate(sizes)
     low = np.concatenate([np.frombuffer(x, np.int64) for x in asked["ids"].to_pylist()])
     anchor = np.concatenate([_from_six(x) for x in asked["hashes"].to_pylist()])
-    mark = np.concatenate([np.frombuffer(x, np.uint64) for x in asked["marks"].to_pylist()])
-    bodies = asked["body"].to_pylist()
+    bodies = [pa.decompress(x, int(n.sum()), "zstd", asbytes=True) for x, n in zip(asked["body"].to_pylist(), sizes)]
     buf = np.frombuffer(b"".join(bodies), np.uint8)
     at = np.concatenate([[0], np.cumsum(size)])
+    mark = tb.range_hash(tb.prefix(buf, tb.BYTE_VALUES), at[:-1], at[1:])
     order = np.lexsort((mark, anchor))
     new_anchor = np.ones(len(order), bool)
     new_anchor[1:] = anchor[order[1:]] != anchor[order[:-1]]
@@ -306,15 +328,15 @@ def _answer_stretches(table: pa.Table) -> pa.Table:
     windows = size[one] - MATCH + 1
     in_it = np.arange(WINDOWS) < windows[:, None]
     owners[in_it] = np.repeat(least, windows)
+    # stretches that share no window's hash with another can't match: the index is for the rest
     many = np.flatnonzero(variants > 1)
+    if len(many):
+        many = many[_may_match(*_joined(buf, at, size, one[many]))]
     if len(many):
         many = many[np.argsort(least[many], kind="stable")]
-        part = size[one[many]]
-        total = np.cumsum(part)
-        take = np.arange(total[-1]) + np.repeat(at[one[many]] - (total - part), part)
-        strings, ends = buf[take], np.concatenate([[0], total])
+        strings, ends = _joined(buf, at, size, one[many])
         index = RunIndex(strings, ends, least[many], MATCH)
-        owners[many] = index.lowest_owners(strings, ends, WINDOWS)
+        owners[many] = index.least_owners(np.diff(ends), WINDOWS)
     bits = (owners[number] < low[:, None]) & in_it[number]
     masks = (bits.astype(np.uint32) << np.arange(WINDOWS, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
     done, out = 0, []
@@ -350,10 +372,10 @@ def _covered(s_at: np.ndarray, n: int, ids: np.ndarray, answers: list[dict]) ->
         doc = ids[np.searchsorted(s_at, start, side="right") - 1]
         whole = np.uint32(0xFFFFFFFF)
         bits = np.where(doc > low[number], whole, mask[number])  # a smaller document of the batch has all of it
-        for w in range(WINDOWS):
-            hit = start[(w < windows) & ((bits >> np.uint32(w)) & np.uint32(1)).astype(bool)] + w
-            edge[: n + 1] += np.bincount(hit, minlength=n + 1).astype(np.int32)
-            edge[: n + 1] -= np.bincount(hit + MATCH, minlength=n + 1).astype(np.int32)
+        hits = [start[(w < windows) & ((bits >> np.uint32(w)) & np.uint32(1)).astype(bool)] + w for w in range(WINDOWS)]
+        hit = np.concatenate(hits)
+        edge += np.bincount(hit, minlength=n + 1).astype(np.int32)
+        edge -= np.bincount(hit + MATCH, minlength=n + 1).astype(np.int32)
     return np.cumsum(edge[:n]) > 0
 
 
