@@ -20,10 +20,16 @@ similarity is 0.8 or more, which bounds the size of their symmetric difference:
 * Signatures travel in packed blobs, a blob per batch and bucket of the signature space, and equal
   sets of a batch once.  A bucket returns the signatures that at least two different sets
   hold.  Equal sets are one class from then on.
-* Verification is exact, on whole shingle sets.  First each class meets the smallest class of
-  the most of its signatures; what links is one component.  Then, of every signature, classes
-  of different components meet; pairs inside a component need no check, so a large group
-  of copies costs a pair a copy.
+* Verification is exact, on whole shingle sets.  First each class meets one other: of every
+  signature the class that shares the largest part of its segments leads, and a class takes the
+  leader of the most of its signatures.  What links is one component.  Pairs inside a
+  component need no check, so a large group of copies costs a pair a copy.
+* A signature may still join different components: loose copies, texts that share much of a
+  common passage.  Their universe is partitioned as finely as it goes, a shingle to a segment.
+  Linked sets have 80 of 100 shingles of either in common, so each may leave out all but the
+  rarest fifth of its own.  Classes that share one of these are a family, and families of several
+  components are verified in blocks: tasks of two blocks of bounded size count common
+  shingles by a matrix product, and return one link for two components.  No pair is a row.
 
 Words are stretches without white space; A-Z are lower-cased.  Shingles are known by 64-bit
 hashes.
@@ -58,6 +64,8 @@ BATCH_BYTES = 4 << 20
 HIT_COST = 16.0
 #: Segments beyond the bound that a scheme has, as a share of it: room to leave costly ones out.
 SPARE = 0.15
+SHINGLES_PER_BLOCK = 1 << 17
+MATRIX_COLUMNS = 4096
 
 
 def _edges(most: int = 1 << 40) -> np.ndarray:
@@ -317,18 +325,27 @@ def postings(docs: DataFrame) -> DataFrame:
 
 
 def kept_postings(found: DataFrame) -> DataFrame:
-    """Signatures without those that each set may leave out: key, sig."""
-    spare = _can_leave_out_sql()
-    costliest = Window.partitionBy("key", "scheme").orderBy(F.col("held").desc(), "sig")
-    ranked = found.filter("kind = 1").withColumn("nth", F.row_number().over(costliest))
-    return ranked.filter(F.col("nth") > spare).select("key", "sig")
+    """Signatures without those that each set may leave out: key, sig, and share, how many
+    thousandths of the set's segments other sets hold too."""
+    own = Window.partitionBy("key", "scheme")
+    ranked = found.filter("kind = 1").select(
+        "key",
+        "sig",
+        _can_leave_out_sql().alias("spare"),
+        F.row_number().over(own.orderBy(F.col("held").desc(), "sig")).alias("nth"),
+        (1000 * F.count("*").over(own) / _by_scheme(SEGMENTS)).cast("int").alias("share"),
+    )
+    return ranked.filter("nth > spare").select("key", "sig", "share")
+
+
+def _by_scheme(values: np.ndarray):
+    """A constant of the method, by the column scheme."""
+    return F.element_at(F.array(*[F.lit(int(x)) for x in values]), F.col("scheme") + 1)
 
 
 def _can_leave_out_sql():
-    """:func:`can_leave_out` for the columns n and scheme; the tables are constants of the method."""
-    used = 96
-    pick = lambda values: F.element_at(F.array(*[F.lit(int(x)) for x in values[:used]]), F.col("scheme") + 1)
-    top, segments, threshold = pick(EDGES[1:] - 1), pick(SEGMENTS), pick(THRESHOLD)
+    """:func:`can_leave_out` for the columns n and scheme."""
+    top, segments, threshold = (_by_scheme(x) for x in (EDGES[1:] - 1, SEGMENTS, THRESHOLD))
     partner = F.when(F.col("n") <= top, F.floor(F.col("n") * DEN / NUM)).otherwise(top)
     spare = segments - F.floor((F.col("n") + partner) * (DEN - NUM) / (DEN + NUM)) - 1
     return F.when(threshold == 1, F.lit(0)).otherwise(F.greatest(spare, F.lit(0)))
@@ -372,33 +389,119 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(near).select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def rare_shingles(own: DataFrame) -> DataFrame:
+    """For classes with their ``hashes``: shingle, key of the shingles that another of them has too and
+    that the class may not leave out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, at = tb.packed(batch.column("hashes"))
+            sizes = np.diff(at) // 8
+            each = [pa.array(np.repeat(batch.column("key").to_numpy(), sizes)), pa.array(np.repeat(sizes, sizes))]
+            each.append(pa.array(np.frombuffer(values.tobytes(), np.int64)))
+            for start in range(0, len(each[0]), 1 << 16):
+                yield pa.RecordBatch.from_arrays([x.slice(start, 1 << 16) for x in each], ["key", "n", "shingle"])
+
+    shingles = saved(own.select("key", "hashes").mapInArrow(run, "key long, n long, shingle long"), "open-shingles")
+    held = shingles.groupBy("shingle").agg(F.count("*").alias("held"))
+    held = saved(held.filter("held > 1"), "held-shingles")
+    costliest = Window.partitionBy("key").orderBy(F.col("held").desc(), "shingle")
+    ranked = shingles.join(held, "shingle").withColumn("nth", F.row_number().over(costliest))
+    return ranked.filter(F.col("nth") > F.ceil(F.col("n") * NUM / DEN) - 1).select("shingle", "key")
+
+
+def families(rare: DataFrame) -> DataFrame:
+    """key, family: classes that share rare shingles, directly or through others."""
+    first = saved(rare.groupBy("shingle").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1"), "firsts")
+    edges = rare.join(first, "shingle").select(F.col("key").alias("u"), F.col("first").alias("v"))
+    found = components(edges, "families")
+    alone = found.select(F.col("root").alias("node"), "root").distinct()
+    return found.union(alone).select(F.col("node").alias("key"), F.col("root").alias("family"))
+
+
+def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of ``a`` has in common with each of ``b``."""
+    every = np.concatenate([*a, *b])
+    owner = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in (*a, *b)])
+    _, column, counts = np.unique(every, return_inverse=True, return_counts=True)
+    shared = counts > 1
+    column, owner = (np.cumsum(shared) - 1)[column[shared[column]]], owner[shared[column]]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((len(a), len(b)), np.float32)
+    for start in range(0, int(shared.sum()), MATRIX_COLUMNS):
+        part = slice(*np.searchsorted(column, [start, start + MATRIX_COLUMNS]))
+        cells = np.zeros((len(a) + len(b), MATRIX_COLUMNS), np.float32)
+        cells[owner[part], column[part] - start] = 1
+        out += cells[: len(a)] @ cells[len(a) :].T
+    return out.astype(np.int64)
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """Two blocks of a family: a link for each two components that have similar sets in them."""
+    block = table["block"].to_numpy()
+    root = table["root"].to_numpy()
+    sets = [np.frombuffer(x, "<u8") for x in table["hashes"].to_pylist()]
+    left = np.flatnonzero(block == table["low"][0].as_py())
+    right = np.flatnonzero(block == table["high"][0].as_py())
+    found = []
+    if len(left) and len(right):
+        sizes = np.array([len(x) for x in sets])
+        both = common_counts([sets[i] for i in left], [sets[i] for i in right])
+        total = sizes[left][:, None] + sizes[right] - both
+        x, y = np.nonzero((DEN * both >= NUM * total) & (root[left][:, None] != root[right]))
+        if len(x):
+            ends = np.stack([root[left[x]], root[right[y]]], 1)
+            found = np.unique(np.sort(ends, axis=1), axis=0)
+    ends = np.array(found, np.int64).reshape(-1, 2)
+    return pa.table({"u": pa.array(ends[:, 0]), "v": pa.array(ends[:, 1])})
+
+
+def family_links(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (u, v) between components (roots) of the members that have similar sets."""
+    own = saved(sets.join(members, "key"), "open-sets")
+    found = families(saved(rare_shingles(own), "rare-shingles"))
+    placed = own.join(found, "key").withColumn("n", F.octet_length("hashes") / 8)
+    size = placed.groupBy("family").agg(
+        F.min("root").alias("r0"), F.max("root").alias("r1"), F.ceil(F.sum("n") / SHINGLES_PER_BLOCK).cast("int").alias("blocks")
+    )
+    size = saved(size.filter("r0 < r1").select("family", "blocks"), "family-sizes")
+    dealt = placed.join(size, "family").select(
+        "family", "blocks", F.pmod(F.xxhash64("key"), "blocks").cast("int").alias("block"), "root", "hashes"
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    tasks = dealt.select("family", "block", "root", "hashes", other).select(
+        "family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "root", "hashes"
+    )
+    links = tasks.groupBy("family", "low", "high").applyInArrow(_block_links, "u long, v long")
+    return saved(links.distinct(), "more-links")
+
+
 def ngram_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, version, n, key of their class) and the component of each linked class (node, root)."""
     found = postings(docs)
     rows = found.filter("kind = 0").select("doc_id", "version", "n", "key")
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     kept = saved(kept_postings(found), "kept-postings")
-    leaders = kept.groupBy("sig").agg(F.min("key").alias("leader"), F.max("key").alias("other"))
-    leaders = leaders.filter("leader < other").select("sig", "leader")
+    lead = F.max(F.struct("share", "key"))["key"]
+    leaders = kept.groupBy("sig").agg(lead.alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    leaders = saved(leaders.select("sig", "leader"), "leaders")
     met = kept.join(leaders, "sig")
     member = met.select("key").distinct()
     wanted = classes.join(member, "key", "left_semi")
     sets = saved(sets_of(docs, wanted), "shingle-sets")
-    votes = met.filter("key > leader").groupBy("key", "leader").agg(F.count("*").alias("shared"))
+    votes = met.filter("key != leader").groupBy("key", "leader").agg(F.count("*").alias("shared"))
     best = votes.groupBy("key").agg(F.max(F.struct(F.col("shared"), F.col("leader"))).alias("b"))
     pairs = best.select(F.col("key").alias("v"), F.col("b.leader").alias("u"))
     links = saved(verified(pairs, sets), "first-links")
     roots = components(links, "first-components")
-    # what one signature still holds of different components
+    # the classes of signatures that still hold different components
     placed = kept.join(roots, kept["key"] == roots["node"], "left").select(
         "sig", "key", F.coalesce("root", "key").alias("root")
     )
     mixed = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    open_ = saved(placed.join(mixed.filter("low < high").select("sig"), "sig"), "open-postings")
-    a, b = open_.alias("a"), open_.alias("b")
-    cross = a.join(b, F.col("a.sig") == F.col("b.sig")).filter("a.key < b.key and a.root != b.root")
-    cross = cross.select(F.col("a.key").alias("u"), F.col("b.key").alias("v")).distinct()
-    more = saved(verified(cross, sets), "more-links")
+    open_ = placed.join(mixed.filter("low < high").select("sig"), "sig").select("key", "root").distinct()
+    more = family_links(sets, saved(open_, "open-classes"))
     return rows, components(links.unionByName(more), "components")
 
 

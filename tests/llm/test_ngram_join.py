@@ -40,6 +40,30 @@ def test_pairs_around_the_limit(frame, seed):
     assert rows_of(J.ngram_components(frame(rows))) == brute.near(rows)
 
 
+@pytest.mark.parametrize("per_block", [1 << 17, 600])
+def test_loose_copies_of_one_text(frame, monkeypatch, per_block):
+    """Copies with up to eight changed words: some link to each other only through a few others."""
+    monkeypatch.setattr(J, "SHINGLES_PER_BLOCK", per_block)
+    r = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for at in r.sample(range(150), r.randint(1, 8)):
+            words[at] = f"x{r.randint(0, 60)}"
+        rows.append((i, " ".join(words)))
+    want = brute.near(rows)
+    assert 1 < len({c for _, c in want.values()}) < 120
+    assert rows_of(J.ngram_components(frame(rows))) == want
+
+
+def test_common_counts():
+    r = np.random.default_rng(2)
+    sets = [np.unique(r.integers(0, 300, n).astype(np.uint64)) for n in (0, 1, 50, 200, 250)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[1:]] for a in sets]
+    assert J.common_counts(sets, sets[1:]).tolist() == want
+
+
 def test_every_linked_pair_shares_a_kept_signature():
     """The bound itself: change as many shingles as a link allows, and look at the segments."""
     r = np.random.default_rng(4)
