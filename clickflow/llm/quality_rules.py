@@ -2,9 +2,10 @@
 
 A rule looks at one or two counts of a text and rejects it or lets it pass; a text is kept
 if no rule rejects it, so the verdict doesn't depend on the order.  The order decides the
-work: a rejected text is not looked at again.  A bounded sample (SAMPLE_ROWS, read
-from the start of the table) gives each rule's seconds and rejections, and the rules run
-by rejections per second, highest first.  Counts and verdicts cover every document.
+work: a rejected text is not looked at again.  A bounded sample (SAMPLE_ROWS texts of at most
+SAMPLE_BYTES, from the first partitions that have them) gives each rule's seconds and
+rejections, and the rules run by rejections per second, highest first.  Counts and verdicts
+cover every document.
 
 All counting is vectorised over the bytes of an Arrow batch; nothing is shuffled, and a
 batch is cut to a few MB, so a task's memory doesn't depend on the table.
@@ -32,7 +33,8 @@ from clickflow.llm.common import id_text
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 REPEAT_WINDOW = 3
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 512
+SAMPLE_BYTES = 1 << 16
 
 
 class Counts:
@@ -74,6 +76,8 @@ class Counts:
     @cached_property
     def lines(self) -> tuple[np.ndarray, np.ndarray]:
         """Lines with a word, and those of them that equal an earlier line of their text."""
+        if not len(self.buf):
+            return np.zeros(len(self.at) - 1, np.int64), np.zeros(len(self.at) - 1, np.int64)
         ends = np.flatnonzero(self.buf == tb.NEWLINE)
         starts = np.unique(np.concatenate([self.at[:-1], ends + 1]))
         starts = starts[starts < len(self.buf)]
@@ -144,23 +148,14 @@ def _text_column(batch: pa.RecordBatch) -> pa.Array:
 
 
 def estimate(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[dict]:
-    """Each rule's seconds and rejections on a bounded sample: one row per rule."""
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column, out = batch.column("text").cast(pa.large_string()), []
-            for rule in rules:  # fresh counts: what a rule costs if it is the first to need them
-                t = time.perf_counter()
-                rejected = int(rule.rejects(Counts(column)).sum())
-                out.append((rule.name, time.perf_counter() - t, rejected, batch.num_rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(x)) for x in zip(*out)], ["rule", "seconds", "rejected", "seen"]
-            )
-
-    sample = id_text(docs).limit(sample_rows)
-    told = sample.mapInArrow(measure, "rule string, seconds double, rejected long, seen long")
-    sums = told.groupBy("rule").agg(*[F.sum(x).alias(x) for x in ("seconds", "rejected", "seen")])
-    return [r.asDict() for r in sums.collect()]  # one row per rule
+    """Each rule's seconds and rejections on the sample, which is small enough for the driver."""
+    short = id_text(docs).filter(F.octet_length("text") <= SAMPLE_BYTES).select("text")
+    column, out = pa.array([r.text for r in short.limit(sample_rows).collect()], pa.large_string()), []
+    for rule in rules:  # fresh counts: what a rule costs if it is the first to need them
+        t = time.perf_counter()
+        rejected = int(rule.rejects(Counts(column)).sum())
+        out.append({"rule": rule.name, "seconds": time.perf_counter() - t, "rejected": rejected, "seen": len(column)})
+    return out
 
 
 def cascade_order(told: list[dict], rules: Sequence[Rule]) -> list[Rule]:
