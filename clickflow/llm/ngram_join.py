@@ -500,7 +500,8 @@ def ngram_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "sig", "key", F.coalesce("root", "key").alias("root")
     )
     mixed = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    open_ = placed.join(mixed.filter("low < high").select("sig"), "sig").select("key", "root").distinct()
+    mixed = saved(mixed.filter("low < high").select("sig"), "mixed-signatures")
+    open_ = placed.join(mixed, "sig").select("key", "root").distinct()
     more = family_links(sets, saved(open_, "open-classes"))
     return rows, components(links.unionByName(more), "components")
 
@@ -516,7 +517,8 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     labelled = _labelled(docs)
     names = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    out = labelled.join(names, "label", "left")
+    # written, so that the join has two plain shuffles, whose hot partitions Spark splits
+    out = labelled.join(saved(names, "component-names"), "label", "left")
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
