@@ -160,6 +160,21 @@ def test_stream_trend_drops_late_clicks_behind_the_watermark(spark):
     assert got == {("10", "00"): 1, ("11", "30"): 1, ("12", "00"): 1}
 
 
+def test_stream_totals_of_an_ended_day_take_no_late_clicks(spark):
+    base = work_dir(spark, "test-stat-wm")
+    at = lambda s: int(dt.datetime.fromisoformat(s).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    rows = [(f"{at('2024-01-01T10:00:00')} p c 1 1", 0), (f"{at('2024-01-03T12:00:00')} p c 1 1", 0),
+            (f"{at('2024-01-01T11:00:00')} p c 2 1", 1), (f"{at('2024-01-02T11:00:00')} p c 2 1", 1)]
+    table = st.changelog(spark, f"{base}/table", "ad_stat")
+
+    def start(stream, trigger):
+        return st.start_ad_stat(parse_ad_log(stream), table, f"{base}/ckpt", trigger, date_watermark="1 day")
+
+    replay(spark, spark.createDataFrame(rows, "value string, batch_no int"), "batch_no", f"{base}/source", start)
+    got = {(str(r.date), r.click_count) for r in table.read().collect()}
+    assert got == {("2024-01-01", 1), ("2024-01-02", 1), ("2024-01-03", 1)}
+
+
 def _tasks(spark):
     param = ('{"startDate": ["2024-01-05"], "endDate": ["2024-01-20"], "startAge": ["10"], "endAge": ["50"],'
              ' "sex": ["male"], "targetPageFlow": ["1,2,3,4"]}')
