@@ -9,10 +9,10 @@ from clickflow.llm.common import saved
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every node hangs its larger neighbours under the smallest node it knows."""
+    """Every node hangs its larger neighbours under the smallest node it knows (edges may repeat)."""
     both = edges.union(edges.select("v", "u"))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -23,19 +23,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return rest.union(low.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Every node has one parent, and no parent has one."""
+    nodes = edges.groupBy("u").agg(F.count("*").alias("n"))
+    if not nodes.filter("n > 1").isEmpty():
+        return False
+    return edges.join(nodes.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Edges (u, v) -> node, root: the smallest node of its component, for every node but the roots.
 
-    The two steps are repeated until the edges stop changing, which is when every component is a
-    star.  Each round is a written table; minima combine inside each task first, and the
-    joins are plain equality joins, so a hub is no hot task.  Rounds grow with the log of
-    the longest chain."""
+    The two steps are repeated until every component is a star.  Each step is a written
+    table; minima combine inside each task first, and the joins are plain equality joins, so
+    a hub is no hot task.  Rounds grow with the log of the longest chain."""
     edges = saved(edges.select("u", "v").filter("u != v").distinct(), name)
-    before = None
-    while True:
-        mark = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        now = tuple(edges.agg(F.count("*"), mark).first())
-        if now == before or now[0] == 0:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+    while not edges.isEmpty():
         edges = saved(_small_star(saved(_large_star(edges), name)), name)
+        if _is_stars(edges):
+            break
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
