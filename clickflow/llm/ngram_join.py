@@ -58,7 +58,7 @@ SHINGLE = 5
 NUM, DEN = 80, 100
 NO_ID = -(1 << 63)
 LAST = (1 << 63) - 1
-BUCKETS_PER_PARTITION = 4
+BUCKETS_PER_PARTITION = 1
 BATCH_BYTES = 4 << 20
 #: What a chance hit costs, in signatures sent.
 HIT_COST = 16.0

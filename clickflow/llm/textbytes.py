@@ -58,7 +58,7 @@ def packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, at - at[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20):
+def slices(batch: pa.RecordBatch, text: str, most: int = 2 << 20):
     """Cut a batch into runs of rows of about ``most`` bytes of text; a longer single row stands alone."""
     _, at = packed(batch.column(batch.schema.get_field_index(text)))
     start = 0
