@@ -44,8 +44,8 @@ def gapless_rank(df: DataFrame, key: str, order: list[Column], spread: list[Colu
 
     A window over a whole key would put a hot key into one task.  Rows are dealt to
     ``chunks`` by a hash of ``spread``; rows are numbered inside (key, chunk), and the
-    sizes of the chunks before are added.  One shuffle of ``df``: the small table of
-    chunk sizes meets the window's own partitioning.
+    sizes of the chunks before are added.  One shuffle of ``df``: the table of chunk sizes
+    meets the window's own partitioning, in a merge join, as it grows with the table.
     """
     dealt = df.withColumn("__chunk", F.pmod(F.xxhash64(*spread), F.lit(chunks)).cast("int"))
     before = Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -60,7 +60,7 @@ def gapless_rank(df: DataFrame, key: str, order: list[Column], spread: list[Colu
     )
     inside = Window.partitionBy(key, "__chunk").orderBy(*order)
     numbered = dealt.withColumn("__row", F.row_number().over(inside))
-    joined = numbered.join(base, (F.col(key) == F.col("__key")) & (F.col("__chunk") == F.col("__c")))
+    joined = numbered.join(base.hint("merge"), (F.col(key) == F.col("__key")) & (F.col("__chunk") == F.col("__c")))
     return joined.withColumn(out, (F.col("__base") + F.col("__row") - 1).cast("bigint")).drop(
         "__chunk", "__key", "__c", "__base", "__row"
     )
