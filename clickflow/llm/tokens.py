@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import re
 
 import numpy as np
@@ -20,24 +21,27 @@ LONG_RUN = re.compile(r"\S{4096}")
 
 
 @functools.cache
-def encoders(vocabulary: str = VOCABULARY):
-    """The slow and the fast encoder, once per Python worker."""
+def slow_encoder(vocabulary: str = VOCABULARY):
     import public_tokenizers
-    import tiktoken
     from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    special = {t.content: i for i, t in slow.get_added_tokens_decoder().items()}
+    return Tokenizer.from_file(public_tokenizers.path(vocabulary))
+
+
+@functools.cache
+def fast_encoder(vocabulary: str = VOCABULARY):
+    """Once per Python worker, like the slow one, which most workers never need."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path(vocabulary), encoding="utf-8") as f:
+        special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
     with open(public_tokenizers.path(vocabulary.replace(".json", ".tiktoken")), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding(
-        vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
-    )
-    return slow, fast
+    return tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def token_ids(text: str, vocabulary: str = VOCABULARY) -> np.ndarray:
-    slow, fast = encoders(vocabulary)
     if len(text) >= 4096 and LONG_RUN.search(text):
-        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-    return np.asarray(fast.encode_to_numpy(text, allowed_special="all"), np.uint32)
+        return np.array(slow_encoder(vocabulary).encode(text, add_special_tokens=False).ids, np.uint32)
+    return np.asarray(fast_encoder(vocabulary).encode_to_numpy(text, allowed_special="all"), np.uint32)

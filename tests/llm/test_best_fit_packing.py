@@ -7,7 +7,7 @@ import pytest
 
 from clickflow.llm import best_fit_packing as P
 from clickflow.llm.common import documents
-from clickflow.llm.tokens import encoders, token_ids
+from clickflow.llm.tokens import slow_encoder, token_ids
 from tests.llm import brute
 from tests.llm.conftest import SF001, SF01
 
@@ -42,7 +42,7 @@ def test_plan_is_bounded_by_the_capacity():
 
 
 def test_fast_encoder_gives_the_ids_of_the_vocabulary(spark):
-    slow, _ = encoders()
+    slow = slow_encoder()
     texts = [r.text for r in documents(spark, SF01).collect()]
     texts += ["", " ", "a<|endoftext|>b", "\r\n \t x", "\U0001f600́é", "x" * 9000, "1" * 300 + " " * 300, "it's we'll I'D"]
     want = slow.encode_batch(texts, add_special_tokens=False)
@@ -51,7 +51,7 @@ def test_fast_encoder_gives_the_ids_of_the_vocabulary(spark):
 
 
 def check_pieces(df, rows, capacity=2048):
-    slow, _ = encoders()
+    slow = slow_encoder()
     got = df.collect()
     want = Counter()
     for doc, text in rows:

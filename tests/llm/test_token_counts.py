@@ -4,12 +4,12 @@ import pytest
 
 from clickflow.llm import token_counts as T
 from clickflow.llm.common import documents
-from clickflow.llm.tokens import encoders
+from clickflow.llm.tokens import slow_encoder
 from tests.llm.conftest import SF001
 
 
 def lengths_of(rows):
-    slow, _ = encoders()
+    slow = slow_encoder()
     return [len(slow.encode(t or "", add_special_tokens=False).ids) for _, t in rows]
 
 
