@@ -49,6 +49,7 @@ WINDOWS = MATCH - GRAM + 1  # windows that one anchor position can serve: 32, a
 BATCH_BYTES = 4 << 20
 CHUNK = 1 << 16
 BUCKETS_PER_PARTITION = 4
+MOST_TABLE_BUCKETS = 65536  # Spark allows a table 100,000
 LAST = (1 << 63) - 1  # a null doc_id
 
 BATCH_SQL = "batch long, ids binary, lengths binary, body binary"
@@ -426,7 +427,7 @@ def substring_dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
     name = f"byte_batches_{uuid.uuid4().hex}"
     d = id_text(docs).select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), "text")
     writer = d.mapInArrow(_pack, BATCH_SQL).write.format("parquet").option("compression", "zstd")
-    writer.option("path", work_dir(spark, name)).bucketBy(buckets, "batch").saveAsTable(name)
+    writer.option("path", work_dir(spark, name)).bucketBy(min(buckets, MOST_TABLE_BUCKETS), "batch").saveAsTable(name)
     table = spark.table(name)
 
     asked = table.mapInArrow(_ask_anchors(buckets), "bucket int, batch long, hashes binary, several binary")
