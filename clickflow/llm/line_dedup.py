@@ -86,7 +86,8 @@ def removed_units(units: DataFrame) -> DataFrame:
         .filter("first != last")
         .select("digest", "first")
     )
-    return units.join(repeated, "digest").filter(here != F.col("first"))
+    # written, so that the join has two plain shuffles, whose hot partitions Spark splits
+    return units.join(saved(repeated, "repeated-units"), "digest").filter(here != F.col("first"))
 
 
 def _without(text: str, spans: list[tuple[int, int]]) -> str:
