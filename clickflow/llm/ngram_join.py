@@ -216,7 +216,8 @@ def _post(buckets: int):
                 hashes, at = shingle_sets(batch.column("text"))
                 sizes, keys = np.diff(at), set_keys(hashes, at)
                 none = pa.nulls(batch.num_rows, pa.binary())
-                spread = (keys.view(U64) % U64(buckets)).astype(np.int32)
+                ids = batch.column("doc_id").fill_null(0).to_numpy().view(U64)  # not by class: one may hold most rows
+                spread = (mix(ids) % U64(buckets)).astype(np.int32)
                 own = pa.array(sizes), pa.array(keys, mask=sizes == 0)
                 doc_rows = [pa.array(spread), batch.column("doc_id"), batch.column("version"), *own]
                 yield pa.RecordBatch.from_arrays([*doc_rows, none, none, none, none, none], schema=POSTED)
