@@ -163,16 +163,18 @@ def _seconds(interval: str) -> int | None:
     return int(parts[0]) * _UNIT_SECONDS[unit] if unit in _UNIT_SECONDS else None
 
 
-def sliding_count(log: DataFrame, window: str = "60 minutes", slide: str = "10 seconds") -> DataFrame:
+def sliding_count(
+    log: DataFrame, window: str = "60 minutes", slide: str = "10 seconds", preaggregate: bool = True
+) -> DataFrame:
     """Clicks per ad in every sliding window.
 
     ``window()`` would copy each click into window/slide windows (360 for 60 min / 10 s)
     before aggregating.  Clicks are counted per bucket of one slide first, and only
     those counts are spread over the windows.  A window that is no whole number of
-    slides falls back to ``window()``.
+    slides, or ``preaggregate=False``, takes ``window()``.
     """
     w_s, s_s = _seconds(window), _seconds(slide)
-    if w_s and s_s and w_s % s_s == 0:
+    if preaggregate and w_s and s_s and w_s % s_s == 0:
         return spread_buckets(bucket_counts(log, slide), window, slide)
     return (
         log.groupBy(F.window("ts", window, slide).alias("w"), "ad_id")

@@ -422,8 +422,8 @@ def test_changelog_key_read_prunes_partitions(spark, tmp_path):
     keys = spark.read.parquet(str(tmp_path / "keys/k"))  # no constant the optimizer could infer from
     got = t.read(0, keys=keys)
     plan = got._jdf.queryExecution().executedPlan().toString()
-    # a one-value IN is simplified to `=`
-    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ (IN \(|= )2024-01-05", plan), plan
+    # the range of the keys' dates, known when the scan starts
+    assert re.search(r"PartitionFilters: \[\(+date#\d+ >= Subquery", plan), plan
     assert [tuple(r) for r in got.collect()] == [(dt.date(2024, 1, 5), "u2", 1)]
 
 
