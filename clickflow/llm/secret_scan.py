@@ -2,15 +2,17 @@
 
 Each text is scanned as it is (the base spans).  Then it is unwrapped: percent escapes and
 Unicode escapes are decoded in place, and base64 stretches become layers of their own, which
-may hold compressed data.  Every new layer is put on the worklist, scanned and unwrapped in
+may hold compressed data.  A layer decoded in place is the stretch around the escapes that a
+match can run over, not the whole text: the rest holds what its parent held.  Every new layer is put on the worklist, scanned and unwrapped in
 its turn until nothing new appears.  A layer is known by its content and its place in the
 original, so a layer that decodes to itself or to an ancestor ends there.  Spans found in a
 layer are mapped back to the stretch of the original text (code points) they come from.
 
 Compressed layers are read as a stream in windows that end where no match can be running, so
-a text that unpacks to far more than itself doesn't fill the memory.  The work on one document
-is bounded by ``most_decoded`` characters; a document that reaches it says so in ``n_unread``
-(its base spans are never affected).
+a text that unpacks to far more than itself doesn't fill the memory; what was seen below a
+window is forgotten after it.  All layers are read, so the time of a document grows with what
+it decodes to.  Only a caller that gives ``most_decoded`` ends a document after that many
+decoded characters; such a document says so in ``n_unread`` (its base spans are never affected).
 
 The work is per document, in Arrow batches without a shuffle.
 
@@ -57,7 +59,6 @@ MAGIC = (b"\x1f\x8b", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd", b"\x78\x01",
 WINDOW = 4 << 20
 PIECE = 1 << 20
 FEED = 1 << 14
-MOST_DECODED = 1 << 28
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -107,36 +108,54 @@ def _unquoted(m: re.Match) -> str:
         return raw.decode("latin-1")
 
 
-def decoded_in_place(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
-    """The layer with every escape decoded, or None if it has none."""
-    parts, at, source, here, done = [], [], [], 0, 0
-
-    def add(part: str, a: int, b: int, exact: bool) -> None:
-        nonlocal here
-        if part:
-            parts.append(part)
-            at.append(here)
-            source.append((a, b, exact))
-            here += len(part)
-
-    def copied(a: int, b: int) -> None:  # unchanged text keeps its finer stretches
-        i = bisect.bisect_right(layer.at, a) - 1
-        while a < b:
-            stop = min(b, layer.at[i + 1] if i + 1 < len(layer.at) else b)
-            o, e, exact = layer.source[i]
-            add(layer.text[a:stop], o + a - layer.at[i] if exact else o, o + stop - layer.at[i] if exact else e, exact)
-            a, i = stop, i + 1
-
-    for m in pattern.finditer(layer.text):
-        text = decode(m)
-        if text != m[0]:
-            copied(done, m.start())
-            add(text, *layer.original(m.start(), m.end()), False)
-            done = m.end()
-    if not done:
-        return None
-    copied(done, len(layer.text))
-    return Layer("".join(parts), at, source)
+def _stretch_start(text: str, at: int, least: int) -> int:
+    """Where the stretch before ``at`` that a match can run over begins, at ``least`` or after."""
+    step = 256
+    while True:
+        low = max(least, at - step)
+        ends = [m.end() for m in OUTSIDE.finditer(text, low, at)]
+        if ends or low == least:
+            return ends[-1] if ends else least
+        step *= 4
+
+
+def decoded_in_place(layer: Layer, pattern: re.Pattern, decode) -> Iterator[Layer]:
+    """For every stretch with escapes that a match can run over, a layer with the escapes decoded."""
+    matches, text = pattern.finditer(layer.text), layer.text
+    m, done = next(matches, None), 0
+    while m is not None:
+        done = _stretch_start(text, m.start(), done)
+        outside = OUTSIDE.search(text, m.end())
+        stop = outside.start() if outside else len(text)
+        parts, at, source, here, changed = [], [], [], 0, False
+
+        def add(part: str, a: int, b: int, exact: bool) -> None:
+            nonlocal here
+            if part:
+                parts.append(part)
+                at.append(here)
+                source.append((a, b, exact))
+                here += len(part)
+
+        def copied(a: int, b: int) -> None:  # unchanged text keeps its finer stretches
+            i = bisect.bisect_right(layer.at, a) - 1
+            while a < b:
+                end = min(b, layer.at[i + 1] if i + 1 < len(layer.at) else b)
+                o, e, exact = layer.source[i]
+                add(text[a:end], o + a - layer.at[i] if exact else o, o + end - layer.at[i] if exact else e, exact)
+                a, i = end, i + 1
+
+        while m is not None and m.start() < stop:
+            plain = decode(m)
+            if plain != m[0]:
+                copied(done, m.start())
+                add(plain, *layer.original(m.start(), m.end()), False)
+                done, changed = m.end(), True
+            m = next(matches, None)
+        copied(done, stop)
+        done = stop
+        if changed and parts:
+            yield Layer("".join(parts), at, source)
 
 
 def _unpack(pieces: Iterator[bytes]) -> Iterator[bytes]:
@@ -225,11 +244,9 @@ def unpacked(raw: bytes) -> Iterator[str]:
 def _children(layer: Layer) -> Iterator[Layer]:
     """The layers one step below, made when they are asked for."""
     if "%" in layer.text:
-        if (child := decoded_in_place(layer, PERCENT, _unquoted)) is not None:
-            yield child
+        yield from decoded_in_place(layer, PERCENT, _unquoted)
     if "\\" in layer.text or "&#" in layer.text:
-        if (child := decoded_in_place(layer, ESCAPE, _escaped)) is not None:
-            yield child
+        yield from decoded_in_place(layer, ESCAPE, _escaped)
     for m in BASE64.finditer(layer.text):
         raw = _base64(m[0])
         if raw is not None:
@@ -239,32 +256,36 @@ def _children(layer: Layer) -> Iterator[Layer]:
                     yield Layer(part, [0], [(a, b, False)])
 
 
-def all_spans(text: str, most_decoded: int = MOST_DECODED) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
-    """Base spans, all spans with those of decoded layers, and 1 if layers were left unread."""
+def all_spans(text: str, most_decoded: int | None = None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
+    """Base spans, all spans with those of decoded layers, and 1 if ``most_decoded`` left layers unread."""
     base = base_spans(text)
     found = set(base)
     if not text:
         return base, base, 0
-    worklist = [_children(Layer(text, [0], [(0, len(text), True)]))]
-    seen: set[tuple] = set()
+    # each entry: the layers to come and what was seen there; a large layer has a set of its own
+    worklist: list[tuple[Iterator[Layer], tuple[set[bytes], ...]]] = [
+        (_children(Layer(text, [0], [(0, len(text), True)])), (set(),))
+    ]
     work = unread = 0
     while worklist:
-        layer = next(worklist[-1], None)
+        layers, seen = worklist[-1]
+        layer = next(layers, None)
         if layer is None:
             worklist.pop()
             continue
-        key = (hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest(), layer.original(0, len(layer.text)))
-        if key in seen:
+        place = b"%d:%d" % layer.original(0, len(layer.text))
+        key = hashlib.sha256(place + b" " + layer.text.encode("utf-8", "surrogatepass")).digest()
+        if any(key in s for s in seen):
             continue
-        seen.add(key)
+        seen[-1].add(key)
         work += len(layer.text)
-        if work > most_decoded:
-            unread += 1
+        if most_decoded is not None and work > most_decoded:
+            unread = 1
             break
         for start, kind, end in base_spans(layer.text):
             a, b = layer.original(start, end)
             found.add((a, kind, b))
-        worklist.append(_children(layer))
+        worklist.append((_children(layer), (*seen, set()) if len(layer.text) >= PIECE else seen))
     return base, sorted(found), unread
 
 
@@ -285,7 +306,7 @@ SCHEMA = pa.schema(
 )
 
 
-def secret_scan(docs: DataFrame, most_decoded: int = MOST_DECODED) -> DataFrame:
+def secret_scan(docs: DataFrame, most_decoded: int | None = None) -> DataFrame:
     """One row per document: doc_id, how many base spans of each kind, base_spans, all spans, n_unread."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -67,6 +67,23 @@ def test_cycles_and_bombs_end():
     assert S.all_spans("%25" * 500 + "2541 %zz \\uZZZZ &#99999999; \\ud800")[0] == []
 
 
+def test_layers_after_much_decoded_text_are_read():
+    bomb = b64(gzip.compress(b"".join(b"%d," % i + b"\x00" * (4 << 20) for i in range(70)), 1))
+    late = b64(SECRET)
+    text = "a " + bomb + " , " + late
+    base, every, unread = S.all_spans(text)
+    start = text.index(late)
+    assert not unread and base == [] and every == [(start, 0, start + len(late))]
+
+
+def test_escapes_decode_only_their_surroundings():
+    text = "some words, " * 20_000 + "token%3Dabcdefghij, " + "more words, " * 20_000
+    layer = S.Layer(text, [0], [(0, len(text), True)])
+    parts = list(S.decoded_in_place(layer, S.PERCENT, S._unquoted))
+    assert [p.text.strip() for p in parts] == ["token=abcdefghij"]
+    assert [text[a:b] for a, _, b in S.all_spans(text)[1]] == ["token%3Dabcdefghij"]
+
+
 def test_query_matches_brute_force(spark, frame, odd_rows, no_id_rows):
     docs = documents(spark, SF01)
     for df, rows in (
