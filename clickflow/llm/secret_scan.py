@@ -8,8 +8,10 @@ its turn until nothing new appears.  A layer is known by its content and its pla
 original, so a layer that decodes to itself or to an ancestor ends there.  Spans found in a
 layer are mapped back to the stretch of the original text (code points) they come from.
 
-Compressed layers are read as a stream in windows that end where no match can be running, so
-a text that unpacks to far more than itself doesn't fill the memory; what was seen below a
+Compressed layers (all members, one after the other) are read as a stream in windows that end
+where no match can be running, so a text that unpacks to far more than itself doesn't fill the
+memory.  A base64 run that is longer than a window is decoded as a stream in its turn.  Where
+MOST_HELD characters give no place to end, the next window begins WINDOW characters earlier; what was seen below a
 window is forgotten after it.  All layers are read, so the time of a document grows with what
 it decodes to.  Only a caller that gives ``most_decoded`` ends a document after that many
 decoded characters; such a document says so in ``n_unread`` (its base spans are never affected).
@@ -27,12 +29,13 @@ import base64
 import binascii
 import bisect
 import bz2
+import codecs
 import hashlib
 import itertools
 import lzma
 import re
 import zlib
-from typing import Iterator
+from typing import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,7 +59,14 @@ ONE_ESCAPE = re.compile(r"\\[uxU]\{?([0-9A-Fa-f]+)\}?|&\#([0-9]+);|&\#[xX]([0-9A
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 OUTSIDE = re.compile(r"""[^A-Za-z0-9+/_.=\-"'\x20:%\\&\#;{}]""")  # no match and no escape runs over these
 MAGIC = (b"\x1f\x8b", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+CUT = re.compile(OUTSIDE.pattern + r"|(?<=[!-~]\x20)[A-Za-z]{1,40}\x20(?=[A-Za-z])")  # nor over a plain word's end
+BLANKS = re.compile(r"\x20{65,}")
+RUN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+RUN_END = re.compile(r"[^A-Za-z0-9+/_-]")
+OVERLAP = 64  # more than what shows a match in a run
 WINDOW = 4 << 20
+LONG_RUN = WINDOW // 2
+MOST_HELD = 16 * WINDOW
 PIECE = 1 << 20
 FEED = 1 << 14
 
@@ -158,41 +168,64 @@ def decoded_in_place(layer: Layer, pattern: re.Pattern, decode) -> Iterator[Laye
             yield Layer("".join(parts), at, source)
 
 
-def _unpack(pieces: Iterator[bytes]) -> Iterator[bytes]:
-    """Unpack a stream piece by piece; ends quietly where the data is damaged."""
-    head = next(pieces, b"")
-    zstd = head.startswith(b"\x28\xb5\x2f\xfd")
-    if zstd:
+def _with_head(pieces: Iterator[bytes], least: int) -> tuple[bytes, Iterator[bytes]]:
+    """The first bytes of a stream, at least so many if it has them, and the whole stream."""
+    head = b""
+    while len(head) < least and (piece := next(pieces, None)) is not None:
+        head += piece
+    return head, itertools.chain([head], pieces)
+
+
+def _machine(head: bytes):
+    if head.startswith(b"\x28\xb5\x2f\xfd"):
         import zstandard
 
-        machine = zstandard.ZstdDecompressor().decompressobj()
-    elif head.startswith(b"BZh"):
-        machine = bz2.BZ2Decompressor()
-    elif head.startswith(b"\xfd7zXZ\x00"):
-        machine = lzma.LZMADecompressor()
-    else:
-        machine = zlib.decompressobj(47)  # zlib or gzip by its head
+        return zstandard.ZstdDecompressor().decompressobj()
+    if head.startswith(b"BZh"):
+        return bz2.BZ2Decompressor()
+    if head.startswith(b"\xfd7zXZ\x00"):
+        return lzma.LZMADecompressor()
+    return zlib.decompressobj(47)  # zlib or gzip by its head
+
+
+def _member(head: bytes, pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """Unpack one member piece by piece; returns the bytes read after it, None where it is damaged or cut off."""
+    machine = _machine(head)
+    zstd = head.startswith(b"\x28\xb5\x2f\xfd")
+    feed = FEED >> 6 if zstd else FEED  # what zstd makes of its input can't be bounded
     try:
-        for piece in itertools.chain([head], pieces):
-            for i in range(0, len(piece), FEED):
-                data = piece[i : i + FEED]
-                if zstd:
-                    if out := machine.decompress(data):
-                        yield out
-                    continue
+        for piece in pieces:
+            for i in range(0, len(piece), feed):
+                data = piece[i : i + feed]
                 while True:
-                    if out := machine.decompress(data, PIECE):
+                    if out := machine.decompress(data) if zstd else machine.decompress(data, PIECE):
                         yield out
                     if machine.eof:
-                        return
+                        return machine.unused_data + piece[i + feed :]
                     data = getattr(machine, "unconsumed_tail", b"")
-                    if not data and (len(out) < PIECE if hasattr(machine, "unconsumed_tail") else machine.needs_input):
+                    if zstd or not data and (len(out) < PIECE if hasattr(machine, "unconsumed_tail") else machine.needs_input):
                         break
     except (zlib.error, OSError, lzma.LZMAError, EOFError) as e:
         del e
     except Exception as e:  # zstandard's own error type, which is only known where it is installed
         if type(e).__name__ != "ZstdError":
             raise
+    return None
+
+
+def _unpack(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """Unpack a stream, member after member; what follows the last one comes as it is."""
+    head, rest = _with_head(pieces, 8)
+    while head.startswith(MAGIC):
+        after = yield from _member(head, rest)
+        if after is None:
+            return
+        while len(after := after.lstrip(b"\x00")) < 8 and (piece := next(pieces, None)) is not None:  # padding
+            after += piece
+        head, rest = after, itertools.chain([after], pieces)
+    if head:
+        yield b"\n"
+        yield from rest
 
 
 def _printable(text: str) -> bool:
@@ -209,40 +242,110 @@ def _base64(run: str) -> bytes | None:
         return None
 
 
-def unpacked(raw: bytes) -> Iterator[str]:
-    """The text in some decoded bytes, in windows; nested compression is unwrapped."""
-    if not raw.startswith(MAGIC):
-        try:
-            text = raw.decode()
-        except UnicodeDecodeError:
-            return
-        if _printable(text):
+def _last_cut(text: str) -> int:
+    """The last place of a text that no match runs over, 0 if there is none."""
+    step = 1 << 10
+    while True:
+        low = max(0, len(text) - step)
+        ends = [m.end() for m in CUT.finditer(text, low)]
+        if ends or not low:
+            return ends[-1] if ends else 0
+        step *= 8
+
+
+def _run_bytes(run: str, texts: Iterator[str], after: list[str], note: Callable[[str], None]) -> Iterator[bytes]:
+    """Decode a base64 run that goes on in ``texts``; ``after`` gets the text behind it, ``note`` the run itself."""
+    text, ahead, left = run, "", ""
+    while text is not None:
+        end = RUN_END.search(text)
+        body = text[: end.start()] if end else text
+        note(ahead + body)
+        ahead = (ahead + body)[-OVERLAP:]
+        left += body
+        whole = len(left) // 4 * 4
+        if whole:
+            yield _base64(left[:whole])
+            left = left[whole:]
+        if end:
+            after.append(ahead + text[end.start() :])
+            break
+        text = next(texts, None)
+    else:
+        after.append(ahead)
+    if len(left) > 1:
+        yield _base64(left)
+
+
+def _texts(pieces: Iterator[bytes]) -> Iterator[str]:
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    for piece in pieces:
+        yield decoder.decode(piece)
+    yield decoder.decode(b"", True)
+
+
+def _windows(pieces: Iterator[bytes], note: Callable[[str], None]) -> Iterator[str | Iterator[bytes]]:
+    """A text in windows, and the decoded bytes of each base64 run that is too long for them."""
+    texts = _texts(pieces)
+    held, size, due = [], 0, WINDOW
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size < due:
+            continue
+        text = BLANKS.sub(" " * OVERLAP, "".join(held))  # the places in a window don't matter
+        if cut := _last_cut(text):
+            yield text[:cut]
+            text = text[cut:]
+        start = len(text.rstrip(RUN))
+        if len(text) - start >= LONG_RUN:
+            if start:
+                yield text[: start + OVERLAP]
+            after: list[str] = []
+            run = _run_bytes(text[start:], texts, after, note)
+            yield run
+            for _ in run:
+                pass
+            text = "".join(after)
+        elif len(text) >= MOST_HELD:
             yield text
-        return
-    pieces, heads, head = iter([raw]), set(), raw
+            text = text[-WINDOW:]
+        held, size = [text], len(text)
+        due = WINDOW if size < WINDOW // 2 else size + WINDOW
+    if text := "".join(held):
+        yield text
+
+
+def unpacked(pieces: Iterator[bytes], note: Callable[[str], None]) -> Iterator[str]:
+    """The text in some decoded bytes, in windows; nested compression is unwrapped."""
+    heads: set[bytes] = set()
+    head, pieces = _with_head(pieces, FEED)
     while head.startswith(MAGIC):
         digest = hashlib.sha256(head).digest()
         if digest in heads:  # it unpacks to itself or to what held it
             return
         heads.add(digest)
-        pieces = _unpack(pieces)
-        head = next(pieces, b"")
-        pieces = itertools.chain([head], pieces)
-    held = b""
-    for piece in pieces:
-        held += piece
-        if len(held) >= WINDOW:
-            text = held.decode("utf-8", "replace")
-            ends = [m.end() for m in OUTSIDE.finditer(text, max(0, len(text) - (1 << 16)))]
-            cut = ends[-1] if ends else len(text)
-            yield text[:cut]
-            held = text[cut:].encode()
-    if held:
-        yield held.decode("utf-8", "replace")
+        head, pieces = _with_head(_unpack(pieces), FEED)
+    for part in _windows(pieces, note):
+        if isinstance(part, str):
+            yield part
+        else:
+            yield from unpacked(part, note)
 
 
-def _children(layer: Layer) -> Iterator[Layer]:
-    """The layers one step below, made when they are asked for."""
+def _layer_texts(raw: bytes, note: Callable[[str], None]) -> Iterator[str]:
+    if raw.startswith(MAGIC):
+        yield from unpacked((raw[i : i + PIECE] for i in range(0, len(raw), PIECE)), note)
+        return
+    try:
+        text = raw.decode()
+    except UnicodeDecodeError:
+        return
+    if _printable(text):
+        yield text
+
+
+def _children(layer: Layer, note: Callable[[str, int, int], None]) -> Iterator[Layer]:
+    """The layers one step below, made when they are asked for; ``note`` gets text that is in none of them."""
     if "%" in layer.text:
         yield from decoded_in_place(layer, PERCENT, _unquoted)
     if "\\" in layer.text or "&#" in layer.text:
@@ -251,7 +354,7 @@ def _children(layer: Layer) -> Iterator[Layer]:
         raw = _base64(m[0])
         if raw is not None:
             a, b = layer.original(m.start(), m.end())
-            for part in unpacked(raw):
+            for part in _layer_texts(raw, lambda text, a=a, b=b: note(text, a, b)):
                 if part:
                     yield Layer(part, [0], [(a, b, False)])
 
@@ -262,9 +365,13 @@ def all_spans(text: str, most_decoded: int | None = None) -> tuple[list[tuple[in
     found = set(base)
     if not text:
         return base, base, 0
+
+    def note(part: str, a: int, b: int) -> None:
+        found.update((a, kind, b) for _, kind, _ in base_spans(part))
+
     # each entry: the layers to come and what was seen there; a large layer has a set of its own
     worklist: list[tuple[Iterator[Layer], tuple[set[bytes], ...]]] = [
-        (_children(Layer(text, [0], [(0, len(text), True)])), (set(),))
+        (_children(Layer(text, [0], [(0, len(text), True)]), note), (set(),))
     ]
     work = unread = 0
     while worklist:
@@ -285,7 +392,7 @@ def all_spans(text: str, most_decoded: int | None = None) -> tuple[list[tuple[in
         for start, kind, end in base_spans(layer.text):
             a, b = layer.original(start, end)
             found.add((a, kind, b))
-        worklist.append((_children(layer), (*seen, set()) if len(layer.text) >= PIECE else seen))
+        worklist.append((_children(layer, note), (*seen, set()) if len(layer.text) >= PIECE else seen))
     return base, sorted(found), unread
 
 

@@ -3,10 +3,12 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import urllib.parse
 import zlib
 
 import pytest
+import zstandard
 
 from clickflow.llm import secret_scan as S
 from clickflow.llm.common import documents
@@ -84,6 +86,28 @@ def test_escapes_decode_only_their_surroundings():
     assert [text[a:b] for a, _, b in S.all_spans(text)[1]] == ["token%3Dabcdefghij"]
 
 
+@pytest.mark.parametrize("skip", range(4))
+def test_nested_runs_longer_than_a_window(skip):
+    noise = random.Random(skip).randbytes(5 << 20)
+    inner = b64(gzip.compress(noise + b" " + SECRET.encode(), 1))
+    text = b64(gzip.compress(("~" + "a " * skip + inner + " end").encode(), 1))
+    assert len(inner) > S.WINDOW and S.all_spans(text)[1] == [(0, 0, len(text))]
+
+
+def test_long_run_without_a_place_to_cut():
+    for before in (S.WINDOW - 20, S.WINDOW - 14, S.WINDOW - 9):
+        text = b64(gzip.compress(b"%41" * (before // 3) + b"token=abcdefgh" + b"%41" * (1 << 20)))
+        assert (0, 0, len(text)) in S.all_spans(text)[1]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zlib.compress, lambda x: zstandard.compress(x)])
+def test_every_member_is_read(pack):
+    for pad in (b"", b"\x00" * 4):
+        raw = pack(b"first ") + pad + pack(SECRET[:12].encode()) + pack(SECRET[12:].encode())
+        text = b64(raw)
+        assert S.all_spans(text)[1] == [(0, 0, len(text))]
+
+
 def test_query_matches_brute_force(spark, frame, odd_rows, no_id_rows):
     docs = documents(spark, SF01)
     for df, rows in (
