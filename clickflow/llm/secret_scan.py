@@ -3,7 +3,10 @@
 Each text is scanned as it is (the base spans).  Then it is unwrapped: percent escapes and
 Unicode escapes are decoded in place, and base64 stretches become layers of their own, which
 may hold compressed data.  A layer decoded in place is the stretch around the escapes that a
-match can run over, not the whole text: the rest holds what its parent held.  Every new layer is put on the worklist, scanned and unwrapped in
+match can run over, not the whole text: the rest holds what its parent held.  Base64 is decoded
+line by line, as whole blocks over line ends and as stretches of equally long lines.  Decoded
+bytes are read as UTF-8 with replacements, or as UTF-16 where a mark or their NULs say so;
+text that still has NULs is read once more without them.  Every new layer is put on the worklist, scanned and unwrapped in
 its turn until nothing new appears.  A layer is known by its content and its place in the
 original, so a layer that decodes to itself or to an ancestor ends there.  Spans found in a
 layer are mapped back to the stretch of the original text (code points) they come from.
@@ -57,7 +60,10 @@ ESCAPE = re.compile(
 )
 ONE_ESCAPE = re.compile(r"\\[uxU]\{?([0-9A-Fa-f]+)\}?|&\#([0-9]+);|&\#[xX]([0-9A-Fa-f]+);")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-OUTSIDE = re.compile(r"""[^A-Za-z0-9+/_.=\-"'\x20:%\\&\#;{}]""")  # no match and no escape runs over these
+BLOCK = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+LINE_END = re.compile(r"\r?\n[\x20\t]*")
+OUTSIDE = re.compile(r"""[^A-Za-z0-9+/_.=\-"'\x20\t\r\n:%\\&\#;{}]""")  # no match, escape or block runs over these
 MAGIC = (b"\x1f\x8b", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
 CUT = re.compile(OUTSIDE.pattern + r"|(?<=[!-~]\x20)[A-Za-z]{1,40}\x20(?=[A-Za-z])")  # nor over a plain word's end
 BLANKS = re.compile(r"\x20{65,}")
@@ -228,18 +234,28 @@ def _unpack(pieces: Iterator[bytes]) -> Iterator[bytes]:
         yield from rest
 
 
-def _printable(text: str) -> bool:
-    return all(c >= " " or c in "\t\n\r" for c in text)
-
-
-def _base64(run: str) -> bytes | None:
+def _base64(run: str) -> bytes:
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
+    if len(body) % 4 == 1:  # holds no further byte
+        body = body[:-1]
+    return base64.b64decode(body + "=" * (-len(body) % 4))
+
+
+def _blocks(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and joined lines of base64 over line ends: each block, and its stretches of equally long lines."""
+    for m in BLOCK.finditer(text):
+        yield m.start(), m.end(), LINE_END.sub("", m[0])
+        lines = [(x.start(), x.end()) for x in LINE.finditer(text, m.start(), m.end())]
+        first = 0
+        while first < len(lines):
+            width, last = lines[first][1] - lines[first][0], first + 1
+            while last < len(lines) and lines[last][1] - lines[last][0] == width:
+                last += 1
+            stop = last + 1 if last < len(lines) and lines[last][1] - lines[last][0] < width else last  # its last line
+            if width >= 16 and stop - first > 1 and (first or stop < len(lines)):
+                a, b = lines[first][0], lines[stop - 1][1]
+                yield a, b, LINE_END.sub("", text[a:b])
+            first = last
 
 
 def _last_cut(text: str) -> int:
@@ -276,11 +292,65 @@ def _run_bytes(run: str, texts: Iterator[str], after: list[str], note: Callable[
         yield _base64(left)
 
 
+def _block_bytes(text: str, texts: Iterator[str], after: list[str], note: Callable[[str], None]) -> Iterator[bytes]:
+    """The same for a block of equally long lines and a shorter last one; ``note`` gets the lines."""
+    width, left = text.index("\n"), ""
+    lines = re.compile(r"(?:[A-Za-z0-9+/_-]{%d}\n)*" % width)
+    while True:
+        end = lines.match(text).end()
+        if end:
+            note(text[:end])
+            left += text[:end].replace("\n", "")
+            whole = len(left) // 4 * 4
+            yield _base64(left[:whole])
+            text, left = text[end:], left[whole:]
+        if len(text) > width or (more := next(texts, None)) is None:
+            break
+        text += more
+    after.append(text)
+    last = LINE.match(text)
+    if last and last.end() <= width:
+        left += last[0]
+    if len(left) > 1:
+        yield _base64(left)
+
+
+def _encoding(head: bytes) -> str:
+    if head.startswith((b"\xff\xfe", b"\xfe\xff")):
+        return "utf-16"
+    half = len(head) // 2
+    even, odd = head[: 2 * half : 2].count(0), head[1::2].count(0)
+    if 2 * max(even, odd) > half > 8 * min(even, odd):
+        return "utf-16-le" if odd > even else "utf-16-be"
+    return "utf-8"
+
+
 def _texts(pieces: Iterator[bytes]) -> Iterator[str]:
-    decoder = codecs.getincrementaldecoder("utf-8")("replace")
-    for piece in pieces:
-        yield decoder.decode(piece)
-    yield decoder.decode(b"", True)
+    """The pieces as text whose line ends are single characters without blanks after them."""
+    head, pieces = _with_head(pieces, FEED)
+    decoder = codecs.getincrementaldecoder(_encoding(head[:FEED]))("replace")
+    held = ""
+    for piece in itertools.chain(pieces, [None]):
+        text = held + (decoder.decode(b"", True) if piece is None else decoder.decode(piece))
+        end = len(text) if piece is None else len(text.rstrip("\x20\t\r\n"))
+        if len(text) - end > FEED:
+            end = len(text)
+        held = text[end:]
+        yield LINE_END.sub("\n", text[:end])
+
+
+def _long_run(text: str) -> tuple[int, bool]:
+    """Where the base64 at the end of a text begins if it is long, and whether it has line ends."""
+    start = len(text.rstrip(RUN))
+    if len(text) - start >= LONG_RUN:
+        return start, False
+    start = len(text.rstrip(RUN + "\n"))
+    lines = text[start:].split("\n")
+    first = len(lines) - 1
+    while first > 0 and len(lines[first - 1]) == len(lines[-2]) >= 16:
+        first -= 1
+    start += sum(len(x) + 1 for x in lines[:first])
+    return (start, True) if first < len(lines) - 1 and len(text) - start >= LONG_RUN else (len(text), False)
 
 
 def _windows(pieces: Iterator[bytes], note: Callable[[str], None]) -> Iterator[str | Iterator[bytes]]:
@@ -296,12 +366,12 @@ def _windows(pieces: Iterator[bytes], note: Callable[[str], None]) -> Iterator[s
         if cut := _last_cut(text):
             yield text[:cut]
             text = text[cut:]
-        start = len(text.rstrip(RUN))
-        if len(text) - start >= LONG_RUN:
+        start, lines = _long_run(text)
+        if start < len(text):
             if start:
-                yield text[: start + OVERLAP]
+                yield text[:start] if lines else text[: start + OVERLAP]
             after: list[str] = []
-            run = _run_bytes(text[start:], texts, after, note)
+            run = (_block_bytes if lines else _run_bytes)(text[start:], texts, after, note)
             yield run
             for _ in run:
                 pass
@@ -324,24 +394,37 @@ def unpacked(pieces: Iterator[bytes], note: Callable[[str], None]) -> Iterator[s
         if digest in heads:  # it unpacks to itself or to what held it
             return
         heads.add(digest)
-        head, pieces = _with_head(_unpack(pieces), FEED)
+        read: list[bytes] = []
+        inner, opened = _with_head(_unpack(_kept(pieces, read)), FEED)
+        if not inner:  # not compressed data, it only begins like it
+            pieces = itertools.chain(read, pieces)
+            break
+        read.append(None)
+        head, pieces = inner, opened
     for part in _windows(pieces, note):
-        if isinstance(part, str):
-            yield part
-        else:
+        if not isinstance(part, str):
             yield from unpacked(part, note)
+            continue
+        yield part
+        if "\x00" in part:
+            yield part.replace("\x00", "")
+
+
+def _kept(pieces: Iterator[bytes], read: list) -> Iterator[bytes]:
+    """The pieces, each put into ``read`` until that ends with None."""
+    for piece in pieces:
+        if not read or read[-1] is not None:
+            read.append(piece)
+        else:
+            read[:] = [None]
+        yield piece
 
 
 def _layer_texts(raw: bytes, note: Callable[[str], None]) -> Iterator[str]:
-    if raw.startswith(MAGIC):
+    if len(raw) < PIECE and b"\x00" not in raw and not raw.startswith((*MAGIC, b"\xff\xfe", b"\xfe\xff")):
+        yield raw.decode("utf-8", "replace")
+    else:
         yield from unpacked((raw[i : i + PIECE] for i in range(0, len(raw), PIECE)), note)
-        return
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return
-    if _printable(text):
-        yield text
 
 
 def _children(layer: Layer, note: Callable[[str, int, int], None]) -> Iterator[Layer]:
@@ -350,13 +433,12 @@ def _children(layer: Layer, note: Callable[[str, int, int], None]) -> Iterator[L
         yield from decoded_in_place(layer, PERCENT, _unquoted)
     if "\\" in layer.text or "&#" in layer.text:
         yield from decoded_in_place(layer, ESCAPE, _escaped)
-    for m in BASE64.finditer(layer.text):
-        raw = _base64(m[0])
-        if raw is not None:
-            a, b = layer.original(m.start(), m.end())
-            for part in _layer_texts(raw, lambda text, a=a, b=b: note(text, a, b)):
-                if part:
-                    yield Layer(part, [0], [(a, b, False)])
+    runs = ((m.start(), m.end(), m[0]) for m in BASE64.finditer(layer.text))
+    for start, end, run in itertools.chain(runs, _blocks(layer.text) if "\n" in layer.text else ()):
+        a, b = layer.original(start, end)
+        for part in _layer_texts(_base64(run), lambda text, a=a, b=b: note(text, a, b)):
+            if part:
+                yield Layer(part, [0], [(a, b, False)])
 
 
 def all_spans(text: str, most_decoded: int | None = None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
@@ -366,33 +448,41 @@ def all_spans(text: str, most_decoded: int | None = None) -> tuple[list[tuple[in
     if not text:
         return base, base, 0
 
-    def note(part: str, a: int, b: int) -> None:
-        found.update((a, kind, b) for _, kind, _ in base_spans(part))
-
     # each entry: the layers to come and what was seen there; a large layer has a set of its own
-    worklist: list[tuple[Iterator[Layer], tuple[set[bytes], ...]]] = [
-        (_children(Layer(text, [0], [(0, len(text), True)]), note), (set(),))
-    ]
+    worklist: list[tuple[Iterator[Layer], tuple[set[bytes], ...]]] = []
     work = unread = 0
-    while worklist:
-        layers, seen = worklist[-1]
-        layer = next(layers, None)
-        if layer is None:
-            worklist.pop()
-            continue
-        place = b"%d:%d" % layer.original(0, len(layer.text))
-        key = hashlib.sha256(place + b" " + layer.text.encode("utf-8", "surrogatepass")).digest()
-        if any(key in s for s in seen):
-            continue
-        seen[-1].add(key)
-        work += len(layer.text)
-        if most_decoded is not None and work > most_decoded:
-            unread = 1
-            break
-        for start, kind, end in base_spans(layer.text):
-            a, b = layer.original(start, end)
-            found.add((a, kind, b))
-        worklist.append((_children(layer, note), (*seen, set()) if len(layer.text) >= PIECE else seen))
+
+    def note(part: str, a: int, b: int) -> None:  # asked for inside the worklist, which goes on above it
+        found.update((a, kind, b) for _, kind, _ in base_spans(part))
+        if "\n" in part:
+            follow(Layer(part, [0], [(a, b, False)]), (*worklist[-1][1], set()))
+
+    def follow(top: Layer, seen: tuple[set[bytes], ...]) -> None:
+        nonlocal work, unread
+        depth = len(worklist)
+        worklist.append((_children(top, note), seen))
+        while len(worklist) > depth and not unread:
+            layers, seen = worklist[-1]
+            layer = next(layers, None)
+            if layer is None:
+                worklist.pop()
+                continue
+            place = b"%d:%d" % layer.original(0, len(layer.text))
+            key = hashlib.sha256(place + b" " + layer.text.encode("utf-8", "surrogatepass")).digest()
+            if any(key in s for s in seen):
+                continue
+            seen[-1].add(key)
+            work += len(layer.text)
+            if most_decoded is not None and work > most_decoded:
+                unread = 1
+                break
+            for start, kind, end in base_spans(layer.text):
+                a, b = layer.original(start, end)
+                found.add((a, kind, b))
+            worklist.append((_children(layer, note), (*seen, set()) if len(layer.text) >= PIECE else seen))
+        del worklist[depth:]
+
+    follow(Layer(text, [0], [(0, len(text), True)]), (set(),))
     return base, sorted(found), unread
 
 

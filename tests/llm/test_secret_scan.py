@@ -108,6 +108,50 @@ def test_every_member_is_read(pack):
         assert S.all_spans(text)[1] == [(0, 0, len(text))]
 
 
+def wrapped(x, end="\n", width=76):
+    x = b64(x)
+    return end.join(x[i : i + width] for i in range(0, len(x), width))
+
+
+LONG = "; ".join(f"line {i} of a longer text" for i in range(40)) + "; " + SECRET + "; the end"
+LENIENT = {
+    "not utf-8": b64(b"\xff\xfa\x80 " + SECRET.encode()),
+    "form feed": b64("\x0c\x1b[0m " + SECRET),
+    "utf-16": b64(SECRET.encode("utf-16")),
+    "utf-16-le": b64(SECRET.encode("utf-16-le")),
+    "utf-16-be": b64(SECRET.encode("utf-16-be")),
+    "utf-16 after other bytes": b64(b"\x01\x02\x03\x04" * 40 + SECRET.encode("utf-16-le")),
+    "utf-16 in gzip": b64(gzip.compress(SECRET.encode("utf-16-le"))),
+    "looks like bz2": b64("BZh " + SECRET),
+    "one character too many": b64(SECRET + " .").rstrip("=") + "A",
+    "wrapped": wrapped(LONG),
+    "wrapped, crlf": wrapped(LONG, "\r\n"),
+    "wrapped, indented": wrapped(LONG, "\n    ", 60),
+    "wrapped in wrapped": wrapped(wrapped(LONG)),
+    "wrapped gzip": wrapped(gzip.compress(random.Random(1).randbytes(500) + LONG.encode())),
+    "wrapped gzip after a header": "CERTIFICATE-----X\n" + wrapped(gzip.compress(random.Random(1).randbytes(500) + LONG.encode())),
+    "wrapped in percent text": wrapped(LONG).replace("=", "%3D").replace("Z", "%5A"),
+}
+
+
+@pytest.mark.parametrize("kind", LENIENT)
+def test_base64_layers_are_read_leniently(kind):
+    inner = LENIENT[kind]
+    text = "é before: " + inner + " , after"
+    base, every, unread = S.all_spans(text)
+    start = text.index(inner)
+    assert not unread and base == []
+    assert any(k == 0 and start <= a and b <= start + len(inner) for a, k, b in every)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n  "])
+def test_wrapped_blocks_longer_than_a_window(end):
+    noise = random.Random(3).randbytes(5 << 20)
+    inner = wrapped(gzip.compress(noise + b" " + SECRET.encode(), 1), end)
+    text = b64(gzip.compress(("head of it;\nBEGIN-CERTIFICATE" + end + inner + "\nend").encode(), 1))
+    assert (0, 0, len(text)) in S.all_spans(text)[1]
+
+
 def test_query_matches_brute_force(spark, frame, odd_rows, no_id_rows):
     docs = documents(spark, SF01)
     for df, rows in (
