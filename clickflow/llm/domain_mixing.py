@@ -22,6 +22,7 @@ every rate comes from its one target; an empty table gives no rows; further colu
 
 from __future__ import annotations
 
+import logging
 import math
 import re
 from functools import reduce
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from clickflow.llm.common import SPACE_CLASS, saved
 
+LOG = logging.getLogger(__name__)
 LEXICON_DOCS = 4000
 LEXICON_WORDS = 32
 LEXICON_LEAST = 8
@@ -142,27 +144,33 @@ def score(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[str]]:
     return scored, [r["domain"] for r in model] or ["all"]
 
 
-def fit_rates(scored: DataFrame, names: list[str], targets: dict[str, float], total: float | None = None) -> DataFrame:
-    """``scored`` with a column ``rate``: nonnegative, expected tokens of each domain near its target.
-
-    ``targets`` are weights, ``total`` the tokens to reach (all tokens of the corpus if None)."""
-    ps = [F.col(f"p{i}") for i in range(len(names))]
-    t = F.col("n_tokens").cast("double")
+def domain_tokens(scored: DataFrame, n_domains: int, rate: Column | None = None) -> list[float]:
+    """The expected tokens of each domain when every document is taken ``rate`` times (once if None)."""
+    times = F.col("n_tokens").cast("double") * (F.lit(1.0) if rate is None else rate)
+    row = scored.agg(*[F.coalesce(F.sum(times * F.col(f"p{i}")), F.lit(0.0)).alias(f"s{i}") for i in range(n_domains)]).first()
+    return [float(x) for x in row]
 
-    def sums(frame: DataFrame, rate: Column) -> list[float]:
-        row = frame.agg(*[F.coalesce(F.sum(rate * t * p), F.lit(0.0)).alias(f"s{i}") for i, p in enumerate(ps)]).first()
-        return [float(x) for x in row]
 
-    held = sums(scored, F.lit(1.0))
+def weights(names: list[str], targets: dict[str, float]) -> list[float]:
+    """The target weights of the domains that occur, with sum 1; equal ones if none of them has a target."""
     wanted = [max(targets.get(d, 0.0), 0.0) for d in names]
     if not any(wanted):
         wanted = [1.0] * len(names)
+    return [w / sum(wanted) for w in wanted]
+
+
+def fit_rates(scored: DataFrame, names: list[str], targets: dict[str, float], total: float | None = None) -> DataFrame:
+    """``scored`` with a column ``rate``: nonnegative, expected tokens of each domain near its target.
+
+    ``targets`` are weights, ``total`` the tokens to reach (all tokens of the corpus if None)."""
+    ps = [F.col(f"p{i}") for i in range(len(names))]
+    held = domain_tokens(scored, len(names))
     total = sum(held) if total is None else total
-    goal = [total * w / sum(wanted) for w in wanted]
+    goal = [total * w for w in weights(names, targets)]
     frame = scored.withColumn("rate", F.lit(1.0))
     rate: Column = F.col("rate")
     for step in range(STEPS):
-        got = sums(frame, rate)
+        got = domain_tokens(frame, len(names), rate)
         if max(abs(a - b) for a, b in zip(got, goal)) <= CLOSE * max(total, 1.0):
             break
         slopes = [(a - b) / h if h > 0 else 0.0 for a, b, h in zip(got, goal, held)]
@@ -182,19 +190,39 @@ def mix_domains(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
     return rated.select("doc_id", "version", "n_tokens", F.create_map(*entries).alias("posteriors"), best["d"].alias("domain"), "rate")
 
 
-def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """The rows of ``docs`` in one pass over the mix: each stays with probability min(1, rate).
+def draw_documents(
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None
+) -> tuple[DataFrame, dict[str, float]]:
+    """The rows of ``docs`` in one pass over the mix, and each domain's expected share of their tokens.
 
-    The draw is a hash of doc_id and text, so it is the same in every run.  A rate above one
-    asks for more than one pass, which is for whoever reads the result to make."""
-    rates = mix_domains(docs, labels, targets).select("doc_id", "version", "rate")
-    none = F.lit(-(1 << 63))
+    The rates are fitted for the total at which the expected rate of the domain of the largest
+    weight (the clean one) is one and the others are thinned to their weights.  A domain that
+    holds less than its weight asks for stays whole.  A row stays with probability min(1, rate);
+    the draw is a hash of doc_id and text, so it is the same in every run.  The shares are
+    those of the rows that stay, so they show what a rate above one leaves open."""
+    targets = targets or TARGETS
+    scored, names = score(docs, labels)
+    wanted, held = weights(names, targets), domain_tokens(scored, len(names))
+    clean = wanted.index(max(wanted))
+    rated = fit_rates(scored, names, targets, held[clean] / wanted[clean] or None)
     draw = F.pmod(F.xxhash64("doc_id", "version", F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
-    stay = rates.filter(draw < F.col("rate")).select(F.coalesce("doc_id", none).alias("id"), "version").distinct()
+    drawn = saved(rated.filter(draw < F.col("rate")).drop("rate"), "drawn-documents")
+    tokens = domain_tokens(drawn, len(names))
+    shares = {d: x / (sum(tokens) or 1.0) for d, x in zip(names, tokens)}
+    none = F.lit(-(1 << 63))
+    stay = drawn.select(F.coalesce("doc_id", none).alias("id"), "version").distinct()
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         F.coalesce(docs["doc_id"].cast("bigint"), none).alias("id"),
         F.xxhash64(text).alias("version"),
     )
-    return rows.join(stay, ["id", "version"], "left_semi").select("row.*")
+    return rows.join(stay, ["id", "version"], "left_semi").select("row.*"), shares
+
+
+def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """The rows that ``draw_documents`` keeps; the delivered shares go to the log beside the targets."""
+    rows, shares = draw_documents(docs, labels, targets)
+    wanted = dict(zip(shares, weights(list(shares), targets or TARGETS)))
+    LOG.warning("mixed domains: %s", ", ".join(f"{d} {x:.4f} (target {wanted[d]:.4f})" for d, x in shares.items()))
+    return rows

@@ -72,3 +72,34 @@ def test_mixed_documents_keep_whole_rows_and_clean_ones(spark, frame, odd_rows):
     assert share("q1t0") > 0.95 and share("q1t1") < 0.6 and share("q0t0") < 0.6
     assert M.mixed_documents(frame([]), labels).count() == 0
     assert M.mixed_documents(frame(odd_rows), labels).columns == frame(odd_rows).columns
+
+
+def _scored(spark, groups):
+    """(how many, tokens, posteriors) -> a scored frame of that many documents each."""
+    n = len(groups[0][2])
+    rows = [(i, k * 10_000 + i, t, *p) for k, (many, t, p) in enumerate(groups) for i in range(many)]
+    return spark.createDataFrame(rows, "doc_id long, version long, n_tokens long, " + ", ".join(f"p{i} double" for i in range(n))).coalesce(1).cache()
+
+
+def _drawn(spark, frame, monkeypatch, groups, names):
+    monkeypatch.setattr(M, "score", lambda docs, labels: (_scored(spark, groups), names))
+    return M.draw_documents(frame([]), None)[1]
+
+
+def test_the_draw_delivers_the_weights_it_reports(spark, frame, monkeypatch):
+    names = ["q0t0", "q1t0", "q1t1"]
+    # clean documents in excess of the targets: they stay, although the toxic ones can't reach theirs
+    shares = _drawn(spark, frame, monkeypatch, [(3960, 100, (0.0, 1.0, 0.0)), (40, 100, (0.0, 0.0, 1.0))], names)
+    assert shares["q1t0"] == 0.99 and shares["q1t1"] == 0.01 and shares["q0t0"] == 0.0
+    # too few of them: they stay and the others are thinned to their weights
+    groups = [(3000, 100, (0.0, 1.0, 0.0)), (1500, 100, (1.0, 0.0, 0.0)), (1500, 100, (0.0, 0.0, 1.0))]
+    shares = _drawn(spark, frame, monkeypatch, groups, names)
+    assert all(abs(shares[d] - w) < 0.006 for d, w in zip(names, M.weights(names, M.TARGETS)))
+
+
+def test_mixing_stage_delivers_the_targets(spark, caplog):
+    docs, labels = documents(spark, SF1), spark.read.parquet(f"{SF1}/labels.parquet")
+    with caplog.at_level("WARNING", logger=M.__name__):
+        M.mixed_documents(docs, labels)
+    told = {p.split()[0]: float(p.split()[1]) for p in caplog.messages[-1].split(": ", 1)[1].split(", ")}
+    assert all(abs(told[d] - w) < 0.1 * w + 0.001 for d, w in M.TARGETS.items())
