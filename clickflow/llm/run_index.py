@@ -1,8 +1,9 @@
-"""A run-length Burrows-Wheeler index over many short strings, held inside one task.
+"""A plain suffix order of many short strings with its Burrows-Wheeler transform, held inside one task.
 
-The index keeps the runs of the transform (character, where it begins, how many of that
-character stand before), the suffix positions at the two ends of every run, and the borders
-of the intervals of suffixes that share ``depth`` bytes.  Strings are streamed through it from
+Next to the runs of the transform (character, where it begins, how many of that character
+stand before) it keeps arrays as long as the text: the run of every position, and the borders
+of the intervals of suffixes that share ``depth`` bytes.  So it is not compressed by runs;
+the samples at run ends serve ``locate``, which only a test uses.  Strings are streamed through it from
 their ends, all of them in step: each step is one LF mapping through the run a position lies
 in, and lengthens every match by a byte.
 """
