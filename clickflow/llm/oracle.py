@@ -1,7 +1,7 @@
 """DuckDB SQL for the corpus queries that SQL can express.
 
 The others are held against brute force in ``tests/llm``: token ids (op2, op3), spans of decoded
-layers (op5), differencing (op6), byte windows (op7) and fitted rates (op10).
+layers (op5), differencing (op6), byte windows (op7), fitted rates (op10) and fingerprints (op13).
 """
 
 from __future__ import annotations
@@ -87,3 +87,70 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND NOT (100 * n_capitals > 40 * word_chars) AND word_chars BETWEEN 2 * n_words AND 15 * n_words AS kept
 FROM b
 """
+
+
+def lloyd_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Plain Lloyd rounds over all entries, a table of distances a round."""
+    head = f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = len(embedding)),
+q AS MATERIALIZED (
+  SELECT vec_id, i // (len(x) // {parts}) AS part, i % (len(x) // {parts}) AS pos,
+         CAST(floor(x[i + 1] * {scale}) AS BIGINT) AS c
+  FROM (SELECT vec_id, x, unnest(range(len(x))) AS i FROM v)),
+s AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v ORDER BY vec_id LIMIT {entries}),
+b0 AS MATERIALIZED (SELECT part, entry, pos, c FROM q JOIN s USING (vec_id))"""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT vec_id, part, min(struct_pack(d := d, entry := entry)) AS best
+  FROM (SELECT vec_id, q.part, entry, sum((q.c - b.c) * (q.c - b.c))::BIGINT AS d
+        FROM q JOIN b{k} b ON q.part = b.part AND q.pos = b.pos GROUP BY 1, 2, 3)
+  GROUP BY 1, 2)""")
+        if k < rounds:
+            steps.append(f"""
+b{k + 1} AS MATERIALIZED (
+  SELECT part, entry, pos, coalesce(n.c, b{k}.c) AS c FROM b{k} LEFT JOIN (
+    SELECT q.part, best.entry AS entry, pos, CAST(floor(sum(q.c)::DOUBLE / count(*)) AS BIGINT) AS c
+    FROM q JOIN a{k} USING (vec_id, part) GROUP BY 1, 2, 3) n USING (part, entry, pos))""")
+    tail = f"""
+r AS (SELECT vec_id, string_agg(lower(printf('%02x', best.entry)), '' ORDER BY part) AS code,
+             sum(best.d)::BIGINT AS error FROM a{rounds} GROUP BY 1)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, pos)) FROM b{rounds}) AS codebooks_sha256
+FROM r JOIN v USING (vec_id)
+"""
+    return ",".join([head, *steps, tail])
+
+
+ORACLE["op11_vector_codes"] = lloyd_sql()
+
+ORACLE["op12_source_divergence"] = r"""
+WITH d AS (SELECT coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  row_number() OVER () AS row FROM documents),
+u AS (SELECT row, lang, source,
+             unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS used FROM u GROUP BY 1, 2 HAVING count(DISTINCT row) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(used) + 2 * count(*) AS whole FROM k GROUP BY 1),
+c AS (SELECT lang, source, term, count(*) AS n FROM u SEMI JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+s AS (SELECT DISTINCT lang, source FROM d),
+w AS (SELECT lang, source, sum(n) AS uses FROM c GROUP BY 1, 2),
+g AS (SELECT s.lang, s.source, coalesce(uses, 0) + 2 * v AS whole FROM s JOIN l USING (lang) LEFT JOIN w USING (lang, source)),
+m AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+             CAST(1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // g.whole AS BIGINT) AS p,
+             CAST(1 + (1000000000::HUGEINT * (used + 2)) // l.whole AS BIGINT) AS q
+      FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS BIGINT) AS value
+      FROM m a JOIN m b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+t AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM m WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+      FROM (SELECT * FROM pairs UNION ALL SELECT * FROM t))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 10
+"""

@@ -17,8 +17,11 @@ from clickflow.llm import (
     ngram_join,
     quality_rules,
     secret_scan,
+    simhash_dedup,
+    source_divergence,
     substring_dedup,
     token_counts,
+    vector_codes,
 )
 from clickflow.llm.common import documents
 
@@ -72,6 +75,18 @@ def op10_domain_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.drop("version")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergence(documents(spark, sf_dir))
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.simhash_dedup(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -89,6 +104,9 @@ QUERIES: dict[str, Query] = {
         op8_ngram_join,
         op9_quality_rules,
         op10_domain_mixing,
+        op11_vector_codes,
+        op12_source_divergence,
+        op13_simhash_dedup,
         pipeline,
     )
 }

@@ -137,3 +137,81 @@ def first_lines(rows, least=16):
                     out[doc].append(line)
                 seen.add(norm)
     return out
+
+
+def fingerprint(text):
+    """SimHash of a text, bit by bit."""
+    import xxhash
+
+    words = re.findall(WORD, (text or "").translate(LOWER))
+    grams = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    counts = Counter(b for g in grams for b in range(64) if xxhash.xxh64_intdigest(g.encode(), 42) >> b & 1)
+    return sum(1 << b for b, n in counts.items() if 2 * n > len(grams))
+
+
+def linked(prints, differ=2):
+    """{id: fingerprint} -> {id: smallest id reachable}, by trying all pairs."""
+    parent = {i: i for i in prints}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(prints)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            if (prints[a] ^ prints[b]).bit_count() <= differ:
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: root(i) for i in ids}
+
+
+def lloyd(rows, parts=8, entries=16, rounds=6):
+    """[(vec_id, integers)] in the order of the codebooks' start -> codes, errors, codebooks."""
+    width = len(rows[0][1]) // parts
+    pieces = [[v[p * width : p * width + width] for p in range(parts)] for _, v in rows]
+    books = [[list(piece[p]) for piece in pieces[:entries]] for p in range(parts)]
+
+    def nearest(piece, book):
+        return min((sum((a - b) ** 2 for a, b in zip(piece, e)), i) for i, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            members = defaultdict(list)
+            for piece in pieces:
+                members[nearest(piece[p], books[p])[1]].append(piece[p])
+            for i, own in members.items():
+                books[p][i] = [sum(c) // len(own) for c in zip(*own)]
+    found = [[nearest(piece[p], books[p]) for p in range(parts)] for piece in pieces]
+    return [bytes(i for _, i in f).hex() for f in found], [sum(d for d, _ in f) for f in found], books
+
+
+def divergence(rows, least=10, top=10):
+    """[(lang, source, text)] -> sorted (lang, source, part, item, value, rank)."""
+    rows = [tuple(x or "" for x in r) for r in rows]
+    uses, docs = defaultdict(Counter), defaultdict(Counter)
+    for lang, source, text in rows:
+        found = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text.translate(LOWER))
+        uses[lang, source].update(found)
+        docs[lang].update(set(found))
+    out = []
+    for lang in {r[0] for r in rows}:
+        kept = [t for t, n in docs[lang].items() if n >= least]
+        sources = {r[1] for r in rows if r[0] == lang}
+        counts = {s: [uses[lang, s][t] for t in kept] for s in sources}
+        every = [sum(c) for c in zip(*counts.values())]
+
+        def shares(c):
+            return [1 + 10**9 * (n + 2) // (sum(c) + 2 * len(kept)) for n in c]
+
+        p = {s: shares(c) for s, c in counts.items()}
+        q = shares(every)
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in sources:
+            pairs = [("pair", o, sum(map(f, p[s], p[o]))) for o in sources if o != s]
+            terms = [("term", t, f(a, b)) for t, n, a, b in zip(kept, counts[s], p[s], q) if n and a > b]
+            for part in (pairs, sorted(terms, key=lambda x: (-x[2], x[1].encode()))[:top]):
+                part.sort(key=lambda x: (-x[2], x[1].encode()))
+                out += [(lang, s, *x, i + 1) for i, x in enumerate(part)]
+    return sorted(out)
