@@ -31,7 +31,6 @@ window at a time; further columns aren't read.
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from typing import Iterator
 
@@ -43,9 +42,9 @@ from pyspark.sql import functions as F
 
 from clickflow.llm.common import saved
 
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-BREAK = re.compile(r"[\x00-\x40\x5B-\x60\x7B-\x7F]")
-LOWER = {i: i + 32 for i in range(65, 91)}
+#: A term is a stretch of letters A-Z, a-z and bytes beyond ASCII: everything else becomes a blank.
+_SEEN = [b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256)]
+TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in _SEEN)
 LEAST_DOCS = 10
 TOP_TERMS = 10
 SCALE = 1_000_000_000
@@ -60,15 +59,16 @@ WINDOW = 1 << 20
 
 
 # -- counts ----------------------------------------------------------------------------
-def terms(text: str) -> Iterator[list[str]]:
-    """The terms of a text, a list for each window of it; a window ends where no term runs on."""
+def terms(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text in UTF-8, a list for each window of it; a window ends where no term runs on."""
+    text = text.translate(TERM_BYTES)
     at = 0
     while at < len(text):
         end = len(text)
         if end - at > WINDOW:
-            gap = BREAK.search(text, at + WINDOW)
-            end = gap.start() if gap else end
-        yield TERM.findall(text[at:end].translate(LOWER))
+            gap = text.find(b" ", at + WINDOW)
+            end = gap if gap >= 0 else end
+        yield text[at:end].split()
         at = end
 
 
@@ -81,10 +81,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lang, source), found in uses.items():
             cols[0] += [lang] * (len(found) + 1)
             cols[1] += [source] * (len(found) + 1)
-            cols[2] += ["", *found]  # the source occurs, with or without terms
+            cols[2] += [b"", *found]  # the source occurs, with or without terms
             cols[3] += [0, *found.values()]
             cols[4] += [0, *(held[lang, source][t] for t in found)]
-        kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
+        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
         uses.clear()
         held.clear()
         return pa.RecordBatch.from_arrays(
@@ -93,7 +93,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     size = 0
     for batch in batches:
-        for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        texts = batch.column(2).cast(pa.large_binary()).to_pylist()
+        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
             group = uses[lang, source]
             before, seen = len(group), set()
             for found in terms(text):
@@ -111,8 +112,11 @@ def term_counts(docs: DataFrame) -> DataFrame:
     """lang, source, term, n (occurrences), docs (documents with it); term '' for every group that occurs."""
     empty = F.lit("")
     cols = [F.coalesce(docs[c].cast("string"), empty).alias(c) for c in ("lang", "source", "text")]
-    found = docs.select(*cols).mapInArrow(_count, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    found = docs.select(*cols).mapInArrow(_count, "lang string, source string, term binary, n long, docs long")
+    key = ["lang", "source", "term"]
+    # tasks have added up their own documents: a partial aggregate before the shuffle would find little to add
+    sums = found.repartition(*key).groupBy(*key).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return sums.withColumn("term", F.col("term").cast("string"))
 
 
 # -- shares ----------------------------------------------------------------------------
