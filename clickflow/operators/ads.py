@@ -128,23 +128,66 @@ def bucket_counts(log: DataFrame, slide: str = "10 seconds") -> DataFrame:
     return counts.select(F.col("b.start").alias("bucket"), "ad_id", "click_count")
 
 
-def spread_buckets(buckets: DataFrame, window: str = "60 minutes", slide: str = "10 seconds") -> DataFrame:
-    """Z7, second step: bucket counts summed over every window that holds the bucket.
+def bucket_start(ts, slide: str = "10 seconds"):
+    """The start of the tumbling bucket that holds ``ts``; unlike ``window()`` it keeps rows without a time."""
+    s_s = _seconds(slide)
+    if not s_s:
+        raise ValueError(f"{slide} is not a fixed number of seconds")
+    seconds = F.unix_seconds(ts)
+    return F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(s_s)))
+
+
+def spread_buckets(
+    buckets: DataFrame, window: str = "60 minutes", slide: str = "10 seconds", chunk: str = "1 day"
+) -> DataFrame:
+    """Z7, second step: bucket counts summed over every window that holds the bucket, by an
+    inverse function: a count enters the sum at its first window and leaves after its last.
+
+    Each bucket becomes two difference marks (+n, -n) instead of a row a window (360 for
+    60 min / 10 s).  Marks are summed per ad and start, and a running sum gives the count of
+    every window up to the next mark.  A hot ad is no hot task: the running sum stays inside a
+    ``chunk`` of an ad's time and takes the total of the chunks before as carry, from one row
+    a chunk.  A bucket whose marks lie in two chunks adds a third mark of nothing, where
+    the second begins, so that a sum carried over starts there.
 
     Exact when the window is a whole number of slides, since all events of a bucket lie in
     the same windows."""
     w_s, s_s = _seconds(window), _seconds(slide)
     if not w_s or not s_s or w_s % s_s:
         raise ValueError(f"{window} is not a whole number of {slide}")
-    k = F.explode(F.sequence(F.lit(0), F.lit(w_s // s_s - 1))).alias("k")
-    spread = buckets.select("ad_id", F.col("click_count").alias("n"), F.unix_seconds("bucket").alias("bs"), k)
-    start = F.col("bs") - F.col("k") * F.lit(s_s)
+    c_s = -(-max(_seconds(chunk) or 0, w_s) // s_s) * s_s  # at least a window, a whole number of slides
+    bs, n = F.unix_seconds("bucket"), F.col("click_count")
+    enters, leaves = bs - F.lit(w_s - s_s), bs + F.lit(s_s)
+    begin = leaves - F.pmod(leaves, F.lit(c_s))  # of the chunk in which the count leaves
+    entered, left = F.struct(enters.alias("s"), n.alias("n")), F.struct(leaves.alias("s"), (-n).alias("n"))
+    carried = F.struct(begin.alias("s"), F.lit(0).cast("bigint").alias("n"))
+    marks = F.when(enters < begin, F.array(entered, left, carried)).otherwise(F.array(entered, left))
+    mark = buckets.select("ad_id", F.explode(marks).alias("m")).select("ad_id", "m.s", "m.n")
+    chunk_of = F.floor(F.col("s") / F.lit(c_s))
+    sums = mark.groupBy("ad_id", "s").agg(F.sum("n").alias("n")).withColumn("c", chunk_of)
+    totals = mark.groupBy("ad_id", chunk_of.alias("c")).agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("ad_id").orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(
+        F.col("ad_id").alias("_ad"), F.col("c").alias("_c"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("carry")
+    )
+    inside = Window.partitionBy("ad_id", "c").orderBy("s")
+    running = sums.select(
+        "ad_id",
+        "c",
+        "s",
+        F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("sum"),
+        F.coalesce(F.lead("s").over(inside), (F.col("c") + 1) * F.lit(c_s)).alias("next"),
+    )
+    whole = running.join(carry, F.col("ad_id").eqNullSafe(F.col("_ad")) & (F.col("c") == F.col("_c"))).select(
+        "ad_id", "s", "next", (F.col("sum") + F.col("carry")).cast("bigint").alias("click_count")
+    )
+    starts = F.explode(F.sequence(F.col("s"), F.col("next") - F.lit(s_s), F.lit(s_s))).alias("start")
     return (
-        spread.groupBy(start.alias("s"), "ad_id")
-        .agg(F.sum("n").cast("bigint").alias("click_count"))
+        whole.filter("click_count > 0")
+        .select("ad_id", "click_count", starts)
         .select(
-            F.timestamp_seconds("s").alias("window_start"),
-            F.timestamp_seconds(F.col("s") + F.lit(w_s)).alias("window_end"),
+            F.timestamp_seconds("start").alias("window_start"),
+            F.timestamp_seconds(F.col("start") + F.lit(w_s)).alias("window_end"),
             "ad_id",
             "click_count",
         )
@@ -169,8 +212,8 @@ def sliding_count(
     """Clicks per ad in every sliding window.
 
     ``window()`` would copy each click into window/slide windows (360 for 60 min / 10 s)
-    before aggregating.  Clicks are counted per bucket of one slide first, and only
-    those counts are spread over the windows.  A window that is no whole number of
+    before aggregating.  Clicks are counted per bucket of one slide first, and
+    :func:`spread_buckets` sums those counts over the windows.  A window that is no whole number of
     slides, or ``preaggregate=False``, takes ``window()``.
     """
     w_s, s_s = _seconds(window), _seconds(slide)

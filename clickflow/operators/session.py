@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickflow.functions.scalars import ratio, seconds_between
@@ -119,16 +119,42 @@ def _bucket(c: Column, low: int, high: int | None) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
 
 
+def _length_counters() -> list[Column]:
+    v, s = F.col("visit_length"), F.col("step_length")
+    cols = [F.count(F.lit(1)).alias("session_count")]
+    cols += [_bucket(v, lo, hi).alias(f"visit_{name}") for name, lo, hi in VISIT_BUCKETS]
+    cols += [_bucket(s, lo, hi).alias(f"step_{name}") for name, lo, hi in STEP_BUCKETS]
+    return cols
+
+
 def length_stats(sessions: DataFrame) -> DataFrame:
     """A2-A4: one row: session_count and the 15 bucket counts (0 s / 0 steps fall in none).
 
     A plain global aggregate: partial sums per task, one tiny final merge.
     """
-    v, s = F.col("visit_length"), F.col("step_length")
-    cols = [F.count(F.lit(1)).alias("session_count")]
-    cols += [_bucket(v, lo, hi).alias(f"visit_{name}") for name, lo, hi in VISIT_BUCKETS]
-    cols += [_bucket(s, lo, hi).alias(f"step_{name}") for name, lo, hi in STEP_BUCKETS]
-    return sessions.agg(*cols)
+    return sessions.agg(*_length_counters())
+
+
+class ObservedLengths:
+    """A4: the counters of :func:`length_stats`, filled while the sessions are written.
+
+    The reference's accumulator does this by side effect, where a task that runs twice counts
+    twice.  ``watch`` marks the DataFrame that is written next; the counters lie in the write's own
+    stage, of which Spark takes each task's figures once, however often it was tried.
+    No second pass over the sessions is needed."""
+
+    def __init__(self, name: str = "session_lengths"):
+        self._seen = Observation(name)
+
+    def watch(self, sessions: DataFrame) -> DataFrame:
+        return sessions.observe(self._seen, *_length_counters())
+
+    def stats(self, like: DataFrame) -> DataFrame:
+        """One row as :func:`length_stats` of the written sessions; waits for the write."""
+        found = self._seen.get
+        schema = length_stats(like).schema
+        # sums over no rows are NULL, here as there
+        return like.sparkSession.createDataFrame([tuple(found.get(c) for c in schema.names)], schema)
 
 
 def length_ratios(stats: DataFrame) -> DataFrame:

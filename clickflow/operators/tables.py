@@ -3,11 +3,10 @@
 The reference writes rows to MySQL with insert / add-upsert / replace-upsert /
 delete-groups-then-insert statements.  Here each one is a pure function from
 (target state, updates) to the new state, so any table format can store it: plain
-parquet versions below, or a ``MERGE INTO`` on a table format that has one.
+parquet as below, or a ``MERGE INTO`` on a table format that has one.
 
-:class:`ChangelogTable` gives exactly-once semantics for stream sinks (D14): each
-micro-batch writes only its own changes into a folder named by its batch id, so a
-replayed batch overwrites itself and is never applied twice.
+:class:`BatchTable` stores the upserts of a stream (D14): partitions keyed by batch, and a merge of
+those partitions that changed.
 """
 
 from __future__ import annotations
@@ -121,22 +120,27 @@ def replace_groups(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -
     return by_key(target, updates, keys, "left_anti").select(*cols).unionByName(updates.select(*cols))
 
 
-class ChangelogTable:
-    """Exactly-once stream sink that writes only each micro-batch's changes.
+class BatchTable:
+    """Stream sink whose cost follows the change.
 
-    Layout under ``path``: ``delta/b<batch>`` holds the rows a micro-batch changed
-    (overwritten on replay, so a retried batch is applied once) and every
-    ``compact_every`` batches ``snapshot/s<batch>`` holds the merged state.
-    ``read(as_of)`` = newest snapshot ``<= as_of`` merged with the later deltas.
-    Nothing rewrites the whole state per micro-batch; compaction does it every
-    ``compact_every`` batches, and then :meth:`vacuum` drops folders no read or
-    replay can need any more.
+    Rows belong to parts: ``part`` is an SQL expression over the keys, such as a date or a hash of
+    a key.  Under ``path``:
 
-    ``mode`` decides the merge: ``'add'`` sums ``value`` per key (K4),
-    ``'replace'`` keeps the newest row per key (K5), ``'replace_groups'`` keeps
-    the newest batch's rows of each group (K7), ``'set'`` keeps distinct rows.
-    With ``partition_by`` (e.g. ``date``) a read restricted to some keys reads only
-    the partition folders of those keys.
+    * ``delta/_batch=<b>/_part=<p>``: the rows that micro-batch ``b`` changed.  A replayed batch
+      overwrites its own folder, so it counts once.
+    * ``base/_part=<p>/_batch=<b>``: the merged state of one part.  Every ``merge_every`` batches the
+      parts touched since their last merge get a new one, by one write with dynamic
+      partition overwrite; a part that no batch touched is neither read nor written.
+
+    Files are sorted by part and ``sort``, so that a filter on those columns skips row groups.
+
+    The state of a part is its newest base with the later deltas.  A merge reads only what is older than
+    itself, so it can fail and be replayed at any point.  Afterwards the base before the
+    newest one stays for a replay, and deltas that every part has merged go.
+
+    ``mode`` decides the merge: ``'add'`` sums ``value`` per key (K4), ``'replace'`` keeps the
+    newest row per key (K5), ``'replace_groups'`` the newest batch's rows of each group (K7),
+    ``'set'`` distinct rows.
     """
 
     MODES = ("add", "replace", "replace_groups", "set")
@@ -149,128 +153,144 @@ class ChangelogTable:
         keys: Sequence[str] = (),
         mode: str = "replace",
         value: str = "click_count",
-        partition_by: Sequence[str] = (),
-        compact_every: int = 20,
+        part: str = "'all'",
+        merge_every: int = 20,
+        sort: Sequence[str] = (),
     ):
         if mode not in self.MODES:
             raise ValueError(f"unknown mode {mode!r}")
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
-        self.keys = list(keys) or [f.name for f in schema.fields]
+        self.columns = [f.name for f in schema.fields]
+        self.keys = list(keys) or self.columns
         self.mode = mode
         self.value = value
-        self.partition_by = list(partition_by)
-        self.compact_every = compact_every
+        self.part = part
+        self.merge_every = merge_every
+        self.sort = list(sort)
+        stored = [T.StructField("_part", T.StringType()), T.StructField("_batch", T.LongType())]
+        self._stored = T.StructType([*schema.fields, *stored])
 
-    # -- storage ---------------------------------------------------------------
+    # -- folders: names only, rows never come to the driver --------------------
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return jvm, jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(conf)
+        return jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(conf)
 
-    def _listed(self, sub: str, prefix: str) -> list[int]:
-        jvm, fs = self._fs()
-        d = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}")
-        if not fs.exists(d):
+    def _children(self, folder: str, key: str) -> list[str]:
+        """Values of the ``key=value`` folders in a folder, as they are written there."""
+        path, fs = self._fs()
+        if not fs.exists(path(folder)):
             return []
-        out = []
-        for st in fs.listStatus(d):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(prefix) and name[len(prefix):].isdigit():
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[len(prefix):]))
-        return sorted(out)
-
-    def _delta_path(self, b: int) -> str:
-        return f"{self.path}/delta/b{b:012d}"
-
-    def _snapshot_path(self, b: int) -> str:
-        return f"{self.path}/snapshot/s{b:012d}"
-
-    def _write(self, df: DataFrame, path: str) -> None:
-        w = df.select(*[f.name for f in self.schema.fields]).write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(path)
+        names = [st.getPath().getName() for st in fs.listStatus(path(folder))]
+        return sorted(n[len(key) + 1 :] for n in names if n.startswith(f"{key}="))
 
-    def _load(self, path: str, batch: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(path).withColumn("_batch", F.lit(batch).cast("bigint"))
+    def _delta(self, batch: int) -> str:
+        return f"{self.path}/delta/_batch={batch}"
 
-    # -- API -------------------------------------------------------------------
     def batches(self) -> list[int]:
-        return self._listed("delta", "b")
-
-    def changes(self, batch_id: int) -> DataFrame:
-        """The rows that micro-batch ``batch_id`` wrote."""
-        return self.spark.read.schema(self.schema).parquet(self._delta_path(batch_id))
-
-    def read(self, as_of: int | None = None, keys: DataFrame | None = None, _base_below: int | None = None) -> DataFrame:
-        """State after micro-batch ``as_of`` (all batches when None).  ``keys``
-        restricts the read to those key rows before merging."""
-        snaps = [
-            s for s in self._listed("snapshot", "s")
-            if (as_of is None or s <= as_of) and (_base_below is None or s < _base_below)
-        ]
-        base = snaps[-1] if snaps else -1
-        parts = [self._load(self._snapshot_path(base), base)] if snaps else []
-        parts += [
-            self._load(self._delta_path(b), b)
-            for b in self.batches()
-            if b > base and (as_of is None or b <= as_of)
-        ]
-        if not parts:
-            return self.spark.createDataFrame([], self.schema)
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
-        if keys is not None:  # any subset of the columns, e.g. the groups a batch touched
-            rows = by_key(self._prune(rows, keys), keys, keys.columns, "left_semi")
-        return self._merge(rows).select(*[f.name for f in self.schema.fields])
-
-    def _prune(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
-        """Partition pruning for a key-restricted read: the smallest and largest partition
-        value of the keys, as scalar subqueries, are a filter that the scan applies to its
-        partition folders (the folder of NULL stays)."""
-        if len(self.partition_by) != 1 or self.partition_by[0] not in keys.columns:
-            return rows
-        col = self.partition_by[0]
-        low, high = keys.agg(F.min(col)).scalar(), keys.agg(F.max(col)).scalar()
-        return rows.filter(((F.col(col) >= low) & (F.col(col) <= high)) | F.col(col).isNull())
-
-    def _merge(self, rows: DataFrame) -> DataFrame:
-        cols = [f.name for f in self.schema.fields]
+        """Micro-batches whose rows are stored whole."""
+        path, fs = self._fs()
+        found = (int(b) for b in self._children(f"{self.path}/delta", "_batch"))
+        return sorted(b for b in found if fs.exists(path(f"{self._delta(b)}/_SUCCESS")))
+
+    def touched(self, batch: int) -> set[str]:
+        """The parts that a micro-batch changed."""
+        return set(self._children(self._delta(batch), "_part"))
+
+    def bases(self, parts: set[str] | None = None) -> dict[str, list[int]]:
+        """The merges of each part, oldest first."""
+        base = f"{self.path}/base"
+        names = [p for p in self._children(base, "_part") if parts is None or p in parts]
+        return {p: sorted(map(int, self._children(f"{base}/_part={p}", "_batch"))) for p in names}
+
+    def _write(self, df: DataFrame, path: str, by: Sequence[str], **options: str) -> None:
+        # a file per part where that is enough; adaptive execution splits what is too much for one task
+        dealt = df.hint("rebalance", *by).sortWithinPartitions(*by, *self.sort)
+        dealt.write.mode("overwrite").options(**options).partitionBy(*by).parquet(path)
+
+    # -- rows ------------------------------------------------------------------
+    def _rows(self, as_of: int | None, parts: set[str] | None, below: int | None = None) -> DataFrame:
+        """Stored rows that make up the state: of each part its newest base and what came later."""
+        newest: dict[str, int] = {}
+        for name, merges in self.bases(parts).items():
+            fit = [b for b in merges if (as_of is None or b <= as_of) and (below is None or b < below)]
+            if fit:
+                newest[name] = fit[-1]
+        base = [f"{self.path}/base/_part={p}/_batch={b}" for p, b in newest.items()]
+        delta = []
+        for b in self.batches():
+            if as_of is None or b <= as_of:
+                mine = self.touched(b) if parts is None else self.touched(b) & parts
+                delta += [f"{self._delta(b)}/_part={p}" for p in mine if b > newest.get(p, -1)]
+        rows = None
+        for kind, paths in (("base", base), ("delta", delta)):
+            if paths:
+                read = self.spark.read.schema(self._stored).option("basePath", f"{self.path}/{kind}")
+                found = read.parquet(*sorted(paths)).select(*self.columns, "_part", "_batch")
+                rows = found if rows is None else rows.unionByName(found)
+        return self.spark.createDataFrame([], self._stored) if rows is None else rows
+
+    def _merged(self, rows: DataFrame, *also: str) -> DataFrame:
+        """One state from stored rows; ``also``: columns that the keys decide."""
+        keys = [*self.keys, *also]
         if self.mode == "add":
-            return rows.groupBy(*self.keys).agg(F.sum(self.value).cast("bigint").alias(self.value))
+            return rows.groupBy(*keys).agg(F.sum(self.value).cast("bigint").alias(self.value))
         if self.mode == "set":
-            return rows.select(*cols).distinct()
+            return rows.select(*self.columns, *also).distinct()
         if self.mode == "replace":
-            others = [c for c in cols if c not in self.keys]
+            others = [c for c in self.columns if c not in self.keys]
             latest = F.max_by(F.struct(*others), F.col("_batch")).alias("_row")
-            return rows.groupBy(*self.keys).agg(latest).select(*self.keys, *[F.col(f"_row.{c}") for c in others])
+            return rows.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_row.{c}") for c in others])
         newest = F.max("_batch").over(Window.partitionBy(*self.keys))
-        return rows.withColumn("_newest", newest).filter(F.col("_batch") == F.col("_newest"))
+        return rows.withColumn("_newest", newest).filter(F.col("_batch") == F.col("_newest")).select(*self.columns, *also)
+
+    # -- API -------------------------------------------------------------------
+    def changes(self, batch_id: int) -> DataFrame:
+        """The rows that micro-batch ``batch_id`` wrote."""
+        return self.spark.read.schema(self._stored).parquet(self._delta(batch_id)).select(*self.columns)
+
+    def read(
+        self, as_of: int | None = None, keys: DataFrame | None = None, touched_by: int | None = None, where: str = "true"
+    ) -> DataFrame:
+        """State after micro-batch ``as_of`` (all batches when None).
+
+        ``touched_by`` opens only the parts that this batch changed; ``where``, over key columns, reaches the
+        scan (files are sorted by ``sort``); ``keys`` restricts the state to those key rows before merging."""
+        rows = self._rows(as_of, None if touched_by is None else self.touched(touched_by)).filter(where)
+        if keys is not None:  # any subset of the columns, e.g. the groups a batch touched
+            rows = by_key(rows, keys, keys.columns, "left_semi")
+        return self._merged(rows).select(*self.columns)
 
     def write_batch(self, changes: DataFrame, batch_id: int) -> None:
-        """Record micro-batch ``batch_id``'s changes (idempotent), compacting every
-        ``compact_every`` batches."""
-        self._write(changes, self._delta_path(batch_id))
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            # built from older snapshots only: a replayed batch never reads the folder it overwrites
-            self._write(self.read(batch_id, _base_below=batch_id), self._snapshot_path(batch_id))
-            self.vacuum()
-
-    def vacuum(self) -> None:
-        """Retention: keep the newest two snapshots and the deltas after the older
-        of them; delete the rest.  A replay of the batch that wrote the newest
-        snapshot still finds the previous snapshot and every delta after it."""
-        snaps = self._listed("snapshot", "s")
-        if len(snaps) < 2:
+        """Record micro-batch ``batch_id``'s changes (idempotent); every ``merge_every`` batches
+        merge the parts touched since."""
+        name = F.coalesce(F.expr(self.part).cast("string"), F.lit("-"))
+        self._write(changes.select(*self.columns).withColumn("_part", name), self._delta(batch_id), ["_part"])
+        if self.merge_every and (batch_id + 1) % self.merge_every == 0:
+            self.merge(batch_id)
+
+    def merge(self, batch_id: int) -> None:
+        """New bases, as of micro-batch ``batch_id``, for the parts that have deltas beyond their last one."""
+        deltas = {b: self.touched(b) for b in self.batches() if b <= batch_id}
+        every = set().union(*deltas.values())
+        before = self.bases(every)
+        last = {p: max((b for b in before.get(p, ()) if b < batch_id), default=-1) for p in every}
+        parts = {p for b, names in deltas.items() for p in names if b > last[p]}
+        if not parts:
             return
-        keep_from = snaps[-2]
-        jvm, fs = self._fs()
-        for s in snaps[:-2]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(self._snapshot_path(s)), True)
-        for b in self.batches():
-            if b <= keep_from:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(self._delta_path(b)), True)
+        state = self._merged(self._rows(batch_id, parts, below=batch_id), "_part").withColumn("_batch", F.lit(batch_id))
+        self._write(state, f"{self.path}/base", ["_part", "_batch"], partitionOverwriteMode="dynamic")
+        self._retire(batch_id, deltas, before, last)
+
+    def _retire(self, batch_id: int, deltas: dict[int, set[str]], before: dict[str, list[int]], last: dict[str, int]) -> None:
+        """Delete what neither a read nor a replay of ``batch_id`` needs."""
+        path, fs = self._fs()
+        for p, merges in before.items():
+            for b in merges:
+                if b < last[p]:
+                    fs.delete(path(f"{self.path}/base/_part={p}/_batch={b}"), True)
+        for b, names in deltas.items():
+            if all(last[p] >= b for p in names):
+                fs.delete(path(self._delta(b)), True)

@@ -144,7 +144,8 @@ class AreaParams:
 class AdParams:
     """Ad-stream parameters: blacklist threshold (D15), top-n per province,
     micro-batch interval (Z1), sliding window/slide (Z7) and the optional
-    event-time watermark of the single-table minute trend (Z8)."""
+    event-time watermark of the single-table minute trend (Z8).  With ``lateness`` the whole job
+    takes a click whose minute ended that long before the newest click of earlier batches as late."""
 
     blacklist_threshold: int = 100
     top_n: int = 3
@@ -152,6 +153,7 @@ class AdParams:
     window: str = "60 minutes"
     slide: str = "10 seconds"
     watermark: str | None = None
+    lateness: str | None = None
 
 
 def task_param_columns(task_param: Column) -> list[Column]:

@@ -230,6 +230,8 @@ TREND = f"""SELECT {D('m')} AS date, strftime(m, '%H') AS hour, strftime(m, '%M'
        count(*) AS click_count
 FROM (SELECT date_trunc('minute', ts) AS m, ad_id FROM adlog {{where}}) GROUP BY m, ad_id"""
 
+LAST_HOUR = "WHERE date_trunc('minute', ts) > (SELECT date_trunc('minute', max(ts)) FROM adlog) - INTERVAL 60 MINUTE"
+
 SLIDING = f"""SELECT {T('make_timestamp(s)')} AS window_start, {T('make_timestamp(s + 3600000000)')} AS window_end,
        ad_id, count(*) AS click_count
 FROM (SELECT (epoch_us(ts) // 10000000) * 10000000 - i * 10000000 AS s, ad_id
@@ -237,6 +239,14 @@ FROM (SELECT (epoch_us(ts) // 10000000) * 10000000 - i * 10000000 AS s, ad_id
 GROUP BY s, ad_id"""
 
 
+# a batch's watermark: the newest click of the batches before it, less ten days
+LATENESS = """newest AS (SELECT batch_no, max(ts_ms) AS ms FROM adlog GROUP BY 1),
+late AS (SELECT b.batch_no, max(n.ms) - 10 * 86400000 AS watermark
+         FROM newest b LEFT JOIN newest n ON n.batch_no < b.batch_no GROUP BY 1)"""
+IS_LATE = "(ts_ms // 60000 + 1) * 60000 <= watermark"
+IDLE_MS = 2 * 86400000
+
+
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     # ---------------- J3
@@ -401,9 +411,7 @@ FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)"""
 SELECT {D('date')} AS date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count FROM stat GROUP BY 1,2,3"""
     q["ad_province_top3"] = f"WITH {ADLOG}, {STAT}, {PROV_TOP('stat', 'ptop')} SELECT {D('date')} AS date, province, ad_id, click_count FROM ptop"
     q["ad_click_trend"] = f"WITH {ADLOG} " + TREND.format(where="")
-    q["ad_click_trend_last_hour"] = f"WITH {ADLOG} " + TREND.format(
-        where="WHERE date_trunc('minute', ts) > (SELECT date_trunc('minute', max(ts)) FROM adlog) - INTERVAL 60 MINUTE"
-    )
+    q["ad_click_trend_last_hour"] = f"WITH {ADLOG} " + TREND.format(where=LAST_HOUR)
     q["ad_sliding_count"] = f"WITH {ADLOG} " + SLIDING
     # ---------------- table semantics
     q["upsert_add"] = f"{J4BL} SELECT {D('date')} AS date, user_id, ad_id, click_count FROM totals"
@@ -432,24 +440,46 @@ SELECT {D('date')} AS date, province, ad_id, click_count FROM (
     q["stream_ad_click_trend"] = q["ad_click_trend"]
     q["stream_ad_sliding_count"] = q["ad_sliding_count"]
     q["stream_ad_click_trend_last_hour"] = q["ad_click_trend_last_hour"]
-    # a batch's watermark: the newest click of the batches before it, less ten days
-    q["stream_ad_click_trend_watermark"] = f"""WITH {ADLOG},
-newest AS (SELECT batch_no, max(ts_ms) AS ms FROM adlog GROUP BY 1),
-late AS (SELECT b.batch_no, max(n.ms) - 10 * 86400000 AS watermark
-         FROM newest b LEFT JOIN newest n ON n.batch_no < b.batch_no GROUP BY 1),
-kept AS (SELECT a.* FROM adlog a JOIN late USING (batch_no)
-         WHERE watermark IS NULL OR (ts_ms // 60000 + 1) * 60000 > watermark)
+    q["stream_ad_click_trend_watermark"] = f"""WITH {ADLOG}, {LATENESS},
+kept AS (SELECT a.* FROM adlog a JOIN late USING (batch_no) WHERE NOT coalesce({IS_LATE}, false))
 {TREND.format(where="").replace("FROM adlog", "FROM kept")}"""
     q["stream_ad_pipeline"] = f"""WITH {ADLOG}, {FEEDBACK},
 kstat AS (SELECT date, province, city, ad_id, count(*) AS click_count FROM kept GROUP BY 1,2,3,4),
 {PROV_TOP('kstat', 'ktop')},
-ktrend AS ({TREND.format(where="").replace("FROM adlog", "FROM kept")})
+ktrend AS ({TREND.format(where="").replace("FROM adlog", "FROM kept")}),
+klast AS ({TREND.format(where=LAST_HOUR).replace("FROM adlog", "FROM kept")}),
+kslide AS ({SLIDING.replace("FROM adlog", "FROM kept")})
 SELECT 'user_click_count' AS result, {D('date')} AS date, concat_ws('|', user_id, ad_id) AS key, count(*) AS n
 FROM kept GROUP BY ALL
 UNION ALL SELECT 'blacklist', '', CAST(user_id AS VARCHAR), 1 FROM breach
 UNION ALL SELECT 'ad_stat', {D('date')}, concat_ws('|', province, city, ad_id), click_count FROM kstat
 UNION ALL SELECT 'province_top', {D('date')}, concat_ws('|', province, ad_id), click_count FROM ktop
-UNION ALL SELECT 'click_trend', date, concat_ws('|', hour, minute, ad_id), click_count FROM ktrend"""
+UNION ALL SELECT 'click_trend', date, concat_ws('|', hour, minute, ad_id), click_count FROM ktrend
+UNION ALL SELECT 'click_trend_last_hour', date, concat_ws('|', hour, minute, ad_id), click_count FROM klast
+UNION ALL SELECT 'sliding_count', window_start, CAST(ad_id AS VARCHAR), click_count FROM kslide
+UNION ALL SELECT 'rejects', '', 'city', count(*) FROM events WHERE event_type = 'signup' HAVING count(*) > 0"""
+    q["stream_ad_click_trend_late"] = f"""WITH {ADLOG}, {LATENESS},
+ontime AS (SELECT a.* FROM adlog a JOIN late USING (batch_no) WHERE NOT coalesce({IS_LATE}, false)),
+tardy AS (SELECT a.* FROM adlog a JOIN late USING (batch_no) WHERE {IS_LATE})
+SELECT *, 'on time' AS arrival FROM ({TREND.format(where="").replace("FROM adlog", "FROM ontime")})
+UNION ALL SELECT *, 'late' FROM ({TREND.format(where="").replace("FROM adlog", "FROM tardy")})"""
+    # runs of clicks per (user, ad); the last watermark is an hour before the newest click
+    q["stream_ad_click_runs"] = f"""WITH {ADLOG},
+step AS (SELECT user_id, ad_id, ts_ms,
+                CASE WHEN ts_ms - lag(ts_ms) OVER (PARTITION BY user_id, ad_id ORDER BY ts_ms) <= {IDLE_MS} THEN 0 ELSE 1 END AS new
+         FROM adlog),
+run AS (SELECT *, sum(new) OVER (PARTITION BY user_id, ad_id ORDER BY ts_ms RANGE UNBOUNDED PRECEDING) AS nth FROM step)
+SELECT user_id, ad_id, min(ts_ms) AS first_ms, max(ts_ms) AS last_ms, count(*) AS click_count,
+       CASE WHEN max(ts_ms) + {IDLE_MS} < (SELECT max(ts_ms) FROM adlog) - 3600000 THEN 'ended' ELSE 'open' END AS state
+FROM run GROUP BY user_id, ad_id, nth"""
+    q["stream_line_log_restart"] = f'WITH {ADLOG} SELECT user_id % 3 AS "partition", {LOG_OUT} FROM adlog'
+    # ---------------- other mechanisms, same results
+    q["ad_blacklist_filter_bloom"] = q["ad_blacklist_filter"]
+    q["session_detail_bucketed"] = q["session_detail"]
+    q["session_sample_detail_bucketed"] = q["session_sample_detail"]
+    q["top10_session_detail_bucketed"] = q["top10_session_detail"]
+    q["session_length_stats_observed"] = q["session_length_stats"]
+    q["scan_actions_of_task"] = q["scan_actions_by_date"]
     return q
 
 

@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from clickflow.config import configure_session, work_dir
 from clickflow.functions import scalars as S
 from clickflow.functions.udfs import concat_long_string, group_concat_distinct, json_field
-from clickflow.operators import ads, area, category, funnel, sampling, session, tables
+from clickflow.operators import ads, area, category, funnel, membership, sampling, session, tables
 from clickflow.params import AdParams, AreaParams, FunnelParams, SessionParams, task_param_columns
 from clickflow.plans.output import to_output
 from clickflow.sources import fixtures as fx
+from clickflow.sources import layout
 from clickflow.sources.readers import parse_ad_log, scan_actions_by_date, scan_click_actions
 
 # Test parameters (FIXTURES.md §3).
@@ -99,6 +100,18 @@ LOG_COLS = ("ts_ms", "ts", "date", "province", "city", "user_id", "ad_id")
 # ------------------------------------------------------------------ J3 area top-3
 
 
+@query("scan_actions_of_task")
+def q_scan_actions_of_task(spark, sf):
+    """The date range of a task row, read inside the query, prunes the folders of a table partitioned by date."""
+    stored = layout.dated(all_actions(spark, sf), work_dir(spark, "dated-actions"))
+    # a task per region, each a day later than the one before; task 1 has the test range
+    later = (F.col("r_regionkey") - 1).cast("int")
+    day = lambda d: F.array(F.date_format(F.date_add(F.lit(d).cast("date"), later), "yyyy-MM-dd"))
+    param = F.to_json(F.create_map(F.lit("startDate"), day(START_DATE), F.lit("endDate"), day(END_DATE)))
+    tasks = fx.table(spark, sf, "region").select(F.col("r_regionkey").cast("bigint").alias("task_id"), param.alias("task_param"))
+    return out(layout.actions_of_task(stored, tasks, 1))
+
+
 @query("scan_click_actions")
 def q_scan_click_actions(spark, sf):
     a = fx.user_visit_action(spark, sf, START_DATE, END_DATE)
@@ -215,6 +228,51 @@ def q_session_detail(spark, sf):
     return out(detail(spark, sf))
 
 
+def session_tables(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Actions of the date range and the kept sessions, as tables bucketed by session."""
+    acts = layout.bucketed(actions(spark, sf), "actions_by_session")
+    kept = session.session_filter(
+        session.session_aggr_info(session.session_aggr(acts), fx.user_info(spark, sf)), SESSION_PARAMS
+    )
+    return acts, layout.bucketed(kept.select("session_id", "start_time"), "kept_by_session")
+
+
+@query("session_detail_bucketed")
+def q_session_detail_bucketed(spark, sf):
+    """J-2 over tables bucketed by session: no shuffle of either."""
+    acts, kept = session_tables(spark, sf)
+    return out(layout.with_bucket(acts, kept.select("session_id")))
+
+
+@query("session_sample_detail_bucketed")
+def q_session_sample_detail_bucketed(spark, sf):
+    """J-3 over the same tables: the sample is drawn from the kept sessions and meets the actions in their buckets."""
+    acts, kept = session_tables(spark, sf)
+    sampled = layout.bucketed(sampling.sample(kept, SAMPLE_TOTAL, SAMPLE_SEED).select("session_id"), "sampled_by_session")
+    return out(layout.with_bucket(acts, sampled))
+
+
+@query("top10_session_detail_bucketed")
+def q_top10_session_detail_bucketed(spark, sf):
+    """J-6 over the same tables: counts per (category, session) need no shuffle of the detail either, as
+    a session lies in one bucket."""
+    acts, kept = session_tables(spark, sf)
+    kept_detail = layout.with_bucket(acts, kept.select("session_id"))
+    totals = tables.materialize(category.category_session_totals(kept_detail), "category-sessions")
+    top = category.top_categories(category.sum_categories(totals), TOP_N_CATEGORIES)
+    leaders = category.top_sessions(totals, top, TOP_N_SESSIONS)
+    return out(category.top_session_detail(kept_detail, leaders))
+
+
+@query("session_length_stats_observed")
+def q_session_length_stats_observed(spark, sf):
+    """A4: the counters filled while the kept sessions are written."""
+    seen = session.ObservedLengths()
+    kept = filtered_sessions(spark, sf)
+    tables.materialize(seen.watch(kept), "kept-sessions-observed")
+    return out(seen.stats(kept))
+
+
 @query("category_click_counts")
 def q_category_click_counts(spark, sf):
     return out(category.category_click_counts(detail(spark, sf)))
@@ -502,6 +560,14 @@ def q_ad_blacklist_filter(spark, sf):
     return out(ads.blacklist_filter(ad_log(spark, sf), _blacklist(spark, sf)).select("event_id", *LOG_COLS))
 
 
+@query("ad_blacklist_filter_bloom")
+def q_ad_blacklist_filter_bloom(spark, sf):
+    """J-9 / X2 for a list too long to broadcast: a Bloom filter of the list splits the log while it is scanned, and only
+    the rows that may be on the list reach the exact anti join."""
+    kept = membership.anti_join_long(ad_log(spark, sf), _blacklist(spark, sf), "user_id")
+    return out(kept.select("event_id", *LOG_COLS))
+
+
 @query("ad_blacklist_feedback")
 def q_ad_blacklist_feedback(spark, sf):
     kept = ads.blacklist_feedback(ad_log(spark, sf), BLACKLIST_THRESHOLD)

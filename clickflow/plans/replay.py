@@ -1,4 +1,4 @@
-"""Replay a table as a stream, one arrival batch at a time (tests and the registry).
+"""Replay a table as a stream, one arrival batch at a time (for the registered queries and tests).
 
 Rows are written by executors into a staging folder partitioned by arrival batch,
 and each batch is then published into the source folder with one directory rename
@@ -78,3 +78,25 @@ def replay(
     finally:
         if q is not None:
             q.stop()
+
+
+class LogProducer:
+    """Publishes rows as a line log (:mod:`clickflow.sources.line_log`), one arrival batch at a time.
+
+    Executors write all lines into a staging folder at once; publishing renames each
+    partition's share of a batch to that partition's next segment."""
+
+    def __init__(self, rows: DataFrame, partition: str, batch: str, path: str):
+        self.spark, self.path, self.staging = rows.sparkSession, path.rstrip("/"), path.rstrip("/") + "_staging"
+        staged = rows.select("value", F.col(partition).alias("partition"), F.col(batch).alias("batch"))
+        staged.write.mode("overwrite").partitionBy("batch", "partition").text(self.staging)
+        self.segments: dict[str, int] = {}
+
+    def batches(self) -> list[int]:
+        return sorted(int(b) for b, _ in _staged_batches(self.spark, self.staging, "batch"))
+
+    def publish(self, batch: int) -> None:
+        for p, folder in sorted(_staged_batches(self.spark, f"{self.staging}/batch={batch}", "partition")):
+            segment = self.segments.get(p, 0)
+            _rename(self.spark, folder, f"{self.path}/partition={p}/segment={segment}")
+            self.segments[p] = segment + 1

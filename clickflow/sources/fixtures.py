@@ -16,8 +16,19 @@ from clickflow.config import configure_session
 EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
+#: The schemas of the TESTDATA tables read here.  Naming them saves a job per table and call.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    read = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _k() -> Column:
@@ -130,3 +141,26 @@ def ad_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         value.alias("value"),
         (F.hour("ts") / 6).cast("int").alias("batch_no"),
     )
+
+
+def cut_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the ad log that end after the second field, one per signup event."""
+    configure_session(spark)
+    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
+    micros = F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), F.col("ts"))
+    ms = F.floor(micros / F.lit(1000)).cast("bigint")
+    return ev.select(
+        F.col("event_id"),
+        F.concat_ws(" ", ms.cast("string"), F.lit("NOWHERE")).alias("value"),
+        (F.hour("ts") / 6).cast("int").alias("batch_no"),
+    )
+
+
+def ad_log_lines_by_time(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """:func:`ad_log_lines`, arriving in the order of their times: ``batch_no`` is the equal part of the log's
+    time range that a line lies in."""
+    lines = ad_log_lines(spark, sf_dir)
+    ms = F.split("value", " ")[0].cast("bigint")
+    first, last = lines.agg(F.min(ms)).scalar(), lines.agg(F.max(ms)).scalar()
+    part = F.floor((ms - first) * F.lit(batches) / (last - first + F.lit(1))).cast("int")
+    return lines.withColumn("batch_no", part)

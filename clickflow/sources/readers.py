@@ -121,8 +121,12 @@ def good_ad_lines(log: DataFrame) -> DataFrame:
 
 def rejected_ad_lines(log: DataFrame) -> DataFrame:
     """Parsed rows that lack a field, with ``missing``: the first field that is NULL."""
-    first = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in AD_LOG_COLUMNS])
-    return log.filter(_missing_field()).withColumn("missing", first)
+    return log.filter(_missing_field()).withColumn("missing", first_missing_field())
+
+
+def first_missing_field():
+    """The name of a parsed line's first NULL field; NULL for a good line."""
+    return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in AD_LOG_COLUMNS])
 
 
 def _missing_field():

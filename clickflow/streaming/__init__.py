@@ -1 +1 @@
-"""Structured Streaming jobs for the ad-click stream and a replay harness for tests."""
+"""Structured Streaming jobs for the ad-click stream."""

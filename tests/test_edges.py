@@ -370,15 +370,15 @@ def test_upsert_add_of_split_batches_equals_one_batch(spark):
     assert sorted(map(tuple, two.collect())) == sorted(map(tuple, one.collect()))
 
 
-def test_changelog_table_replay_is_idempotent(spark, tmp_path):
+def test_batch_table_replay_is_idempotent(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("click_count", T.LongType())])
-    t = tables.ChangelogTable(spark, str(tmp_path / "cl"), schema, keys=["k"], mode="add", compact_every=3)
+    t = tables.BatchTable(spark, str(tmp_path / "cl"), schema, keys=["k"], mode="add", merge_every=3)
     batch = spark.createDataFrame([("a", 2)], schema)
     for _ in range(2):  # batch 0 applied twice (a replay)
         t.write_batch(batch, 0)
     assert [tuple(r) for r in t.read().collect()] == [("a", 2)]
     t.write_batch(spark.createDataFrame([("a", 1), ("b", 5)], schema), 1)
-    t.write_batch(batch, 2)  # compaction after batch 2
+    t.write_batch(batch, 2)  # merge after batch 2
     t.write_batch(batch, 3)
     assert sorted(tuple(r) for r in t.read().collect()) == [("a", 7), ("b", 5)]
     assert sorted(tuple(r) for r in t.read(1).collect()) == [("a", 3), ("b", 5)]
@@ -386,11 +386,11 @@ def test_changelog_table_replay_is_idempotent(spark, tmp_path):
     assert t.batches() == [0, 1, 2, 3]
 
 
-def test_changelog_replace_and_groups(spark, tmp_path):
+def test_batch_table_replace_and_groups(spark, tmp_path):
     schema = T.StructType([T.StructField("g", T.StringType()), T.StructField("k", T.StringType()),
                            T.StructField("click_count", T.LongType())])
-    rep = tables.ChangelogTable(spark, str(tmp_path / "rep"), schema, keys=["g", "k"], mode="replace")
-    grp = tables.ChangelogTable(spark, str(tmp_path / "grp"), schema, keys=["g"], mode="replace_groups")
+    rep = tables.BatchTable(spark, str(tmp_path / "rep"), schema, keys=["g", "k"], mode="replace")
+    grp = tables.BatchTable(spark, str(tmp_path / "grp"), schema, keys=["g"], mode="replace_groups")
     b0 = spark.createDataFrame([("x", "a", 1), ("x", "b", 2), ("y", "a", 3)], schema)
     b1 = spark.createDataFrame([("x", "a", 9)], schema)
     for t in (rep, grp):
@@ -408,23 +408,69 @@ def test_append_adds_task_id(spark, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(p).collect()) == [(7, 1), (8, 1)]
 
 
-def test_changelog_key_read_prunes_partitions(spark, tmp_path):
-    import re
-
-    schema = T.StructType([T.StructField("date", T.DateType()), T.StructField("k", T.StringType()),
-                           T.StructField("click_count", T.LongType())])
-    t = tables.ChangelogTable(spark, str(tmp_path / "p"), schema, keys=["date", "k"], mode="add",
-                              partition_by=["date"])
-    rows = [(dt.date(2024, 1, d), f"u{d % 3}", 1) for d in range(1, 29)]
-    t.write_batch(spark.createDataFrame(rows, schema), 0)
-    (tmp_path / "keys").mkdir()
-    spark.createDataFrame([(dt.date(2024, 1, 5), "u2")], "date date, k string").write.parquet(str(tmp_path / "keys/k"))
-    keys = spark.read.parquet(str(tmp_path / "keys/k"))  # no constant the optimizer could infer from
-    got = t.read(0, keys=keys)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    # the range of the keys' dates, known when the scan starts
-    assert re.search(r"PartitionFilters: \[\(+date#\d+ >= Subquery", plan), plan
-    assert [tuple(r) for r in got.collect()] == [(dt.date(2024, 1, 5), "u2", 1)]
+DAYS = T.StructType([T.StructField("date", T.DateType()), T.StructField("k", T.StringType()),
+                     T.StructField("click_count", T.LongType())])
+
+
+def _day(d):
+    return dt.date(2024, 1, d)
+
+
+def _files(root):
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+
+
+def test_batch_table_reads_only_touched_parts(spark, tmp_path):
+    t = tables.BatchTable(spark, str(tmp_path / "p"), DAYS, keys=["date", "k"], mode="add", part="date")
+    t.write_batch(spark.createDataFrame([(_day(d), f"u{d % 3}", 1) for d in range(1, 29)], DAYS), 0)
+    t.write_batch(spark.createDataFrame([(_day(5), "u2", 4), (_day(6), "u9", 1)], DAYS), 1)
+    keys = t.changes(1).select("date", "k")
+    got = t.read(1, keys=keys, touched_by=1)
+    assert {f.split("_part=")[1][:10] for f in got.inputFiles() if "_part=" in f} == {"2024-01-05", "2024-01-06"}
+    assert sorted(map(tuple, got.collect())) == [(_day(5), "u2", 5), (_day(6), "u9", 1)]
+    assert t.read(where="date >= '2024-01-20'").count() == 9
+
+
+@pytest.mark.parametrize("mode", ["add", "replace", "replace_groups", "set"])
+def test_batch_table_merge_rewrites_only_touched_days(spark, tmp_path, mode):
+    """A batch on one day merges that day's part; files of all other days stay as they are."""
+    keys = ["date"] if mode == "replace_groups" else ["date", "k"]
+    t = tables.BatchTable(spark, str(tmp_path / "m"), DAYS, keys=keys, mode=mode, part="date", merge_every=1)
+    whole = [(_day(d), k, d) for d in range(1, 11) for k in "ab"]
+    t.write_batch(spark.createDataFrame(whole, DAYS), 0)
+    before = _files(tmp_path / "m" / "base")
+    t.write_batch(spark.createDataFrame([(_day(3), "a", 50), (None, "n", 7)], DAYS), 1)
+    after = _files(tmp_path / "m" / "base")
+    assert {f: m for f, m in after.items() if f in before} == before  # the last base stays for a replay
+    new = {f.split("/")[0] for f in after.keys() - before.keys()}
+    assert new == {"_part=2024-01-03", "_part=-"}
+    rest = [r for r in whole if r[0] != _day(3)]
+    third = {"add": [(_day(3), "a", 53), (_day(3), "b", 3)], "replace": [(_day(3), "a", 50), (_day(3), "b", 3)],
+             "replace_groups": [(_day(3), "a", 50)],
+             "set": [(_day(3), "a", 3), (_day(3), "a", 50), (_day(3), "b", 3)]}[mode]
+    want = sorted(map(str, [*rest, *third, (None, "n", 7)]))
+    assert sorted(str(tuple(r)) for r in t.read().collect()) == want
+    t.write_batch(spark.createDataFrame([(_day(3), "a", 50), (None, "n", 7)], DAYS), 1)  # replayed
+    assert sorted(str(tuple(r)) for r in t.read().collect()) == want
+
+
+def test_batch_table_with_part_of_a_merge_lost(spark, tmp_path):
+    """A merge that stored some of its parts only: reads are right before and after the replay."""
+    import shutil
+
+    t = tables.BatchTable(spark, str(tmp_path / "l"), DAYS, keys=["date", "k"], mode="add", part="date", merge_every=2)
+    batch = spark.createDataFrame([(_day(d), "a", 1) for d in (1, 2, 3)], DAYS)
+    for b in range(3):
+        t.write_batch(batch, b)
+    t._retire = lambda *a: None  # the job ended before old folders went
+    t.write_batch(batch, 3)
+    shutil.rmtree(tmp_path / "l/base/_part=2024-01-02/_batch=3")
+    assert sorted(r.click_count for r in t.read().collect()) == [4, 4, 4]
+    del t._retire
+    t.write_batch(batch, 3)
+    t.write_batch(batch, 4)
+    assert sorted(r.click_count for r in t.read().collect()) == [5, 5, 5]
+    assert sorted(r.click_count for r in t.read(2).collect()) == [3, 3, 3]
 
 
 def test_preaggregated_sliding_count_equals_window(spark):
@@ -486,21 +532,48 @@ def test_funnel_on_empty_input(spark):
     assert [(x["split_pv"], x["prev_pv"], x["convert_rate"]) for x in r] == [(0, 0, None)]
 
 
-def test_changelog_compaction_and_retention(spark, tmp_path):
+def test_batch_table_retention(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("click_count", T.LongType())])
-    t = tables.ChangelogTable(spark, str(tmp_path / "r"), schema, keys=["k"], mode="add", compact_every=2)
+    t = tables.BatchTable(spark, str(tmp_path / "r"), schema, keys=["k"], mode="add", merge_every=2)
     one = spark.createDataFrame([("a", 1)], schema)
     for b in range(7):
         t.write_batch(one, b)
         assert [tuple(r) for r in t.read().collect()] == [("a", b + 1)]
-    # snapshots at 1, 3, 5: keep 3 and 5, and only the deltas after 3
-    assert t._listed("snapshot", "s") == [3, 5]
+    # merges at 1, 3, 5: keep 3 and 5, and only the deltas after 3
+    assert list(t.bases().values()) == [[3, 5]]
     assert t.batches() == [4, 5, 6]
     assert [tuple(r) for r in t.read(4).collect()] == [("a", 5)]  # a replay of batch 5 reads this
     t.write_batch(one, 5)  # the replay itself is idempotent
     assert [tuple(r) for r in t.read().collect()] == [("a", 7)]
 
 
+def test_sliding_counts_over_chunk_edges(spark):
+    """Marks in two chunks, gaps longer than a chunk, NULL ads: equal to window()."""
+    from clickflow.operators import ads
+
+    base = dt.datetime(2024, 1, 1, 23, 0, 0)
+    steps = (0, 7, 3599, 3600, 3601, 7200, 86400 * 3, 86400 * 3 + 5, 86400 * 9 + 3600)
+    rows = [(base + dt.timedelta(seconds=s + j), j % 2 if j else None) for s in steps for j in range(3)]
+    rows += [(dt.datetime(1969, 12, 31, 23, 59, 58), 1)]
+    log = spark.createDataFrame(rows, "ts timestamp, ad_id bigint")
+    want = sorted(map(str, ads.sliding_count(log, "1 hour", "10 seconds", preaggregate=False).collect()))
+    for chunk in ("1 day", "1 hour", "10 seconds", "61 minutes"):
+        got = ads.spread_buckets(ads.bucket_counts(log, "10 seconds"), "1 hour", "10 seconds", chunk)
+        assert sorted(map(str, got.collect())) == want, chunk
+
+
+def test_sliding_marks_are_two_rows_a_bucket(spark):
+    from clickflow.operators import ads
+
+    log = spark.range(1000).selectExpr("timestamp_seconds(1704067200 + id * 10) AS ts", "id % 2 AS ad_id")
+    plan = ads.spread_buckets(ads.bucket_counts(log), "1 hour", "10 seconds")._jdf.queryExecution().toString()
+    sequences = [line for line in plan.splitlines() if "sequence(" in line and "Generate explode" in line]
+    assert sequences and "Window [" not in "".join(sequences)
+    generated = [i for i, line in enumerate(plan.splitlines()) if "Generate explode(sequence" in line]
+    first_exchange = [i for i, line in enumerate(plan.splitlines()) if "Exchange hashpartitioning" in line]
+    assert min(generated) < min(first_exchange)  # windows are made above every shuffle
+
+
 def test_large_cluster_profile_and_defaults(spark):
     from clickflow.config import LARGE_SCALE, SQL_DEFAULTS, configure_session
 

@@ -105,21 +105,6 @@ def _empty_clicks(spark, tmp_path):
     return path
 
 
-def test_key_reads_prune_partitions_by_range(spark):
-    from clickflow.config import work_dir
-    from clickflow.streaming import ads_stream as st
-
-    t = st.changelog(spark, work_dir(spark, "test-prune"), "counts")
-    rows = [(d, 1, 1, 1) for d in range(1, 20)]
-    df = spark.createDataFrame(rows, "d int, user_id bigint, ad_id bigint, click_count bigint")
-    t.write_batch(df.selectExpr("date_add(DATE'2024-01-01', d) AS date", "user_id", "ad_id", "click_count"), 0)
-    keys = spark.createDataFrame([("2024-01-05",), ("2024-01-06",)], "d string").selectExpr("CAST(d AS DATE) AS date")
-    got = t.read(keys=keys)
-    assert got.count() == 2
-    scans = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
-    assert scans and all("ubquery" in x.partition("PartitionFilters: ")[2].partition("PushedFilters")[0] for x in scans), scans
-
-
 def test_no_shared_folder_on_a_cluster_is_an_error(spark, monkeypatch):
     from clickflow import config
 
