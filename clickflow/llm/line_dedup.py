@@ -6,8 +6,11 @@ Digests are grouped over all documents; the occurrence that ranks first (smalles
 doc_id, then position) stays and every other one is removed, with the offsets in
 code points that it had in the original text.
 
-Units of fewer than ``least_chars`` normalised characters are left alone: blank lines and
-short phrases carry no passage.
+Every unit with a character that isn't white space counts (``least_chars`` of 1).  A passage that was
+copied into a longer line shares no whole line with its source, so a unit of two sentences or more also
+gives its sentences of at least ``least_sentence`` normalised characters: a sentence ends at white space
+after ``.``, ``!`` or ``?``.  Lines and sentences share one space of digests, and the same rule holds for both.  What lies in
+a removed unit goes with it and isn't told again.
 
 Hot units: the first occurrence is found by an aggregate that combines inside each task,
 and the join back is a plain equality join, whose hot partitions Spark splits.
@@ -31,10 +34,13 @@ from pyspark.sql import functions as F
 
 from clickflow.llm.common import id_text, saved
 
-LEAST_CHARS = 16
+LEAST_CHARS = 1
+#: A sentence of a passage; shorter ones are common phrases.
+LEAST_SENTENCE = 50
 LAST = (1 << 63) - 1
+SENTENCE_END = re.compile(r"[.!?]\s+")
 SEPARATORS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n\s*\n")}
-UNIT_SCHEMA = "doc_id long, version long, pos int, start_at int, end_at int, digest binary"
+UNIT_SCHEMA = "doc_id long, version long, start_at int, end_at int, digest binary"
 
 
 def cut(text: str, unit: str = "line") -> list[tuple[int, int]]:
@@ -47,9 +53,32 @@ def cut(text: str, unit: str = "line") -> list[tuple[int, int]]:
     return spans
 
 
-def unit_digest(text: str, least_chars: int) -> bytes | None:
-    norm = " ".join(text.lower().split())
-    return hashlib.md5(norm.encode()).digest() if len(norm) >= least_chars else None
+def sentences(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Start and end of every sentence of a unit, white space after it left out; none if there is but one."""
+    spans, at = [], start
+    for m in SENTENCE_END.finditer(text, start, end):
+        spans.append((at, m.end()))
+        at = m.end()
+    spans = [(a, a + len(text[a:b].rstrip())) for a, b in [*spans, (at, end)]]
+    spans = [(a, b) for a, b in spans if text[a:b].strip()]
+    return spans if len(spans) > 1 else []
+
+
+def norm_of(text: str) -> str:
+    return " ".join(text.lower().split())
+
+
+def units_of(text: str, unit: str, least_chars: int, least_sentence: int | None) -> Iterator[tuple[int, int, str]]:
+    """Start, end and normalised text of every unit that counts."""
+    for a, b in cut(text, unit):
+        norm = norm_of(text[a:b])
+        if norm and len(norm) >= least_chars:
+            yield a, b, norm
+        if least_sentence is not None and len(norm) > least_sentence:
+            for c, d in sentences(text, a, b):
+                norm = norm_of(text[c:d])
+                if len(norm) >= least_sentence:
+                    yield c, d, norm
 
 
 def versioned(docs: DataFrame) -> DataFrame:
@@ -58,28 +87,29 @@ def versioned(docs: DataFrame) -> DataFrame:
     return d.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("version"), "text")
 
 
-def text_units(docs: DataFrame, unit: str = "line", least_chars: int = LEAST_CHARS) -> DataFrame:
-    """Every unit that counts: doc_id, version, pos, start_at, end_at, digest."""
+def text_units(
+    docs: DataFrame, unit: str = "line", least_chars: int = LEAST_CHARS, least_sentence: int | None = LEAST_SENTENCE
+) -> DataFrame:
+    """Every unit that counts: doc_id, version, start_at, end_at, digest."""
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: list[list] = [[] for _ in range(6)]
+            cols: list[list] = [[] for _ in range(5)]
             for doc, version, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for pos, (a, b) in enumerate(cut(text, unit)):
-                    digest = unit_digest(text[a:b], least_chars)
-                    if digest is not None:
-                        for col, value in zip(cols, (doc, version, pos, a, b, digest)):
-                            col.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+                for a, b, norm in units_of(text, unit, least_chars, least_sentence):
+                    digest = hashlib.md5(norm.encode()).digest()
+                    for col, value in zip(cols, (doc, version, a, b, digest)):
+                        col.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
             arrays = [pa.array(c, k) for c, k in zip(cols, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "version", "pos", "start_at", "end_at", "digest"])
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "version", "start_at", "end_at", "digest"])
 
     return versioned(docs).mapInArrow(units, UNIT_SCHEMA)
 
 
 def removed_units(units: DataFrame) -> DataFrame:
     """The units that an earlier-ranked occurrence makes redundant."""
-    here = F.struct("doc_id", "version", "pos")
+    here = F.struct("doc_id", "version", "start_at")
     repeated = (
         units.groupBy("digest")
         .agg(F.min(here).alias("first"), F.max(here).alias("last"))
@@ -90,20 +120,36 @@ def removed_units(units: DataFrame) -> DataFrame:
     return units.join(saved(repeated, "repeated-units"), "digest").filter(here != F.col("first"))
 
 
+def _outermost(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that lie in no other one, in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if not out or b > out[-1][1]:
+            out.append((a, b))
+    return out
+
+
 def _without(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text without the spans; the line end after a removed unit goes with it."""
+    """The text without the spans; the line end, or the blanks, after a removed unit go with it."""
     kept, at = [], 0
     for a, b in spans:
         kept.append(text[at:a])
-        at = b + 1 if text[b : b + 1] == "\n" else b
+        at = b
+        while text[at : at + 1].isspace() and text[at] != "\n":
+            at += 1
+        if text[at : at + 1] == "\n" and (a == 0 or text[a - 1] == "\n"):
+            at += 1
     kept.append(text[at:])
     return "".join(kept)
 
 
-def line_dedup(docs: DataFrame, unit: str = "line", least_chars: int = LEAST_CHARS) -> DataFrame:
+def line_dedup(
+    docs: DataFrame, unit: str = "line", least_chars: int = LEAST_CHARS, least_sentence: int | None = LEAST_SENTENCE
+) -> DataFrame:
     """One row per document: doc_id, n_units, n_removed, removed_chars, removed (start:end
-    of each removed unit in the original text, comma-joined) and kept_text."""
-    units = saved(text_units(docs, unit, least_chars), "text-units")
+    of each removed unit in the original text, comma-joined) and kept_text.  Without
+    ``least_sentence`` only whole lines or paragraphs are units."""
+    units = saved(text_units(docs, unit, least_chars, least_sentence), "text-units")
     span = F.struct(F.col("start_at").alias("a"), F.col("end_at").alias("b"))
     # distinct: rows repeated with doc_id and text give their units twice
     gone = removed_units(units).select("doc_id", "version", "start_at", "end_at").distinct()
@@ -113,12 +159,11 @@ def line_dedup(docs: DataFrame, unit: str = "line", least_chars: int = LEAST_CHA
         for batch in batches:
             rows = []
             for doc, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                spans = [(s["a"], s["b"]) for s in spans or []]
-                n = sum(len(" ".join(text[a:b].lower().split())) >= least_chars for a, b in cut(text, unit))
+                spans = _outermost([(s["a"], s["b"]) for s in spans or []])
                 rows.append(
                     {
                         "doc_id": None if doc == LAST else doc,
-                        "n_units": n,
+                        "n_units": sum(1 for _ in units_of(text, unit, least_chars, least_sentence)),
                         "n_removed": len(spans),
                         "removed_chars": sum(b - a for a, b in spans),
                         "removed": ",".join(f"{a}:{b}" for a, b in spans),

@@ -31,17 +31,36 @@ o AS (
   SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) - length(line) - 1 AS a,
          trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm
   FROM l),
-r AS (
-  SELECT *, length(norm) >= 16 AS counts,
-         length(norm) >= 16 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone
-  FROM o)
-SELECT doc_id, count(*) FILTER (WHERE counts) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
-       CAST(coalesce(sum(length(line)) FILTER (WHERE gone), 0) AS BIGINT) AS removed_chars,
-       coalesce(string_agg(CAST(a AS BIGINT) || ':' || CAST(a + length(line) AS BIGINT), ',' ORDER BY pos)
-                FILTER (WHERE gone), '') AS removed,
-       coalesce(string_agg(line || CASE WHEN pos + 1 < n THEN chr(10) ELSE '' END, '' ORDER BY pos)
-                FILTER (WHERE NOT gone), '') AS kept_text
-FROM r GROUP BY doc_id
+p AS (SELECT doc_id, pos, n, a, string_split(regexp_replace(line, '([.!?]\s+)', '\1' || chr(30), 'g'), chr(30)) AS parts FROM o),
+c AS (SELECT doc_id, pos, n, a, len(list_filter(parts, lambda x: trim(x) <> '')) AS full_parts,
+             unnest(parts) AS part, unnest(range(len(parts))) AS j FROM p),
+e AS (
+  SELECT doc_id, pos, n, full_parts, part, j,
+         a + sum(length(part)) OVER (PARTITION BY doc_id, pos ORDER BY j) - length(part) AS a,
+         trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS norm
+  FROM c),
+u AS (
+  SELECT doc_id, pos, -1 AS j, a, a + length(line) AS b, norm FROM o WHERE norm <> ''
+  UNION ALL
+  SELECT doc_id, pos, j, a, a + length(regexp_replace(part, '\s+$', '')), norm FROM e WHERE full_parts > 1 AND length(norm) >= 50),
+r AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, a, j) > 1 AS gone FROM u),
+x AS (SELECT doc_id, pos FROM r WHERE gone AND j = -1),
+g AS (SELECT * FROM r WHERE gone AND (j = -1 OR (doc_id, pos) NOT IN (SELECT (doc_id, pos) FROM x))),
+k AS (
+  SELECT e.doc_id, e.pos, any_value(e.n) AS n,
+         string_agg(e.part, '' ORDER BY e.j) FILTER (WHERE g.j IS NULL) AS line
+  FROM e LEFT JOIN g ON g.doc_id = e.doc_id AND g.pos = e.pos AND g.j = e.j GROUP BY 1, 2),
+t AS (
+  SELECT doc_id, string_agg(coalesce(line, '') || CASE WHEN pos + 1 < n THEN chr(10) ELSE '' END, '' ORDER BY pos) AS kept_text
+  FROM k ANTI JOIN x USING (doc_id, pos) GROUP BY 1),
+d AS (
+  SELECT doc_id, count(*) AS n_removed, CAST(sum(b - a) AS BIGINT) AS removed_chars,
+         string_agg(CAST(a AS BIGINT) || ':' || CAST(b AS BIGINT), ',' ORDER BY a) AS removed
+  FROM g GROUP BY 1)
+SELECT s.doc_id, coalesce(m.n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
+       coalesce(removed_chars, 0) AS removed_chars, coalesce(removed, '') AS removed, coalesce(kept_text, '') AS kept_text
+FROM s LEFT JOIN d USING (doc_id) LEFT JOIN t USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n_units FROM u GROUP BY 1) m USING (doc_id)
 """
 
 ORACLE["op8_ngram_join"] = rf"""

@@ -125,17 +125,30 @@ def best_fit(lengths, capacity):
     return sorted(rooms)
 
 
-def first_lines(rows, least=16):
-    """doc_id: texts of the lines that an earlier document or line has."""
+def first_lines(rows, least_sentence=50):
+    """doc_id: spans of the lines, and of long sentences in lines that stay, that came before."""
     seen, out = set(), {}
     for doc, text in sorted(rows):
-        out[doc] = []
+        out[doc], at = [], 0
         for line in (text or "").split("\n"):
-            norm = " ".join(line.lower().split())
-            if len(norm) >= least:
+            parts, start = [], at
+            for part in re.findall(r".*?[.!?]\s+|.+?$", line, re.DOTALL):
+                parts.append((start, start + len(part.rstrip()), part))
+                start += len(part)
+            units = [(at, at + len(line), line, 1)]
+            if sum(bool(p.strip()) for *_, p in parts) > 1:
+                units += [(*p, least_sentence) for p in parts]
+            line_gone = False
+            for n, (a, b, unit, least) in enumerate(units):
+                norm = " ".join(unit.lower().split())
+                if len(norm) < least:
+                    continue
                 if norm in seen:
-                    out[doc].append(line)
+                    line_gone |= n == 0
+                    if n == 0 or not line_gone:
+                        out[doc].append((a, b))
                 seen.add(norm)
+            at += len(line) + 1
     return out
 
 
