@@ -20,7 +20,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.llm.common import SPACE_CLASS, id_text, saved
@@ -29,19 +29,25 @@ from clickflow.llm.textbytes import U64, mix
 DIGESTS_PER_PART = 2048
 MOST_PARTS = 65536
 ROWS_PER_LOOKUP = 4096
+#: Rows that a copy of a part must answer for each digest it holds.
+ROWS_PER_DIGEST = 4
 #: Bits a level offers for each key that is still without a place.
 GAMMA = 2.0
-#: Stands for a null doc_id inside an index.
+#: Stands for a null doc_id, beside a flag that tells it from an id of this value.
 NO_ID = -(1 << 63)
 
-INDEX_SCHEMA = "part int, n_rows long, levels array<binary>, digests binary, winners binary, lengths binary, sizes binary"
+INDEX_SCHEMA = (
+    "part int, n_rows long, levels array<binary>, digests binary, winners binary, named binary, lengths binary, sizes binary"
+)
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_cp (code points of the original text) and the digest of the normalised text."""
+    """doc_id (never null), named (false for a null id), n_cp (code points of the original text) and the digest of the
+    normalised text."""
     d = id_text(docs)
     return d.select(
-        "doc_id",
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"),
+        F.col("doc_id").isNotNull().alias("named"),
         F.length("text").alias("n_cp"),
         F.unhex(F.sha2(F.regexp_replace("text", f"{SPACE_CLASS}+", "").cast("binary"), 256)).alias("digest"),
     )
@@ -52,11 +58,12 @@ def fold(d: DataFrame) -> DataFrame:
 
     The aggregate combines inside each task first, so a group of copies of any size
     reaches its task as one row per task."""
-    best = F.max(F.struct(F.col("n_cp"), (-F.col("doc_id")).alias("neg")))
+    # the complement turns the order of ids round, for every 64-bit id
+    best = F.max(F.struct(F.col("n_cp"), F.col("named"), F.bitwise_not("doc_id").alias("turned")))
     return (
         d.groupBy("digest")
         .agg(best.alias("best"), F.count("*").alias("size"))
-        .select("digest", (-F.col("best.neg")).alias("winner"), F.col("best.n_cp").alias("n_cp"), "size")
+        .select("digest", F.bitwise_not("best.turned").alias("winner"), "best.named", F.col("best.n_cp").alias("n_cp"), "size")
     )
 
 
@@ -106,7 +113,8 @@ def _build_part(group: pd.DataFrame) -> pd.DataFrame:
             "n_rows": [int(group["size"].sum())],
             "levels": [[np.packbits(x).tobytes() for x in levels]],
             "digests": [keys[order].tobytes()],
-            "winners": [group["winner"].fillna(NO_ID).to_numpy(np.int64)[order].tobytes()],
+            "winners": [group["winner"].to_numpy(np.int64)[order].tobytes()],
+            "named": [group["named"].to_numpy(np.uint8)[order].tobytes()],
             "lengths": [group["n_cp"].to_numpy(np.int64)[order].tobytes()],
             "sizes": [group["size"].to_numpy(np.int64)[order].tobytes()],
         }
@@ -125,7 +133,7 @@ def build_index(folded: DataFrame) -> DataFrame:
 def _look_up(docs: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
     n = len(docs)
     winner, size, member = np.full(n, NO_ID, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
-    wins = np.zeros(n, bool)
+    named, wins = np.zeros(n, bool), np.zeros(n, bool)
     if n and len(index):
         row = index.iloc[0]
         levels = [np.unpackbits(np.frombuffer(x, np.uint8)).astype(bool) for x in row["levels"]]
@@ -134,39 +142,46 @@ def _look_up(docs: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         slot = slot_numbers(levels, keys)
         member = (slot >= 0) & (held[slot] == keys).all(axis=1)  # the byte check
         winner[member] = np.frombuffer(row["winners"], np.int64)[slot[member]]
+        named[member] = np.frombuffer(row["named"], np.uint8)[slot[member]]
         size[member] = np.frombuffer(row["sizes"], np.int64)[slot[member]]
         length = np.frombuffer(row["lengths"], np.int64)[slot[member]]
-        own = docs["doc_id"].astype("Int64").fillna(NO_ID).to_numpy(np.int64)[member]
-        wins[member] = (winner[member] == own) & (length == docs["n_cp"].to_numpy()[member])
-    wins &= ~docs.duplicated(["doc_id", "digest", "n_cp"]).to_numpy()  # of repeated rows one
-    out = docs[["doc_id", "n_cp", "digest"]].copy()
-    out["doc_id"] = out["doc_id"].astype("Int64")
-    out["member"] = member
-    out["keep_id"] = pd.array(winner, "Int64")
-    out.loc[winner == NO_ID, "keep_id"] = pd.NA
-    out["group_size"] = size
-    out["wins"] = wins
-    return out
+        same = (winner == docs["doc_id"].to_numpy(np.int64)) & (named == docs["named"].to_numpy(bool))
+        wins[member] = same[member] & (length == docs["n_cp"].to_numpy()[member])
+    wins &= ~docs.duplicated(["doc_id", "named", "digest", "n_cp"]).to_numpy()  # of repeated rows one
+    return docs[["doc_id", "named", "n_cp", "digest"]].assign(
+        member=member, keep_id=winner, keep_named=named, group_size=size, wins=wins
+    )
+
+
+LOOKUP_SCHEMA = (
+    "doc_id long, named boolean, n_cp int, digest binary, member boolean, keep_id long, keep_named boolean,"
+    " group_size long, wins boolean"
+)
 
 
-LOOKUP_SCHEMA = "doc_id long, n_cp int, digest binary, member boolean, keep_id long, group_size long, wins boolean"
+def fan_out() -> Column:
+    """To how many salts a part of the index is copied."""
+    n_digests = F.octet_length("digests") / 32
+    rows = F.greatest(F.lit(ROWS_PER_LOOKUP), ROWS_PER_DIGEST * n_digests)
+    return F.greatest(F.lit(1), F.ceil(F.col("n_rows") / rows)).cast("int")
 
 
 def look_up(d: DataFrame, index: DataFrame) -> DataFrame:
     """Answer every row of ``d`` by its slot of the index.
 
-    Each part goes to as many tasks as its rows need: a part with a hot digest is copied
-    to ``n_rows / ROWS_PER_LOOKUP`` salts and its documents are dealt over them.  The table
+    A part with a hot digest, with far more rows than digests, goes to more than one task: it is copied to salts and its
+    documents are dealt over them.  A salt has ROWS_PER_LOOKUP rows and ROWS_PER_DIGEST times the part's digests at
+    least, so copies of the index stay in proportion to the rows.  The table
     of fan-outs is broadcast; it has MOST_PARTS rows of two numbers at most.
     """
-    fan = F.greatest(F.lit(1), F.ceil(F.col("n_rows") / ROWS_PER_LOOKUP)).cast("int")
+    fan = fan_out()
     fans = index.select(F.col("part").alias("p"), fan.alias("fan"), "parts")
     parts = F.lit((index.select(F.max("parts")).first() or [1])[0] or 1)
     dealt = (
         d.withColumn("part", F.pmod(F.xxhash64("digest"), parts).cast("int"))
         .join(F.broadcast(fans.select("p", "fan")), F.col("part") == F.col("p"), "left")
         .withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_cp"), F.coalesce("fan", F.lit(1))).cast("int"))
-        .select("doc_id", "n_cp", "digest", "part", "salt")
+        .select("doc_id", "named", "n_cp", "digest", "part", "salt")
     )
     copies = index.withColumn("salt", F.explode(F.sequence(F.lit(0), fan - 1))).drop("parts")
     grouped = dealt.groupBy("part", "salt").cogroup(copies.groupBy("part", "salt"))
@@ -185,7 +200,7 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
     if history is None:
         return _result(look_up(d, build_index(saved(fold(d), "digest-winners"))), False)
     seen = saved(look_up(d, history), "digest-lookups")
-    fresh = seen.filter(~F.col("member")).select("doc_id", "n_cp", "digest")
+    fresh = seen.filter(~F.col("member")).select("doc_id", "named", "n_cp", "digest")
     own = look_up(fresh, build_index(saved(fold(fresh), "digest-winners")))
     return _result(seen.filter("member"), True).unionByName(_result(own, False))
 
@@ -193,8 +208,8 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
 def _result(found: DataFrame, in_history: bool) -> DataFrame:
     wins = F.lit(False) if in_history else F.col("wins")
     return found.select(
-        "doc_id",
-        "keep_id",
+        F.when(F.col("named"), F.col("doc_id")).alias("doc_id"),
+        F.when(F.col("keep_named"), F.col("keep_id")).alias("keep_id"),
         "group_size",
         wins.alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),

@@ -69,3 +69,24 @@ def test_small_tables_of_keys(n):
     keys = np.arange(4 * n, dtype=np.uint64).reshape(n, 4)
     levels, number = X.build_levels(keys)
     assert sorted(number) == list(range(n))
+
+
+def test_extreme_and_null_ids_are_told_apart(frame):
+    least, most = -(1 << 63), (1 << 63) - 1
+    rows = [(least, "a b"), (None, "ab"), (most, "a  b"), (least, "x"), (None, "y"), (most - 1, "y"), (None, "z"), ((1 << 53) + 1, "w")]
+    got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in X.exact_dedup(frame(rows)).collect()), key=str)
+    want = [(least, most, 3, False), (None, most, 3, False), (most, most, 3, True), (least, least, 1, True)]
+    want += [(None, most - 1, 2, False), (most - 1, most - 1, 2, True), (None, None, 1, True), ((1 << 53) + 1, (1 << 53) + 1, 1, True)]
+    assert got == sorted(want, key=str)
+
+
+def test_copies_of_the_index_stay_in_proportion(spark, frame, monkeypatch):
+    """Many distinct texts in one part: it goes to one task; a hot digest spreads its part."""
+    monkeypatch.setattr(X, "ROWS_PER_LOOKUP", 8)
+    monkeypatch.setattr(X, "MOST_PARTS", 1)
+    for rows, fan in (([(i, f"text {i}") for i in range(300)], 1), ([(i, "hot") for i in range(300)], 38)):
+        docs = frame(rows)
+        index = X.build_index(X.fold(X.digests(docs)))
+        assert [r.fan for r in index.select(X.fan_out().alias("fan")).collect()] == [fan]
+        got = {r.doc_id: (r.keep_id, r.group_size) for r in X.exact_dedup(docs).collect()}
+        assert got == {i: x[:2] for i, x in brute.exact(rows).items()}
