@@ -6,9 +6,13 @@
    variances of the features are aggregated over all labelled documents, which gives
    every document its posterior for each domain (Gaussian naive Bayes).
 2. With posteriors p and token counts t, rates x >= 0 are fitted by projected gradient on
-   sum_d (sum_i x_i t_i p_id - T_d)^2 / S_d, where S_d is what the corpus holds of domain d.
-   A step needs one aggregate of D sums over the documents; the scaling by S_d bounds
-   the curvature by 1, so steps of 1 are safe.  Only those D sums reach the driver.
+   sum_d (sum_i x_i t_i p_id - T_d)^2.  A step moves the rates along the posteriors and cuts them at zero.
+   Its lengths are scaled by the curvature, the D x D sums of t p_d p_e over documents of positive
+   rate, so domains that overlap don't slow it down; where the cut spoils such a step it is shortened, or
+   a plain gradient step scaled by what the corpus holds of each domain is taken.  A step needs one aggregate of
+   D + D (D + 1) / 2 sums over the documents; only these reach the driver.  Steps go on until each
+   domain is within ``CLOSE`` of its own target, or none brings the sums nearer (a target out of reach); the shares
+   that were reached are returned.
 
 Everything is DataFrame expressions: no Python runs on the executors.  Tokens are words here
 (stretches without white space), which built-in functions can count.
@@ -27,6 +31,7 @@ import math
 import re
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +43,12 @@ LEXICON_WORDS = 32
 LEXICON_LEAST = 8
 #: A word of a domain's list is in at least this share of its documents.
 LEXICON_SHARE = 0.04
-STEPS = 40
 STEPS_PER_TABLE = 8
-CLOSE = 1e-4
+#: Of each domain's own target; of all tokens where that is zero.
+CLOSE = 1e-3
+CLOSE_TO_NONE = 1e-6
+#: A step that lowers the error by less than this share is none.
+LEAST_GAIN = 1e-3
 LEAST_VARIANCE = 1e-4
 #: Target weights of the domains (quality and toxicity of a label); those that occur are used.
 TARGETS = {"q1t0": 0.95, "q0t0": 0.03, "q1t1": 0.015, "q0t1": 0.005}
@@ -159,35 +167,66 @@ def weights(names: list[str], targets: dict[str, float]) -> list[float]:
     return [w / sum(wanted) for w in wanted]
 
 
-def fit_rates(scored: DataFrame, names: list[str], targets: dict[str, float], total: float | None = None) -> DataFrame:
-    """``scored`` with a column ``rate``: nonnegative, expected tokens of each domain near its target.
+def _measured(frame: DataFrame, n_domains: int, rate: Column) -> tuple[np.ndarray, np.ndarray]:
+    """Expected tokens of each domain at these rates, and the curvature over documents of positive rate."""
+    ps = [F.col(f"p{i}") for i in range(n_domains)]
+    t = F.col("n_tokens").cast("double")
+    on = F.when(rate > 0, t).otherwise(F.lit(0.0))
+    pairs = [(d, e) for d in range(n_domains) for e in range(d, n_domains)]
+    sums = [t * rate * p for p in ps] + [on * ps[d] * ps[e] for d, e in pairs]
+    row = frame.agg(*[F.coalesce(F.sum(x), F.lit(0.0)).alias(f"s{i}") for i, x in enumerate(sums)]).first()
+    curve = np.zeros((n_domains, n_domains))
+    for (d, e), x in zip(pairs, row[n_domains:]):
+        curve[d, e] = curve[e, d] = x
+    return np.array(row[:n_domains], float), curve
+
+
+def fit_rates(
+    scored: DataFrame, names: list[str], targets: dict[str, float], total: float | None = None
+) -> tuple[DataFrame, dict[str, float]]:
+    """``scored`` with a column ``rate``: nonnegative, expected tokens of each domain near its target; and
+    the share of the expected tokens that each domain reached.
 
     ``targets`` are weights, ``total`` the tokens to reach (all tokens of the corpus if None)."""
-    ps = [F.col(f"p{i}") for i in range(len(names))]
-    held = domain_tokens(scored, len(names))
-    total = sum(held) if total is None else total
-    goal = [total * w for w in weights(names, targets)]
+    n = len(names)
+    ps = [F.col(f"p{i}") for i in range(n)]
+    held = np.array(domain_tokens(scored, n))
+    total = float(held.sum()) if total is None else total
+    goal = total * np.array(weights(names, targets))
+    allowed = np.where(goal > 0, CLOSE * goal, CLOSE_TO_NONE * max(total, 1.0))
+    error = lambda got: float((((got - goal) / allowed) ** 2).sum())
     frame = scored.withColumn("rate", F.lit(1.0))
     rate: Column = F.col("rate")
-    for step in range(STEPS):
-        got = domain_tokens(frame, len(names), rate)
-        if max(abs(a - b) for a, b in zip(got, goal)) <= CLOSE * max(total, 1.0):
-            break
-        slopes = [(a - b) / h if h > 0 else 0.0 for a, b, h in zip(got, goal, held)]
-        rate = F.greatest(F.lit(0.0), rate - reduce(lambda a, b: a + b, [F.lit(s) * p for s, p in zip(slopes, ps)]))
-        if step % STEPS_PER_TABLE == STEPS_PER_TABLE - 1:
+    got, curve = _measured(frame, n, rate)
+    steps = 0
+    while (np.abs(got - goal) > allowed).any():
+        scaled = np.linalg.lstsq(curve, got - goal, rcond=None)[0]
+        plain = np.divide(got - goal, held, out=np.zeros(n), where=held > 0)
+        for slopes in (a * s for s in (scaled, plain) for a in (1.0, 0.5, 0.25, 0.125)):
+            moved = reduce(lambda a, b: a + b, [F.lit(float(s)) * p for s, p in zip(slopes, ps)])
+            tried = F.greatest(F.lit(0.0), rate - moved)
+            reached, bend = _measured(frame, n, tried)
+            if error(reached) <= error(got) * (1 - LEAST_GAIN):
+                break
+        else:
+            break  # out of reach
+        rate, got, curve, steps = tried, reached, bend, steps + 1
+        if steps % STEPS_PER_TABLE == 0:
             frame = saved(frame.withColumn("rate", rate), "domain-rates")
             rate = F.col("rate")
-    return frame.withColumn("rate", rate)
+    whole = float(got.sum()) or 1.0
+    return frame.withColumn("rate", rate), {d: float(x) / whole for d, x in zip(names, got)}
 
 
 def mix_domains(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """One row per document: doc_id, version, n_tokens, posteriors (by domain), domain, rate."""
+    """One row per document: doc_id, version, n_tokens, posteriors (by domain), domain, rate, and in every row
+    reached_shares, each domain's share of the expected tokens."""
     scored, names = score(docs, labels)
-    rated = fit_rates(scored, names, targets or TARGETS)
+    rated, reached = fit_rates(scored, names, targets or TARGETS)
+    shares = F.create_map(*[F.lit(x) for pair in reached.items() for x in pair])
     entries = [x for i, d in enumerate(names) for x in (F.lit(d), F.col(f"p{i}"))]
     best = F.array_max(F.array(*[F.struct(F.col(f"p{i}").alias("p"), F.lit(d).alias("d")) for i, d in enumerate(names)]))
-    return rated.select("doc_id", "version", "n_tokens", F.create_map(*entries).alias("posteriors"), best["d"].alias("domain"), "rate")
+    return rated.select("doc_id", "version", "n_tokens", F.create_map(*entries).alias("posteriors"), best["d"].alias("domain"), "rate", shares.alias("reached_shares"))
 
 
 def draw_documents(
@@ -204,7 +243,7 @@ def draw_documents(
     scored, names = score(docs, labels)
     wanted, held = weights(names, targets), domain_tokens(scored, len(names))
     clean = wanted.index(max(wanted))
-    rated = fit_rates(scored, names, targets, held[clean] / wanted[clean] or None)
+    rated, _ = fit_rates(scored, names, targets, held[clean] / wanted[clean] or None)
     draw = F.pmod(F.xxhash64("doc_id", "version", F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
     drawn = saved(rated.filter(draw < F.col("rate")).drop("rate"), "drawn-documents")
     tokens = domain_tokens(drawn, len(names))
