@@ -18,7 +18,8 @@ similarity is 0.8 or more, which bounds the size of their symmetric difference:
   pair is then left out by neither, since more than m - H - 1 equal ones are costlier.
   Empty segments and boilerplate go this way, without a cap on anything.
 * Signatures travel in packed blobs, a blob per batch and bucket of the signature space, and equal
-  sets of a batch once.  A bucket returns the signatures that at least two different sets
+  sets of a batch once.  The number of buckets follows the bytes of the texts, so that a bucket, which one task holds
+  whole, stays of one size.  A bucket returns the signatures that at least two different sets
   hold.  Equal sets are one class from then on.
 * Verification is exact, on whole shingle sets.  First each class meets one other: of every
   signature the class that shares the largest part of its segments leads, and a class takes the
@@ -50,7 +51,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.llm import textbytes as tb
-from clickflow.llm.common import id_text, saved
+from clickflow.llm.common import chunks_for, id_text, saved
 from clickflow.llm.components import components
 from clickflow.llm.textbytes import U64, mix
 
@@ -58,7 +59,8 @@ SHINGLE = 5
 NUM, DEN = 80, 100
 NO_ID = -(1 << 63)
 LAST = (1 << 63) - 1
-BUCKETS_PER_PARTITION = 1
+#: Text that a bucket of the signature space is for.
+BYTES_PER_BUCKET = 8 << 20
 BATCH_BYTES = 4 << 20
 #: What a chance hit costs, in signatures sent.
 HIT_COST = 16.0
@@ -232,10 +234,9 @@ def _post(buckets: int):
                 sig, entry = signatures(hashes, at, sets, scheme)
                 bucket = (sig % U64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
-                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                here_are, first = np.unique(bucket[order], return_index=True)
                 rows: list[list] = [[] for _ in range(6)]
-                for b in np.flatnonzero(np.diff(cuts)):
-                    here = order[cuts[b] : cuts[b + 1]]
+                for b, here in zip(here_are, np.split(order, first[1:])):
                     used, local = np.unique(entry[here], return_inverse=True)
                     blobs = (
                         keys[sets[used]].tobytes(),
@@ -319,8 +320,9 @@ def _shared(buckets: int):
 def postings(docs: DataFrame) -> DataFrame:
     """kind 0: doc_id, version (a hash of the text), n, key of every document.  kind 1: n, key, scheme, sig and held, the number of
     different sets that hold it, of every signature that more than one holds.  Written once."""
-    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = id_text(docs).withColumn("version", F.xxhash64("text"))
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = chunks_for(size, BYTES_PER_BUCKET)
     posted = texts.mapInArrow(_post(buckets), POSTED_SQL)
     return saved(posted.groupBy("bucket").applyInArrow(_shared(buckets), FOUND_SQL), "shingle-postings")
 
