@@ -1,8 +1,9 @@
 """Secret scan with a worklist of decoded layers.
 
-Each text is scanned as it is (the base spans).  Then it is unwrapped: percent escapes and
-Unicode escapes are decoded in place, and base64 stretches become layers of their own, which
-may hold compressed data.  A layer decoded in place is the stretch around the escapes that a
+Each text is scanned as it is (the base spans).  Then it is unwrapped: percent escapes,
+Unicode escapes and character references are decoded in place, and base64 stretches become layers of their own, which
+may hold compressed data.  An escape whose decoded character begins another one is followed to its
+innermost code at once (``%252541`` is ``A``), so a nest costs its length, however deep it is.  A layer decoded in place is the stretch around the escapes that a
 match can run over, not the whole text: the rest holds what its parent held.  Base64 is decoded
 line by line, as whole blocks over line ends and as stretches of equally long lines.  Decoded
 bytes are read as UTF-8 with replacements, or as UTF-16 where a mark or their NULs say so;
@@ -54,11 +55,13 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # the same as runs of [0-9a-f]+ of which tho
 LEAST_ASSIGN, LEAST_ACCESS = 8, 16
 KINDS = ("assign", "access", "hex")
 
-PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(
-    r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|&\#[0-9]{1,7};|&\#[xX][0-9A-Fa-f]{1,6};)+"
-)
-ONE_ESCAPE = re.compile(r"\\[uxU]\{?([0-9A-Fa-f]+)\}?|&\#([0-9]+);|&\#[xX]([0-9A-Fa-f]+);")
+ESCAPE_LEAD = re.compile(r"%(?=[0-9A-Fa-f]{2})|\\(?=[uxU])|&(?=\#)")
+#: What follows the lead of an escape: hexadecimal digits, or decimal ones in the last group.
+ESCAPE_BODY = {
+    "%": re.compile(r"([0-9A-Fa-f]{2})()"),
+    "\\": re.compile(r"(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|U([0-9A-Fa-f]{8})|u\{([0-9A-Fa-f]{1,6})\})()"),
+    "&": re.compile(r"\#(?:[xX]([0-9A-Fa-f]{1,6})|([0-9]{1,7}));"),
+}
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 BLOCK = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}")
 LINE = re.compile(r"[A-Za-z0-9+/_-]+")
@@ -108,20 +111,56 @@ class Layer:
         return first, a + end - self.at[j] if exact else b
 
 
-def _escaped(m: re.Match) -> str:
-    units = [int(a or c, 16) if (a or c) else int(b) for a, b, c in ONE_ESCAPE.findall(m[0])]
-    if any(u > 0x10FFFF for u in units):
-        return m[0]
-    raw = "".join(map(chr, units)).encode("utf-16-le", "surrogatepass")  # pairs become one character
-    return raw.decode("utf-16-le", "replace")
-
+def _one_escape(text: str, at: int) -> tuple[int, bool, int]:
+    """The code that the escape at ``at`` comes to, whether it is a byte, and where it ends; code -1 if it is none.
 
-def _unquoted(m: re.Match) -> str:
-    raw = bytes.fromhex(m[0].replace("%", ""))
-    try:
-        return raw.decode()
-    except UnicodeDecodeError:
-        return raw.decode("latin-1")
+    An escape that decodes to the lead of another one goes on with that: a nest of any depth and mixture is
+    read once, from its outside to the innermost code."""
+    lead, code, byte, end = text[at], -1, False, at
+    while body := ESCAPE_BODY[lead].match(text, end + 1 if code < 0 else end):
+        digits = next(g for g in body.groups() if g)
+        decimal = lead == "&" and body[2]
+        value = int(digits, 10 if decimal else 16)
+        if value > 0x10FFFF:
+            break
+        code, byte, end = value, lead == "%", body.end()
+        if chr(code) not in ESCAPE_BODY:
+            break
+        lead = chr(code)
+    return code, byte, end
+
+
+def _plain(codes: list[tuple[int, bool]]) -> str:
+    """The text of decoded codes: bytes are UTF-8 (else Latin-1), pairs of surrogates one character."""
+    out = []
+    for byte, run in itertools.groupby(codes, key=lambda c: c[1]):
+        values = [c for c, _ in run]
+        if byte:
+            try:
+                out.append(bytes(values).decode())
+            except UnicodeDecodeError:
+                out.append(bytes(values).decode("latin-1"))
+        else:
+            out.append("".join(map(chr, values)).encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace"))
+    return "".join(out)
+
+
+def escape_runs(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and decoded text of every run of escapes."""
+    at = 0
+    while m := ESCAPE_LEAD.search(text, at):
+        start = at = m.start()
+        codes = []
+        while at < len(text) and text[at] in ESCAPE_BODY:
+            code, byte, end = _one_escape(text, at)
+            if code < 0:
+                break
+            codes.append((code, byte))
+            at = end
+        if codes:
+            yield start, at, _plain(codes)
+        else:
+            at += 1
 
 
 def _stretch_start(text: str, at: int, least: int) -> int:
@@ -135,13 +174,13 @@ def _stretch_start(text: str, at: int, least: int) -> int:
         step *= 4
 
 
-def decoded_in_place(layer: Layer, pattern: re.Pattern, decode) -> Iterator[Layer]:
+def decoded_in_place(layer: Layer) -> Iterator[Layer]:
     """For every stretch with escapes that a match can run over, a layer with the escapes decoded."""
-    matches, text = pattern.finditer(layer.text), layer.text
-    m, done = next(matches, None), 0
-    while m is not None:
-        done = _stretch_start(text, m.start(), done)
-        outside = OUTSIDE.search(text, m.end())
+    runs, text = escape_runs(layer.text), layer.text
+    run, done = next(runs, None), 0
+    while run is not None:
+        done = _stretch_start(text, run[0], done)
+        outside = OUTSIDE.search(text, run[1])
         stop = outside.start() if outside else len(text)
         parts, at, source, here, changed = [], [], [], 0, False
 
@@ -161,13 +200,12 @@ def decoded_in_place(layer: Layer, pattern: re.Pattern, decode) -> Iterator[Laye
                 add(text[a:end], o + a - layer.at[i] if exact else o, o + end - layer.at[i] if exact else e, exact)
                 a, i = end, i + 1
 
-        while m is not None and m.start() < stop:
-            plain = decode(m)
-            if plain != m[0]:
-                copied(done, m.start())
-                add(plain, *layer.original(m.start(), m.end()), False)
-                done, changed = m.end(), True
-            m = next(matches, None)
+        while run is not None and run[0] < stop:
+            start, end, plain = run
+            copied(done, start)
+            add(plain, *layer.original(start, end), False)
+            done, changed = end, True
+            run = next(runs, None)
         copied(done, stop)
         done = stop
         if changed and parts:
@@ -429,10 +467,8 @@ def _layer_texts(raw: bytes, note: Callable[[str], None]) -> Iterator[str]:
 
 def _children(layer: Layer, note: Callable[[str, int, int], None]) -> Iterator[Layer]:
     """The layers one step below, made when they are asked for; ``note`` gets text that is in none of them."""
-    if "%" in layer.text:
-        yield from decoded_in_place(layer, PERCENT, _unquoted)
-    if "\\" in layer.text or "&#" in layer.text:
-        yield from decoded_in_place(layer, ESCAPE, _escaped)
+    if "%" in layer.text or "\\" in layer.text or "&#" in layer.text:
+        yield from decoded_in_place(layer)
     runs = ((m.start(), m.end(), m[0]) for m in BASE64.finditer(layer.text))
     for start, end, run in itertools.chain(runs, _blocks(layer.text) if "\n" in layer.text else ()):
         a, b = layer.original(start, end)

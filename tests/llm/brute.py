@@ -228,3 +228,44 @@ def divergence(rows, least=10, top=10):
                 part.sort(key=lambda x: (-x[2], x[1].encode()))
                 out += [(lang, s, *x, i + 1) for i, x in enumerate(part)]
     return sorted(out)
+
+
+def decoded_spans(text):
+    """(start, kind, end) of secrets in a text and in all that it decodes to, by trying every escape and every
+    base64 run of every layer, one level at a time; each character knows the stretch it comes from."""
+    import base64
+    import gzip
+    import html
+
+    escape = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+    found, seen = set(), set()
+    work = [[(c, i, i + 1) for i, c in enumerate(text)]]
+    while work:
+        layer = work.pop()
+        s = "".join(c for c, _, _ in layer)
+        key = (s, layer[0][1], layer[-1][2]) if layer else None
+        if key is None or key in seen:
+            continue
+        seen.add(key)
+        found |= {(layer[a][1], k, layer[b - 1][2]) for a, k, b in base_secrets(s)}
+        child, at = [], 0
+        for m in escape.finditer(s):
+            child += layer[at : m.start()]
+            x = m[0]
+            c = html.unescape(x) if x[0] == "&" else chr(int(x[1:] if x[0] == "%" else x[2:], 16))
+            child += [(c, layer[m.start()][1], layer[m.end() - 1][2])]
+            at = m.end()
+        if at:
+            work.append(child + layer[at:])
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}={0,2}", s):
+            run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+            run = run[: len(run) - (len(run) % 4 == 1)]
+            raw = base64.b64decode(run + "=" * (-len(run) % 4))
+            if raw[:2] == b"\x1f\x8b":
+                try:
+                    raw = gzip.decompress(raw)
+                except OSError:
+                    pass
+            a, b = layer[m.start()][1], layer[m.end() - 1][2]
+            work.append([(c, a, b) for c in raw.decode("utf-8", "replace")])
+    return found

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import lzma
 import random
+import time
 import urllib.parse
 import zlib
 
@@ -81,7 +82,7 @@ def test_layers_after_much_decoded_text_are_read():
 def test_escapes_decode_only_their_surroundings():
     text = "some words, " * 20_000 + "token%3Dabcdefghij, " + "more words, " * 20_000
     layer = S.Layer(text, [0], [(0, len(text), True)])
-    parts = list(S.decoded_in_place(layer, S.PERCENT, S._unquoted))
+    parts = list(S.decoded_in_place(layer))
     assert [p.text.strip() for p in parts] == ["token=abcdefghij"]
     assert [text[a:b] for a, _, b in S.all_spans(text)[1]] == ["token%3Dabcdefghij"]
 
@@ -178,3 +179,54 @@ def test_digest_column(spark):
     for r in op5_secret_scan(spark, SF01).collect():
         told = ",".join(f"{S.KINDS[k]}:{a}:{b}" for a, k, b in brute.base_secrets(texts[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+
+
+def test_nests_cost_their_length():
+    """A megabyte of nested escapes, of one kind and mixed, is read in seconds."""
+    for nest in ("%" + "25" * 500_000 + "41", "\\" + "u005c" * 200_000 + "u0041", "%5C" + "u00255C" * 140_000 + "u0041", "&" + "#38;" * 250_000 + "#65;"):
+        start = time.monotonic()
+        text = "token%3D" + nest + "bcdefghij end"
+        every = S.all_spans(text)[1]
+        assert (0, 0, len(text) - 4) in every
+        assert time.monotonic() - start < 20
+        assert [x[2] for x in S.escape_runs(nest)] == ["A"]
+
+
+def test_unfinished_nests_keep_what_is_left():
+    runs = lambda t: [(t[a:b], x) for a, b, x in S.escape_runs(t)]
+    assert runs("%2525zz") == [("%2525", "%")]
+    assert runs("%zz %4") == []
+    assert runs("%C3%A9%FF") == [("%C3%A9%FF", "Ã©ÿ")] and runs("%C3%A9") == [("%C3%A9", "é")]
+    assert runs("\\ud83d\\ude00&#x41;") == [("\\ud83d\\ude00&#x41;", "\U0001f600A")]
+    assert runs("&#99999999;") == [] and runs("\\U00110000") == [] and runs("\\u{1F600}") == [("\\u{1F600}", "\U0001f600")]
+
+
+def _wrapped(r, text, depth):
+    for _ in range(depth):
+        kind = r.randrange(5)
+        if kind == 0:
+            text = "".join(f"%{b:02X}" if r.random() < 0.4 or not chr(b).isalnum() else chr(b) for b in text.encode())
+        elif kind == 1:
+            text = "".join(f"\\u{ord(c):04x}" if r.random() < 0.3 or c == "\\" else c for c in text)
+        elif kind == 2:
+            text = "".join(f"&#{ord(c)};" if r.random() < 0.3 or c == "&" else c for c in text)
+        elif kind == 3:
+            text = b64(text)
+        else:
+            text = b64(gzip.compress(text.encode()))
+    return text
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_decoded_spans_match_a_brute_force_worklist(seed):
+    """Each secret the plain worklist finds lies in a span of its kind, and each span holds one it finds."""
+    r = random.Random(seed)
+    secrets = [SECRET, "api_key: 'k" + "9" * 12 + "'", "AKIA" + "Q7" * 8, "0123456789abcdef" * 2]
+    for _ in range(12):
+        parts = [_wrapped(r, r.choice(secrets), r.randint(0, 3)) for _ in range(r.randint(1, 4))]
+        text = " (words, between) ".join(["start", *parts, "end"])
+        want, got = brute.decoded_spans(text), S.all_spans(text)[1]
+        for a, k, b in want:
+            assert any(x <= a and b <= y and k == z for x, z, y in got), (text, (a, k, b), got)
+        for x, z, y in got:
+            assert any(x <= a and b <= y and k == z for a, k, b in want), (text, (x, z, y), want)
