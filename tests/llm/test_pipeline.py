@@ -1,3 +1,5 @@
+from collections import Counter
+
 import corpus_pipeline as C
 from clickflow.llm import domain_mixing, quality_rules
 from clickflow.llm.common import documents
@@ -37,3 +39,23 @@ def test_stages_on_an_empty_table(spark, frame, odd_rows):
     for _, stage in C.STAGES:
         docs = C.saved(stage(spark, docs, SF01), "stage")
     assert docs.count() == 0
+
+
+def test_stages_on_odd_rows(spark, frame, odd_rows, no_id_rows):
+    """Null ids and texts, repeated rows, ties, a very long text and clashing column names, through every stage in turn."""
+    long = [(r + 500, (t or "") + " " + " ".join(f"w{i % 97}x{r}" for i in range(80))) for r, t in odd_rows]
+    docs = frame(odd_rows + no_id_rows + long + long[3:6] + [(None, long[4][1])])
+    schema, before = docs.schema, Counter(map(str, docs.collect()))
+    for name, stage in C.STAGES[:-1]:
+        docs = C.saved(stage(spark, docs, SF01), "odd-stage")
+        assert docs.schema.names == schema.names, name
+        after = Counter(map(str, docs.collect()))
+        assert not after - before, name  # whole rows of the predecessor, none more often
+        assert after, name
+        if name == "exact dedup":
+            texts = ["".join((r.text or "").split()) for r in docs.collect()]
+            assert len(set(texts)) == len(texts)
+        before = after
+    pieces = C.saved(C.STAGES[-1][1](spark, docs, SF01), "odd-pieces").collect()
+    assert sum(r.piece == 0 for r in pieces) == docs.count()
+    assert {r.doc_id for r in pieces} == {r.doc_id for r in docs.collect()}
