@@ -480,6 +480,9 @@ FROM run GROUP BY user_id, ad_id, nth"""
     q["top10_session_detail_bucketed"] = q["top10_session_detail"]
     q["session_length_stats_observed"] = q["session_length_stats"]
     q["scan_actions_of_task"] = q["scan_actions_by_date"]
+    q["stored_upsert_add"] = q["upsert_add"]
+    q["stored_upsert_replace"] = q["upsert_replace"]
+    q["stored_replace_groups"] = q["replace_groups"]
     return q
 
 

@@ -637,6 +637,33 @@ def q_replace_groups(spark, sf):
     return out(tables.replace_groups(target, updates, ("date", "province")))
 
 
+def _stored(spark, name, steps, keys, mode) -> DataFrame:
+    """The state of a table by day after some batches of updates; each merges the days it touches only."""
+    table = tables.BatchTable(spark, work_dir(spark, name), steps[0].schema, keys, mode, part="date", merge_every=1)
+    for batch, updates in enumerate(steps):
+        table.write_batch(updates, batch)
+    return table.read()
+
+
+@query("stored_upsert_add")
+def q_stored_upsert_add(spark, sf):
+    """K4 in a stored table: early counts, then late ones added."""
+    return out(_stored(spark, "stored-add", _early_late(spark, sf, ads.user_click_counts), ads.USER_AD_KEYS, "add"))
+
+
+@query("stored_upsert_replace")
+def q_stored_upsert_replace(spark, sf):
+    """K5 in a stored table: late rows replace those of their keys."""
+    return out(_stored(spark, "stored-replace", _early_late(spark, sf, ads.ad_stat), ads.STAT_KEYS, "replace"))
+
+
+@query("stored_replace_groups")
+def q_stored_replace_groups(spark, sf):
+    """K7 in a stored table: late top-n rows replace their (date, province) groups."""
+    steps = _early_late(spark, sf, lambda log: ads.province_top(ads.ad_stat(log), 3))
+    return out(_stored(spark, "stored-groups", steps, ("date", "province"), "replace_groups"))
+
+
 @query("append_results")
 def q_append_results(spark, sf):
     path = work_dir(spark, "append_results")

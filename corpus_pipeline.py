@@ -3,6 +3,14 @@
 ``STAGES`` lists (name, function).  A function takes (spark, docs, sf_dir) and returns a
 DataFrame, which is written as Parquet and read again as the next one's docs.  All but the
 last return the columns of ``documents``, whole rows of what their predecessor kept.
+
+Defined results: a null text counts as empty, and the quality rules reject it, as they reject any text of
+fewer than 50 words.  A null doc_id is a row like any other: of equal texts one with an id stays before one without,
+and of a group of near duplicates the smallest id.  Of rows repeated as they are one stays; rows that share an id
+but not a text are told apart by the text.  Ties go to the smallest id.  Labels without a document, or with nulls, aren't
+used; without any label the mixing keeps all.  Columns beyond those of ``documents`` travel with their row, whatever
+their names, up to the packing, which returns its own columns.  Long texts are taken whole by every stage.
+An empty table gives an empty table at every stage.
 """
 
 from __future__ import annotations
