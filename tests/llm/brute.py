@@ -269,3 +269,16 @@ def decoded_spans(text):
             a, b = layer[m.start()][1], layer[m.end() - 1][2]
             work.append([(c, a, b) for c in raw.decode("utf-8", "replace")])
     return found
+
+
+def differencing(sizes, shards):
+    """Karmarkar-Karp: the two partitions of largest spread are laid on each other in opposite order, until one is left."""
+    parts = [(-size, i, [size] + [0] * (shards - 1)) for i, size in enumerate(sizes)]
+    n = len(parts)
+    while len(parts) > 1:
+        parts.sort(key=lambda p: p[:2])
+        (_, _, a), (_, _, b), *parts = parts
+        both = [x + y for x, y in zip(sorted(a, reverse=True), sorted(b))]
+        parts.append((min(both) - max(both), n, both))
+        n += 1
+    return sorted(parts[0][2])

@@ -6,6 +6,7 @@ import pytest
 
 from clickflow.llm import balanced_shards as B
 from clickflow.llm.common import documents
+from tests.llm import brute
 from tests.llm.conftest import SF01
 
 
@@ -62,3 +63,19 @@ def test_differencing_beats_dealing_by_size():
     for s in sorted(sizes, reverse=True):
         greedy[greedy.index(min(greedy))] += int(s)
     assert sums.max() - sums.min() < max(greedy) - min(greedy)
+
+
+@pytest.mark.parametrize("shards", [2, 3, 8])
+def test_differencing_equals_the_plain_method(shards):
+    r = np.random.default_rng(shards)
+    for n in (1, 2, 7, 60):
+        sizes = [int(x) for x in r.integers(1, 50, n)]  # with ties
+        sums, _ = B.difference(np.stack([np.append(s, np.zeros(shards - 1, np.int64)) for s in sizes]))
+        assert sorted(sums.tolist()) == brute.differencing(sizes, shards)
+
+
+def test_one_block_of_groups_is_the_plain_method(spark, frame):
+    rows = [(i, "y" * (i * 53 % 701) + str(i)) for i in range(120)]
+    sums, _ = check(B.balanced_shards(frame(rows), 4), rows, 4)
+    spread = brute.differencing([len(t) + 8 for _, t in rows], 4)
+    assert max(sums) - min(sums) <= max(spread) - min(spread) + 8
