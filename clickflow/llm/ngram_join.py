@@ -19,7 +19,7 @@ similarity is 0.8 or more, which bounds the size of their symmetric difference:
   Empty segments and boilerplate go this way, without a cap on anything.
 * Signatures travel in packed blobs, a blob per batch and bucket of the signature space, and equal
   sets of a batch once.  The number of buckets follows the bytes of the texts, so that a bucket, which one task holds
-  whole, stays of one size.  A bucket returns the signatures that at least two different sets
+  whole, doesn't grow with them; there are as many as shuffle partitions at least.  A bucket returns the signatures that at least two different sets
   hold.  Equal sets are one class from then on.
 * Verification is exact, on whole shingle sets.  First each class meets one other: of every
   signature the class that shares the largest part of its segments leads, and a class takes the
@@ -322,7 +322,8 @@ def postings(docs: DataFrame) -> DataFrame:
     different sets that hold it, of every signature that more than one holds.  Written once."""
     texts = id_text(docs).withColumn("version", F.xxhash64("text"))
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    buckets = chunks_for(size, BYTES_PER_BUCKET)
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(partitions, chunks_for(size, BYTES_PER_BUCKET))
     posted = texts.mapInArrow(_post(buckets), POSTED_SQL)
     return saved(posted.groupBy("bucket").applyInArrow(_shared(buckets), FOUND_SQL), "shingle-postings")
 
