@@ -11,6 +11,7 @@ those partitions that changed.
 
 from __future__ import annotations
 
+import uuid
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -50,11 +51,15 @@ def append(
     df: DataFrame, target: str, task_id: int | None = None, fmt: str = "parquet", mode: str = "append", **options: str
 ) -> str:
     """K1/K2/K3/K9: append rows to a table: a path, or with ``fmt="jdbc"`` a table name (``url`` in
-    the options).  ``mode="overwrite"`` stores a new state in place of the old one (K4-K7).
+    the options).  ``mode="overwrite"`` stores a new state in place of the old one (K4-K7); files are written
+    beside the old ones first and take their place when they are whole, so the new state may be made from the old
+    one and a failed write leaves that as it was.  (:class:`BatchTable` stores upserts without rewriting what didn't change.)
 
     Executors write their own partitions; nothing is collected to the driver.
     """
     out = with_task_id(df, task_id) if task_id is not None else df
+    if mode == "overwrite" and fmt != "jdbc":
+        return _replace_folder(out, target, fmt, options)
     w = out.write.mode(mode).format(fmt)
     if fmt == "jdbc":
         options = dict(options)
@@ -64,6 +69,22 @@ def append(
     return target
 
 
+def _replace_folder(df: DataFrame, target: str, fmt: str, options: Mapping[str, str]) -> str:
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    new = f"{target.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
+    fs = path(target).getFileSystem(conf)
+    try:
+        df.write.format(fmt).options(**options).save(new)
+    except Exception:
+        fs.delete(path(new), True)
+        raise
+    fs.delete(path(target), True)
+    if not fs.rename(path(new), path(target)):
+        raise OSError(f"the new state is whole but could not be moved: {new}")
+    return target
+
+
 def upsert_add(target: DataFrame, updates: DataFrame, keys: Sequence[str], value: str = "click_count") -> DataFrame:
     """K4: existing key → ``value + update``, new key → inserted.
 
@@ -144,6 +165,7 @@ class BatchTable:
     """
 
     MODES = ("add", "replace", "replace_groups", "set")
+    TASKS_PER_PART = 16
 
     def __init__(
         self,
@@ -206,9 +228,11 @@ class BatchTable:
         return {p: sorted(map(int, self._children(f"{base}/_part={p}", "_batch"))) for p in names}
 
     def _write(self, df: DataFrame, path: str, by: Sequence[str], **options: str) -> None:
-        # a file per part where that is enough; adaptive execution splits what is too much for one task
-        dealt = df.hint("rebalance", *by).sortWithinPartitions(*by, *self.sort)
-        dealt.write.mode("overwrite").options(**options).partitionBy(*by).parquet(path)
+        # few files a part: adaptive execution merges small shares and splits large ones; without it (a stateful
+        # stream's batch) a hot part still goes to TASKS_PER_PART tasks
+        share = F.pmod(F.xxhash64(*self.columns), F.lit(self.TASKS_PER_PART))
+        dealt = df.withColumn("_share", share).hint("rebalance", *by, "_share").drop("_share")
+        dealt.sortWithinPartitions(*by, *self.sort).write.mode("overwrite").options(**options).partitionBy(*by).parquet(path)
 
     # -- rows ------------------------------------------------------------------
     def _rows(self, as_of: int | None, parts: set[str] | None, below: int | None = None) -> DataFrame:

@@ -408,6 +408,21 @@ def test_append_adds_task_id(spark, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(p).collect()) == [(7, 1), (8, 1)]
 
 
+def test_a_new_state_made_from_the_old_one_replaces_it(spark, tmp_path):
+    """K4 stored whole: the target is read while it is replaced; a write that fails leaves it as it was."""
+    path = str(tmp_path / "state")
+    tables.append(spark.createDataFrame([("a", 1), ("b", 2)], "k string, click_count bigint"), path)
+    updates = spark.createDataFrame([("a", 5), ("c", 1)], "k string, click_count bigint")
+    for want in ([("a", 6), ("b", 2), ("c", 1)], [("a", 11), ("b", 2), ("c", 2)]):
+        state = tables.upsert_add(spark.read.parquet(path), updates, ["k"])
+        tables.append(state, path, mode="overwrite")
+        assert sorted(map(tuple, spark.read.parquet(path).collect())) == want
+    fails = spark.read.parquet(path).select("k", F.raise_error(F.lit("lost")).cast("bigint").alias("click_count"))
+    with pytest.raises(Exception, match="lost"):
+        tables.append(fails, path, mode="overwrite")
+    assert spark.read.parquet(path).count() == 3
+
+
 DAYS = T.StructType([T.StructField("date", T.DateType()), T.StructField("k", T.StringType()),
                      T.StructField("click_count", T.LongType())])
 
