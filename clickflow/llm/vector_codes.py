@@ -97,23 +97,33 @@ def assign(x: np.ndarray, code: np.ndarray, dist: np.ndarray, entries: np.ndarra
     return code, dist
 
 
-def _large(x: np.ndarray, books: list[np.ndarray]) -> np.ndarray:
+def _large(x: np.ndarray) -> np.ndarray:
     """Rows whose distances floats can't hold: they are handled apart from the others."""
     bound = int((1 << 25) / max(1, x.shape[2]) ** 0.5)
     return np.abs(x).max(axis=(1, 2)) > bound
 
 
 def _rows_assigned(x: np.ndarray, code: np.ndarray, dist: np.ndarray, books: list[np.ndarray], moved: list[np.ndarray]):
-    """code, dist and error (None: beyond a long) of some vectors; dist is -1 where a long can't hold it or a float isn't exact."""
+    """code, dist and error (None: beyond a long) of some vectors; dist is -1 where a float isn't exact."""
     new_code, new_dist = code.copy(), np.full(dist.shape, -1, np.int64)
-    errors = np.zeros(len(x), object)
+    errors = np.zeros(len(x), np.int64)
     for part, (entries, changed) in enumerate(zip(books, moved)):
         c, d = assign(x[:, part], code[:, part], dist[:, part], entries, changed)
         new_code[:, part] = c
         small = d < 1 << 53
         new_dist[small, part] = d[small].astype(np.int64)
-        errors += np.array([int(v) for v in d], object)
-    return new_code, new_dist, [e if e <= MOST_LONG else None for e in errors]
+        if d.dtype == object:
+            errors = errors.astype(object) + np.array([int(v) for v in d], object)
+        else:  # each below 2**53
+            errors = errors + d.astype(np.int64)
+    return new_code, new_dist, errors if errors.dtype != object else [e if e <= MOST_LONG else None for e in errors]
+
+
+def _rows_as_binary(x: np.ndarray) -> pa.Array:
+    """Each row's bytes as one binary value."""
+    flat = np.ascontiguousarray(x).reshape(len(x), -1)
+    width = flat.shape[1] * flat.itemsize
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(x), [None, pa.py_buffer(flat.tobytes())]).cast(pa.binary())
 
 
 def _sums(x: np.ndarray, code: np.ndarray, entries: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +177,7 @@ def _round(books: Codebooks, moved: list[list[bool]], scale: int | None):
                 x, code, dist = state(batch)
                 new_code, new_dist = np.zeros_like(code), np.zeros_like(dist)
                 errors = np.zeros(len(x), object)
-                large = _large(x, tables)
+                large = _large(x)
                 for rows in (np.flatnonzero(~large), np.flatnonzero(large)):
                     if len(rows):
                         c, d, e = _rows_assigned(x[rows], code[rows], dist[rows], tables, changed)
@@ -180,9 +190,9 @@ def _round(books: Codebooks, moved: list[list[bool]], scale: int | None):
                     [
                         batch.column("vec_id"),
                         batch.column("label"),
-                        pa.array([r.tobytes() for r in x.astype("<i8")], pa.binary()),
-                        pa.array([r.tobytes() for r in new_code.astype(np.uint8)], pa.binary()),
-                        pa.array([r.tobytes() for r in new_dist.astype("<i8")], pa.binary()),
+                        _rows_as_binary(x.astype("<i8")),
+                        _rows_as_binary(new_code.astype(np.uint8)),
+                        _rows_as_binary(new_dist.astype("<i8")),
                         pa.array(errors.tolist(), pa.int64()),
                         pa.nulls(size, pa.int32()),
                         pa.nulls(size, pa.int64()),
@@ -231,6 +241,8 @@ def codebooks_text(books: Codebooks) -> str:
 
 def coded_vectors(table: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, scale: int = SCALE) -> tuple[DataFrame | None, Codebooks]:
     """(vec_id, label, code as bytes, error) of every kept row, and the final codebooks; None if no row is kept."""
+    if entries > 256:
+        raise ValueError("a code has one byte a part: 256 entries at most")
     kept = kept_vectors(table, parts)
     first = kept.orderBy(F.col("vec_id").asc_nulls_last(), "x").limit(entries).select("x").collect()
     if not first:
