@@ -18,12 +18,17 @@ Paths are URIs that Arrow's file systems know (local, HDFS, S3) or plain paths.
 from __future__ import annotations
 
 import re
+import sys
 from typing import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+# Executors need not have this package: what they run of this module travels with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SCHEMA = "partition int, segment bigint, value string"
 LINES_PER_BATCH = 10_000
 READ_BYTES = 1 << 20

@@ -18,13 +18,18 @@ in Spark's own windows.
 
 from __future__ import annotations
 
+import sys
 from typing import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# Executors need not have this package: what they run of this module travels with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 KEYS = ("user_id", "ad_id")
 RUN_SCHEMA = "user_id long, ad_id long, first_ms long, last_ms long, click_count long"
 STATE_VAR = "open_runs"
