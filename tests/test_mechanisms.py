@@ -5,6 +5,7 @@ import json
 import os
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +93,83 @@ def _check_runs(spark, base, rows, idle):
     assert 0 < len(still) < len(every)
 
 
+def test_state_is_kept_by_parts_of_keys(spark):
+    """Many keys cost few entries of the state store; NULL keys lie in the same batches as others."""
+    idle, r = 1000, random.Random(3)
+    base = work_dir(spark, "test-parts")
+    keys = [(u, a) for u in [None, -1, 0, *range(1, 1500)] for a in [None, 0, 1]]
+    rows = [(*k, 1 + b * 5000 + r.randint(0, 4000), b) for b in range(2) for k in keys for _ in range(2)]
+    df = spark.createDataFrame(rows, "user_id long, ad_id long, ts_ms long, batch_no int")
+
+    def start(stream, trigger):
+        return click_runs.start_click_runs(stream, f"{base}/out", f"{base}/ckpt", idle, trigger=trigger)
+
+    replay(spark, df, "batch_no", f"{base}/source", start)
+    _check_runs(spark, base, rows, idle)
+    state = spark.read.format("statestore").option("stateVarName", click_runs.STATE_VAR).load(f"{base}/ckpt")
+    assert 0 < state.count() <= click_runs.PARTS < len(keys)
+
+
+class _Part:
+    """A part's value state and timers, with a count of the calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, *_):
+        return self
+
+    def _called(self):
+        self.calls += 1
+
+    def get(self):
+        self._called()
+        return self.value
+
+    def update(self, value):
+        self._called()
+        self.value = value
+
+    def clear(self):
+        self._called()
+        self.value = None
+
+    def registerTimer(self, ms):
+        self._called()
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self._called()
+        self.timers.remove(ms)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def test_a_part_of_many_keys_takes_few_calls(monkeypatch):
+    monkeypatch.setattr(click_runs, "WAITING", 50)
+    idle, r, at, emitted = 20, random.Random(4), _Part(), []
+    runs = click_runs.OpenRuns(idle)
+    runs.init(at)
+    clicks = [(u, a, b * 300 + r.randint(0, 299)) for b in range(3) for u in (None, 0, 2**60, 2**60 + 1) for a in range(50) for _ in range(4)]
+    for b in range(3):
+        held = [(2 * (u is None), u or 0, a, t, t, 1) for u, a, t in clicks if t // 300 == b]
+        r.shuffle(held)
+        chunks = [pd.DataFrame(held[i : i + 30], columns=click_runs.HELD) for i in range(0, len(held), 30)]
+        assert list(runs.handleInputRows((0,), iter(chunks), at)) == []
+        at.watermark = max(h[4] for h in held)
+        while due := [t for t in at.timers if t <= at.watermark]:
+            at.timers -= set(due)
+            for out in runs.handleExpiredTimer((0,), at, None):
+                emitted += [tuple(None if v is pd.NA else int(v) for v in x) for x in out.astype(object).itertuples(index=False)]
+    every = _runs([(c[:2], c[2]) for c in clicks], idle)
+    still = [(None if x[0] else x[1], *x[2:]) for x in zip(*at.value)]
+    want = [x for x in every if x[3] + idle < at.watermark]
+    assert sorted(map(str, emitted)) == sorted(map(str, want))
+    assert sorted(map(str, still)) == sorted(map(str, [x for x in every if x not in want]))
+    assert len(want) > 1000 and at.calls <= 3 * 7
+
+
 # -- line log --------------------------------------------------------------------------
 def _publish(root, partition, segment, *files):
     folder = root / f"partition={partition}" / f"segment={segment}"
